@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from loomseq.llm import packing, secrets, warc
+from loomseq.llm import minhash, packing, secrets, warc
 
 QUERIES = {
     "op3_warc": warc.op3_warc,
+    "op5_minhash": minhash.op5_minhash,
     "op8_packing": packing.op8_packing,
     "op10_secrets": secrets.op10_secrets,
 }
 
 ORACLE_SQL = {
     "op3_warc": warc.SQL,
+    "op5_minhash": minhash.SQL,
     "op10_secrets": secrets.SQL,
 }
