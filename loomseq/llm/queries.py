@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from loomseq.llm import minhash, packing, secrets, suffix_dedup, warc
+from loomseq.llm import langid, minhash, packing, secrets, suffix_dedup, toxicity, warc
 
 QUERIES = {
     "op3_warc": warc.op3_warc,
+    "op4_langid": langid.op4_langid,
     "op5_minhash": minhash.op5_minhash,
+    "op6_toxicity": toxicity.op6_toxicity,
     "op8_packing": packing.op8_packing,
     "op9_suffix_dedup": suffix_dedup.op9_suffix_dedup,
     "op10_secrets": secrets.op10_secrets,
