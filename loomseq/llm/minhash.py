@@ -9,7 +9,8 @@ chosen so that a pair at the threshold is missed with probability 2e-4 at most.
 Candidates are confirmed on the full shingle sets. Documents with equal sets form a
 class, of which one member goes on. Within a bucket every member is first compared with
 one leader, the member that shares most buckets with others; only buckets whose members
-are then still in different components are compared pair by pair, in blocks. No bucket,
+are then still in different components are compared pair by pair, in blocks (overlapping
+buckets together). No bucket,
 partner or candidate is capped, and no bucket is held in one task.
 
 Documents without words (null, empty or blank text) are linked with nothing. Rows with
@@ -31,7 +32,7 @@ from loomseq.llm.shingles import mix, set_list, shingle_sets
 
 ROWS = 3
 MISS = 1e-4
-GROUP, BLOCK = 128, 128
+GROUP, BLOCK, CHAIN = 128, 512, 20_000
 
 
 def collections(threshold: float, rows: int = ROWS, miss: float = MISS) -> int:
@@ -172,13 +173,22 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, width: int = 5, thresh
     # Buckets that still hold several components: pair by pair, in blocks.
     placed = met.where("n > 2").join(comps.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", "n", F.coalesce("component_id", "rep").alias("comp"))
     placed = materialise(spark, placed, "placed")
-    mixed = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("same"), F.max("n").alias("n")).where("lo <> hi")
-    mixed = materialise(spark, mixed.groupBy("n", "same").agg(F.min("key").alias("key")).select("key"), "mixed")
+    mixed = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
+    placed = materialise(spark, placed.join(materialise(spark, mixed.select("key"), "mixed"), "key").join(leaders, "key"), "open")
+    # Buckets that share members are compared as one group, so that no pair is compared
+    # in many tables; where such a group is very large, bucket by bucket.
+    chains = connected_components(spark, placed.select(F.col("rep").alias("a"), F.col("leader").alias("b")).distinct())
+    wide = materialise(spark, chains.groupBy("component_id").agg(F.count("*").alias("size")).where(F.col("size") <= CHAIN), "chains")
+    chains = materialise(spark, chains.join(wide, "component_id").select(F.col("node").alias("rep"), F.col("component_id").alias("chain"), "size"), "chained")
+    open_ = placed.join(chains, "rep", "left")
+    narrow = open_.where("chain is null").select("key", "rep", "comp", "n", F.lit(1).alias("kind"))
+    together = open_.where("chain is not null").select(F.col("chain").alias("key"), "rep", "comp", F.col("size").alias("n"), F.lit(0).alias("kind")).distinct()
+    rows_ = narrow.unionAll(together)
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("rep", F.lit(7)), blocks).cast("int")
-    rows_ = placed.join(mixed, "key").select("key", F.col("rep").alias("member"), "comp", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
-    cells = rows_.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "member", "comp")
-    rest = materialise(spark, sorted_groups(cells.join(text, "member"), ["key", "i", "j"], _compare(width, percent), "a long, b long", target_rows=512), "rest")
+    rows_ = rows_.select("kind", "key", F.col("rep").alias("member"), "comp", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+    cells = rows_.select("kind", "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "member", "comp")
+    rest = materialise(spark, sorted_groups(cells.join(text, "member"), ["kind", "key", "i", "j"], _compare(width, percent), "a long, b long", target_rows=512), "rest")
 
     final = comps
     if not rest.isEmpty():

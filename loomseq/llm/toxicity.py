@@ -1,12 +1,13 @@
 """Toxicity by weak supervision.
 
-1. Voters. Words and word beginnings (4 to 6 letters) that labelled toxic texts hold far
+1. Voters. Words and word beginnings (3 to 8 letters) that labelled toxic texts hold far
    more often than others form lexicon voters, grouped by kind and strength; a fixed
    word list and some patterns vote beside them. A voter says toxic, clean or abstains.
 2. Label model. A generative model with a class prior and, for each voter, the
    probabilities of its votes given the class is fitted by expectation maximisation.
    Correlations between voters within a class are estimated each round, and a voter's
    weight is reduced by what it shares with others.
+   The given labels are one more voter, whose errors are estimated like the others'.
 3. Classifier. A logistic regression over term counts and votes is trained on the
    posterior labels; it alone gives the score.
 
@@ -32,6 +33,7 @@ from loomseq.llm.common import materialise, stable_bucket, table, text_slices
 MAX_TOXIC, MAX_CLEAN = 4_000, 12_000
 MAX_CANDIDATES, MAX_TERMS = 20_000, 600
 LIMIT = 0.3
+BEGINNINGS = (3, 4, 5, 6, 7, 8)
 FIXED_WORDS = ("idiot", "idiots", "moron", "morons", "stupid", "scum", "trash", "loser", "losers", "worthless", "pathetic", "disgusting", "clown", "dumb", "filthy", "vermin", "hate")
 WORD = re.compile(r"[^\W\d_]+")
 PATTERNS = (
@@ -47,7 +49,7 @@ def terms_of(text: str) -> Counter:
     out: Counter = Counter()
     for w, n in Counter(WORD.findall(text)).items():
         out[w] += n
-        for k in (4, 5, 6):
+        for k in BEGINNINGS:
             if len(w) > k:
                 out[w[:k] + "*"] += n
     return out
@@ -74,6 +76,7 @@ class Scorer:
     def __init__(self, terms: list[str], voters: np.ndarray, n_voters: int):
         self.terms, self.voters, self.n_lexicon = terms, voters, n_voters
         self.index = {t: i for i, t in enumerate(terms)}
+        self.lengths = sorted({len(t) - 1 for t in terms if t.endswith("*")})
         self.weights, self.bias = np.zeros(len(terms) + self.n_voters), -np.inf
 
     @property
@@ -89,8 +92,13 @@ class Scorer:
         fixed = 0
         counts: dict[int, int] = {}
         for w, n in Counter(WORD.findall(low)).items():
-            for t in (w, w[:4] + "*", w[:5] + "*", w[:6] + "*") if len(w) > 6 else (w, *(w[:k] + "*" for k in (4, 5) if len(w) > k)):
-                i = get(t)
+            i = get(w)
+            if i is not None:
+                counts[i] = counts.get(i, 0) + n
+            for k in self.lengths:
+                if len(w) <= k:
+                    break
+                i = get(w[:k] + "*")
                 if i is not None:
                     counts[i] = counts.get(i, 0) + n
             fixed += n if w in FIXED_WORDS else 0
@@ -113,12 +121,13 @@ class Scorer:
         return float(1 / (1 + np.exp(-np.clip(z, -40, 40))))
 
 
-def label_model(votes: np.ndarray, prior: float, rounds: int = 50) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def label_model(votes: np.ndarray, prior: float, rounds: int = 50, given: int | None = None, most_wrong: float = 0.03) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Posterior of class 1 for each row of votes; accuracies P(vote | class), as
-    [voter, class, vote]; and correlations [voter, voter] within the classes."""
+    [voter, class, vote]; and correlations [voter, voter] within the classes. given is the
+    voter that stands for human labels; its error rate is held at most_wrong or less."""
     n, m = votes.shape
     which = (votes + 1).astype(int)
-    post = np.clip(0.5 + 0.5 * np.sign(votes.sum(1)), 0.05, 0.95)
+    post = np.clip(0.5 + 0.5 * np.sign(votes.sum(1)), 0.02, 0.98)
     onehot = np.stack([which == k for k in range(3)], axis=2).astype(float)
     correlation = np.eye(m)
     table_ = np.zeros((m, 2, 3))
@@ -126,6 +135,11 @@ def label_model(votes: np.ndarray, prior: float, rounds: int = 50) -> tuple[np.n
         weight = np.stack([1 - post, post])
         for y in (0, 1):
             table_[:, y] = (np.einsum("n,nmk->mk", weight[y], onehot) + 0.1) / (weight[y].sum() + 0.3)
+        if given is not None:
+            for y in (0, 1):
+                wrong = min(table_[given, y, 2 - 2 * y], most_wrong)
+                table_[given, y] = 1e-9
+                table_[given, y, 2 - 2 * y], table_[given, y, 2 * y] = wrong, 1 - wrong
         spread = np.zeros((m, m))
         for y in (0, 1):
             mean = (weight[y] @ votes) / max(weight[y].sum(), 1e-9)
@@ -133,7 +147,10 @@ def label_model(votes: np.ndarray, prior: float, rounds: int = 50) -> tuple[np.n
             spread += (d * weight[y][:, None]).T @ d
         scale = np.sqrt(np.maximum(np.diag(spread), 1e-9))
         correlation = spread / scale[:, None] / scale[None, :]
-        share = 1 / (1 + np.abs(correlation - np.diag(np.diag(correlation))).sum(1))
+        shared = np.where(correlation > 0.1, correlation, 0.0)
+        np.fill_diagonal(shared, 0.0)
+        share = 1 / (1 + shared.sum(1))
+        share /= share.mean()
         evidence = np.log(table_[:, 1]) - np.log(table_[:, 0])
         z = np.log(prior / (1 - prior)) + (share[None, :] * np.take_along_axis(evidence[None], which[:, :, None], axis=2)[:, :, 0]).sum(1)
         new = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
@@ -145,23 +162,58 @@ def label_model(votes: np.ndarray, prior: float, rounds: int = 50) -> tuple[np.n
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 400, rate: float = 0.3) -> tuple[np.ndarray, float]:
     """Logistic regression on soft labels by Adam, from zero, over all rows a step."""
-    w, b = np.zeros(x.shape[1]), 0.0
+    w, b = np.zeros(x.shape[1], dtype=x.dtype), 0.0
     m, v = np.zeros(x.shape[1] + 1), np.zeros(x.shape[1] + 1)
+    y = y.astype(x.dtype)
     for t in range(1, steps + 1):
         p = 1 / (1 + np.exp(-np.clip(x @ w + b, -40, 40)))
         g = np.append(x.T @ (p - y) / len(y) + ridge * w, (p - y).mean())
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         step = rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
-        w, b = w - step[:-1], b - step[-1]
-    return w, float(b)
+        w, b = w - step[:-1].astype(x.dtype), b - step[-1]
+    return w.astype(float), float(b)
+
+
+def choose_terms(toxic: dict[str, int], clean: dict[str, int], n1: int, n0: int, least: float = 2.0) -> list[str]:
+    """Terms by a cautious estimate of the logarithm of how much more often toxic texts
+    hold them. A term is left out where a chosen beginning of it is about as telling, and
+    a beginning where it tells little beyond the chosen terms that it begins."""
+
+    def odds(n: float, c: float) -> float:
+        return np.log((n + 0.5) / (n1 + 1)) - np.log((c + 0.5) / (n0 + 1))
+
+    def sure(n: float, c: float) -> float:
+        return odds(n, c) - 1.5 * np.sqrt(1 / (n + 0.5) + 1 / (c + 0.5))
+
+    of = {t: (n, clean.get(t, 0)) for t, n in toxic.items()}
+    value = {t: sure(*nc) for t, nc in of.items()}
+    chosen: dict[str, float] = {}
+    inside: dict[str, list[int]] = {}
+    for t in sorted((t for t in of if value[t] >= least), key=lambda t: (-value[t], len(t), t)):
+        n, c = of[t]
+        stem = t.rstrip("*")
+        above = [stem[:k] + "*" for k in BEGINNINGS if k < len(stem) or (k == len(stem) and t == stem)]
+        if any(chosen.get(b, -np.inf) >= odds(n, c) - 0.7 for b in above):
+            continue
+        n_in, c_in = inside.get(t, (0, 0))
+        if n_in and sure(max(0, n - n_in), max(0, c - c_in)) < least:
+            continue
+        chosen[t] = odds(n, c)
+        for b in above:
+            held = inside.setdefault(b, [0, 0])
+            held[0] += n
+            held[1] += c
+        if len(chosen) == MAX_TERMS:
+            break
+    return list(chosen)
 
 
 def _featurise(scorer: Scorer):
     def run(batches):
         for batch in batches:
             rows = [scorer.features(t) for t in batch.column("text").to_pylist()]
-            columns = [pa.array([r[0] for r in rows], pa.list_(pa.int32())), pa.array([r[1] for r in rows], pa.list_(pa.float64())), pa.array([r[2].tolist() for r in rows], pa.list_(pa.float64()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["at", "value", "votes"])
+            columns = [pa.array([r[0] for r in rows], pa.list_(pa.int32())), pa.array([r[1] for r in rows], pa.list_(pa.float64())), pa.array([r[2].tolist() for r in rows], pa.list_(pa.float64())), batch.column("toxic")]
+            yield pa.RecordBatch.from_arrays(columns, names=["at", "value", "votes", "toxic"])
 
     return run
 
@@ -181,23 +233,23 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, max_toxic: int
     if not n1 or not n0:
         return scorer
     count = lambda y, wanted: sample.where(F.col("toxic") == y).select("text").mapInArrow(_count_terms(wanted), "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    least = max(3, n1 // 500)
+    least = max(5, n1 // 200)
     toxic = dict(count(1, None).where(F.col("n") >= least).orderBy(F.desc("n"), "term").limit(MAX_CANDIDATES).collect())
     clean = dict(count(0, set(toxic)).collect())
-    odds = {t: np.log((n + 0.5) / (n1 + 1)) - np.log((clean.get(t, 0) + 0.5) / (n0 + 1)) for t, n in toxic.items()}
-    ranked = sorted((t for t in odds if odds[t] >= 2.5), key=lambda t: (-odds[t] - np.log(toxic[t]), t))[:MAX_TERMS]
+    ranked = choose_terms(toxic, clean, n1, n0)
     kinds: dict[str, int] = {}
     voters = []
     for rank, t in enumerate(ranked):
         kind = f"{len(t) if t.endswith('*') else 'word'}/{min(2, 3 * rank // max(1, len(ranked)))}"
         voters.append(kinds.setdefault(kind, len(kinds)))
     scorer = Scorer(ranked, np.array(voters, dtype=int), max(1, len(kinds)))
-    rows = sample.select("text").mapInArrow(_featurise(scorer), "at array<int>, value array<double>, votes array<double>").toArrow()
+    rows = sample.select("text", "toxic").mapInArrow(_featurise(scorer), "at array<int>, value array<double>, votes array<double>, toxic int").toArrow()
     votes = np.array(rows.column("votes").to_pylist())
     x = np.zeros((len(votes), len(ranked)), dtype=np.float32)
     for i, (at, value) in enumerate(zip(rows.column("at").to_pylist(), rows.column("value").to_pylist(), strict=True)):
         x[i, at] = value
-    post, _, _ = label_model(votes, n1 / (n1 + n0))
+    given = 2.0 * rows.column("toxic").to_numpy() - 1
+    post, _, _ = label_model(np.hstack([votes, given[:, None]]), n1 / (n1 + n0), given=votes.shape[1])
     scorer.weights, scorer.bias = logistic(np.hstack([x, votes.astype(np.float32)]), post)
     return scorer
 
