@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from loomseq.llm import langid, minhash, packing, secrets, suffix_dedup, toxicity, warc
+from loomseq.llm import ann, langid, lattice, minhash, packing, secrets, suffix_dedup, toxicity, warc
 
 QUERIES = {
+    "op1_lattice": lattice.op1_lattice,
+    "op2_ann": ann.op2_ann,
     "op3_warc": warc.op3_warc,
     "op4_langid": langid.op4_langid,
     "op5_minhash": minhash.op5_minhash,
@@ -15,6 +17,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op1_lattice": lattice.SQL,
     "op3_warc": warc.SQL,
     "op5_minhash": minhash.SQL,
     "op10_secrets": secrets.SQL,
