@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from loomseq.llm import ann, langid, lattice, minhash, packing, secrets, suffix_dedup, toxicity, warc
+from loomseq.llm import ann, langid, lattice, minhash, packing, pieces, secrets, suffix_dedup, toxicity, warc
 
 QUERIES = {
     "op1_lattice": lattice.op1_lattice,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_langid": langid.op4_langid,
     "op5_minhash": minhash.op5_minhash,
     "op6_toxicity": toxicity.op6_toxicity,
+    "op7_pieces": pieces.op7_pieces,
     "op8_packing": packing.op8_packing,
     "op9_suffix_dedup": suffix_dedup.op9_suffix_dedup,
     "op10_secrets": secrets.op10_secrets,
