@@ -1,0 +1,8 @@
+"""Queries that bind the operators to the test tables, with their SQL."""
+
+from __future__ import annotations
+
+from loomseq.plans import sequence_queries  # noqa: F401
+from loomseq.plans.registry import ORACLE_SQL, QUERIES
+
+__all__ = ["ORACLE_SQL", "QUERIES"]
