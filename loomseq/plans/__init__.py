@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from loomseq.plans import aggregate_queries, join_queries, qc_queries, sequence_queries  # noqa: F401
+from loomseq.plans import aggregate_queries, join_queries, qc_queries, sequence_queries, source_queries  # noqa: F401
 from loomseq.plans.registry import ORACLE_SQL, QUERIES
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
