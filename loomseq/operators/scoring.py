@@ -53,7 +53,7 @@ def score_tasks(tasks: DataFrame) -> DataFrame:
 
     def run(frames):
         for frame in frames:
-            for name, part in frame.groupby("algorithm", sort=False):
+            for (name, _, _), part in frame.groupby(["algorithm", "hla_allele", "__len"], sort=False):
                 out = part[["peptide", "hla_allele", "algorithm", "mhc_class"]].copy()
                 out["score"], out["status"], out["error"] = np.nan, "ok", None
                 if name not in known:
