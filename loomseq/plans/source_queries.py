@@ -203,3 +203,25 @@ def f21(spark, sf_dir):
 
     g = table(spark, sf_dir, "lineitem").groupBy("l_partkey").agg(F.max("l_discount").alias("d"), F.countDistinct("l_returnflag").alias("k"), F.sum("l_quantity").alias("q"))
     return g.select("l_partkey", ladder((F.col("d") > 0.095, "editing"), (F.col("k") > 2, "complex"), (F.col("q") < 200, "insufficient"), otherwise="rescued").alias("verdict"))
+
+
+@query("s13_peak_annotation", "SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_tax > 0.05 OR l_partkey = l_suppkey THEN 'g' || l_partkey ELSE 'g' || l_partkey || ',g' || l_suppkey END AS gene FROM lineitem")
+def s13(spark, sf_dir):
+    l = table(spark, sf_dir, "lineitem")
+    other = F.when(F.col("l_tax") > 0.05, F.col("l_partkey")).otherwise(F.col("l_suppkey"))
+    l = l.select("l_orderkey", "l_linenumber", "l_partkey", F.concat(F.lit("exon (g"), "l_partkey", F.lit(", 2)")).alias("a"), F.concat(F.lit("intron (g"), other, F.lit(", 1)")).alias("b"))
+    return l.select("l_orderkey", "l_linenumber", "l_partkey", sources.annotated_gene(F.col("a"), F.col("b")).alias("gene"))
+
+
+@query("s18_editing_sites", "SELECT l_suppkey AS chrom, l_partkey AS pos, min(l_returnflag) AS alt FROM lineitem GROUP BY 1, 2")
+def s18(spark, sf_dir):
+    path = lines(spark, table(spark, sf_dir, "lineitem"), "sites", "l_suppkey", "l_partkey", "l_returnflag")
+    sites = sources.delimited(spark, path, "chrom bigint, pos bigint, alt string").dropDuplicates()
+    return sites.groupBy("chrom", "pos").agg(F.min("alt").alias("alt"))
+
+
+@query("s21_task_contract", "SELECT p_name AS peptide, p_brand AS hla_allele, 'x' AS algorithm, 'MHC-I' AS mhc_class, count(*) AS n FROM part GROUP BY ALL")
+def s21(spark, sf_dir):
+    path = lines(spark, table(spark, sf_dir, "part"), "tasks", "p_name", "p_brand", F.lit("x"), F.lit("MHC-I"))
+    t = sources.delimited(spark, path, ", ".join(f"{c} string" for c in sources.TASK_COLUMNS))
+    return sources.require_columns(t, sources.TASK_COLUMNS).groupBy(*sources.TASK_COLUMNS).agg(F.count("*").alias("n"))

@@ -144,3 +144,10 @@ def concatenated(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+
+
+def annotated_gene(first: Column, second: Column) -> Column:
+    """Gene id in brackets of two annotation texts; both, joined by a comma, where they
+    differ."""
+    ids = [F.regexp_extract(c, r"\(([^,)]+)", 1) for c in (first, second)]
+    return F.when((ids[0] == ids[1]) | (ids[1] == ""), ids[0]).otherwise(F.concat_ws(",", *ids))
