@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from loomseq.functions import sequences as S
 from loomseq.functions import text as T
-from loomseq.plans.registry import query, table
+from loomseq.plans.registry import query, spread, table
 
 PARENTS = "(SELECT doc_id, source, lang, upper(regexp_replace(coalesce(text, ''), '[^A-Za-z]', '', 'g')) AS seq FROM documents)"
 #: The 26 letters as bases, cyclically.
@@ -18,7 +18,8 @@ LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 def parents(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", "source", "lang", S.letters_only(F.col("text")).alias("seq"))
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text"))
+    return docs.select("doc_id", "source", "lang", S.letters_only(F.col("text")).alias("seq"))
 
 
 def pairs(spark, sf_dir):
