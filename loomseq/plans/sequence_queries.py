@@ -38,8 +38,11 @@ DNA = f"(SELECT doc_id, source, translate(seq, '{LETTERS}', '{BASES}') AS dna FR
 FROM (SELECT doc_id, k, unnest(list_transform(generate_series(1, length(seq) - k + 1), lambda p: substr(seq, p::BIGINT, k))) AS pep FROM {PARENTS}, (SELECT unnest([9, 15]) AS k)) GROUP BY ALL""",
 )
 def f1(spark, sf_dir):
-    w = S.windows(parents(spark, sf_dir), "seq", [9, 15])
-    return w.groupBy("doc_id", "pep_len").agg(F.count("*").alias("n_windows"), F.countDistinct("peptide").alias("n_distinct"), F.min("peptide").alias("first_pep"), F.max("peptide").alias("last_pep"))
+    # Texts are placed by document before they are tiled: the shuffle moves texts, not
+    # windows, and both aggregations find their rows in place.
+    placed = parents(spark, sf_dir).select("doc_id", "seq").repartition("doc_id")
+    once = S.windows(placed, "seq", [9, 15]).groupBy("doc_id", "pep_len", "peptide").agg(F.count("*").alias("n"))
+    return once.groupBy("doc_id", "pep_len").agg(F.sum("n").alias("n_windows"), F.count("*").alias("n_distinct"), F.min("peptide").alias("first_pep"), F.max("peptide").alias("last_pep"))
 
 
 @query("p23_scale_gate", f"SELECT lang, sum(greatest(length(seq) - 7, 0) + greatest(length(seq) - 8, 0) + greatest(length(seq) - 14, 0))::BIGINT AS n_windows, sum(greatest(length(seq) - 7, 0) + greatest(length(seq) - 8, 0) + greatest(length(seq) - 14, 0)) > 200000 AS over_limit FROM {PARENTS} GROUP BY lang")
