@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomseq.llm import minhash, packing, secrets, suffix_dedup, toxicity
-from loomseq.llm.common import materialise, table
+from loomseq.llm.common import materialise, sieve, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -25,16 +25,21 @@ def stage_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     """One document of each group of near copies stays: the one of smallest doc_id."""
     found = minhash.near_duplicates(spark, docs.select("doc_id", "text"), width=5, threshold=0.8)
     drop = materialise(spark, found.where("not kept").select("doc_id").distinct(), "copies")
-    return docs.join(drop, "doc_id", "left_anti").select(*COLUMNS)
+    likely, rest = sieve(spark, docs.select(*COLUMNS), drop, "doc_id")
+    return rest.unionByName(likely.join(drop, "doc_id", "left_anti").select(*COLUMNS))
 
 
 def stage_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Bytes of passages that occur more than once go; documents left without text go."""
     rows = suffix_dedup.with_row_ids(docs.select(*COLUMNS))
     cut = suffix_dedup.remove_repeats(spark, rows.select("rid", "text")).select("rid", "kept_text")
-    text = F.coalesce("kept_text", "text")
-    out = rows.join(cut, "rid", "left").select("doc_id", text.alias("text"), "lang", "source", F.when(F.col("kept_text").isNull(), F.col("n_chars")).otherwise(F.length("kept_text").cast("long")).alias("n_chars"), F.col("kept_text").alias("cut"))
-    return out.where("cut is null or trim(cut) <> ''").select(*COLUMNS)
+    cut = materialise(spark, cut, "cut")
+    likely, rest = sieve(spark, rows, cut.select("rid"), "rid")
+    same = likely.join(cut.select("rid"), "rid", "left_anti")
+    # A cut text replaces the old one, so the old one is not joined.
+    changed = likely.drop("text", "n_chars").join(cut, "rid").where("trim(kept_text) <> ''")
+    changed = changed.select("doc_id", F.col("kept_text").alias("text"), "lang", "source", F.length("kept_text").cast("long").alias("n_chars"))
+    return rest.select(*COLUMNS).unionByName(same.select(*COLUMNS)).unionByName(changed)
 
 
 def stage_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

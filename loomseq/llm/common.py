@@ -56,6 +56,25 @@ def discard(spark: SparkSession, *frames: DataFrame) -> None:
                 path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+FILTER_BITS = 23
+
+
+def sieve(spark: SparkSession, df: DataFrame, keys: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """df split in two: rows whose key may be among keys (all that are, and some others),
+    and rows whose key surely is not. One bit for each hash: the bitmap is a table of at
+    most 2 ** (FILTER_BITS - 6) rows (2 MB), so it can be broadcast at any size of the
+    input; a fuller one only sorts out less. It keeps the texts of unconcerned rows out of
+    the shuffle of the exact join that follows."""
+    hashed = F.xxhash64(key, F.lit(23))
+    word = F.shiftright(F.pmod(hashed, F.lit(1 << FILTER_BITS)), 6).cast("int")
+    bit = F.expr(f"shiftleft(1L, cast(pmod(xxhash64(`{key}`, 23), 64) as int))")
+    bitmap = keys.select(word.alias("__word"), bit.alias("__bit")).groupBy("__word").agg(F.bit_or("__bit").alias("__bits"))
+    bitmap = materialise(spark, bitmap, "bitmap")
+    marked = df.withColumns({"__word": word, "__bit": bit}).join(F.broadcast(bitmap), "__word", "left")
+    hit = F.coalesce(F.col("__bits").bitwiseAND(F.col("__bit")) != 0, F.lit(False))
+    return marked.where(hit).select(*df.columns), marked.where(~hit).select(*df.columns)
+
+
 def lower_ascii(text: Column) -> Column:
     return F.translate(text, ASCII_UPPER, ASCII_LOWER)
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomseq.llm.common import connected_components, discard, materialise, sorted_groups, table, text_slices
+from loomseq.llm.common import connected_components, discard, materialise, sieve, sorted_groups, table, text_slices
 from loomseq.llm.shingles import mix, set_list, shingle_sets
 
 ROWS = 3
@@ -45,7 +45,7 @@ def signatures(docs: DataFrame, width: int, m: int, rows: int = ROWS) -> DataFra
     factors = (mix(np.arange(1, 2 * m * rows + 1, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407)) | np.uint64(1)).reshape(2 * m, rows)
 
     def run(batches):
-        for piece in text_slices(batches, 2 << 20):
+        for piece in text_slices(batches, 1 << 19):
             hashes, owners, starts = shingle_sets(piece.column("text"), width)
             n = np.zeros(piece.num_rows, dtype=np.int64)
             s = np.zeros((2, piece.num_rows), dtype=np.uint64)
@@ -161,7 +161,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, width: int = 5, thresh
     leaders = materialise(spark, met.join(weight, "rep").groupBy("key").agg(best.alias("leader")), "leaders")
     pairs = materialise(spark, met.join(leaders, "key").where("rep <> leader").select("leader", F.col("rep").alias("member")).distinct(), "pairs")
     wanted = weight.select(F.col("rep").alias("doc_id"))
-    text = materialise(spark, docs.select(F.col("doc_id").cast("long"), "text").join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]).withColumnRenamed("doc_id", "member"), "text")
+    likely, _ = sieve(spark, docs.select(F.col("doc_id").cast("long"), "text"), wanted, "doc_id")
+    text = materialise(spark, likely.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]).withColumnRenamed("doc_id", "member"), "text")
     parts = pairs.groupBy("leader").agg(F.ceil(F.count("*") / GROUP).cast("int").alias("parts"))
     parts = materialise(spark, parts, "parts")
     salted = pairs.join(parts, "leader").select("leader", F.pmod(F.xxhash64("member"), F.col("parts")).cast("int").alias("part"), "member", F.lit(1).alias("role"))
