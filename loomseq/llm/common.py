@@ -19,7 +19,14 @@ ASCII_LOWER = ASCII_UPPER.lower()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df in at least as many partitions as there are cores: a scan of one small file would
+    otherwise keep the work that follows in one task. Larger scans are left as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def shared_dir(spark: SparkSession) -> str:
