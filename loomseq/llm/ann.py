@@ -31,9 +31,9 @@ from pyspark.sql import functions as F
 from loomseq.llm.common import materialise, sorted_groups, table
 from loomseq.llm.lattice import matrix, unit, usable
 
-SAMPLE_ROWS, SAMPLE_VALUES = 20_000, 4_000_000
+SAMPLE_ROWS, SAMPLE_VALUES = 5_000, 4_000_000
 BRANCHES, LEAF_ROWS = 8, 40
-CALIBRATION, RECALL = 96, 0.97
+CALIBRATION, RECALL = 96, 0.95
 PART_ROWS, PART_QUERIES = 4096, 1024
 
 
