@@ -4,6 +4,7 @@ group processing inside a partition, and connected components.
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -45,11 +46,27 @@ def fresh_path(spark: SparkSession, tag: str) -> str:
     return f"{shared_dir(spark)}/loomseq-{tag}-{uuid.uuid4().hex}"
 
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+@contextlib.contextmanager
+def small_batches(spark: SparkSession, rows: int = 2000) -> Iterator[None]:
+    """While a write runs, Arrow batches of rows rows at most: texts are long, and a batch
+    is held several times over between Spark and Python."""
+    before = spark.conf.get(BATCH_ROWS)
+    spark.conf.set(BATCH_ROWS, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_ROWS, before)
+
+
 def materialise(spark: SparkSession, df: DataFrame, tag: str) -> DataFrame:
     """Write df to the shared folder and read it back: cuts the lineage and survives
     the loss of executors."""
     path = fresh_path(spark, tag)
-    df.write.parquet(path)
+    with small_batches(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

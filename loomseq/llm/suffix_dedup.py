@@ -33,14 +33,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomseq.llm.common import discard, fresh_path, materialise, table, text_slices
+from loomseq.llm.common import discard, fresh_path, materialise, sieve, small_batches, table, text_slices
 from loomseq.llm.shingles import _powers, mix
 
 WINDOW = 400
 GRAM = 96
 PIECE = 32
 BATCHES = 4
-SEGMENT = 4 << 20
+#: Bytes of text that a task works on at a time; a longer text is cut into segments.
+SLICE, SEGMENT = 1 << 18, 1 << 20
 
 
 @functools.lru_cache(maxsize=1)
@@ -101,10 +102,10 @@ def _segments(piece: pa.RecordBatch, window: int):
 
 
 def _entries(window: int, gram: int, batches_: int):
-    names = ["batch", "key", "hull", "rid", "lo", "hi", "at"]
+    names = ["batch", "key", "hull", "rid", "packed"]
 
     def run(batches):
-        for piece in text_slices(batches, 1 << 20):
+        for piece in text_slices(batches, SLICE):
             rids = piece.column("rid").to_numpy()
             for held in _segments(piece, window):
                 data = np.frombuffer(b"".join(p for _, _, p in held), dtype=np.uint8)
@@ -125,7 +126,9 @@ def _entries(window: int, gram: int, batches_: int):
                 hull = mix(h(lo, hi + window) + (at - lo).astype(np.uint64))
                 shift = np.array([o for _, o, _ in held], dtype=np.int64)[owner] - begin[owner]
                 rid = rids[np.array([r for r, _, _ in held])[owner]]
-                columns = [(rid % batches_).astype(np.int32), key.view(np.int64), hull.view(np.int64), rid, lo + shift, hi + shift, at + shift]
+                # Start, length and place of an interval in one number: rows are shuffled.
+                packed = ((lo + shift) << 20) | ((hi - lo) << 10) | (at - lo)
+                columns = [(rid % batches_).astype(np.int32), key.view(np.int64), hull.view(np.int64), rid, packed]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
 
     return run
@@ -195,7 +198,7 @@ def _with_text(texts: DataFrame, places_: DataFrame, columns: list[str]) -> Data
 
 def _each_list(batches):
     """(rid, bytes, columns of the list of places) of every row."""
-    for piece in text_slices(batches, 1 << 20):
+    for piece in text_slices(batches, SLICE):
         lists = piece.column("places")
         for i, rid in enumerate(piece.column("rid").to_pylist()):
             data = np.frombuffer(piece.column("text")[i].cast(pa.large_binary()).as_py() or b"", dtype=np.uint8)
@@ -253,7 +256,7 @@ def merge_spans(lo: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def _cut(batches):
-    for piece in text_slices(batches, 1 << 20):
+    for piece in text_slices(batches, SLICE):
         out = []
         spans = piece.column("places")
         for i, (rid, text) in enumerate(zip(piece.column("rid").to_pylist(), piece.column("text").to_pylist(), strict=True)):
@@ -271,15 +274,19 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, window: int = WINDOW, g
     """docs (rid, text) -> (rid, text) of the documents that share sampled suffixes with
     others, and spans (rid, lo, stop) of their repeated bytes; spans may overlap."""
     path = fresh_path(spark, "entries")
-    docs.select("rid", "text").mapInArrow(_entries(window, gram, batches), "batch int, key long, hull long, rid long, lo long, hi long, at long").write.partitionBy("batch").parquet(path)
-    entries = spark.read.schema("key long, hull long, rid long, lo long, hi long, at long, batch int").parquet(path)
+    found = docs.select("rid", "text").mapInArrow(_entries(window, gram, batches), "batch int, key long, hull long, rid long, packed long")
+    with small_batches(spark):
+        found.write.partitionBy("batch").parquet(path)
+    entries = spark.read.schema("key long, hull long, rid long, packed long, batch int").parquet(path)
     family = SuffixIndexFamily(spark)
     found = [family.add(entries.where(F.col("batch") == b).select("key")) for b in range(batches)]
     family.close()
     keys = functools.reduce(DataFrame.unionAll, found)
     keys = materialise(spark, keys.distinct(), "keys")
     discard(spark, *found)
-    shared = entries.join(keys, "key").select(F.col("key").alias("core"), "hull", "rid", "lo", "hi", "at")
+    lo = F.shiftright("packed", 20)
+    hi, at = lo + F.shiftright("packed", 10).bitwiseAND(F.lit(1023)), lo + F.col("packed").bitwiseAND(F.lit(1023))
+    shared = entries.select("key", "hull", "rid", "packed").join(keys, "key").select(F.col("key").alias("core"), "hull", "rid", lo.alias("lo"), hi.alias("hi"), at.alias("at"))
     shared = materialise(spark, shared, "shared")
     discard(spark, entries)
 
@@ -288,7 +295,9 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, window: int = WINDOW, g
     rids = whole.select("rid").unionAll(left.select("rid")).distinct()
     name, home = f"loomseq_texts_{uuid.uuid4().hex}", fresh_path(spark, "texts")
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    hit = docs.join(materialise(spark, rids, "rids"), "rid", "left_semi").dropDuplicates(["rid"])
+    rids = materialise(spark, rids, "rids")
+    likely, _ = sieve(spark, docs, rids, "rid")
+    hit = likely.join(rids, "rid", "left_semi").dropDuplicates(["rid"])
     hit.write.format("parquet").bucketBy(buckets, "rid").option("path", home).saveAsTable(name)
     texts = spark.table(name)
 
