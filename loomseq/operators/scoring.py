@@ -9,12 +9,17 @@ error, not an exception.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from loomseq.storage import stored
+
 Scorer = Callable[[pd.DataFrame], pd.Series]
 REGISTRY: dict[str, tuple[str, Scorer]] = {}
 SCORED = "peptide string, hla_allele string, algorithm string, mhc_class string, score double, status string, error string"
@@ -82,31 +87,76 @@ def linear_model(df: DataFrame, weights: dict[str, float], bias: float, out: str
     return df.withColumns({out: F.when(known, sigmoid(z)), "status": F.when(known, "ok").otherwise("missing")})
 
 
-def composition_classifier(df: DataFrame, sequence: str, label: str, fold: str | None = None):
-    """A logistic regression on amino-acid fractions with balanced class weights; returns
-    (fitted pipeline, prepared rows). With fold, parameters are chosen by cross-validation
-    over the folds of that column."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.evaluation import BinaryClassificationEvaluator
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-
+def _composition(df: DataFrame, sequence: str) -> DataFrame:
     from loomseq.functions.sequences import AMINO_ACIDS, fraction_of
 
-    features = [f"f_{a}" for a in AMINO_ACIDS]
-    rows = df.withColumns({f"f_{a}": F.coalesce(fraction_of(F.col(sequence), a), F.lit(0.0)) for a in AMINO_ACIDS})
+    return df.withColumns({f"f_{a}": F.coalesce(fraction_of(F.col(sequence), a), F.lit(0.0)) for a in AMINO_ACIDS})
+
+
+def _balanced(rows: DataFrame, label: str) -> DataFrame:
+    """rows with the label as a number, and weights that balance the classes of these rows."""
     counts = rows.groupBy(label).agg(F.count("*").alias("__n"))
     total = counts.agg(F.sum("__n").alias("__t"), F.count("*").alias("__k"))
     weights = counts.crossJoin(F.broadcast(total)).select(label, (F.col("__t") / (F.col("__k") * F.col("__n"))).alias("weight"))
-    rows = rows.join(F.broadcast(weights), label).withColumn("label", F.col(label).cast("double"))
-    lr = LogisticRegression(featuresCol="features", labelCol="label", weightCol="weight", maxIter=30, regParam=0.01)
-    pipeline = Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="features"), lr])
-    if fold is None:
-        return pipeline.fit(rows), rows
-    grid = ParamGridBuilder().addGrid(lr.regParam, [0.001, 0.1]).build()
-    search = CrossValidator(estimator=pipeline, estimatorParamMaps=grid, evaluator=BinaryClassificationEvaluator(labelCol="label"), numFolds=3, foldCol=fold)
-    return search.fit(rows).bestModel, rows
+    return rows.join(F.broadcast(weights), label).withColumn("label", F.col(label).cast("double"))
+
+
+def _logistic_pipeline(reg: float):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import VectorAssembler
+
+    from loomseq.functions.sequences import AMINO_ACIDS
+
+    lr = LogisticRegression(featuresCol="features", labelCol="label", weightCol="weight", maxIter=30, regParam=reg)
+    return Pipeline(stages=[VectorAssembler(inputCols=[f"f_{a}" for a in AMINO_ACIDS], outputCol="features"), lr])
+
+
+def composition_classifier(df: DataFrame, sequence: str, label: str):
+    """A logistic regression on amino-acid fractions with balanced class weights; returns
+    (fitted pipeline, prepared rows)."""
+    rows = _balanced(_composition(df, sequence), label)
+    return _logistic_pipeline(0.01).fit(rows), rows
+
+
+def out_of_fold(spark: SparkSession, df: DataFrame, sequence: str, label: str, group: str, folds: int = 3, inner: int = 3, grid: tuple[float, ...] = (0.001, 0.1)) -> DataFrame:
+    """df with fold, score (of class 1) and prediction, each row scored by a model that saw
+    no row of its fold. Rows of equal group share a fold. For each fold the regularisation is
+    chosen on the other folds only, by the mean area under the ROC curve over inner folds of
+    the same groups; class weights come from the rows of the fit at hand. A fold without
+    other folds to learn from has null score and prediction."""
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    from pyspark.ml.functions import vector_to_array
+
+    part = lambda n, seed: F.pmod(F.xxhash64(F.col(group), F.lit(seed)), F.lit(n)).cast("int")
+    # The inner fold depends on the outer one, as each outer fold has a search of its own.
+    splits = {f"__inner_{k}": part(inner, 101 + k) for k in range(folds)}
+    rows = stored(spark, _composition(df, sequence).withColumns({"fold": part(folds, 100), **splits}), "folds")
+    evaluator = BinaryClassificationEvaluator(labelCol="label")
+
+    def scored(k: int) -> DataFrame:
+        held, train = rows.where(F.col("fold") == k), rows.where(F.col("fold") != k)
+        sizes = train.groupBy(F.col(f"__inner_{k}").alias("i"), F.col(label).alias("y")).count().collect()
+        if not sizes:
+            return held.withColumns({"score": F.lit(None).cast("double"), "prediction": F.lit(None).cast("double")})
+        # Inner folds that hold, and leave, both classes; others can rank nothing.
+        classes = {r.y for r in sizes}
+        both = [i for i in range(inner) if {r.y for r in sizes if r.i == i} == {r.y for r in sizes if r.i != i} == classes and len(classes) > 1]
+        found = dict.fromkeys(grid, 0.0)
+        for i in both:
+            fit_on = _balanced(train.where(F.col(f"__inner_{k}") != i), label)
+            valid = train.where(F.col(f"__inner_{k}") == i).withColumn("label", F.col(label).cast("double"))
+            for reg in grid:
+                found[reg] += evaluator.evaluate(_logistic_pipeline(reg).fit(fit_on).transform(valid))
+        best = max(grid, key=lambda reg: found[reg])
+        model = _logistic_pipeline(best).fit(_balanced(train, label))
+        return model.transform(held).withColumn("score", vector_to_array("probability")[1])
+
+    # The folds' jobs are short and many, so the folds are fitted side by side.
+    with ThreadPoolExecutor(folds) as pool:
+        out = list(pool.map(inheritable_thread_target(spark)(scored), range(folds)))
+    names = [*df.columns, "fold", "score", "prediction"]
+    return reduce(DataFrame.unionByName, [x.select(*names) for x in out])
 
 
 def deletion_windows(events: DataFrame, k: int) -> DataFrame:

@@ -42,7 +42,7 @@ def ud3(spark, sf_dir):
 
 def _labelled(spark, sf_dir):
     l = table(spark, sf_dir, "labels").where("quality is not null")
-    return parents(spark, sf_dir).join(l, "doc_id").withColumn("fold", F.pmod(F.xxhash64("doc_id"), F.lit(3)).cast("int"))
+    return parents(spark, sf_dir).join(l, "doc_id")
 
 
 @query("ud4_baseline_classifier")
@@ -53,8 +53,8 @@ def ud4(spark, sf_dir):
 
 @query("ud5_cross_validation")
 def ud5(spark, sf_dir):
-    model, rows = scoring.composition_classifier(_labelled(spark, sf_dir), "seq", "quality", fold="fold")
-    return model.transform(rows).select("doc_id", "fold", F.col("prediction").cast("int").alias("predicted"))
+    scored = scoring.out_of_fold(spark, _labelled(spark, sf_dir), "seq", "quality", group="seq")
+    return scored.select("doc_id", "fold", "score", F.col("prediction").cast("int").alias("predicted"))
 
 
 @query("streaming_incremental_scores", "SELECT DISTINCT user_id, event_type, length(event_type)::DOUBLE AS score, 'ok' AS status FROM events")

@@ -105,6 +105,28 @@ def test_failing_scorer_gives_error_rows(spark):
     assert got == {("A", "hydropathy"): "error", ("B", "hydropathy"): "ok", ("B", "nobody"): "skipped"}
 
 
+def test_own_label_does_not_change_a_prediction(spark):
+    """A row whose label is turned keeps its score; rows of one group share a fold."""
+    rows = [(i, "ACDK"[i % 4] * (3 + i % 5) + "LV" * (i // 4 % 6), int(i % 4 < 2) if i % 7 else i % 2) for i in range(60)]
+
+    def scores(rows):
+        df = spark.createDataFrame(rows, "id int, seq string, y int")
+        return {r.id: r for r in scoring.out_of_fold(spark, df, "seq", "y", group="seq").collect()}
+
+    base = scores(rows)
+    assert len(base) == 60 and all(r.score is not None for r in base.values())
+    assert len({(r.seq, r.fold) for r in base.values()}) == len({r.seq for r in base.values()})
+    same = [i for i in base if base[i].seq == rows[5][1]]
+    turned = scores([(i, s, 1 - y if i in same else y) for i, s, y in rows])
+    assert all(turned[i].score == pytest.approx(base[i].score, abs=1e-9) for i in same)
+    assert any(abs(turned[i].score - base[i].score) > 1e-9 for i in base if base[i].fold != base[5].fold)
+
+
+def test_one_group_has_no_out_of_fold_score(spark):
+    df = spark.createDataFrame([("ACD", 0), ("ACD", 1)], "seq string, y int")
+    assert [(r.score, r.prediction) for r in scoring.out_of_fold(spark, df, "seq", "y", group="seq").collect()] == [(None, None)] * 2
+
+
 def test_tags_and_names(spark):
     df = spark.createDataFrame([("r1/1|YP:9,7,,9|X:",)], "h string")
     r = df.select(T.tag_list(F.col("h"), "YP").alias("t"), T.tag(F.col("h"), "X").alias("x"), T.fragment_id(F.col("h")).alias("f"), T.base_name(F.lit("T.2-3.p4")).alias("b")).first()
