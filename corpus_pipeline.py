@@ -21,12 +21,33 @@ def stage_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return toxicity.drop_toxic(spark, docs, table(spark, sf_dir, "labels")).select(*COLUMNS)
 
 
+def listed_once(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """docs with a row id of doc_id and text; rows with words that agree in both are one."""
+    rows = suffix_dedup.with_row_ids(docs.select(*COLUMNS))
+    again = rows.where(r"text rlike '[^\\x20\\x09-\\x0D]'").groupBy("rid").count().where("count > 1").select("rid")
+    again = materialise(spark, again, "again")
+    if again.isEmpty():
+        return rows
+    likely, rest = sieve(spark, rows, again, "rid")
+    same = likely.join(again, "rid", "left_anti").select(*rows.columns)
+    one = likely.join(again, "rid", "left_semi").groupBy("rid", "doc_id", "text").agg(F.min(F.struct("lang", "source", "n_chars")).alias("first"))
+    return rest.unionByName(same).unionByName(one.select("rid", "doc_id", "text", "first.*"))
+
+
 def stage_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: the one of smallest doc_id."""
-    found = minhash.near_duplicates(spark, docs.select("doc_id", "text"), width=5, threshold=0.8)
-    drop = materialise(spark, found.where("not kept").select("doc_id").distinct(), "copies")
-    likely, rest = sieve(spark, docs.select(*COLUMNS), drop, "doc_id")
-    return rest.unionByName(likely.join(drop, "doc_id", "left_anti").select(*COLUMNS))
+    """One row of each group of near copies stays: the one of smallest doc_id, a null
+    doc_id last. Rows with equal or null doc_id are members like others."""
+    rows = listed_once(spark, docs)
+    found = minhash.near_duplicates(spark, rows.select(F.col("rid").alias("doc_id"), "text"), width=5, threshold=0.8)
+    other = materialise(spark, found.where("not kept").select(F.col("doc_id").alias("rid"), "component_id"), "copies")
+    # The operator keeps the row whose id is the component's.
+    members = other.unionByName(other.select(F.col("component_id").alias("rid"), "component_id").distinct())
+    members = materialise(spark, members.join(rows.select("rid", "doc_id"), "rid"), "members")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "rid"))["rid"]
+    stay = members.groupBy("component_id").agg(first.alias("rid")).select("rid")
+    drop = materialise(spark, members.select("rid").join(stay, "rid", "left_anti"), "drop")
+    likely, rest = sieve(spark, rows, drop, "rid")
+    return rest.select(*COLUMNS).unionByName(likely.join(drop, "rid", "left_anti").select(*COLUMNS))
 
 
 def stage_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

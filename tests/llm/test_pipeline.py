@@ -87,3 +87,20 @@ def test_all_tokens_are_packed(stages):
     p = stages[5].groupBy("doc_id").agg(F.sum("length").alias("n"), F.max("doc_tokens").alias("m"))
     assert p.where("n <> m").count() == 0
     assert p.count() == stages[4].count()
+
+
+def test_repeated_rows_survive_once(spark):
+    """Documents that are listed twice, or have copies with a null doc_id."""
+    texts = [" ".join(f"t{t}w{k}" for k in range(120)) for t in range(5)]
+    near = texts[4].replace("t4w7 ", "other ")
+    rows = [(7, texts[0]), (7, texts[0]), (None, texts[1]), (3, texts[1]), (None, texts[2]), (None, texts[2])]
+    rows += [(9, texts[3]), (8, texts[4]), (8, near), (None, near), (1, ""), (1, ""), (None, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    once = P.materialise(spark, P.stage_near_duplicates(spark, docs, SF), "test-once")
+    assert once.columns == P.COLUMNS
+    got = collections.Counter((r.doc_id, r.text) for r in once.collect() if r.text)
+    eight = {(8, texts[4]), (8, near)} & set(got)
+    assert len(eight) == 1
+    assert got == collections.Counter([(7, texts[0]), (3, texts[1]), (None, texts[2]), (9, texts[3]), *eight])
+    after = P.materialise(spark, P.stage_repeats(spark, once, SF), "test-after")
+    assert collections.Counter((r.doc_id, r.text) for r in after.collect() if r.text) == got
