@@ -13,8 +13,8 @@ slice walk all tables in lock-step, so Python's work per letter is a share of a
 operation. Phrases do not cross runs; that holds alike for every language.
 
 Training text is bounded: TRAIN_LETTERS letters a language, from up to TRAIN_DOCS whole
-documents of smallest hash; languages beyond MAX_LANGUAGES, by number of documents, are
-left out. Every whole text is predicted. Null text and text without letters is und, with
+documents of smallest hash. Every language is learnt; beyond BLOCK_LANGUAGES they are
+parsed in blocks, one pass each, so a table's size is bounded. Every whole text is predicted. Null text and text without letters is und, with
 score 0. Empty tables give empty results; other columns are ignored.
 """
 
@@ -25,11 +25,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from loomseq.llm.common import materialise, stable_bucket, table, text_slices
+from loomseq.llm.common import discard, materialise, stable_bucket, table, text_slices
 
 TRAIN_LETTERS = 30_000
 TRAIN_DOCS = 200
-MAX_LANGUAGES = 64
+BLOCK_LANGUAGES = 64
 STEP = 512
 
 
@@ -172,22 +172,47 @@ class Parser:
         return [self.languages[b] if n else "und" for b, n in zip(best.tolist(), size.tolist(), strict=True)], np.where(size > 0, score, 0.0).tolist()
 
 
-def fit(spark: SparkSession, docs: DataFrame, train_docs: int = TRAIN_DOCS, train_letters: int = TRAIN_LETTERS) -> Parser:
+class Blocks:
+    """Samples of languages in blocks, in the order of names; tables are built block by block."""
+
+    def __init__(self, samples: list[dict[str, list[str]]], max_letters: int):
+        self.samples, self.max_letters = samples, max_letters
+        self.languages = [lang for block in samples for lang in sorted(block)]
+
+
+def enough(texts: list[str], count: int) -> list[str]:
+    """The first texts that hold count symbols between them, or all."""
+    kept, n = [], 0
+    for t in texts:
+        if n >= count:
+            break
+        kept.append(t)
+        n += max(0, len(letters([t])[0]) - 1)  # blanks may merge where texts meet
+    return kept
+
+
+def fit(spark: SparkSession, docs: DataFrame, train_docs: int = TRAIN_DOCS, train_letters: int = TRAIN_LETTERS) -> Parser | Blocks:
     """Learn from docs (doc_id, text, lang); rows without text or lang are left out."""
     some = docs.where("text is not null and lang is not null")
-    langs = some.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).select("lang")
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(5)), "doc_id")
     ranked = some.select("doc_id", "lang").withColumn("k", F.row_number().over(order)).where(F.col("k") <= train_docs)
-    ids = materialise(spark, ranked.join(F.broadcast(langs), "lang").select("doc_id", "lang", "k"), "train-ids")
-    rows = some.join(F.broadcast(ids), ["doc_id", "lang"]).select("lang", "k", F.substring("text", 1, train_letters).alias("text")).collect()
-    samples: dict[str, list[str]] = {}
-    for r in sorted(rows, key=lambda r: (r.lang, r.k, r.text)):
-        samples.setdefault(r.lang, []).append(r.text)
-    return Parser(samples, train_letters)
+    ids = materialise(spark, ranked, "train-ids")
+    langs = sorted(r.lang for r in ids.select("lang").distinct().collect())
+    blocks: list[dict[str, list[str]]] = []
+    for lo in range(0, len(langs), BLOCK_LANGUAGES):
+        part = ids.where(F.col("lang").isin(langs[lo : lo + BLOCK_LANGUAGES]))
+        rows = some.join(F.broadcast(part), ["doc_id", "lang"]).select("lang", "k", F.substring("text", 1, train_letters).alias("text")).collect()
+        samples: dict[str, list[str]] = {}
+        for r in sorted(rows, key=lambda r: (r.lang, r.k, r.text)):
+            samples.setdefault(r.lang, []).append(r.text)
+        blocks.append({lang: enough(texts, train_letters) for lang, texts in samples.items()})
+    return Blocks(blocks, train_letters) if len(blocks) > 1 else Parser(blocks[0] if blocks else {}, train_letters)
 
 
-def predict(docs: DataFrame, parser: Parser) -> DataFrame:
+def predict(docs: DataFrame, parser: Parser | Blocks) -> DataFrame:
     """doc_id, lang_pred, score of docs (doc_id, text)."""
+    if isinstance(parser, Blocks):
+        return _predict_blocks(docs, parser)
     context = docs.sparkSession.sparkContext
     shared = context.broadcast(parser)
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -200,6 +225,41 @@ def predict(docs: DataFrame, parser: Parser) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, lang_pred string, score double")
 
 
+def _predict_blocks(docs: DataFrame, model: Blocks) -> DataFrame:
+    """One pass for each block; a text carries its smallest entropy so far, that language,
+    and the sum that its score needs."""
+    spark = docs.sparkSession
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    names = ["doc_id", "text", "lang_pred", "least", "total"]
+
+    def step(shared):
+        def run(batches):
+            for piece in text_slices(batches, 2 << 20):
+                h, size = shared.value.entropies([t or "" for t in piece.column("text").to_pylist()])
+                at, low = h.argmin(1), h.min(1)
+                total = (2.0 ** -np.clip((h - low[:, None]) * 8, 0, 500)).sum(1)
+                before = piece.column("least").to_numpy(zero_copy_only=False)
+                least = np.minimum(before, low)
+                sums = piece.column("total").to_numpy(zero_copy_only=False) * 2.0 ** -np.clip((before - least) * 8, 0, 500) + total * 2.0 ** -np.clip((low - least) * 8, 0, 500)
+                sums[size == 0] = 0
+                old = piece.column("lang_pred").to_pylist()
+                lang = [shared.value.languages[b] if new else o for b, new, o in zip(at.tolist(), (low < before).tolist(), old, strict=True)]
+                lang = [x if n else "und" for x, n in zip(lang, size.tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([piece.column("doc_id"), piece.column("text"), pa.array(lang, pa.string()), pa.array(least), pa.array(sums)], names=names)
+
+        return run
+
+    out = docs.select("doc_id", "text", F.lit(None).cast("string").alias("lang_pred"), F.lit(float("inf")).alias("least"), F.lit(0.0).alias("total"))
+    for samples in model.samples:
+        shared = spark.sparkContext.broadcast(Parser(samples, model.max_letters))
+        new = materialise(spark, out.mapInArrow(step(shared), f"doc_id {kind}, text string, lang_pred string, least double, total double"), "languages")
+        shared.destroy()
+        if samples is not model.samples[0]:
+            discard(spark, out)
+        out = new
+    return out.select("doc_id", "lang_pred", F.when(F.col("total") > 0, 1 / F.col("total")).otherwise(0.0).alias("score"))
+
+
 def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     parser = fit(spark, docs.where(stable_bucket(F.col("doc_id"), 5) != 0))

@@ -208,6 +208,25 @@ def test_language_odd_texts(spark):
     assert langid.predict(new, nothing).where("lang_pred <> 'und'").count() == 0
 
 
+def test_more_languages_than_a_block(spark):
+    """Each of 70 languages, of few documents or many, is learnt and found."""
+    def text(k, seed):
+        rng = random.Random(1000 * k + seed)
+        letters_ = random.Random(k).sample("abcdefghijklmnopqrstuvwxyz", 5)
+        return " ".join("".join(rng.choices(letters_, k=4)) for _ in range(60))
+
+    rows = [(10 * k + i, text(k, i), f"l{k:02}") for k in range(70) for i in range(1 + (k % 3))]
+    parser = langid.fit(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert len(parser.languages) == 70
+    ask = [(k, text(k, 9), f"l{k:02}") for k in range(70)] + [(None, None, "und"), (99, "12", "und")]
+    got = langid.predict(spark.createDataFrame([x[:2] for x in ask], DOC), parser).collect()
+    assert sorted(r.lang_pred for r in got) == sorted(x[2] for x in ask)
+    assert all((r.score == 0) if r.lang_pred == "und" else 0 < r.score <= 1 for r in got)
+    one = langid.Parser({k: v for block in parser.samples for k, v in block.items()})
+    want = dict(zip([x[0] for x in ask], zip(*one.predict([x[1] or "" for x in ask])), strict=True))
+    assert all(want[r.doc_id] == (r.lang_pred, pytest.approx(r.score)) for r in got)
+
+
 # 5: near-duplicates
 
 
