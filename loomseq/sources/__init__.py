@@ -125,7 +125,7 @@ def quantification(spark: SparkSession, path: str) -> DataFrame:
 def hla_typing(spark: SparkSession, path: str, genes: str = r"^(A|B|C|D[PQR][AB][1-9]?)$") -> DataFrame:
     """Long alleles of gene rows (gene, then alleles separated by tabs), two fields."""
     t = spark.read.text(path).select(F.split("value", "\t").alias("v"))
-    rows = t.select(F.upper(F.trim(F.col("v")[0])).alias("gene"), F.explode(F.slice("v", 2, 100)).alias("raw"))
+    rows = t.select(F.upper(F.trim(F.col("v")[0])).alias("gene"), F.explode(F.slice("v", 2, F.size("v"))).alias("raw"))
     return rows.where(F.col("gene").rlike(genes) & blank_to_null(F.col("raw")).isNotNull()).select("gene", hla_two_field(F.col("raw")).alias("allele")).distinct()
 
 

@@ -141,6 +141,12 @@ def test_contract_raises(spark):
         sources.require_columns(df, ["w"])
 
 
+def test_long_typing_row(spark, tmp_path):
+    (tmp_path / "t.tsv").write_text("A\t" + "\t".join(f"A*{i // 100 + 10}:{i % 100:02}" for i in range(150)) + "\nB\n")
+    got = sources.hla_typing(spark, str(tmp_path / "t.tsv"))
+    assert got.count() == 150 and got.where("gene <> 'A'").count() == 0
+
+
 def test_empty_tables(spark):
     e = spark.createDataFrame([], "k string, a long, b long")
     assert J.overlap(e, e.select(F.col("k"), F.col("a").alias("c"), F.col("b").alias("d")), ["k"], 10, ("a", "b"), ("c", "d")).count() == 0
