@@ -31,12 +31,14 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder that driver and executors share: spark.checkpoint.dir of the session.
-    Only where that is unset (tests on one machine) a temporary folder is chosen."""
+    """Folder that driver and executors share: spark.checkpoint.dir of the session. Where
+    that is unset, one machine chooses a temporary folder; a cluster cannot."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         found = spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
         found = spark.sparkContext.getCheckpointDir()
     return found.rstrip("/")
@@ -67,17 +69,20 @@ def materialise(spark: SparkSession, df: DataFrame, tag: str) -> DataFrame:
     path = fresh_path(spark, tag)
     with small_batches(spark):
         df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.loomseq_home = path
+    return out
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def discard(spark: SparkSession, *frames: DataFrame) -> None:
     """Delete the files of materialised tables that nothing reads any more."""
-    jvm = spark._jvm
     for df in frames:
-        for top in {f.rpartition("/")[0] for f in df.inputFiles()}:
-            if "/loomseq-" in top:
-                path = jvm.org.apache.hadoop.fs.Path(top)
-                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        delete(spark, df.loomseq_home)
 
 
 FILTER_BITS = 23
@@ -219,7 +224,7 @@ def connected_components(spark: SparkSession, links: DataFrame) -> DataFrame:
             above = parent.select(F.col("node").alias("root"), F.col("root").alias("higher"))
             jumped = materialise(spark, parent.join(above, "root").select("node", F.col("higher").alias("root"), (F.col("higher") != F.col("root")).alias("moved")), "jump")
             discard(spark, parent)
-            parent = jumped.select("node", "root")
+            parent = jumped
             if jumped.where("moved").isEmpty():
                 break
         maps.append(parent)
@@ -231,8 +236,11 @@ def connected_components(spark: SparkSession, links: DataFrame) -> DataFrame:
         left = new
     if not maps:
         return clean.select(F.col("a").alias("node"), F.col("b").alias("component_id"))
+    discard(spark, left)
     out = maps[0]
     for m in maps[1:]:
         up = m.select(F.col("node").alias("root"), F.col("root").alias("higher"))
-        out = materialise(spark, out.join(up, "root", "left").select("node", F.coalesce("higher", "root").alias("root")), "roots")
-    return out.withColumnRenamed("root", "component_id")
+        new = materialise(spark, out.join(up, "root", "left").select("node", F.coalesce("higher", "root").alias("root")), "roots")
+        discard(spark, out, m)
+        out = new
+    return out.select("node", F.col("root").alias("component_id"))

@@ -1,25 +1,32 @@
-"""Exact repeats of 400 bytes or more, by a logarithmic family of suffix indexes.
-
-Index. Suffixes are sampled at content-defined places: the place of a 400-byte window is
-the leftmost smallest hash of its 96-byte strings, so equal windows have their place at
-the same offset, and a window belongs to exactly one place. A batch of documents gets a
-sorted run of its sampled suffixes (ordered by the fingerprint of their first 96 bytes,
-with their number). A new run is merge-scanned against every existing level for suffixes
-that agree; then it becomes a level of its own, and as long as the two youngest levels
-stand for equally many batches they are merged into one. Runs and levels are tables
-bucketed and sorted by fingerprint, so neither a scan nor a merge shuffles anything, and
-a fingerprint occurs once in a level, so no key is hot.
-
-Verification is exact for every byte, and pairs are never listed. The windows of one
-place form an interval; two hashes describe each interval, that of the bytes which all
-its windows share (core) and that of the bytes which any of them covers (hull). An
+"""Exact repeats of long strings, by a logarithmic family of suffix arrays.
+
+Units. A text is a string of bytes, or of words ([^\\x20\\x09-\\x0D]+, each as a 64-bit code).
+A repeat is a string of window units that starts anywhere else too, in the same text or
+another; every unit that such a string covers is reported.
+
+Index. A batch of texts gets a suffix array: its suffixes, sampled at content-defined
+places, in the order of their letters. The place of a window is where the least hash of
+its strings of gram units lies (the leftmost), so equal windows have their place at the
+same offset, and a window belongs to exactly one place. A suffix is stored by its first
+gram units as they stand; suffixes that agree so far are one entry, with their number and
+the smallest text that holds one. The array of a new batch is merge-scanned against the
+array of every level for common prefixes; then it becomes a level of its own, and as long
+as the two youngest levels stand for equally many batches they are merged into one.
+Arrays are tables in buckets, sorted by letters in each, so neither a scan nor a merge
+shuffles anything, and a prefix occurs once in an array, so none is hot. The tables carry
+the index's name: an index of the same name goes on where another left off.
+
+Verification is exact for every unit, and pairs are never listed. The windows of one
+place form an interval; two hashes describe each interval, that of the units which all
+its windows share (core) and that of the units which any of them covers (hull). An
 interval whose hull occurs twice is repeated throughout; one whose core occurs once
-cannot match; others are cut into pieces of 32 windows and judged again, and what is
+cannot match; others are cut into pieces of some windows and judged again, and what is
 then left is judged window by window. All of this is counting by hash.
 
-Documents with null or short texts (below the window) lose nothing. Repeated rows are
-occurrences of their own and so repeat each other. Rows with equal doc_id are kept apart
-by their text. Empty tables give empty results; other columns are ignored.
+Null or short texts (below the window) lose nothing. Texts of any length are worked on in
+segments. Repeated rows are occurrences of their own and so repeat each other. Rows with
+equal doc_id are kept apart by their text. Empty tables give empty results; other columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -33,12 +40,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomseq.llm.common import discard, fresh_path, materialise, sieve, small_batches, table, text_slices
+from loomseq.llm.common import delete, materialise, shared_dir, sieve, small_batches, table, text_slices
 from loomseq.llm.shingles import _powers, mix
 
-WINDOW = 400
-GRAM = 96
-PIECE = 32
+WINDOW, GRAM = 400, 64
 BATCHES = 4
 #: Bytes of text that a task works on at a time; a longer text is cut into segments.
 SLICE, SEGMENT = 1 << 18, 1 << 20
@@ -50,13 +55,14 @@ def _letters() -> np.ndarray:
 
 
 class Hasher:
-    """64-bit hashes of any ranges of a byte string."""
+    """64-bit hashes of any ranges of a string of units."""
 
-    def __init__(self, data: np.ndarray):
-        n = len(data)
+    def __init__(self, units: np.ndarray):
+        n = len(units)
         self.up, self.down = _powers(1 << max(20, (n + 1).bit_length()))
+        values = _letters()[units] if units.dtype == np.uint8 else units
         self.total = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum(_letters()[data] * self.up[:n], out=self.total[1:])
+        np.cumsum(values * self.up[:n], out=self.total[1:])
 
     def __call__(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
         return mix((self.total[stop] - self.total[start]) * self.down[start] + (stop - start).astype(np.uint64))
@@ -67,29 +73,71 @@ def gram_hashes(h: Hasher, n: int, gram: int) -> np.ndarray:
     return mix((h.total[gram:] - h.total[:count]) * h.down[:count])
 
 
-def places(data: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, Hasher]:
-    """The place of the window that starts at each byte, for one string of bytes."""
-    h = Hasher(data)
-    g = gram_hashes(h, len(data), gram)
+def places(units: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, Hasher]:
+    """The place of the window that starts at each unit, for one string of units."""
+    h = Hasher(units)
+    g = gram_hashes(h, len(units), gram)
     width = window - gram + 1
     packed = (g & np.uint64(0xFFFFFFFFFF000000)) | np.arange(len(g), dtype=np.uint64)
     pad = -len(packed) % width
     blocks = np.concatenate([packed, np.full(pad, np.iinfo(np.uint64).max, dtype=np.uint64)]).reshape(-1, width)
     before = np.minimum.accumulate(blocks, axis=1).ravel()
     after = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
-    n = len(data) - window + 1
+    n = len(units) - window + 1
     least = np.minimum(after[:n], before[width - 1 : width - 1 + n])
     return (least & np.uint64(0xFFFFFF)).astype(np.int64), h
 
 
-def _segments(piece: pa.RecordBatch, window: int):
-    """Texts of a slice joined, in strings of SEGMENT bytes at most plus an overlap of
-    window - 1: (bytes, starts, lengths, offsets in their text, rows)."""
+def _blank(data: np.ndarray) -> np.ndarray:
+    return (data == 32) | ((data >= 9) & (data <= 13))
+
+
+def words_of(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(codes, first byte, byte after) of the words of UTF-8 bytes, SEGMENT bytes at a time."""
+    out = []
+    at, n = 0, len(data)
+    while at < n:
+        stop = min(n, at + SEGMENT)
+        if stop < n:
+            gaps = np.flatnonzero(_blank(data[at:stop]))
+            if len(gaps):
+                stop = at + int(gaps[-1]) + 1
+            else:
+                gaps = np.flatnonzero(_blank(data[stop:]))
+                stop = stop + int(gaps[0]) + 1 if len(gaps) else n
+        part = data[at:stop]
+        word = np.concatenate([[False], ~_blank(part), [False]])
+        edge = np.flatnonzero(word[1:] != word[:-1])
+        first, last = edge[::2], edge[1::2]
+        out.append((Hasher(part)(first, last), first + at, last + at))
+        at = stop
+    if not out:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return tuple(np.concatenate(c) for c in zip(*out, strict=True))
+
+
+def units_of(texts: pa.Array, words: bool):
+    """(units, first byte, byte after) of each text; bytes need no edges."""
+    raw = [t.as_py() if t.is_valid else b"" for t in texts.cast(pa.large_binary())]
+    if not words:
+        for data in raw:
+            yield np.frombuffer(data, dtype=np.uint8), None, None
+        return
+    begin = np.cumsum([0, *(len(d) + 1 for d in raw)])
+    codes, first, last = words_of(np.frombuffer(b" ".join([*raw, b""]), dtype=np.uint8))
+    edge = np.searchsorted(first, begin)
+    for i in range(len(raw)):
+        lo, hi = edge[i], edge[i + 1]
+        yield codes[lo:hi], first[lo:hi] - begin[i], last[lo:hi] - begin[i]
+
+
+def _segments(piece: pa.RecordBatch, window: int, words: bool):
+    """Texts of a slice in strings of SEGMENT units at most plus an overlap of window - 1:
+    lists of (row, offset in its text, units)."""
     held, size = [], 0
-    for row, text in enumerate(piece.column("text").cast(pa.large_binary())):
-        data = text.as_py() if text.is_valid else b""
-        for at in range(0, max(1, len(data) - window + 1), SEGMENT):
-            part = data[at : at + SEGMENT + window - 1]
+    for row, (units, _, _) in enumerate(units_of(piece.column("text"), words)):
+        for at in range(0, max(1, len(units) - window + 1), SEGMENT):
+            part = units[at : at + SEGMENT + window - 1]
             if len(part) < window:
                 continue
             if held and size + len(part) > SEGMENT + window:
@@ -101,17 +149,28 @@ def _segments(piece: pa.RecordBatch, window: int):
         yield held
 
 
-def _entries(window: int, gram: int, batches_: int):
-    names = ["batch", "key", "hull", "rid", "packed"]
+def _prefixes(units: np.ndarray, at: np.ndarray, gram: int) -> pa.Array:
+    """The gram units from each of at as they stand (words by their code), as binary."""
+    rows = units[at[:, None] + np.arange(gram)]
+    rows = np.ascontiguousarray(rows if rows.dtype == np.uint8 else rows.astype(">u8").view(np.uint8))
+    width = rows.shape[1]
+    offsets = np.arange(0, len(at) * width + 1, width, dtype=np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(rows)])
+
+
+def _suffixes(window: int, gram: int, words: bool):
+    """The sampled suffixes of texts, each with the interval of window starts whose place it
+    is: start, length and place of the interval are one number, as rows are shuffled."""
+    names = ["prefix", "hull", "rid", "packed"]
 
     def run(batches):
         for piece in text_slices(batches, SLICE):
             rids = piece.column("rid").to_numpy()
-            for held in _segments(piece, window):
-                data = np.frombuffer(b"".join(p for _, _, p in held), dtype=np.uint8)
+            for held in _segments(piece, window, words):
+                units = np.concatenate([p for _, _, p in held])
                 sizes = np.array([len(p) for _, _, p in held], dtype=np.int64)
                 begin = np.cumsum(sizes) - sizes
-                place, h = places(data, window, gram)
+                place, h = places(units, window, gram)
                 valid = np.zeros(len(place), dtype=np.int64)
                 valid[begin] += 1
                 stop = begin + sizes - window + 1
@@ -122,73 +181,133 @@ def _entries(window: int, gram: int, batches_: int):
                 first = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]) | (owner[1:] != owner[:-1])]))
                 lo, hi = starts[first], starts[np.append(first[1:], len(starts)) - 1]
                 at, owner = place[first], owner[first]
-                key = h(at, at + gram)
                 hull = mix(h(lo, hi + window) + (at - lo).astype(np.uint64))
                 shift = np.array([o for _, o, _ in held], dtype=np.int64)[owner] - begin[owner]
                 rid = rids[np.array([r for r, _, _ in held])[owner]]
-                # Start, length and place of an interval in one number: rows are shuffled.
                 packed = ((lo + shift) << 20) | ((hi - lo) << 10) | (at - lo)
-                columns = [(rid % batches_).astype(np.int32), key.view(np.int64), hull.view(np.int64), rid, packed]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
+                columns = [_prefixes(units, at, gram), pa.array(hull.view(np.int64)), pa.array(rid), pa.array(packed)]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return run
 
 
-class SuffixIndexFamily:
-    """Levels of bucketed runs; sizes are numbers of batches and equal ones merge."""
-
-    def __init__(self, spark: SparkSession, buckets: int | None = None):
-        self.spark = spark
-        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        self.levels: list[tuple[int, str, str]] = []
-
-    def _store(self, run: DataFrame) -> tuple[str, str]:
-        name, path = f"loomseq_run_{uuid.uuid4().hex}", fresh_path(self.spark, "run")
-        run.write.format("parquet").bucketBy(self.buckets, "key").sortBy("key").option("path", path).saveAsTable(name)
-        return name, path
-
-    def _drop(self, name: str) -> None:
-        frame = self.spark.table(name)
-        discard(self.spark, frame)
-        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-
-    def add(self, keys: DataFrame) -> DataFrame:
-        """Index one batch of sampled suffixes (key); returns the keys that occur more
-        than once in it or also in an earlier batch."""
-        name, _ = self._store(keys.groupBy("key").agg(F.count("*").alias("n")))
-        run = self.spark.table(name)
-        found = run.where("n > 1").select("key")
-        for _, level, _ in self.levels:
-            found = found.unionAll(run.join(self.spark.table(level), "key").select("key"))
-        found = materialise(self.spark, found, "found")
-        self.levels.append((1, name, ""))
+class RepeatIndex:
+    """The family: levels of suffix arrays whose sizes are numbers of batches; equal sizes
+    merge. add() takes a batch, spans() tells what repeats among all texts so far."""
+
+    def __init__(self, spark: SparkSession, window: int = WINDOW, gram: int = GRAM, words: bool = False, name: str | None = None):
+        self.spark, self.window, self.gram, self.words = spark, window, gram, words
+        self.name = name or f"loomseq_index_{uuid.uuid4().hex}"
+        self.piece = max(2, (window - gram) // 9)
+        self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        known = sorted(t.name for t in spark.catalog.listTables(pattern=f"{self.name}_*"))
+        self.entries = [t for t in known if "_suffixes_" in t]
+        self.found = [t for t in known if "_found_" in t]
+        levels = [(int(t.split("_")[-2]), t) for t in known if "_level_" in t]
+        self.levels = sorted(levels, reverse=True)
+        if self.levels:
+            self.buckets = int(spark.sql(f"DESCRIBE EXTENDED {self.levels[0][1]}").where("col_name = 'Num Buckets'").first().data_type)
+
+    def _save(self, frame: DataFrame, kind: str, key: str | None = None, sort: str | None = None, split: str | None = None) -> str:
+        name = f"{self.name}_{kind}_{uuid.uuid4().hex}"
+        out = frame.write.format("parquet").option("path", f"{shared_dir(self.spark)}/{name}").option("compression", "zstd")
+        out = out.partitionBy(split) if split else out
+        out = out.bucketBy(self.buckets, key) if key else out
+        out = out.sortBy(sort) if sort else out
+        with small_batches(self.spark):
+            out.saveAsTable(name)
+        return name
+
+    def _drop(self, *names: str) -> None:
+        for name in names:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+            delete(self.spark, f"{shared_dir(self.spark)}/{name}")
+
+    def _sampled(self, docs: DataFrame) -> DataFrame:
+        kind = "prefix binary, hull long, rid long, packed long"
+        found = docs.select("rid", "text").mapInArrow(_suffixes(self.window, self.gram, self.words), kind)
+        return found.withColumn("print", F.xxhash64("prefix"))
+
+    def add(self, docs: DataFrame, batches: int = 1) -> None:
+        """Index docs (rid, text), in so many batches one after the other."""
+        batch = F.pmod("rid", F.lit(batches)).cast("int")
+        name = self._save(self._sampled(docs).withColumn("batch", batch), "suffixes", split="batch")
+        self.entries.append(name)
+        for b in range(batches):
+            self._admit(self.spark.table(name).where(F.col("batch") == b))
+
+    def _admit(self, suffixes: DataFrame) -> None:
+        array = suffixes.groupBy("prefix").agg(F.count("*").alias("n"), F.min("rid").alias("rid"))
+        name = self._save(array, "level_1", key="prefix", sort="prefix")
+        new = self.spark.table(name)
+        met = new.where("n > 1").select("prefix")
+        for _, level in self.levels:
+            met = met.unionAll(new.join(self.spark.table(level), "prefix").select("prefix"))
+        self.found.append(self._save(met.select(F.xxhash64("prefix").alias("print")), "found"))
+        self.levels.append((1, name))
         while len(self.levels) > 1 and self.levels[-1][0] == self.levels[-2][0]:
-            (size, young, _), (_, old, _) = self.levels.pop(), self.levels.pop()
-            a, b = self.spark.table(old), self.spark.table(young).withColumnRenamed("n", "m")
-            merged = a.join(b, "key", "full").select("key", (F.coalesce("n", F.lit(0)) + F.coalesce("m", F.lit(0))).alias("n"))
-            name, _ = self._store(merged)
-            self._drop(young)
-            self._drop(old)
-            self.levels.append((2 * size, name, ""))
-        return found
+            (size, young), (_, old) = self.levels.pop(), self.levels.pop()
+            a, b = self.spark.table(old), self.spark.table(young).select("prefix", F.col("n").alias("m"), F.col("rid").alias("other"))
+            n = F.coalesce("n", F.lit(0)) + F.coalesce("m", F.lit(0))
+            both = a.join(b, "prefix", "full").select("prefix", n.alias("n"), F.least("rid", "other").alias("rid"))
+            name = self._save(both, f"level_{2 * size}", key="prefix", sort="prefix")
+            self._drop(young, old)
+            self.levels.append((2 * size, name))
+
+    def _union(self, names: list[str], *columns: str) -> DataFrame:
+        return functools.reduce(DataFrame.unionAll, [self.spark.table(n).select(*columns) for n in names])
+
+    def spans(self, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """docs (rid, text), all that were added -> (rid, text) of those that share sampled
+        suffixes with others, and spans (rid, lo, stop) of repeated units, which may
+        overlap. Both hold until close()."""
+        spark, window = self.spark, self.window
+        keys = spark.table(self._save(self._union(self.found, "print").distinct(), "keys"))
+        lo = F.shiftright("packed", 20)
+        hi, at = lo + F.shiftright("packed", 10).bitwiseAND(F.lit(1023)), lo + F.col("packed").bitwiseAND(F.lit(1023))
+        shared = self._union(self.entries, "print", "hull", "rid", "packed").join(keys, "print")
+        shared = shared.select(F.col("print").alias("core"), "hull", "rid", lo.alias("lo"), hi.alias("hi"), at.alias("at"))
+        shared = spark.table(self._save(shared, "shared"))
+
+        whole, left = self._judge(shared)
+        left = spark.table(self._save(left, "left"))
+        rids = spark.table(self._save(whole.select("rid").unionAll(left.select("rid")).distinct(), "rids"))
+        likely, _ = sieve(spark, docs, rids, "rid")
+        hit = likely.join(rids, "rid", "left_semi").dropDuplicates(["rid"])
+        texts = spark.table(self._save(hit.select("rid", "text"), "texts", key="rid"))
+
+        kind = "core long, hull long, rid long, lo long, hi long, at long"
+        pieces = _with_text(texts, left, ["core", "lo", "hi", "at"]).mapInArrow(_pieces(window, self.piece, self.words), kind)
+        partly, rest = self._judge(spark.table(self._save(pieces, "pieces")))
+        rest = spark.table(self._save(rest, "rest"))
+        single = _with_text(texts, rest, ["core", "lo", "hi", "at", "open"]).mapInArrow(_windows(window, self.words), "w long, rid long, lo long, open boolean")
+        single = spark.table(self._save(single, "windows"))
+        again = spark.table(self._save(single.groupBy("w").count().where("count > 1").select("w"), "again"))
+        last = single.where("open").join(again, "w").select("rid", "lo", F.col("lo").alias("hi"))
+        spans = whole.unionAll(partly).unionAll(last).select("rid", "lo", (F.col("hi") + window).alias("stop"))
+        return texts, spans
+
+    def _judge(self, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """rows (core, hull, rid, lo, hi, at): those whose hull occurs more than once; and one
+        row of each hull of a core with several hulls, open where that hull occurs once."""
+        first = F.min(F.struct("rid", "lo", "hi", "at")).alias("one")
+        hulls = self.spark.table(self._save(rows.groupBy("core", "hull").agg(F.count("*").alias("n"), first), "hulls"))
+        twice = self.spark.table(self._save(hulls.where("n > 1").select("core", "hull"), "twice"))
+        whole = rows.join(twice, ["core", "hull"]).select("rid", "lo", "hi")
+        many = hulls.groupBy("core").agg(F.min("hull").alias("a"), F.max("hull").alias("b"), F.min("n").alias("least")).where("a <> b and least = 1")
+        many = self.spark.table(self._save(many.select("core"), "many"))
+        left = hulls.join(many, "core").select("core", "one.*", (F.col("n") == 1).alias("open"))
+        return whole, left
+
+    def tidy(self) -> None:
+        """Drop what spans() made; the index itself stays."""
+        keep = {*self.entries, *self.found, *(name for _, name in self.levels)}
+        self._drop(*(t.name for t in self.spark.catalog.listTables(pattern=f"{self.name}_*") if t.name not in keep))
 
     def close(self) -> None:
-        for _, name, _ in self.levels:
-            self._drop(name)
-        self.levels = []
-
-
-def _judge(spark: SparkSession, rows: DataFrame, tag: str) -> tuple[DataFrame, DataFrame]:
-    """rows (core, hull, rid, lo, hi, at): those whose hull occurs more than once; and one
-    row of each hull of a core with several hulls, open where that hull occurs once."""
-    first = F.min(F.struct("rid", "lo", "hi", "at")).alias("one")
-    hulls = materialise(spark, rows.groupBy("core", "hull").agg(F.count("*").alias("n"), first), f"{tag}-hulls")
-    twice = materialise(spark, hulls.where("n > 1").select("core", "hull"), f"{tag}-twice")
-    whole = rows.join(twice, ["core", "hull"]).select("rid", "lo", "hi")
-    many = hulls.groupBy("core").agg(F.min("hull").alias("a"), F.max("hull").alias("b"), F.min("n").alias("least")).where("a <> b and least = 1")
-    many = materialise(spark, many.select("core"), f"{tag}-many")
-    left = hulls.join(many, "core").select("core", "one.*", (F.col("n") == 1).alias("open"))
-    return whole, left
+        """Drop every table of the index."""
+        self.entries, self.found, self.levels = [], [], []
+        self.tidy()
 
 
 def _with_text(texts: DataFrame, places_: DataFrame, columns: list[str]) -> DataFrame:
@@ -196,23 +315,23 @@ def _with_text(texts: DataFrame, places_: DataFrame, columns: list[str]) -> Data
     return texts.join(lists, "rid")
 
 
-def _each_list(batches):
-    """(rid, bytes, columns of the list of places) of every row."""
+def _each_list(batches, words: bool):
+    """(rid, units, columns of the list of places) of every row."""
     for piece in text_slices(batches, SLICE):
         lists = piece.column("places")
-        for i, rid in enumerate(piece.column("rid").to_pylist()):
-            data = np.frombuffer(piece.column("text")[i].cast(pa.large_binary()).as_py() or b"", dtype=np.uint8)
-            yield rid, data, lists[i].values
+        found = units_of(piece.column("text"), words)
+        for i, (rid, (units, _, _)) in enumerate(zip(piece.column("rid").to_pylist(), found, strict=True)):
+            yield rid, units, lists[i].values
 
 
-def _pieces(window: int, width: int):
+def _pieces(window: int, width: int, words: bool):
     """Cut intervals of window starts into pieces at multiples of width of the offset of
     the place; pieces of one place and offset are comparable."""
 
     def run(batches):
-        for rid, data, s in _each_list(batches):
+        for rid, units, s in _each_list(batches, words):
             lo, hi, at, key = (s.field(c).to_numpy() for c in ("lo", "hi", "at", "core"))
-            h = Hasher(data)
+            h = Hasher(units)
             cell_hi, cell_lo = (at - lo) // width, (at - hi) // width
             count = cell_hi - cell_lo + 1
             entry = np.repeat(np.arange(len(lo)), count)
@@ -229,13 +348,13 @@ def _pieces(window: int, width: int):
     return run
 
 
-def _windows(window: int):
+def _windows(window: int, words: bool):
     def run(batches):
-        for rid, data, s in _each_list(batches):
+        for rid, units, s in _each_list(batches, words):
             lo, hi, core = (s.field(c).to_numpy() for c in ("lo", "hi", "core"))
             open_ = s.field("open").to_numpy(zero_copy_only=False)
             at = s.field("at").to_numpy()
-            h = Hasher(data)
+            h = Hasher(units)
             count = hi - lo + 1
             entry = np.repeat(np.arange(len(lo)), count)
             start = lo[entry] + (np.arange(len(entry)) - np.repeat(np.cumsum(count) - count, count))
@@ -255,69 +374,47 @@ def merge_spans(lo: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return lo[first], stop[np.append(first[1:], len(lo)) - 1]
 
 
-def _cut(batches):
-    for piece in text_slices(batches, SLICE):
-        out = []
-        spans = piece.column("places")
-        for i, (rid, text) in enumerate(zip(piece.column("rid").to_pylist(), piece.column("text").to_pylist(), strict=True)):
-            data = (text or "").encode()
-            s = spans[i].values
-            lo, stop = merge_spans(s.field("lo").to_numpy(), s.field("stop").to_numpy())
-            edges = [0, *np.stack([lo, stop], 1).ravel().tolist(), len(data)]
-            kept = b"".join(data[edges[k] : edges[k + 1]] for k in range(0, len(edges), 2))
-            out.append((rid, int((stop - lo).sum()), len(lo), hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "ignore")))
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=["rid", "n_removed", "n_spans", "kept_sha256", "kept_text"])
-
-
-def repeated_spans(spark: SparkSession, docs: DataFrame, window: int = WINDOW, gram: int = GRAM, batches: int = BATCHES) -> tuple[DataFrame, DataFrame]:
-    """docs (rid, text) -> (rid, text) of the documents that share sampled suffixes with
-    others, and spans (rid, lo, stop) of their repeated bytes; spans may overlap."""
-    path = fresh_path(spark, "entries")
-    found = docs.select("rid", "text").mapInArrow(_entries(window, gram, batches), "batch int, key long, hull long, rid long, packed long")
-    with small_batches(spark):
-        found.write.partitionBy("batch").parquet(path)
-    entries = spark.read.schema("key long, hull long, rid long, packed long, batch int").parquet(path)
-    family = SuffixIndexFamily(spark)
-    found = [family.add(entries.where(F.col("batch") == b).select("key")) for b in range(batches)]
-    family.close()
-    keys = functools.reduce(DataFrame.unionAll, found)
-    keys = materialise(spark, keys.distinct(), "keys")
-    discard(spark, *found)
-    lo = F.shiftright("packed", 20)
-    hi, at = lo + F.shiftright("packed", 10).bitwiseAND(F.lit(1023)), lo + F.col("packed").bitwiseAND(F.lit(1023))
-    shared = entries.select("key", "hull", "rid", "packed").join(keys, "key").select(F.col("key").alias("core"), "hull", "rid", lo.alias("lo"), hi.alias("hi"), at.alias("at"))
-    shared = materialise(spark, shared, "shared")
-    discard(spark, entries)
-
-    whole, left = _judge(spark, shared, "places")
-    left = materialise(spark, left, "left")
-    rids = whole.select("rid").unionAll(left.select("rid")).distinct()
-    name, home = f"loomseq_texts_{uuid.uuid4().hex}", fresh_path(spark, "texts")
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rids = materialise(spark, rids, "rids")
-    likely, _ = sieve(spark, docs, rids, "rid")
-    hit = likely.join(rids, "rid", "left_semi").dropDuplicates(["rid"])
-    hit.write.format("parquet").bucketBy(buckets, "rid").option("path", home).saveAsTable(name)
-    texts = spark.table(name)
-
-    kind = "core long, hull long, rid long, lo long, hi long, at long"
-    pieces = materialise(spark, _with_text(texts, left, ["core", "lo", "hi", "at"]).mapInArrow(_pieces(window, PIECE), kind), "pieces")
-    partly, rest = _judge(spark, pieces, "pieces")
-    rest = materialise(spark, rest, "rest")
-    single = materialise(spark, _with_text(texts, rest, ["core", "lo", "hi", "at", "open"]).mapInArrow(_windows(window), "w long, rid long, lo long, open boolean"), "windows")
-    again = materialise(spark, single.groupBy("w").count().where("count > 1").select("w"), "again")
-    last = single.where("open").join(again, "w").select("rid", "lo", F.col("lo").alias("hi"))
-    spans = whole.unionAll(partly).unionAll(last).select("rid", "lo", (F.col("hi") + window).alias("stop"))
-    return texts, spans
-
-
-def remove_repeats(spark: SparkSession, docs: DataFrame, window: int = WINDOW, gram: int = GRAM, batches: int = BATCHES) -> DataFrame:
-    """docs (rid, text) -> rid, n_removed, n_spans, kept_sha256, kept_text for each rid
-    that loses bytes. kept_text drops the rest of a character that was cut."""
-    texts, spans = repeated_spans(spark, docs, window, gram, batches)
+def _cut(words: bool):
+    def run(batches):
+        for piece in text_slices(batches, SLICE):
+            out = []
+            spans = piece.column("places")
+            found = zip(piece.column("rid").to_pylist(), piece.column("text").to_pylist(), units_of(piece.column("text"), words), strict=True)
+            for i, (rid, text, (_, first, last)) in enumerate(found):
+                data = (text or "").encode()
+                s = spans[i].values
+                lo, stop = merge_spans(s.field("lo").to_numpy(), s.field("stop").to_numpy())
+                if words:
+                    lo, stop = first[lo], last[stop - 1]
+                edges = [0, *np.stack([lo, stop], 1).ravel().tolist(), len(data)]
+                kept = b"".join(data[edges[k] : edges[k + 1]] for k in range(0, len(edges), 2))
+                out.append((rid, int((stop - lo).sum()), len(lo), hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "ignore")))
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=CUT)
+
+    return run
+
+
+CUT = ["rid", "n_removed", "n_spans", "kept_sha256", "kept_text"]
+
+
+def cut_texts(index: RepeatIndex, docs: DataFrame, columns: list[str] = CUT) -> DataFrame:
+    """For each rid of docs (rid, text) that loses bytes, the columns of CUT, written to the
+    shared folder. kept_text drops the rest of a character that was cut."""
+    texts, spans = index.spans(docs)
     kind = "rid long, n_removed long, n_spans long, kept_sha256 string, kept_text string"
-    return _with_text(texts, spans, ["lo", "stop"]).mapInArrow(_cut, kind)
+    cut = _with_text(texts, spans, ["lo", "stop"]).mapInArrow(_cut(index.words), kind)
+    return materialise(index.spark, cut.select(*columns), "cut")
+
+
+def remove_repeats(spark: SparkSession, docs: DataFrame, window: int = WINDOW, gram: int = GRAM, words: bool = False, batches: int = BATCHES, columns: list[str] = CUT) -> DataFrame:
+    """cut_texts of docs (rid, text) by an index of their own, dropped at the end."""
+    index = RepeatIndex(spark, window, gram, words)
+    try:
+        index.add(docs, batches)
+        return cut_texts(index, docs, columns)
+    finally:
+        index.close()
 
 
 def with_row_ids(docs: DataFrame) -> DataFrame:
@@ -326,7 +423,7 @@ def with_row_ids(docs: DataFrame) -> DataFrame:
 
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = with_row_ids(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    cut = remove_repeats(spark, docs.select("rid", "text")).drop("kept_text")
+    cut = remove_repeats(spark, docs.select("rid", "text"), columns=CUT[:-1])
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     base = docs.select("rid", "doc_id", F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text, 256).alias("sha"))
     zero = F.lit(0).cast("long")

@@ -455,14 +455,80 @@ def test_repeats_empty(spark):
     assert suffix_dedup.remove_repeats(spark, spark.createDataFrame([], "rid long, text string")).count() == 0
 
 
-def test_levels_merge_geometrically(spark):
-    family = suffix_dedup.SuffixIndexFamily(spark, buckets=2)
-    found = []
-    for keys in ([1, 1, 2], [2, 3], [3, 9], [9, 10]):
-        found.append(sorted(r.key for r in family.add(spark.createDataFrame([(k,) for k in keys], "key long")).distinct().collect()))
-    assert found == [[1], [2], [3], [9]]
-    assert [level[0] for level in family.levels] == [4]
-    family.close()
+def test_index_of_batches_one_by_one(spark):
+    """Seven batches, a second index object going on in the middle: levels merge as binary
+    counters do, and what repeats at the end equals brute force over all."""
+    rng = random.Random(11)
+    shared = [words(50 + k, 200) for k in range(5)]
+    batches = [[words(rng.randrange(10**6), 60) + rng.choice(shared)[rng.randrange(200) :] + words(rng.randrange(10**6), 40) for _ in range(4)] for _ in range(7)]
+    name = "loomseq_index_test"
+    index = suffix_dedup.RepeatIndex(spark, name=name)
+    frames, sizes = [], []
+    for k, texts in enumerate(batches):
+        if k == 3:
+            index = suffix_dedup.RepeatIndex(spark, name=name)
+        frames.append(spark.createDataFrame([(100 * k + i, t) for i, t in enumerate(texts)], "rid long, text string"))
+        index.add(frames[-1])
+        sizes.append([size for size, _ in index.levels])
+    assert sizes == [[1], [2], [2, 1], [4], [4, 1], [4, 2], [4, 2, 1]]
+    for _, level in index.levels:
+        for part in spark.table(level).select("prefix", F.spark_partition_id().alias("p")).toPandas().groupby("p")["prefix"]:
+            assert list(map(bytes, part[1])) == sorted(map(bytes, part[1]))
+    docs = frames[0]
+    for f in frames[1:]:
+        docs = docs.unionAll(f)
+    cut = {r.rid: r for r in suffix_dedup.cut_texts(index, docs).collect()}
+    flat = [(100 * k + i, t.encode()) for k, texts in enumerate(batches) for i, t in enumerate(texts)]
+    for (rid, t), (_, removed, runs, sha) in zip(flat, brute_repeats([t for _, t in flat], 400), strict=True):
+        got = (cut[rid].n_removed, cut[rid].n_spans, cut[rid].kept_sha256) if rid in cut else (0, 0, hashlib.sha256(t).hexdigest())
+        assert got == (removed, runs, sha), rid
+    assert len(cut) > 5
+    index.close()
+    assert not spark.catalog.listTables(pattern="loomseq_index*")
+
+
+@pytest.mark.parametrize("n", [48, 50, 55, 70, 120, 400])
+def test_repeats_of_words(spark, n):
+    """A passage of n words in three texts, once glued to other letters at both ends."""
+    passage = words(n, n, 10**6)
+    texts = [words(1, 80) + " " + passage + "\n" + words(2, 30), passage, words(3, 7) + " (" + words(4, 2, 10**6) + " " + passage + " x", words(5, 60), " ".join(passage.split()[:47]), "", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "rid long, text string")
+    cut = {r.rid: r for r in suffix_dedup.remove_repeats(spark, docs, 48, 12, words=True).collect()}
+    assert set(cut) == {0, 1, 2}
+    assert all(passage not in r.kept_text for r in cut.values())
+    assert [cut[i].kept_text.split() for i in range(3)] == [[*words(1, 80).split(), *words(2, 30).split()], [], [*words(3, 7).split(), *("(" + words(4, 2, 10**6)).split(), "x"]]
+    assert cut[0].n_removed == len(passage)
+
+
+def test_repeats_of_words_brute_force(spark):
+    rng = random.Random(4)
+    pool = [words(k, 300, 50) for k in range(4)]
+    texts = [" ".join(rng.choice(pool).split()[a : a + rng.randrange(70)] + words(rng.randrange(999), 20).split()) if (a := rng.randrange(250)) else "" for _ in range(40)]
+    texts += [texts[0], "w1 " * 500, "ü\t" * 100]
+    lists = [t.split() for t in texts]
+    count = collections.Counter(tuple(w[k : k + 20]) for w in lists for k in range(len(w) - 19))
+    docs = spark.createDataFrame(list(enumerate(texts)), "rid long, text string")
+    cut = {r.rid: r.kept_text.split() for r in suffix_dedup.remove_repeats(spark, docs, 20, 5, words=True).collect()}
+    for i, w in enumerate(lists):
+        mark = [False] * len(w)
+        for k in range(len(w) - 19):
+            if count[tuple(w[k : k + 20])] > 1:
+                mark[k : k + 20] = [True] * 20
+        assert cut.get(i, w) == [x for x, m in zip(w, mark, strict=True) if not m]
+
+
+def test_repeats_of_a_very_long_text(spark):
+    """Longer than a segment, as bytes and as words, with a word longer than a segment."""
+    rng = random.Random(1)
+    part = " ".join(f"{rng.getrandbits(60):x}" for _ in range(60))
+    long = " ".join(f"{rng.getrandbits(60):x}" for _ in range(90_000))
+    texts = [long[:700_000] + " " + part + " " + long[700_000:] + " " + part + " " + "q" * 1_200_000, part]
+    docs = spark.createDataFrame(list(enumerate(texts)), "rid long, text string")
+    got = {r.rid: r.n_removed for r in suffix_dedup.remove_repeats(spark, docs, 48, 12, words=True).collect()}
+    assert got == {0: 2 * len(part), 1: len(part)}
+    got = {r.rid: (r.n_removed, r.n_spans) for r in suffix_dedup.remove_repeats(spark, docs).collect()}
+    # The blanks around a copy and before the long word repeat as well.
+    assert got == {0: (1_200_000 + 2 * (len(part) + 2), 2), 1: (len(part), 1)}
 
 
 # 10: secrets
