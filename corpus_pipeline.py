@@ -14,6 +14,9 @@ from loomseq.llm import minhash, packing, secrets, suffix_dedup, toxicity
 from loomseq.llm.common import materialise, sieve, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: Words of the shortest passage that counts as a repeat: passages of over 50 words are
+#: meant, of which a word at either end may be joined to what stands beside it.
+PASSAGE = 48
 
 
 def stage_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,10 +54,12 @@ def stage_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def stage_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Bytes of passages that occur more than once go; documents left without text go."""
+    """Passages of PASSAGE words or more that occur more than once go, every copy of them;
+    documents that are left without text go, others stay. Null, empty and shorter texts stay
+    as they are; a text of any length is read whole. Rows of equal doc_id are documents of
+    their own. Columns other than those of documents are ignored."""
     rows = suffix_dedup.with_row_ids(docs.select(*COLUMNS))
-    cut = suffix_dedup.remove_repeats(spark, rows.select("rid", "text")).select("rid", "kept_text")
-    cut = materialise(spark, cut, "cut")
+    cut = suffix_dedup.remove_repeats(spark, rows.select("rid", "text"), PASSAGE, PASSAGE // 4, words=True, columns=["rid", "kept_text"])
     likely, rest = sieve(spark, rows, cut.select("rid"), "rid")
     same = likely.join(cut.select("rid"), "rid", "left_anti")
     # A cut text replaces the old one, so the old one is not joined.
