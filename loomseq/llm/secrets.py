@@ -2,18 +2,22 @@
 
 Base spans come from three fixed patterns. The method adds one span for each
 candidate string (a maximal run of 20 or more of A-Z a-z 0-9 + / _ = -, with a digit
-and a letter) in which some window of 20 characters has an entropy at or above the
+and a letter, or letters of both cases) in which some window of 20 characters has an entropy at or above the
 limit of its character class. The window's entropy is kept by incremental counts: with
 S = sum(n * log2(n)) over the counts n in the window, each step adds the entering and
-takes away the leaving character's share, and H = log2(20) - S / 20. Candidates that an
-allow-list pattern matches are suppressed.
+takes away the leaving character's share, and H = log2(20) - S / 20. Candidates are suppressed
+where an allow-list pattern matches their value (what follows the last equals sign), and
+windows where they hold a word of examples.
 
-Null text counts as empty. Rows are independent, so repeated rows, ties, further
-columns and empty tables need no care.
+Null text counts as empty. The time grows with a text's length, whether it holds one very
+long candidate or very many short ones. Rows are independent, so repeated rows, ties and
+empty tables need no care; a column of the result's name is replaced, others are kept.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,30 +32,50 @@ KINDS = ("assign", "access", "hex", "entropy")
 RUN = r"[A-Za-z0-9+/_=-]{20,}"
 WINDOW = 20
 #: Entropy limits in bits for a window of 20 characters, by character class.
-LIMITS = {"hex": 2.95, "alnum": 3.71, "base64": 3.81}
+LIMITS = {"hex": 2.95, "alnum": 3.71, "base64": 3.81, "letters": 4.05}
 ALLOW = (
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
-    r"(?i)(example|sample|placeholder|changeme|dummy|deadbeef|xxxx|0123456789|abcdefgh)",
     r"^[0-9+/_=-]*$",
-    r"^[A-Za-z]+([_/=-]+[A-Za-z]+)*[0-9]{1,4}$",
+    r"^[A-Za-z]([A-Za-z_/=-]*[A-Za-z])?[0-9]{1,4}$",
 )
+#: Words of examples: no window that holds one is looked at.
+WORDS = r"(?i)(example|sample|placeholder|changeme|dummy|deadbeef|xxxx|0123456789|abcdefgh)"
+#: Items that are worked on together where positions are summed up.
+BLOCK = 256
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with value computed once, however often use names it."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _blocks(items: Column) -> Column:
+    """An array in arrays of BLOCK items, so that what grows inside one stays small."""
+    count = F.greatest(F.ceil(F.size(items) / BLOCK).cast("int"), F.lit(1))
+    return F.transform(F.sequence(F.lit(0), count - 1), lambda b: F.slice(items, b * BLOCK + 1, BLOCK))
 
 
 def _hits(text: Column, pattern: str) -> Column:
-    """array<struct<start, hit>> of the leftmost non-overlapping matches. The pieces
-    between matches give the positions, in code points."""
-    pieces = F.split(text, pattern, -1)
+    """array<struct<start, hit>> of the leftmost non-overlapping matches. The lengths of
+    matches and of the pieces between them add up to the positions, in code points."""
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    zipped = F.arrays_zip(pieces.alias("gap"), hits.alias("hit"))
-    empty = F.expr("named_struct('at', 0, 'found', cast(array() as array<struct<start:int,hit:string>>))")
+    zipped = F.slice(F.arrays_zip(F.split(text, pattern, -1).alias("gap"), hits.alias("hit")), 1, F.size(hits))
+    empty = "cast(array() as array<struct<start:int,hit:string>>)"
 
     def step(acc: Column, x: Column) -> Column:
         start = acc["at"] + F.length(x["gap"])
         hit = F.struct(start.alias("start"), x["hit"].alias("hit"))
-        return F.when(x["hit"].isNull(), acc).otherwise(F.struct((start + F.length(x["hit"])).alias("at"), F.concat(acc["found"], F.array(hit)).alias("found")))
+        return F.struct((start + F.length(x["hit"])).alias("at"), F.concat(acc["found"], F.array(hit)).alias("found"))
 
-    none = F.expr("cast(array() as array<struct<start:int,hit:string>>)")
-    return F.when(text.rlike(pattern), F.aggregate(zipped, empty, step)["found"]).otherwise(none)
+    def inside(block: Column, before: Column) -> Column:
+        return F.aggregate(block, F.struct(before.alias("at"), F.expr(empty).alias("found")), step)["found"]
+
+    def place(blocks: Column) -> Column:
+        length = lambda block: F.aggregate(block, F.lit(0), lambda n, x: n + F.length(x["gap"]) + F.length(x["hit"]))
+        before = lambda lengths, b: F.aggregate(F.slice(lengths, 1, b), F.lit(0), lambda n, x: n + x)
+        return let(F.transform(blocks, length), lambda lengths: F.flatten(F.transform(blocks, lambda block, b: inside(block, before(lengths, b)))))
+
+    return F.when(text.rlike(pattern), let(zipped, lambda z: let(_blocks(z), place))).otherwise(F.expr(empty))
 
 
 def _spans(hits: Column, kind: int) -> Column:
@@ -64,33 +88,38 @@ def _share(n: Column) -> Column:
 
 def peak_entropy(s: Column, width: int = WINDOW) -> Column:
     """Largest Shannon entropy, in bits, of any window of width characters of s; -1 where
-    s is shorter. Counts change by one entering and one leaving character a step."""
-    chars = F.transform(F.sequence(F.lit(1), F.length(s)), lambda i: s.substr(i, F.lit(1)))
-    steps = F.transform(chars, lambda c, i: F.struct(c.alias("enters"), F.when(i >= width, F.get(chars, i - width)).alias("leaves"), i.alias("i")))
-    start = F.expr("named_struct('n', cast(map() as map<string,int>), 's', 0.0D, 'best', -1.0D)")
-
-    def put(counts: Column, c: Column, n: Column) -> Column:
-        return F.map_concat(F.map_filter(counts, lambda k, _: k != c), F.create_map(c, n))
-
-    def step(acc: Column, x: Column) -> Column:
-        out = F.coalesce(F.try_element_at(acc["n"], x["leaves"]), F.lit(0))
-        less = F.when(x["leaves"].isNull(), acc["n"]).otherwise(put(acc["n"], x["leaves"], out - 1))
-        s_less = acc["s"] + F.when(x["leaves"].isNull(), 0.0).otherwise(_share(out - 1) - _share(out))
-        held = F.coalesce(F.try_element_at(less, x["enters"]), F.lit(0))
-        total = s_less + _share(held + 1) - _share(held)
-        entropy = F.log2(F.lit(float(width))) - total / width
-        best = F.when(x["i"] >= width - 1, F.greatest(acc["best"], entropy)).otherwise(acc["best"])
-        return F.struct(put(less, x["enters"], held + 1).alias("n"), total.alias("s"), best.alias("best"))
-
-    return F.when(F.length(s) >= width, F.aggregate(steps, start, step)["best"]).otherwise(F.lit(-1.0))
+    s is shorter. The state is the window; a step takes away the share of the leaving
+    character's count and adds that of the entering one's."""
+    start = F.expr("named_struct('held', '', 's', 0.0D, 'best', -1.0D)")
+    among = lambda c, held: F.length(held) - F.length(F.replace(held, c, F.lit("")))
+
+    def step(acc: Column, c: Column) -> Column:
+        full = F.length(acc["held"]) == width
+        out = among(F.left(acc["held"], F.lit(1)), acc["held"])
+        rest = F.when(full, F.substring(acc["held"], 2, width)).otherwise(acc["held"])
+        less = F.when(full, acc["s"] + (_share(out - 1) - _share(out))).otherwise(acc["s"])
+        n = among(c, rest)
+        total = less + (_share(n + 1) - _share(n))
+        held = F.concat(rest, c)
+        best = F.when(F.length(held) == width, F.greatest(acc["best"], F.log2(F.lit(float(width))) - total / width)).otherwise(acc["best"])
+        return F.struct(held.alias("held"), total.alias("s"), best.alias("best"))
+
+    chars = F.filter(F.split(s, ""), lambda c: c != "")
+    return F.when(F.length(s) >= width, F.aggregate(chars, start, step)["best"]).otherwise(F.lit(-1.0))
 
 
 def _suspicious(s: Column) -> Column:
-    limit = F.when(s.rlike("^[0-9a-fA-F]+$"), LIMITS["hex"]).when(s.rlike("^[A-Za-z0-9]+$"), LIMITS["alnum"]).otherwise(LIMITS["base64"])
+    """Letters alone are judged only in mixed case. The value is what follows the last equals
+    sign, so that a key's name does not excuse it; it is looked at between words of examples,
+    which so excuse themselves and not a key beside them."""
+    digits, alnum = s.rlike("[0-9]"), s.rlike("^[A-Za-z0-9]+$")
+    limit = F.when(s.rlike("^[0-9a-fA-F]+$"), LIMITS["hex"]).when(~digits, LIMITS["letters"]).when(alnum, LIMITS["alnum"]).otherwise(LIMITS["base64"])
+    value = F.substring_index(F.rtrim(s, F.lit("=")), "=", -1)
     allowed = F.lit(False)
     for p in ALLOW:
-        allowed = allowed | s.rlike(p)
-    return F.when(s.rlike("[0-9]") & s.rlike("[A-Za-z]") & ~allowed, peak_entropy(s) >= limit).otherwise(False)
+        allowed = allowed | value.rlike(p)
+    judged = (digits & s.rlike("[A-Za-z]")) | (s.rlike("[A-Z]") & s.rlike("[a-z]"))
+    return F.when(judged & ~allowed, F.exists(F.split(value, WORDS, -1), lambda part: peak_entropy(part) >= limit)).otherwise(False)
 
 
 def find_secrets(docs: DataFrame, text: str = "text", out: str = "secret_spans") -> DataFrame:
@@ -110,18 +139,33 @@ def render(spans: Column) -> Column:
 
 
 def redact(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
-    """text with every span replaced; spans that overlap or touch count as one."""
-    start = F.expr("named_struct('at', 0, 'done', '')")
+    """text with every span (sorted, as find_secrets gives them) replaced; spans that overlap
+    or touch count as one. Spans are worked on in blocks, each on its own part of the text."""
+
+    def inside(block: Column, before: Column, stop: Column) -> Column:
+        base = F.greatest(before, F.lit(0))
+
+        def use(part: Column) -> Column:
+            def step(acc: Column, s: Column) -> Column:
+                gap = part.substr(F.greatest(acc["at"], F.lit(0)) - base + 1, s["start"] - F.greatest(acc["at"], F.lit(0)))
+                done = F.when(s["start"] <= acc["at"], acc["done"]).otherwise(F.concat(acc["done"], gap, F.lit(mark)))
+                return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), done.alias("done"))
+
+            return F.aggregate(block, F.struct(before.alias("at"), F.lit("").alias("done")), step)["done"]
+
+        return let(text.substr(base + 1, stop - base), use)
+
+    def join(blocks: Column) -> Column:
+        ends = F.transform(blocks, lambda block: F.aggregate(block, F.lit(-1), lambda n, s: F.greatest(n, s["end"])))
+
+        def pieces(ends: Column) -> Column:
+            upto = lambda b: F.aggregate(F.slice(ends, 1, b), F.lit(-1), lambda n, e: F.greatest(n, e))
+            changed = F.transform(blocks, lambda block, b: inside(block, upto(b), upto(b + 1)))
+            return F.concat(F.array_join(changed, ""), text.substr(F.array_max(ends) + 1, F.length(text)))
 
-    def step(acc: Column, s: Column) -> Column:
-        gap = text.substr(acc["at"] + 1, s["start"] - acc["at"])
-        fresh = F.struct(s["end"].alias("at"), F.concat(acc["done"], gap, F.lit(mark)).alias("done"))
-        grown = F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["done"].alias("done"))
-        return F.when((s["start"] <= acc["at"]) & (acc["done"] != ""), grown).otherwise(fresh)
+        return let(ends, pieces)
 
-    end = F.aggregate(spans, start, step)
-    rest = F.concat(end["done"], text.substr(end["at"] + 1, F.length(text)))
-    return F.when(F.size(spans) > 0, rest).otherwise(text)
+    return F.when(F.size(spans) > 0, let(_blocks(spans), join)).otherwise(text)
 
 
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -145,15 +189,17 @@ def _sql_hits(name: str, pattern: str, source: str) -> str:
 {name} AS (SELECT rid, hits[k] AS hit, (list_sum(list_transform(gaps[1:k], lambda g: length(g))) + coalesce(list_sum(list_transform(hits[1:k-1], lambda h: length(h))), 0))::BIGINT AS s FROM {name}_p)"""
 
 
-_NOT_ALLOWED = " AND ".join("NOT regexp_matches(hit, '{}')".format(p) for p in ALLOW)
+_NOT_ALLOWED = " AND ".join("NOT regexp_matches(v, '{}')".format(p) for p in ALLOW)
 SQL = f"""WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
 {_sql_hits("a", ASSIGN, "d")},
 {_sql_hits("b", ACCESS, "d")},
 {_sql_hits("c", HEX, "d")},
 {_sql_hits("e", RUN, "d")},
-e_ok AS (SELECT rid, hit, s, CASE WHEN regexp_full_match(hit, '[0-9a-fA-F]+') THEN {LIMITS["hex"]} WHEN regexp_full_match(hit, '[A-Za-z0-9]+') THEN {LIMITS["alnum"]} ELSE {LIMITS["base64"]} END AS lim
-  FROM e WHERE regexp_matches(hit, '[0-9]') AND regexp_matches(hit, '[A-Za-z]') AND {_NOT_ALLOWED}),
-f AS (SELECT rid, hit, s FROM e_ok WHERE list_max(list_transform(generate_series(1, length(hit) - {WINDOW - 1}), lambda i: list_entropy(string_split(substr(hit, i, {WINDOW}), '')))) >= lim),
+e_v AS (SELECT rid, hit, s, split_part(rtrim(hit, '='), '=', -1) AS v FROM e),
+e_ok AS (SELECT rid, hit, s, string_split_regex(v, '{WORDS}') AS parts, CASE WHEN regexp_full_match(hit, '[0-9a-fA-F]+') THEN {LIMITS["hex"]} WHEN NOT regexp_matches(hit, '[0-9]') THEN {LIMITS["letters"]}
+    WHEN regexp_full_match(hit, '[A-Za-z0-9]+') THEN {LIMITS["alnum"]} ELSE {LIMITS["base64"]} END AS lim
+  FROM e_v WHERE (regexp_matches(hit, '[0-9]') AND regexp_matches(hit, '[A-Za-z]') OR regexp_matches(hit, '[A-Z]') AND regexp_matches(hit, '[a-z]')) AND {_NOT_ALLOWED}),
+f AS (SELECT rid, hit, s FROM e_ok WHERE list_max(flatten(list_transform(parts, lambda v: list_transform(generate_series(1, length(v) - {WINDOW - 1}), lambda i: list_entropy(string_split(substr(v, i, {WINDOW}), '')))))) >= lim),
 x AS (SELECT rid, 0 AS k, s, s + length(hit) AS t FROM a WHERE length(regexp_extract(hit, '{ASSIGN.replace("'", "''")}', 2)) >= 6
   UNION ALL SELECT rid, 1, s, s + length(hit) FROM b UNION ALL SELECT rid, 2, s, s + length(hit) FROM c UNION ALL SELECT rid, 3, s, s + length(hit) FROM f),
 y AS (SELECT rid, k, s, (['assign', 'access', 'hex', 'entropy'])[k + 1] || ':' || s || ':' || t AS z FROM x),
