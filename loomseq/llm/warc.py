@@ -5,10 +5,15 @@ bytes (its separator is the last line feed of every record), so any store that S
 reaches will do. Payloads that occur more than once are stored once, as the response of
 the largest page_id; the others become revisit records that refer to it.
 
-Reading: the archives are scanned line by line, never a whole file or record at once. A
-payload comes out as rows (record_id, chunk_no, chunk) of at most chunk_bytes bytes, and
-the SHA-1 is carried from chunk to chunk; the last chunk's row holds the digest and the
-length. A record of any size needs the memory of a chunk and a batch of lines.
+Reading: Spark lists the archives and deals them out; a task opens each through Arrow's
+file systems and takes blocks of READ_BYTES bytes, unpacked as far as a block goes, never a
+line, record or file at once. A payload comes out as rows (record_id, chunk_no, chunk) of
+at most chunk_bytes bytes, and the SHA-1 is carried from chunk to chunk; the last chunk's
+row holds the digest and the length. A record of any size, with or without line feeds,
+needs the memory of a block and a chunk. Archives are plain or gzip-compressed, as a whole
+or record by record; each is read by one task. Header names may be in any case, lines
+without a colon are passed over, a missing length counts as 0. Of an archive that ends
+inside a record the rest comes out as a chunk that is not the last.
 
 Null html counts as empty. Rows with a null page_id or a null url are written like
 others. Several rows with the group's largest page_id are all responses. Empty tables
@@ -17,15 +22,19 @@ give empty archives; further columns are ignored.
 
 from __future__ import annotations
 
+import base64
 import hashlib
+import zlib
+from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomseq.llm.common import fresh_path, materialise, table
 
-CHUNK_BYTES = 1 << 18
+CHUNK_BYTES, READ_BYTES = 1 << 18, 1 << 18
 CHUNKS = "record_id string, record_type string, refers_to string, declared_digest string, declared_bytes long, chunk_no int, chunk binary, end_offset long, is_last boolean, payload_digest string"
 
 
@@ -78,66 +87,116 @@ def write_warc(spark: SparkSession, pages: DataFrame, path: str, min_bytes: int
     rows.select(record.alias("value")).write.option("lineSep", "\n").option("compression", "gzip").option("maxRecordsPerFile", records_per_file).text(path)
 
 
+def _head(block: bytes) -> dict[str, str]:
+    pairs = (line.partition(":") for line in block.decode("utf-8", "replace").split("\r\n"))
+    return {name.strip().lower(): value.strip() for name, colon, value in pairs if colon}
+
+
+def _number(value: str | None) -> int:
+    return int(value) if value and value.isdigit() else 0
+
+
 class _Reader:
     """Parser of a stream of WARC bytes; emits rows of CHUNKS."""
 
     def __init__(self, chunk_bytes: int):
-        self.size, self.buffer, self.at, self.record = chunk_bytes, b"", 0, None
+        self.size, self.buffer, self.record = chunk_bytes, b"", None
 
     def feed(self, data: bytes) -> list[tuple]:
-        buf = self.buffer[self.at :] + data if self.at < len(self.buffer) else data
+        buf = self.buffer + data
         at, rows = 0, []
         while True:
             if self.record is None:
                 end = buf.find(b"\r\n\r\n", at)
                 if end < 0:
                     break
-                head = dict(x.split(": ", 1) for x in buf[at:end].decode("utf-8").split("\r\n")[1:])
+                head = _head(buf[at:end])
                 at = end + 4
-                digest = head.get("WARC-Payload-Digest", "").removeprefix("sha1:")
-                self.record = (head["WARC-Record-ID"], head["WARC-Type"], head.get("WARC-Refers-To"), digest, int(head.get("WARC-Payload-Length", head["Content-Length"])))
-                self.left, self.no, self.done, self.sha = int(head["Content-Length"]), 0, 0, hashlib.sha1()
-            need = min(self.size, self.left) + (4 if self.left <= self.size else 0)
-            if len(buf) - at < need:
-                break
+                self.left, self.no, self.done, self.sha = _number(head.get("content-length")), 0, 0, hashlib.sha1()
+                declared = head.get("warc-payload-digest", "").removeprefix("sha1:")
+                length = _number(head["warc-payload-length"]) if "warc-payload-length" in head else self.left
+                self.record = (head.get("warc-record-id"), head.get("warc-type"), head.get("warc-refers-to"), declared, length)
             n = min(self.size, self.left)
-            chunk = buf[at : at + n]
-            self.sha.update(chunk)
-            at += need
-            self.left -= n
-            self.done += n
-            last = not self.left
-            rows.append((*self.record, self.no, chunk, self.done, last, base32(self.sha.digest()) if last else None))
-            self.no += 1
-            if last:
+            if len(buf) - at < n + (4 if n == self.left else 0):
+                break
+            rows.append(self._row(buf[at : at + n]))
+            at += n
+            if not self.left:
+                at += 4
                 self.record = None
-        self.buffer, self.at = buf, at
+        self.buffer = buf[at:]
         return rows
 
+    def _row(self, chunk: bytes) -> tuple:
+        self.sha.update(chunk)
+        self.left -= len(chunk)
+        self.done += len(chunk)
+        last = not self.left
+        self.no += 1
+        return (*self.record, self.no - 1, chunk, self.done, last, base32(self.sha.digest()) if last else None)
 
-def base32(digest: bytes) -> str:
-    import base64
+    def finish(self) -> list[tuple]:
+        """What is left of a record that the stream breaks off."""
+        if self.record is None or not (self.left or self.done == 0):
+            return []
+        chunk = self.buffer[: self.left]
+        return [(*self.record, self.no, chunk, self.done + len(chunk), False, None)]
 
+
+def base32(digest: bytes) -> str:
     return base64.b32encode(digest).decode()
 
 
+def unpacked(stream) -> Iterator[bytes]:
+    """Blocks of READ_BYTES bytes at most of a stream that is plain or gzip, of one member or
+    many."""
+    block = stream.read(READ_BYTES)
+    if block[:2] != b"\x1f\x8b":
+        while block:
+            yield block
+            block = stream.read(READ_BYTES)
+        return
+    member = zlib.decompressobj(31)
+    while block:
+        out = member.decompress(block, READ_BYTES)
+        if out:
+            yield out
+        block = member.unconsumed_tail
+        if member.eof:
+            block, member = member.unused_data.lstrip(b"\0"), zlib.decompressobj(31)
+        block = block or stream.read(READ_BYTES)
+    yield member.flush()
+
+
+def records_of(uri: str, chunk_bytes: int) -> Iterator[list[tuple]]:
+    """Lists of rows of CHUNKS of one archive."""
+    if uri.startswith("file:"):
+        system, path = pyarrow.fs.LocalFileSystem(), "/" + uri.removeprefix("file:").lstrip("/")
+    else:
+        system, path = pyarrow.fs.FileSystem.from_uri(uri)
+    reader = _Reader(chunk_bytes)
+    with system.open_input_stream(path, compression=None) as stream:
+        for block in unpacked(stream):
+            yield reader.feed(block)
+    yield reader.finish()
+
+
 def read_warc(spark: SparkSession, path: str, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """The chunk table (columns of CHUNKS) of the archives under path. payload_digest is
-    computed from the chunks that were read; a revisit has one empty chunk."""
-    lines = spark.read.option("lineSep", "\n").text(path).select(F.col("value").cast("binary").alias("line"))
-    fields = ["record_id", "record_type", "refers_to", "declared_digest", "declared_bytes", "chunk_no", "chunk", "end_offset", "is_last", "payload_digest"]
+    """The chunk table (columns of CHUNKS) of the archives under path, which Arrow's file
+    systems must be able to open. payload_digest is computed from the chunks that were read;
+    a revisit has one empty chunk."""
+    files = spark.read.format("binaryFile").load(path).select("path")
     kinds = [pa.string()] * 4 + [pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.bool_(), pa.string()]
+    fields = ["record_id", "record_type", "refers_to", "declared_digest", "declared_bytes", "chunk_no", "chunk", "end_offset", "is_last", "payload_digest"]
 
     def run(batches):
-        reader = _Reader(chunk_bytes)
         for batch in batches:
-            column = batch.column(0)
-            for start in range(0, len(column), 2000):
-                rows = reader.feed(b"\n".join(column.slice(start, 2000).to_pylist()) + b"\n")
-                if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=fields)
+            for uri in batch.column("path").to_pylist():
+                for rows in records_of(uri, chunk_bytes):
+                    if rows:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=fields)
 
-    return lines.mapInArrow(run, CHUNKS)
+    return files.mapInArrow(run, CHUNKS)
 
 
 def page_of(urn: Column) -> Column:
