@@ -2,20 +2,25 @@
 
 For each language a suffix automaton of labelled text is built. A text is parsed against
 each automaton into phrases, each the longest prefix of what is left that occurs in that
-language's text (or one strange letter). The number of phrases, times the logarithm of
+language's text, or one strange letter. The number of phrases, times the logarithm of
 the automaton's text length and divided by the text's length, is an entropy; the
 language that needs the least wins, ties going to the smaller name.
 
-The walk needs only the automaton's transitions, so they are laid out as one table: a
-transition that does not exist leads to where the letter leads from the root, with a
-flag that a phrase has ended. Texts are cut into runs of STEP letters, and all runs of a
+The walk needs only the automaton's transitions, so they are laid out as one table, with a
+flag on a transition that begins a phrase; a last state of each language stands for the
+place between two phrases. Texts are cut into runs of STEP letters, and all runs of a
 slice walk all tables in lock-step, so Python's work per letter is a share of a vector
-operation. Phrases do not cross runs; that holds alike for every language.
-
-Training text is bounded: TRAIN_LETTERS letters a language, from up to TRAIN_DOCS whole
-documents of smallest hash. Every language is learnt; beyond BLOCK_LANGUAGES they are
-parsed in blocks, one pass each, so a table's size is bounded. Every whole text is predicted. Null text and text without letters is und, with
-score 0. Empty tables give empty results; other columns are ignored.
+operation. Then every run's last phrase is walked on into the next run until both begin a
+phrase at the same letter (from there on they agree), over and over until nothing changes;
+so phrases cross runs, and their number is that of one walk over the whole text.
+
+Training rows are bounded: up to TRAIN_DOCS rows a language, in the order of a hash, those
+of over TRAIN_LENGTH characters last and the shortest of them first, until they hold
+TRAIN_LETTERS characters; a row is taken whole. Every language is learnt; beyond
+BLOCK_LANGUAGES they are parsed in blocks, one pass each, so a table's size is bounded.
+Every whole text is predicted. Null text and text without letters is und, with score 0.
+Repeated rows are predicted alike; training on equal ids and texts is the same in any
+order. Empty tables give empty results; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,9 +33,10 @@ from pyspark.sql import functions as F
 from loomseq.llm.common import discard, materialise, stable_bucket, table, text_slices
 
 TRAIN_LETTERS = 30_000
-TRAIN_DOCS = 200
+TRAIN_DOCS, TRAIN_LENGTH = 200, 10_000
 BLOCK_LANGUAGES = 64
 STEP = 512
+SLICE = 2 << 20
 
 
 def _letter_tables() -> tuple[np.ndarray, np.ndarray]:
@@ -108,59 +114,87 @@ def automaton(symbols: list[int]) -> list[dict[int, int]]:
 class Parser:
     """Transition tables of all languages in one array."""
 
-    def __init__(self, samples: dict[str, list[str]], max_letters: int = TRAIN_LETTERS):
+    def __init__(self, samples: dict[str, list[str]]):
         self.languages = sorted(samples)
-        streams = []
-        for lang in self.languages:
-            s, _ = letters([" ".join([*samples[lang], ""])])
-            streams.append(s[:max_letters])
+        streams = [letters([" ".join([*samples[lang], ""])])[0] for lang in self.languages]
         self.alphabet = np.unique(np.concatenate([[0], *streams]))
         width = len(self.alphabet) + 1  # the last column: letters that no language has
-        parts, self.roots, base = [], [], 0
+        parts, self.between, base = [], [], 0
         for s in streams:
             move = automaton(np.searchsorted(self.alphabet, s).tolist())
-            t = np.full((len(move), width), -1, dtype=np.int64)
+            t = np.full((len(move) + 1, width), -1, dtype=np.int64)
             for state, row in enumerate(move):
                 for c, to in row.items():
                     t[state, c] = to
-            # A missing transition ends a phrase; the letter starts the next one.
-            restart = np.where(t[0] >= 0, t[0], 0)
-            full = np.where(t >= 0, 2 * (t + base), 2 * (restart[None, :] + base) + 1)
+            # Between phrases, and where a phrase cannot go on, a letter begins the next one;
+            # after a letter that does not occur at all the place is between phrases again.
+            begin = np.where(t[0] >= 0, t[0], len(move))
+            full = np.where(t >= 0, 2 * (t + base), 2 * (begin[None, :] + base) + 1)
             parts.append(full.astype(np.int32))
-            self.roots.append(base)
-            base += len(move)
+            self.between.append(base + len(move))
+            base += len(move) + 1
         self.table = np.concatenate(parts).ravel() if parts else np.zeros(0, np.int32)
         self.width = width
         self.scale = np.log2(np.array([max(2, len(s)) for s in streams])) if streams else np.zeros(0)
 
-    def entropies(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """[text, language] entropies in bits a letter, and numbers of symbols."""
-        symbols, starts = letters(texts)
+    def phrases(self, c: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """[text, language] numbers of phrases; c are columns of the table, text i those
+        from starts[i] to starts[i + 1]."""
         size = np.diff(starts)
         runs = -(-size // STEP)
-        owner = np.repeat(np.arange(len(texts)), runs)
+        owner = np.repeat(np.arange(len(size)), runs)
         k = np.arange(len(owner)) - np.repeat(np.cumsum(runs) - runs, runs)
         begin = starts[:-1][owner] + k * STEP
         length = np.minimum(STEP, starts[1:][owner] - begin)
         order = np.argsort(-length, kind="stable")
+        after = np.full(len(owner), -1, dtype=np.int64)  # the next run of the same text
+        rank = np.empty(len(owner), dtype=np.int64)
+        rank[order] = np.arange(len(owner))
+        after[rank[:-1]] = np.where(owner[1:] == owner[:-1], rank[1:], -1)
         begin, length, owner = begin[order], length[order], owner[order]
-        c = np.searchsorted(self.alphabet, symbols)
-        c[c == len(self.alphabet)] = 0
-        c = np.where(self.alphabet[c] == symbols, c, self.width - 1).astype(np.int32)
         n, m = len(begin), len(self.languages)
-        state = np.tile(np.array(self.roots, dtype=np.int32)[:, None] * 2, (1, n))
-        phrases = np.zeros((m, n), dtype=np.int32)
+        state = np.tile(2 * np.array(self.between, dtype=np.int32)[:, None], (1, n))
+        flags = np.zeros((int(length[0]) if n else 0, m, n), dtype=bool)
         alive = np.searchsorted(-length, -np.arange(1, STEP + 1), side="right")
-        for step in range(int(length[0]) if n else 0):
+        for step in range(len(flags)):
             live = alive[step]
-            x = c[begin[:live] + step]
-            s = self.table[(state[:, :live] >> 1) * self.width + x]
+            s = self.table[(state[:, :live] >> 1) * self.width + c[begin[:live] + step]]
             state[:, :live] = s
-            phrases[:, :live] += s & 1
-        total = np.zeros((len(texts), m))
+            flags[step, :, :live] = s & 1
+        lang, run = np.nonzero(np.broadcast_to(after >= 0, (m, n)))
+        while len(run):
+            into = after[run]
+            s, todo = state[lang, run], np.arange(len(run))
+            agreed = np.zeros(len(run), dtype=bool)
+            for step in range(len(flags)):
+                todo = todo[length[into[todo]] > step]
+                if not len(todo):
+                    break
+                i, r = into[todo], lang[todo]
+                s[todo] = self.table[(s[todo] >> 1) * self.width + c[begin[i] + step]]
+                new, old = (s[todo] & 1).astype(bool), flags[step, r, i]
+                flags[step, r, i] = new
+                agreed[todo[new & old]] = True
+                todo = todo[~(new & old)]
+            # Runs that were walked through without agreeing end in another state.
+            changed = ~agreed & (s >> 1 != state[lang, into] >> 1)
+            state[lang[changed], into[changed]] = s[changed]
+            lang, run = lang[changed], into[changed]
+            lang, run = lang[after[run] >= 0], run[after[run] >= 0]
+        total = np.zeros((len(size), m), dtype=np.int64)
+        count = flags.sum(0)
         for j in range(m):
-            total[:, j] = np.bincount(owner, weights=phrases[j] + 1, minlength=len(texts))
-        return total * self.scale / np.maximum(size, 1)[:, None], size
+            total[:, j] = np.bincount(owner, weights=count[j], minlength=len(size))
+        return total
+
+    def entropies(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """[text, language] entropies in bits a letter, and numbers of symbols."""
+        symbols, starts = letters(texts)
+        c = np.searchsorted(self.alphabet, symbols)
+        c[c == len(self.alphabet)] = 0
+        c = np.where(self.alphabet[c] == symbols, c, self.width - 1).astype(np.int32)
+        size = np.diff(starts)
+        return self.phrases(c, starts) * self.scale / np.maximum(size, 1)[:, None], size
 
     def predict(self, texts: list[str]) -> tuple[list[str], list[float]]:
         if not self.languages:
@@ -175,38 +209,32 @@ class Parser:
 class Blocks:
     """Samples of languages in blocks, in the order of names; tables are built block by block."""
 
-    def __init__(self, samples: list[dict[str, list[str]]], max_letters: int):
-        self.samples, self.max_letters = samples, max_letters
+    def __init__(self, samples: list[dict[str, list[str]]]):
+        self.samples = samples
         self.languages = [lang for block in samples for lang in sorted(block)]
 
 
-def enough(texts: list[str], count: int) -> list[str]:
-    """The first texts that hold count symbols between them, or all."""
-    kept, n = [], 0
-    for t in texts:
-        if n >= count:
-            break
-        kept.append(t)
-        n += max(0, len(letters([t])[0]) - 1)  # blanks may merge where texts meet
-    return kept
-
-
-def fit(spark: SparkSession, docs: DataFrame, train_docs: int = TRAIN_DOCS, train_letters: int = TRAIN_LETTERS) -> Parser | Blocks:
-    """Learn from docs (doc_id, text, lang); rows without text or lang are left out."""
-    some = docs.where("text is not null and lang is not null")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(5)), "doc_id")
-    ranked = some.select("doc_id", "lang").withColumn("k", F.row_number().over(order)).where(F.col("k") <= train_docs)
-    ids = materialise(spark, ranked, "train-ids")
+def fit(spark: SparkSession, docs: DataFrame, train_docs: int = TRAIN_DOCS, train_letters: int = TRAIN_LETTERS, train_length: int = TRAIN_LENGTH) -> Parser | Blocks:
+    """Learn from docs (doc_id, text, lang); rows without a letter or lang are left out."""
+    some = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    some = some.select("doc_id", "lang", F.length("text").alias("n"), F.xxhash64("doc_id", "text", F.lit(5)).alias("h"))
+    order = [F.when(F.col("n") > train_length, F.col("n")).otherwise(0), "h", "doc_id"]
+    by_lang = Window.partitionBy("lang").orderBy(*order)
+    ranked = materialise(spark, some.withColumn("k", F.row_number().over(by_lang)).where(F.col("k") <= train_docs), "ranked")
+    before = F.sum("n").over(Window.partitionBy("lang").orderBy("k").rowsBetween(Window.unboundedPreceding, -1))
+    ids = ranked.withColumn("before", F.coalesce(before, F.lit(0))).where(F.col("before") < train_letters)
+    ids = materialise(spark, ids.select("doc_id", "lang", "h", "k"), "train-ids")
     langs = sorted(r.lang for r in ids.select("lang").distinct().collect())
+    keyed = docs.select("doc_id", "lang", "text", F.xxhash64("doc_id", "text", F.lit(5)).alias("h"))
     blocks: list[dict[str, list[str]]] = []
     for lo in range(0, len(langs), BLOCK_LANGUAGES):
-        part = ids.where(F.col("lang").isin(langs[lo : lo + BLOCK_LANGUAGES]))
-        rows = some.join(F.broadcast(part), ["doc_id", "lang"]).select("lang", "k", F.substring("text", 1, train_letters).alias("text")).collect()
+        part = ids.where(F.col("lang").isin(langs[lo : lo + BLOCK_LANGUAGES])).dropDuplicates(["lang", "h"])
+        rows = keyed.join(F.broadcast(part.select("lang", "h", "k")), ["lang", "h"]).dropDuplicates(["lang", "h"]).select("lang", "k", "text").collect()
         samples: dict[str, list[str]] = {}
-        for r in sorted(rows, key=lambda r: (r.lang, r.k, r.text)):
+        for r in sorted(rows, key=lambda r: (r.lang, r.k)):
             samples.setdefault(r.lang, []).append(r.text)
-        blocks.append({lang: enough(texts, train_letters) for lang, texts in samples.items()})
-    return Blocks(blocks, train_letters) if len(blocks) > 1 else Parser(blocks[0] if blocks else {}, train_letters)
+        blocks.append(samples)
+    return Blocks(blocks) if len(blocks) > 1 else Parser(blocks[0] if blocks else {})
 
 
 def predict(docs: DataFrame, parser: Parser | Blocks) -> DataFrame:
@@ -218,7 +246,7 @@ def predict(docs: DataFrame, parser: Parser | Blocks) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
-        for piece in text_slices(batches, 2 << 20):
+        for piece in text_slices(batches, SLICE // max(1, -(-len(shared.value.languages) // 8))):
             lang, score = shared.value.predict([t or "" for t in piece.column("text").to_pylist()])
             yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(lang, pa.string()), pa.array(score, pa.float64())], names=["doc_id", "lang_pred", "score"])
 
@@ -234,7 +262,7 @@ def _predict_blocks(docs: DataFrame, model: Blocks) -> DataFrame:
 
     def step(shared):
         def run(batches):
-            for piece in text_slices(batches, 2 << 20):
+            for piece in text_slices(batches, SLICE // max(1, -(-len(shared.value.languages) // 8))):
                 h, size = shared.value.entropies([t or "" for t in piece.column("text").to_pylist()])
                 at, low = h.argmin(1), h.min(1)
                 total = (2.0 ** -np.clip((h - low[:, None]) * 8, 0, 500)).sum(1)
@@ -251,7 +279,7 @@ def _predict_blocks(docs: DataFrame, model: Blocks) -> DataFrame:
 
     out = docs.select("doc_id", "text", F.lit(None).cast("string").alias("lang_pred"), F.lit(float("inf")).alias("least"), F.lit(0.0).alias("total"))
     for samples in model.samples:
-        shared = spark.sparkContext.broadcast(Parser(samples, model.max_letters))
+        shared = spark.sparkContext.broadcast(Parser(samples))
         new = materialise(spark, out.mapInArrow(step(shared), f"doc_id {kind}, text string, lang_pred string, least double, total double"), "languages")
         shared.destroy()
         if samples is not model.samples[0]:
