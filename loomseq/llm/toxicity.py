@@ -8,6 +8,7 @@
    Correlations between voters within a class are estimated each round, and a voter's
    weight is reduced by what it shares with others.
    The given labels are one more voter, whose errors are estimated like the others'.
+   Nothing is held at a given value.
 3. Classifier. A logistic regression over term counts and votes is trained on the
    posterior labels; it alone gives the score.
 
@@ -31,8 +32,9 @@ from pyspark.sql import functions as F
 from loomseq.llm.common import materialise, stable_bucket, table, text_slices
 
 MAX_TOXIC, MAX_CLEAN = 4_000, 12_000
-MAX_CANDIDATES, MAX_TERMS = 20_000, 600
 LIMIT = 0.3
+#: Least logarithm of how much more often toxic texts hold a voter's term.
+LEAST = 2.0
 BEGINNINGS = (3, 4, 5, 6, 7, 8)
 FIXED_WORDS = ("idiot", "idiots", "moron", "morons", "stupid", "scum", "trash", "loser", "losers", "worthless", "pathetic", "disgusting", "clown", "dumb", "filthy", "vermin", "hate")
 WORD = re.compile(r"[^\W\d_]+")
@@ -55,19 +57,14 @@ def terms_of(text: str) -> Counter:
     return out
 
 
-def _count_terms(wanted: set | None):
-    """Documents per term: in toxic texts (wanted None), else in clean texts, of wanted."""
-
-    def run(batches):
-        seen: Counter = Counter()
-        for batch in batches:
-            for text in batch.column("text").to_pylist():
-                t = terms_of((text or "").lower())
-                seen.update(t.keys() if wanted is None else wanted.intersection(t))
-        if seen:
-            yield pa.RecordBatch.from_arrays([pa.array(list(seen.keys())), pa.array(list(seen.values()), pa.int64())], names=["term", "n"])
-
-    return run
+def _count_terms(batches):
+    """Documents that hold a term, by class."""
+    for piece in text_slices(batches, 1 << 20):
+        seen: dict[int, Counter] = {0: Counter(), 1: Counter()}
+        for text, y in zip(piece.column("text").to_pylist(), piece.column("toxic").to_pylist(), strict=True):
+            seen[y].update(terms_of((text or "").lower()).keys())
+        terms = list(seen[0] | seen[1])
+        yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), *(pa.array([seen[y][t] for t in terms], pa.int64()) for y in (1, 0))], names=["term", "toxic", "clean"])
 
 
 class Scorer:
@@ -77,40 +74,41 @@ class Scorer:
         self.terms, self.voters, self.n_lexicon = terms, voters, n_voters
         self.index = {t: i for i, t in enumerate(terms)}
         self.lengths = sorted({len(t) - 1 for t in terms if t.endswith("*")})
+        self.known: dict[str, tuple[int, ...]] = {}
         self.weights, self.bias = np.zeros(len(terms) + self.n_voters), -np.inf
 
     @property
     def n_voters(self) -> int:
         return self.n_lexicon + 2 + len(PATTERNS)
 
+    def terms_in(self, word: str) -> tuple[int, ...]:
+        """Terms that a word is or begins with; those of frequent words are remembered."""
+        found = self.known.get(word)
+        if found is None:
+            if len(self.known) > 100_000:
+                self.known.clear()
+            keys = [word, *(word[:k] + "*" for k in self.lengths if len(word) > k)]
+            found = self.known[word] = tuple(self.index[k] for k in keys if k in self.index)
+        return found
+
     def features(self, text: str | None) -> tuple[list[int], list[float], np.ndarray]:
         """Indices and values of term features, and the votes (1 toxic, -1 clean, 0)."""
         low = (text or "").lower()
         votes = np.zeros(self.n_voters)
-        at, value = [], []
-        get = self.index.get
-        fixed = 0
         counts: dict[int, int] = {}
-        for w, n in Counter(WORD.findall(low)).items():
-            i = get(w)
-            if i is not None:
+        words = Counter(WORD.findall(low))
+        for w, n in words.items():
+            for i in self.terms_in(w):
                 counts[i] = counts.get(i, 0) + n
-            for k in self.lengths:
-                if len(w) <= k:
-                    break
-                i = get(w[:k] + "*")
-                if i is not None:
-                    counts[i] = counts.get(i, 0) + n
-            fixed += n if w in FIXED_WORDS else 0
-        for i, n in counts.items():
-            at.append(i)
-            value.append(float(np.log1p(n)))
-            votes[self.voters[i]] = 1
+        at = sorted(counts)
+        value = np.log1p([counts[i] for i in at]).tolist()
+        votes[self.voters[at]] = 1
+        fixed = sum(words[w] for w in FIXED_WORDS if w in words)
         votes[self.n_lexicon] = 1 if fixed > 1 else 0
-        votes[self.n_lexicon + 1] = -1 if not counts and not fixed else 0
-        if fixed or "!" in low:
-            for k, p in enumerate(PATTERNS):
-                votes[self.n_lexicon + 2 + k] = 1 if p.search(low) else 0
+        # The first two patterns need a fixed word, so they are not looked for without one.
+        for k, p in enumerate(PATTERNS):
+            votes[self.n_lexicon + 2 + k] = 1 if (fixed or k > 1) and p.search(low) else 0
+        votes[self.n_lexicon + 1] = -1 if not counts and not fixed and not votes[self.n_lexicon + 2 :].any() else 0
         return at, value, votes
 
     def score(self, text: str | None) -> float:
@@ -121,10 +119,9 @@ class Scorer:
         return float(1 / (1 + np.exp(-np.clip(z, -40, 40))))
 
 
-def label_model(votes: np.ndarray, prior: float, rounds: int = 50, given: int | None = None, most_wrong: float = 0.03) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def label_model(votes: np.ndarray, prior: float, rounds: int = 50) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Posterior of class 1 for each row of votes; accuracies P(vote | class), as
-    [voter, class, vote]; and correlations [voter, voter] within the classes. given is the
-    voter that stands for human labels; its error rate is held at most_wrong or less."""
+    [voter, class, vote]; and correlations [voter, voter] within the classes."""
     n, m = votes.shape
     which = (votes + 1).astype(int)
     post = np.clip(0.5 + 0.5 * np.sign(votes.sum(1)), 0.02, 0.98)
@@ -135,11 +132,6 @@ def label_model(votes: np.ndarray, prior: float, rounds: int = 50, given: int |
         weight = np.stack([1 - post, post])
         for y in (0, 1):
             table_[:, y] = (np.einsum("n,nmk->mk", weight[y], onehot) + 0.1) / (weight[y].sum() + 0.3)
-        if given is not None:
-            for y in (0, 1):
-                wrong = min(table_[given, y, 2 - 2 * y], most_wrong)
-                table_[given, y] = 1e-9
-                table_[given, y, 2 - 2 * y], table_[given, y, 2 * y] = wrong, 1 - wrong
         spread = np.zeros((m, m))
         for y in (0, 1):
             mean = (weight[y] @ votes) / max(weight[y].sum(), 1e-9)
@@ -174,7 +166,7 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 400
     return w.astype(float), float(b)
 
 
-def choose_terms(toxic: dict[str, int], clean: dict[str, int], n1: int, n0: int, least: float = 2.0) -> list[str]:
+def choose_terms(toxic: dict[str, int], clean: dict[str, int], n1: int, n0: int, least: float = LEAST) -> list[str]:
     """Terms by a cautious estimate of the logarithm of how much more often toxic texts
     hold them. A term is left out where a chosen beginning of it is about as telling, and
     a beginning where it tells little beyond the chosen terms that it begins."""
@@ -203,8 +195,6 @@ def choose_terms(toxic: dict[str, int], clean: dict[str, int], n1: int, n0: int,
             held = inside.setdefault(b, [0, 0])
             held[0] += n
             held[1] += c
-        if len(chosen) == MAX_TERMS:
-            break
     return list(chosen)
 
 
@@ -212,16 +202,16 @@ def _featurise(scorer: Scorer):
     def run(batches):
         for batch in batches:
             rows = [scorer.features(t) for t in batch.column("text").to_pylist()]
-            columns = [pa.array([r[0] for r in rows], pa.list_(pa.int32())), pa.array([r[1] for r in rows], pa.list_(pa.float64())), pa.array([r[2].tolist() for r in rows], pa.list_(pa.float64())), batch.column("toxic")]
-            yield pa.RecordBatch.from_arrays(columns, names=["at", "value", "votes", "toxic"])
+            columns = [pa.array([r[0] for r in rows], pa.list_(pa.int32())), pa.array([r[1] for r in rows], pa.list_(pa.float64())), pa.array([r[2].tolist() for r in rows], pa.list_(pa.float64())), batch.column("toxic"), batch.column("h")]
+            yield pa.RecordBatch.from_arrays(columns, names=["at", "value", "votes", "toxic", "h"])
 
     return run
 
 
 def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, max_clean: int = MAX_CLEAN) -> Scorer:
     """Fit on docs (doc_id, text) with labels (doc_id, toxic); the caller chooses the rows
-    that may be learnt from. Only bounded results reach the driver: MAX_CANDIDATES terms
-    and the features of max_toxic + max_clean rows."""
+    that may be learnt from. Only bounded results reach the driver: terms of the sample that
+    are far more frequent in its toxic texts, and the features of max_toxic + max_clean rows."""
     marks = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     order = F.xxhash64(F.col("doc_id"), F.lit(11))
     chosen = [marks.where(F.col("toxic") == y).orderBy(order, "doc_id").limit(n) for y, n in ((1, max_toxic), (0, max_clean))]
@@ -232,10 +222,10 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, max_toxic: int
     scorer = Scorer([], np.zeros(0, dtype=int), 1)
     if not n1 or not n0:
         return scorer
-    count = lambda y, wanted: sample.where(F.col("toxic") == y).select("text").mapInArrow(_count_terms(wanted), "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    least = max(5, n1 // 200)
-    toxic = dict(count(1, None).where(F.col("n") >= least).orderBy(F.desc("n"), "term").limit(MAX_CANDIDATES).collect())
-    clean = dict(count(0, set(toxic)).collect())
+    counts = sample.mapInArrow(_count_terms, "term string, toxic long, clean long").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    often = F.log((F.col("toxic") + 0.5) / (n1 + 1)) - F.log((F.col("clean") + 0.5) / (n0 + 1))
+    telling = counts.where((F.col("toxic") >= max(5, n1 // 200)) & (often >= LEAST)).collect()
+    toxic, clean = {r.term: r.toxic for r in telling}, {r.term: r.clean for r in telling}
     ranked = choose_terms(toxic, clean, n1, n0)
     kinds: dict[str, int] = {}
     voters = []
@@ -243,13 +233,15 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, max_toxic: int
         kind = f"{len(t) if t.endswith('*') else 'word'}/{min(2, 3 * rank // max(1, len(ranked)))}"
         voters.append(kinds.setdefault(kind, len(kinds)))
     scorer = Scorer(ranked, np.array(voters, dtype=int), max(1, len(kinds)))
-    rows = sample.select("text", "toxic").mapInArrow(_featurise(scorer), "at array<int>, value array<double>, votes array<double>, toxic int").toArrow()
+    # In a fixed order, so that sums of the fit, and scores, are the same in every run.
+    kinds_ = "at array<int>, value array<double>, votes array<double>, toxic int, h long"
+    rows = sample.select("text", "toxic", F.xxhash64("text").alias("h")).mapInArrow(_featurise(scorer), kinds_).toArrow().sort_by([("h", "ascending"), ("toxic", "ascending")])
     votes = np.array(rows.column("votes").to_pylist())
     x = np.zeros((len(votes), len(ranked)), dtype=np.float32)
     for i, (at, value) in enumerate(zip(rows.column("at").to_pylist(), rows.column("value").to_pylist(), strict=True)):
         x[i, at] = value
     given = 2.0 * rows.column("toxic").to_numpy() - 1
-    post, _, _ = label_model(np.hstack([votes, given[:, None]]), n1 / (n1 + n0), given=votes.shape[1])
+    post, _, _ = label_model(np.hstack([votes, given[:, None]]), n1 / (n1 + n0))
     scorer.weights, scorer.bias = logistic(np.hstack([x, votes.astype(np.float32)]), post)
     return scorer
 
