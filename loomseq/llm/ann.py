@@ -28,13 +28,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from loomseq.llm.common import materialise, sorted_groups, table
-from loomseq.llm.lattice import matrix, unit, usable
+from loomseq.llm.common import discard, materialise, sorted_groups, table
+from loomseq.llm.lattice import matrix, plain, unit, usable
 
 SAMPLE_ROWS, SAMPLE_VALUES = 5_000, 4_000_000
 BRANCHES, LEAF_ROWS = 8, 40
 CALIBRATION, RECALL = 96, 0.95
 PART_ROWS, PART_QUERIES = 4096, 1024
+#: Pairs of a query and a row whose vectors a task holds at a time.
+SLICE_PAIRS = 1 << 14
 
 
 class Tree:
@@ -113,19 +115,25 @@ def _best(ids: np.ndarray, units: np.ndarray, raw: np.ndarray, query_ids: np.nda
     rough[query_ids[:, None] == ids[None, :]] = -2
     n = rough.shape[1]
     edge = np.partition(rough, n - k, axis=1)[:, n - k] if n > k else np.full(len(rough), -1.5)
-    q, r = np.nonzero((rough >= edge[:, None] - 1e-9) & (rough > -1.5))
-    a, b = raw_queries[q], raw[r]
-    score = np.einsum("ij,ij->i", a, b) / (np.sqrt(np.einsum("ij,ij->i", a, a)) * np.sqrt(np.einsum("ij,ij->i", b, b)))
-    order = np.lexsort((ids[r], -score, q))
-    q, r, score = q[order], r[order], score[order]
-    first = np.searchsorted(q, q)
-    keep = np.arange(len(q)) - first < k
-    return q[keep], r[keep], score[keep]
+    near = (rough >= edge[:, None] - 1e-9) & (rough > -1.5)
+    # Rows that tie at the edge may be very many: queries are taken so far as some pairs go.
+    ends = np.cumsum(near.sum(1))
+    out, lo = [], 0
+    while lo < len(near):
+        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + SLICE_PAIRS, side="right")))
+        q, r = np.nonzero(near[lo:hi])
+        a, b = raw_queries[lo + q], raw[r]
+        score = np.einsum("ij,ij->i", a, b) / (np.sqrt(np.einsum("ij,ij->i", a, a)) * np.sqrt(np.einsum("ij,ij->i", b, b)))
+        order = np.lexsort((ids[r], -score, q))
+        q, r, score = q[order], r[order], score[order]
+        keep = np.arange(len(q)) - np.searchsorted(q, q) < k
+        out.append((lo + q[keep], r[keep], score[keep]))
+        lo = hi
+    return tuple(np.concatenate(c) for c in zip(*out, strict=True)) if out else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
 
 
 def _take_part(vectors: DataFrame, dim: int) -> DataFrame:
-    e = F.col("embedding").cast("array<double>")
-    return vectors.select(F.col("vec_id").cast("long"), e.alias("embedding")).where(F.col("vec_id").isNotNull() & usable(F.col("embedding")) & (F.size("embedding") == dim))
+    return vectors.select(F.col("vec_id").cast("long"), plain(vectors).alias("embedding")).where(F.col("vec_id").isNotNull() & usable(F.col("embedding")) & (F.size("embedding") == dim))
 
 
 def fit(spark: SparkSession, vectors: DataFrame, rows: int = SAMPLE_ROWS, values: int = SAMPLE_VALUES) -> tuple[Tree | None, int]:
@@ -186,7 +194,7 @@ def _visits(tree: Tree, limit: int):
             if batch.num_rows:
                 q = unit(matrix(batch.column("embedding")))
                 lists = [tree.visit(v, limit) for v in q]
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lists, pa.list_(pa.int64()))], names=["vec_id", "embedding", "leaves"])
+                yield pa.RecordBatch.from_arrays([batch.column("vec_id"), pa.array(lists, pa.list_(pa.int64()))], names=["vec_id", "leaves"])
 
     return run
 
@@ -217,22 +225,26 @@ def nearest(spark: SparkSession, vectors: DataFrame, queries: DataFrame, k: int
     tree, d = fit(spark, vectors)
     if tree is None:
         return spark.createDataFrame([], kind)
-    index = materialise(spark, _take_part(vectors, d).mapInArrow(_index(tree), "vec_id long, embedding array<double>, leaf long"), "index")
+    kept = _take_part(vectors, d)
+    numbers = kept.schema["embedding"].dataType.simpleString()
+    index = materialise(spark, kept.mapInArrow(_index(tree), f"vec_id long, embedding {numbers}, leaf long"), "index")
     queries = materialise(spark, _take_part(queries, d).dropDuplicates(["vec_id"]), "queries")
     limit = calibrate(spark, index, queries, tree, k, recall)
-    walks = queries.mapInArrow(_visits(tree, limit), "vec_id long, embedding array<double>, leaves array<long>")
-    visits = materialise(spark, walks.select("vec_id", "embedding", F.explode("leaves").alias("leaf")), "visits")
+    walks = queries.mapInArrow(_visits(tree, limit), "vec_id long, leaves array<long>")
+    visits = materialise(spark, walks.select("vec_id", F.explode("leaves").alias("leaf")), "visits")
     sizes = index.groupBy("leaf").agg(F.ceil(F.count("*") / PART_ROWS).cast("int").alias("parts"))
     asked = visits.groupBy("leaf").agg(F.ceil(F.count("*") / PART_QUERIES).cast("int").alias("q_parts"))
     plan = materialise(spark, sizes.join(asked, "leaf"), "plan")
     deal = lambda n, salt: F.pmod(F.xxhash64("vec_id", F.lit(salt)), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     left = index.join(plan, "leaf").select("leaf", deal("parts", 1).alias("part"), every("q_parts").alias("q_part"), F.lit(0).alias("role"), "vec_id", "embedding")
-    right = visits.join(plan, "leaf").select("leaf", every("parts").alias("part"), deal("q_parts", 2).alias("q_part"), F.lit(1).alias("role"), "vec_id", "embedding")
+    right = visits.join(plan, "leaf").join(queries, "vec_id").select("leaf", every("parts").alias("part"), deal("q_parts", 2).alias("q_part"), F.lit(1).alias("role"), "vec_id", "embedding")
     found = sorted_groups(left.unionAll(right), ["leaf", "part", "q_part"], _search(k), "query_id long, vec_id long, score double", order=["role"])
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    return once.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    out = materialise(spark, once.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score"), "nearest")
+    discard(spark, index, queries, visits, plan)
+    return out
 
 
 def op2_ann(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomseq.llm.common import connected_components, forest, materialise, sorted_groups, table
+from loomseq.llm.common import connected_components, discard, forest, materialise, sorted_groups, table
 from loomseq.llm.shingles import mix
 
 THRESHOLD = 0.98
@@ -42,6 +42,13 @@ def usable(vector: Column) -> Column:
     return F.coalesce(vector.isNotNull() & ~bad & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
+def plain(vectors: DataFrame) -> Column:
+    """The embedding as it is stored where its numbers are of single precision, which halves
+    what is shuffled; tasks compute in double precision either way."""
+    kind = vectors.schema["embedding"].dataType.simpleString()
+    return F.col("embedding").cast(kind if kind == "array<float>" else "array<double>")
+
+
 def matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     """Rows of a list column of equal lengths, in double precision."""
     flat = (column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column).flatten()
@@ -183,7 +190,7 @@ def near_vectors(spark: SparkSession, vectors: DataFrame, threshold: float = THR
     label)."""
     e = F.col("embedding")
     ok = usable(e) & F.col("label").isNotNull() & F.col("vec_id").isNotNull()
-    rows = vectors.select(F.col("vec_id").cast("long"), F.when(ok, F.xxhash64("label")).alias("class"), F.when(ok, F.xxhash64(e)).alias("h1"), F.when(ok, F.hash(e, F.lit(1)).cast("long")).alias("h2"), e.cast("array<double>").alias("embedding"))
+    rows = vectors.select(F.col("vec_id").cast("long"), F.when(ok, F.xxhash64("label")).alias("class"), F.when(ok, F.xxhash64(e)).alias("h1"), F.when(ok, F.hash(e, F.lit(1)).cast("long")).alias("h2"), plain(vectors).alias("embedding"))
     good = rows.where("class is not null")
     classes = good.groupBy("class", "h1", "h2").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n"), F.min_by("embedding", "vec_id").alias("embedding"))
     classes = materialise(spark, classes, "classes")
@@ -195,10 +202,12 @@ def near_vectors(spark: SparkSession, vectors: DataFrame, threshold: float = THR
     rows_ = met.select("cell", "rep", "class", "n", "embedding", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
     rows_ = rows_.select("cell", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "rep", "class", "n", "embedding")
     found = materialise(spark, sorted_groups(rows_, ["cell", "i", "j"], _links(threshold), "rep long, links long, root long"), "found")
+    discard(spark, filed, shared)
     links = materialise(spark, found.groupBy("rep").agg(F.sum("links").alias("links")), "links")
     comps = connected_components(spark, found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
     facts = classes.select("class", "h1", "h2", "rep", "n").join(links, "rep", "left").join(comps.withColumnRenamed("node", "rep"), "rep", "left")
     facts = materialise(spark, facts.select("class", "h1", "h2", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component_id", "rep").alias("component_id")), "facts")
+    discard(spark, classes, found, links)
     out = rows.select("vec_id", "class", "h1", "h2").join(facts, ["class", "h1", "h2"], "left")
     out = out.select("vec_id", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
