@@ -14,8 +14,12 @@ queue, so a transition costs constant time. A window whose length is a power of
 not padded. Streams are solved in blocks of whole documents of about block_tokens, which
 bounds memory; a document is never held twice.
 
-Null text counts as empty: its only token is the end mark. Empty tables give no rows;
-repeated rows are packed as often as they occur; other columns are ignored.
+Ids are those of tokenizers' file. Texts of common characters are encoded by the rank file
+of the same vocabulary, which a test holds against tokenizers on every text of a table.
+
+Null text counts as empty: its only token is the end mark. Ids of documents may be of any
+type. Empty tables give no rows; repeated rows are packed as often as they occur; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,7 +34,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
-from loomseq.llm.common import table, text_slices
+from loomseq.llm.common import text_slices
 
 TOKENIZER = "byte_bpe_50k"
 WINDOW_TOKENS = 1024
@@ -38,7 +42,7 @@ SENTENCE_PENALTY, INNER_PENALTY, EACH_WINDOW = 1, 6, 4
 BLOCK_TOKENS = 1 << 19
 STRIDE = 32
 POWERS = (64, 128, 256, 512, 1024)
-SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+SCHEMA = "doc_id {}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 #: Outside these characters the two tokenizer libraries may split words by different
 #: versions of Unicode, so such texts take the reference library.
@@ -126,7 +130,7 @@ def candidates(ids: np.ndarray, doc_ends: np.ndarray, ends: np.ndarray, stride:
     return where, kind[where]
 
 
-def pack_block(docs: list, arrays: list[np.ndarray], ends: np.ndarray, first_sequence: int, size: int, parts: list) -> int:
+def pack_block(docs: list[pa.Array], arrays: list[np.ndarray], ends: np.ndarray, first_sequence: int, size: int, parts: list) -> int:
     """Append the pieces of one block to parts; returns the number of sequences."""
     ids = np.concatenate(arrays)
     lengths = np.array([len(a) for a in arrays], dtype=np.int64)
@@ -142,8 +146,9 @@ def pack_block(docs: list, arrays: list[np.ndarray], ends: np.ndarray, first_seq
     raw = memoryview(ids.astype("<u4").tobytes())
     crc = [zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(begin.tolist(), edges.tolist(), strict=True)]
     doc_begin = (doc_end - lengths)[doc]
-    columns = [[docs[i] for i in doc.tolist()], begin - doc_begin, edges - begin, crc, lengths[doc], first_sequence + seq, begin - seq_begin]
-    parts.append(pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]))
+    columns = [begin - doc_begin, edges - begin, crc, lengths[doc], first_sequence + seq, begin - seq_begin]
+    ids_ = pa.concat_arrays(docs).take(pa.array(doc))
+    parts.append(pa.RecordBatch.from_arrays([ids_, *(pa.array(c, pa.int64()) for c in columns)], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]))
     return len(cuts)
 
 
@@ -158,8 +163,8 @@ def pack(docs: DataFrame, size: int = WINDOW_TOKENS, block_tokens: int = BLOCK_T
         parts: list[pa.RecordBatch] = []
         for piece in text_slices(batches, 1 << 20):
             arrays = encode([t or "" for t in piece.column("text").to_pylist()])
-            for d, a in zip(piece.column("doc_id").to_pylist(), arrays, strict=True):
-                held_docs.append(d)
+            for i, a in enumerate(arrays):
+                held_docs.append(piece.column("doc_id").slice(i, 1))
                 held.append(np.append(a, np.uint32(0)))
                 count += len(a) + 1
                 if count >= block_tokens:
@@ -171,8 +176,16 @@ def pack(docs: DataFrame, size: int = WINDOW_TOKENS, block_tokens: int = BLOCK_T
             sequence += pack_block(held_docs, held, ends, sequence, size, parts)
             yield from parts
 
-    return docs.select("doc_id", "text").mapInArrow(run, SCHEMA)
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text").mapInArrow(run, SCHEMA.format(kind))
+
+
+def in_order(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """docs as they are read; a scan of fewer partitions than cores is dealt by ranges of
+    doc_id, so that neighbours stay together."""
+    cores = spark.sparkContext.defaultParallelism
+    return docs if docs.rdd.getNumPartitions() >= cores else docs.repartitionByRange(cores, "doc_id").sortWithinPartitions("doc_id")
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(table(spark, sf_dir, "documents"))
+    return pack(in_order(spark, spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")))
