@@ -246,19 +246,20 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, max_toxic: int
     return scorer
 
 
-def score(docs: DataFrame, scorer: Scorer, limit: float = LIMIT) -> DataFrame:
-    """docs with the columns score and predicted added."""
-    schema = docs.select(*[c for c in docs.columns if c not in ("score", "predicted")])
-    names = schema.columns
+def score(docs: DataFrame, scorer: Scorer, limit: float = LIMIT, names: tuple[str, str] = ("score", "predicted")) -> DataFrame:
+    """docs with two columns added, the score and whether it reaches the limit; columns of
+    these names are replaced."""
+    others = [c for c in docs.columns if c not in names]
+    kept = docs.select(*[f"`{c}`" for c in others])
 
     def run(batches):
         for piece in text_slices(batches, 1 << 20):
             s = [scorer.score(t) for t in piece.column("text").to_pylist()]
             columns = [*piece.columns, pa.array(s, pa.float64()), pa.array([int(v >= limit) for v in s], pa.int32())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*names, "score", "predicted"])
+            yield pa.RecordBatch.from_arrays(columns, names=[*others, *names])
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.schema.fields)
-    return schema.mapInArrow(run, f"{kinds}, score double, predicted int")
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields)
+    return kept.mapInArrow(run, f"{kinds}, `{names[0]}` double, `{names[1]}` int")
 
 
 def learnable(rows: DataFrame) -> DataFrame:
@@ -275,7 +276,5 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def drop_toxic(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that are not predicted toxic, with their columns."""
     scorer = fit(spark, docs.select("doc_id", "text"), learnable(labels))
-    ok = score(docs, scorer).where("predicted = 0")
-    return ok.select(*docs.columns)
-
-
+    names = ("__toxic_score", "__toxic")
+    return score(docs, scorer, names=names).where("__toxic = 0").select(*[f"`{c}`" for c in docs.columns])

@@ -568,6 +568,33 @@ def test_packing_covers_every_token(spark):
     assert padding / total < 0.05
 
 
+def test_packing_ids_are_those_of_tokenizers(spark):
+    """Every text of a table, and random ones of all kinds of characters."""
+    from tokenizers import Tokenizer
+
+    import public_tokenizers
+
+    slow = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    encode, _ = packing.tokenizer(None, packing.TOKENIZER)
+    texts = [r.text or "" for r in spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("text").distinct().collect()]
+    rng = random.Random(12)
+    some = [chr(c) for c in (*range(0x300), *range(0x2010, 0x2030), 0x20AC, 0x4E00, 0x1F926, 0x200D, 0x3000, 0x85, 0x2028)]
+    texts += ["".join(rng.choices(some, k=rng.randrange(1, 60))) for _ in range(20_000)]
+    texts += ["".join(rng.choices(" \n\t'abAB12.!-sSdD", k=rng.randrange(1, 40))) for _ in range(20_000)]
+    for lo in range(0, len(texts), 2000):
+        part = texts[lo : lo + 2000]
+        want = [e.ids for e in slow.encode_batch(part, add_special_tokens=False)]
+        assert [g.tolist() for g in encode(part)] == want
+
+
+def test_packing_of_other_ids_and_clashing_columns(spark):
+    df = spark.createDataFrame([("a", "One two.", 1, 2), (None, None, 1, 2), ("b", "x " * 40_000, 1, 2)], "doc_id string, text string, start int, sequence_id int")
+    got = packing.pack(df)
+    assert got.schema["doc_id"].dataType.simpleString() == "string"
+    sums = {r.doc_id: (r.n, r.t) for r in got.groupBy("doc_id").agg(F.sum("length").alias("n"), F.max("doc_tokens").alias("t")).collect()}
+    assert set(sums) == {"a", "b", None} and all(n == t for n, t in sums.values())
+
+
 def test_cuts_are_best():
     rng = random.Random(4)
     for _ in range(40):

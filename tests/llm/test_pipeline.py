@@ -112,3 +112,63 @@ def test_repeated_rows_survive_once(spark):
     assert got == collections.Counter([(7, texts[0]), (3, texts[1]), (None, texts[2]), (9, texts[3]), *eight])
     after = P.materialise(spark, P.stage_repeats(spark, once, SF), "test-after")
     assert collections.Counter((r.doc_id, r.text) for r in after.collect() if r.text) == got
+
+
+ODD_ROWS = [
+    (1, None, "en", "a", 0),
+    (2, "", None, None, None),
+    (3, "plain words of a text that holds nothing odd at all", "en", "a", 51),
+    (3, "plain words of a text that holds nothing odd at all", "en", "a", 51),
+    (4, " ".join(f"w{k}" for k in range(60_000)), "en", "b", 1),
+    (None, "token=abcdefghij and no id", None, None, None),
+    (5, "  \n\t ", "de", "c", 5),
+]
+
+
+def odd_documents(spark, rows):
+    kind = "doc_id long, text string, lang string, source string, n_chars long, score string, predicted long, rid string, secret_spans string, clean int, kept_text string, component_id string"
+    return spark.createDataFrame([(*r, "x", 7, "x", "x", 1, "x", "x") for r in rows], kind)
+
+
+@pytest.mark.parametrize("name", [n for n, _ in P.STAGES])
+def test_stages_on_odd_rows(spark, name):
+    """Nulls in every column, empty and very long texts, repeated rows, clashing columns."""
+    stage = dict(P.STAGES)[name]
+    got = stage(spark, odd_documents(spark, ODD_ROWS), SF)
+    if name == "packing":
+        tokens = got.groupBy("doc_id").agg(F.sum("length").alias("n"), F.max("doc_tokens").alias("t")).collect()
+        assert {r.doc_id for r in tokens} == {1, 2, 3, 4, 5, None}
+        assert all(r.n == (2 * r.t if r.doc_id == 3 else r.t) for r in tokens)
+        return
+    assert got.columns == P.COLUMNS
+    rows = collections.Counter((r.doc_id, r.text) for r in got.collect())
+    want = collections.Counter((r[0], r[1]) for r in ODD_ROWS)
+    if name == "near_duplicates":
+        want[ODD_ROWS[2][:2]] = 1
+    if name == "secrets":
+        assert rows.pop((None, "[SECRET] and no id")) == 1
+        del want[ODD_ROWS[5][:2]]
+    assert rows == want
+
+
+@pytest.mark.parametrize("name", [n for n, _ in P.STAGES])
+def test_stages_on_empty_tables(spark, name):
+    stage = dict(P.STAGES)[name]
+    assert stage(spark, odd_documents(spark, []), SF).count() == 0
+
+
+@pytest.mark.parametrize("n", [51, 55, 63, 80, 120])
+def test_repeated_passages_of_over_50_words_go(spark, n):
+    """A passage in documents that otherwise share nothing, inside a line and glued to a
+    bracket; every copy goes and the rest of each document stays."""
+    word = lambda t, k: f"{'abcdefgh'[t % 8]}{t}q{k}"
+    passage = " ".join(word(99, k) for k in range(n))
+    own = [" ".join(word(t, k) for k in range(150)) for t in range(4)]
+    texts = [f"{own[0]} {passage} {own[1]}", f"{own[2]}\n({passage}).\n{own[3]}", own[0].upper()]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: r for r in P.stage_repeats(spark, docs, SF).collect()}
+    assert got[2].text == texts[2]
+    inner = " ".join(passage.split()[1:-1])
+    for i in (0, 1):
+        assert inner not in got[i].text and got[i].n_chars == len(got[i].text)
+        assert all(part in got[i].text for part in own[2 * i : 2 * i + 2])
