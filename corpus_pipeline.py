@@ -2,7 +2,10 @@
 removal, removal of long repeats, redaction of secrets, packing.
 
 Every stage works on all that its predecessor kept; all but the last return the columns
-of documents. run() writes each stage's result to the shared folder and rereads it.
+of documents, and every stage looks at those alone, so further columns of any name do no
+harm. Empty tables give empty results, texts of any length are read whole, and nothing
+depends on the order of rows. run() writes each stage's result to the shared folder and
+rereads it.
 """
 
 from __future__ import annotations
@@ -20,8 +23,9 @@ PASSAGE = 48
 
 
 def stage_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents predicted toxic go."""
-    return toxicity.drop_toxic(spark, docs, table(spark, sf_dir, "labels")).select(*COLUMNS)
+    """Documents predicted toxic go. Repeated rows are judged alike, a null or empty text
+    stays, and a null doc_id only means that the row's label is not learnt from."""
+    return toxicity.drop_toxic(spark, docs.select(*COLUMNS), table(spark, sf_dir, "labels"))
 
 
 def listed_once(spark: SparkSession, docs: DataFrame) -> DataFrame:
@@ -39,7 +43,8 @@ def listed_once(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
 def stage_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near copies stays: the one of smallest doc_id, a null
-    doc_id last. Rows with equal or null doc_id are members like others."""
+    doc_id last. Rows with equal or null doc_id are members like others; of rows that repeat
+    each other one stays. Rows without words are copies of nothing and stay, each of them."""
     rows = listed_once(spark, docs)
     found = minhash.near_duplicates(spark, rows.select(F.col("rid").alias("doc_id"), "text"), width=5, threshold=0.8)
     other = materialise(spark, found.where("not kept").select(F.col("doc_id").alias("rid"), "component_id"), "copies")
@@ -69,17 +74,18 @@ def stage_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def stage_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets are replaced by a mark; no document goes."""
-    found = secrets.find_secrets(docs)
+    """Secrets are replaced by a mark and n_chars is brought up to date; no document goes.
+    Null and empty texts have no secrets."""
+    found = secrets.find_secrets(docs.select(*COLUMNS))
     spans = F.col("secret_spans")
-    clean = F.when(F.size(spans) > 0, secrets.redact(F.col("text"), spans)).otherwise(F.col("text"))
-    out = found.withColumn("clean", clean)
+    out = found.withColumn("clean", secrets.redact(F.col("text"), spans))
     n = F.when(F.size(spans) > 0, F.length("clean").cast("long")).otherwise(F.col("n_chars"))
     return out.select("doc_id", F.col("clean").alias("text"), "lang", "source", n.alias("n_chars"))
 
 
 def stage_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of token windows."""
+    """Pieces of token windows. A null or empty text is packed as its end mark, repeated rows
+    as often as they occur."""
     return packing.pack(docs)
 
 
