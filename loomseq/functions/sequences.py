@@ -13,6 +13,16 @@ CODON_AMINO = "FFLLSSSSYY**CC*WLLLLPPPPHHQQRRRRIIIMTTTTNNKKSSRRVVVVAAAADDEEGGGG"
 #: Hydropathy of the amino acids after Kyte and Doolittle (fixed values).
 HYDROPATHY = {"A": 1.8, "C": 2.5, "D": -3.5, "E": -3.5, "F": 2.8, "G": -0.4, "H": -3.2, "I": 4.5, "K": -3.9, "L": 3.8, "M": 1.9, "N": -3.5, "P": -1.6, "Q": -3.5, "R": -4.5, "S": -0.8, "T": -0.7, "V": 4.2, "W": -0.9, "Y": -1.3}
 
+#: Side-chain volumes in cubic angstrom, and polarity classes (fixed values).
+VOLUME = {"A": 88.6, "C": 118.8, "D": 111.1, "E": 138.3, "F": 189.9, "G": 60.1, "H": 153.2, "I": 166.6, "K": 168.6, "L": 166.6, "M": 162.9, "N": 114.1, "P": 115.0, "Q": 146.2, "R": 174.0, "S": 105.9, "T": 119.0, "V": 140.0, "W": 227.8, "Y": 193.6}
+POLARITY = {**dict.fromkeys("ADENQRSTY", 1.0), **dict.fromkeys("ILMFPVW", -1.0)}
+#: Free energies of transfer after Radzicka and Wolfenden, as in the Boman index (fixed values).
+SOLUBILITY = {"A": -1.81, "C": -1.28, "D": 8.72, "E": 6.81, "F": -2.98, "G": -0.94, "H": 4.66, "I": -4.92, "K": 5.55, "L": -4.92, "M": -2.35, "N": 6.64, "P": 0.0, "Q": 5.54, "R": 14.92, "S": 3.4, "T": 2.57, "V": -4.04, "W": -2.33, "Y": 0.14}
+#: Dissociation constants: positive and negative groups, after Lehninger and of EMBOSS; n and
+#: c are the ends of the chain (fixed values).
+LEHNINGER = ({"n": 9.69, "K": 10.5, "R": 12.4, "H": 6.0}, {"c": 2.34, "D": 3.86, "E": 4.25, "C": 8.33, "Y": 10.0})
+EMBOSS = ({"n": 8.6, "K": 10.8, "R": 12.5, "H": 6.5}, {"c": 3.6, "D": 3.9, "E": 4.1, "C": 8.5, "Y": 10.1})
+
 
 def let(value: Column, use) -> Column:
     """use(value) with value computed once: inside a lambda an expression would otherwise
@@ -40,24 +50,65 @@ def ascii_part(sequence: Column, start: Column, length: Column) -> Column:
 CHUNK = 4096
 
 
-def windows(df: DataFrame, sequence: str, lengths: list[int], start: str = "pep_start", length: str = "pep_len", out: str = "peptide") -> DataFrame:
-    """One row for each window of each length, with its 1-based start; the sequence column
-    is not repeated. Sequences are ASCII (see letters_only); those shorter than a length
-    give none of that length. Long sequences are cut into overlapping chunks first, so the
-    windows of a row are never all held at once."""
+def window_chunks(df: DataFrame, sequence: str, lengths: list[int], length: str = "pep_len", chunk: int = CHUNK) -> DataFrame:
+    """The windows of each length as arrays (__windows, binary), for parts of a sequence that
+    start at __offset; __chunks is the number of parts. Sequences are ASCII (see letters_only);
+    those shorter than a length give none of that length. Long sequences are cut into parts
+    that overlap, so the windows of a row are never all held at once."""
     most = max(lengths)
     others = [c for c in df.columns if c != sequence]
     raw = F.col(sequence).cast("binary")
-    offsets = F.explode(F.sequence(F.lit(0), F.greatest(F.octet_length(raw) - 1, F.lit(0)), F.lit(CHUNK)))
-    chunks = df.select(*others, offsets.alias("__offset"), raw.alias("__raw"))
-    chunks = chunks.select(*others, "__offset", F.substring("__raw", F.col("__offset") + 1, F.lit(CHUNK + most - 1)).alias("__part"))
-    sized = chunks.select(*others, "__offset", "__part", F.explode(F.array(*[F.lit(k) for k in lengths])).alias(length))
+    count = F.greatest(F.ceil(F.octet_length(raw) / chunk).cast("int"), F.lit(1))
+    offsets = F.explode(F.sequence(F.lit(0), (count - 1) * chunk, F.lit(chunk)))
+    chunks = df.select(*others, count.alias("__chunks"), offsets.alias("__offset"), raw.alias("__raw"))
+    chunks = chunks.select(*others, "__chunks", "__offset", F.substring("__raw", F.col("__offset") + 1, F.lit(chunk + most - 1)).alias("__part"))
+    sized = chunks.select(*others, "__chunks", "__offset", "__part", F.explode(F.array(*[F.lit(k) for k in lengths])).alias(length))
     sized = sized.where(F.octet_length("__part") >= F.col(length))
-    count = F.least(F.lit(CHUNK), F.octet_length("__part") - F.col(length) + 1)
+    n = F.least(F.lit(chunk), F.octet_length("__part") - F.col(length) + 1)
     part, k = F.col("__part"), F.col(length)
-    pieces = F.transform(F.sequence(F.lit(1), count), lambda i: F.substring(part, i, k).cast("string"))
-    placed = sized.select(*others, length, "__offset", F.posexplode(pieces).alias("__at", out))
-    return placed.select(*others, length, (F.col("__offset") + F.col("__at") + 1).alias(start), out)
+    return sized.select(*others, length, "__chunks", "__offset", F.transform(F.sequence(F.lit(1), n), lambda i: F.substring(part, i, k)).alias("__windows"))
+
+
+def windows(df: DataFrame, sequence: str, lengths: list[int], start: str = "pep_start", length: str = "pep_len", out: str = "peptide") -> DataFrame:
+    """One row for each window of each length, with its 1-based start; the sequence column
+    is not repeated."""
+    others = [c for c in df.columns if c != sequence]
+    placed = window_chunks(df, sequence, lengths, length).select(*others, length, "__offset", F.posexplode("__windows").alias("__at", "__raw"))
+    return placed.select(*others, length, (F.col("__offset") + F.col("__at") + 1).alias(start), F.col("__raw").cast("string").alias(out))
+
+
+#: Letters of a part in which windows are made distinct; most sequences are one part.
+DISTINCT_CHUNK = 1 << 15
+
+
+def distinct_windows(df: DataFrame, sequence: str, k: int, key: str, out: str = "peptide") -> DataFrame:
+    """The distinct windows of each row of df, whose key is unique. Those of a sequence of
+    one part are made distinct where they are; those of longer ones are placed by key."""
+    others = [c for c in df.columns if c != sequence]
+    one = F.octet_length(sequence) <= DISTINCT_CHUNK
+
+    def found(rows: DataFrame) -> DataFrame:
+        parts = window_chunks(rows, sequence, [k], "__len", DISTINCT_CHUNK)
+        each = parts.select(*others, F.explode(F.array_distinct("__windows")).alias("__raw"))
+        return each.select(*others, F.col("__raw").cast("string").alias(out))
+
+    return found(df.where(one)).unionAll(found(df.where(~one).repartition(key)).dropDuplicates([key, out]))
+
+
+def window_summary(df: DataFrame, sequence: str, lengths: list[int], key: str) -> DataFrame:
+    """key, pep_len, n_windows, n_distinct, first_pep, last_pep of each row of df, whose key is
+    unique. Parts are summed up where they are; windows meet, as 64-bit hashes, only for
+    sequences of several parts."""
+    parts = window_chunks(df.select(key, sequence), sequence, lengths, "pep_len", DISTINCT_CHUNK)
+    w = F.col("__windows")
+    hashes = F.array_distinct(F.transform(w, lambda x: F.xxhash64(x)))
+    sums = parts.select(key, "pep_len", "__chunks", F.size(w).cast("bigint").alias("n"), F.array_min(w).alias("lo"), F.array_max(w).alias("hi"), hashes.alias("h"))
+    single = F.sum(F.when(F.col("__chunks") == 1, F.size("h")))
+    facts = sums.groupBy(key, "pep_len").agg(F.sum("n").alias("n_windows"), single.cast("bigint").alias("single"), F.min("lo").cast("string").alias("first_pep"), F.max("hi").cast("string").alias("last_pep"))
+    spread = sums.where("__chunks > 1").select(key, "pep_len", F.explode("h").alias("h")).distinct()
+    several = spread.groupBy(key, "pep_len").agg(F.count("*").alias("several"))
+    both = facts.join(several, [key, "pep_len"], "left")
+    return both.select(key, "pep_len", "n_windows", F.coalesce("single", "several").alias("n_distinct"), "first_pep", "last_pep")
 
 
 def window_total(sequence: Column, lengths: list[int]) -> Column:
@@ -151,6 +202,49 @@ def scale_sum(sequence: Column, scale: dict[str, float]) -> Column:
     return total
 
 
+def letter_counts(sequence: Column, letters: str) -> Column:
+    """struct of the number of each letter."""
+    n = F.length(sequence)
+    return F.struct(*[(n - F.length(F.replace(sequence, F.lit(c), F.lit("")))).alias(c) for c in letters])
+
+
+def charge_at(counts: Column, ph: Column, constants: tuple[dict, dict] = LEHNINGER) -> Column:
+    """Net charge of a chain with these letter_counts of KRHDECY."""
+    total = F.lit(0.0)
+    for sign, group in zip((1, -1), constants, strict=True):
+        for c, pk in group.items():
+            number = F.lit(1) if c in "nc" else counts[c]
+            total = total + sign * number / (1 + F.pow(F.lit(10.0), sign * (ph - pk)))
+    return total
+
+
+def net_charge(sequence: Column, ph: float = 7.0) -> Column:
+    return let(letter_counts(sequence, "KRHDECY"), lambda counts: charge_at(counts, F.lit(ph)))
+
+
+def isoelectric_point(sequence: Column, steps: int = 40) -> Column:
+    """The pH at which the net charge is 0, by halving the range from 0 to 14."""
+
+    def find(counts: Column) -> Column:
+        def step(acc: Column, _: Column) -> Column:
+            mid = (acc["lo"] + acc["hi"]) / 2
+            up = charge_at(counts, mid, EMBOSS) > 0
+            return F.struct(F.when(up, mid).otherwise(acc["lo"]).alias("lo"), F.when(up, acc["hi"]).otherwise(mid).alias("hi"))
+
+        return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), F.struct(F.lit(0.0).alias("lo"), F.lit(14.0).alias("hi")), step, lambda acc: (acc["lo"] + acc["hi"]) / 2)
+
+    return let(letter_counts(sequence, "KRHDECY"), find)
+
+
+def per_letter(sequence: Column, scale: dict[str, float]) -> Column:
+    """Mean of a scale over the letters; null for an empty sequence."""
+    return F.when(F.length(sequence) > 0, scale_sum(sequence, scale) / F.length(sequence))
+
+
+def aliphatic_index(sequence: Column) -> Column:
+    return 100 * per_letter(sequence, {"A": 1.0, "V": 2.9, "I": 3.9, "L": 3.9})
+
+
 def logit(p: Column, eps: float = 1e-6) -> Column:
     q = F.greatest(F.lit(eps), F.least(p, F.lit(1 - eps)))
     return F.ln(q / (1 - q))
@@ -161,13 +255,29 @@ def sigmoid(x: Column, most: float = 30.0) -> Column:
     return 1 / (1 + F.exp(-z))
 
 
-def encode_tokens(sequence: Column, vocabulary: str, length: int) -> Column:
-    """Ids of letters (1-based place in vocabulary, 0 for others and for padding), cut or
-    padded to length."""
-    n = F.least(F.length(sequence), F.lit(length))
-    places = F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
-    ids = F.transform(places, lambda i: F.instr(F.lit(vocabulary), sequence.substr(i, F.lit(1))))
-    return F.slice(F.concat(ids, F.array_repeat(F.lit(0), length)), 1, length)
+def letter_ids(sequence: Column, vocabulary: str) -> Column:
+    """Ids of the letters of an ASCII sequence: 1-based place in vocabulary, 0 for others."""
+
+    def cut(raw: Column) -> Column:
+        n = F.octet_length(raw)
+        places = F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
+        return F.transform(places, lambda i: F.instr(F.lit(vocabulary), F.substring(raw, i, F.lit(1)).cast("string")))
+
+    return let(sequence.cast("binary"), cut)
+
+
+def encode_tokens(features: Column, peptide: Column, other: Column, vocabulary: str, gap: int = 12) -> Column:
+    """features, ids of the peptide, gap zeros, ids of the other sequence, in one array."""
+    zeros = F.array_repeat(F.lit(0.0), gap)
+    ids = lambda s: F.transform(letter_ids(s, vocabulary), lambda x: x.cast("double"))
+    return F.concat(features.cast("array<double>"), ids(peptide), zeros, ids(other))
+
+
+def to_length(df: DataFrame, column: str, length: int | None = None) -> DataFrame:
+    """Arrays cut, or filled with zeros, to a length; to the largest in df if none is given."""
+    most = df.agg(F.max(F.size(column)).alias("__most")) if length is None else df.sparkSession.range(1).select(F.lit(length).alias("__most"))
+    fill = F.array_repeat(F.lit(0.0), F.greatest(F.col("__most") - F.size(column), F.lit(0)))
+    return df.crossJoin(F.broadcast(most)).withColumn(column, F.slice(F.concat(column, fill), F.lit(1), F.col("__most"))).drop("__most")
 
 
 def variant_kind(ref: Column, alt: Column) -> Column:
@@ -181,3 +291,16 @@ def fragment_of_variant(wild: Column, kind: Column, position: Column, inserted:
     head = F.substring(wild, F.lit(1), position - 1)
     tail = lambda skip: wild.substr(position + skip, F.length(wild))
     return F.when(kind == "missense", F.concat(head, inserted, tail(F.length(inserted)))).when(kind == "ins", F.concat(head, inserted, tail(F.lit(0)))).when(kind == "del", F.concat(head, tail(removed))).when(kind == "FS", F.concat(head, inserted))
+
+
+def place_in_window(first: Column, last: Column, start: Column, length: Column) -> Column:
+    """Where changed residues first..last lie in a window: one number, or a-b for more than
+    one; null where the window does not hold them all. All places are 1-based."""
+    a, b = first - start + 1, last - start + 1
+    inside = (a >= 1) & (b <= length)
+    return F.when(inside & (last > first), F.concat_ws("-", a, b)).when(inside, a.cast("string"))
+
+
+def ablated(features: Column, start: int, count: int) -> Column:
+    """The feature vector with count values from place start (0-based) set to zero."""
+    return F.transform(features, lambda x, i: F.when((i >= start) & (i < start + count), F.lit(0.0)).otherwise(x))

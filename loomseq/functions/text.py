@@ -87,7 +87,8 @@ def hla_two_field(name: Column) -> Column:
 
 
 def support_key(name: Column) -> Column:
-    return F.regexp_replace(F.upper(name), "[^A-Z0-9]", "")
+    """Letters and digits of an allele's name in upper case, without HLA- or HLA_."""
+    return F.regexp_replace(F.regexp_replace(F.upper(name), "HLA[-_]", ""), "[^A-Z0-9]", "")
 
 
 def compact_hla(name: Column) -> Column:
@@ -119,3 +120,18 @@ def locus(text: Column) -> Column:
 def keyed(*parts: Column) -> Column:
     """Record key: parts joined by |, null as empty."""
     return F.concat_ws("|", *[F.coalesce(p.cast("string"), F.lit("")) for p in parts])
+
+
+def six_digits(value: Column) -> Column:
+    """A number with six significant digits and no trailing zeros, ties away from 0; an
+    exponent below 1e-4 and from 1e6 on; null stays null."""
+    x = value.cast("double")
+    written = F.format_string("%.5e", x)
+    exponent = F.regexp_extract(written, r"e([+-][0-9]+)$", 1).cast("int")
+    mantissa = F.regexp_replace(F.regexp_extract(written, r"^(-?[0-9.]+)e", 1), r"\.?0+$", "")
+    digits = F.abs(exponent).cast("string")
+    power = F.concat(F.when(exponent < 0, "-").otherwise("+"), F.when(F.length(digits) < 2, "0").otherwise(""), digits)
+    plain = F.regexp_replace(written.cast("decimal(38,16)").cast("string"), r"\.?0+$", "")
+    plain = F.when((exponent >= -4) & (exponent < 6), plain).otherwise(F.concat(mantissa, F.lit("e"), power))
+    odd = F.when(F.isnan(x), "nan").when(x == float("inf"), "inf").when(x == float("-inf"), "-inf").when(x == 0, "0")
+    return F.when(x.isNotNull(), F.coalesce(odd, plain))

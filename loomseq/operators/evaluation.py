@@ -63,22 +63,50 @@ def best_and_median(df: DataFrame, keys: list[str], value: str, algorithm: str,
     return df.groupBy(*keys).agg(F.min(v).alias("best"), F.min_by(algorithm, F.when(v.isNotNull(), F.struct(v.alias("v"), place.alias("p")))).alias("best_method"), F.median(v).alias("median"), F.count(v).alias("n_values"))
 
 
-def bootstrap(df: DataFrame, groups: list[str], key: str, value: str, replicates: int, seed: int = 1) -> DataFrame:
-    """Mean of value with a 95 % interval over Poisson(1) replicates whose weights are a
-    hash of key and replicate, so reruns agree. Each replicate adds one pair of partial
-    sums to the aggregation, not a copy of the rows."""
-    u = lambda r: (F.xxhash64(F.col(key), F.lit(seed * 100_003 + r)).bitwiseAND(F.lit((1 << 52) - 1)) / float(1 << 52))
-
-    def weight(r: int) -> Column:
-        x = u(r)
-        return F.when(x < 0.36787944, 0).when(x < 0.73575888, 1).when(x < 0.91969860, 2).when(x < 0.98101184, 3).when(x < 0.99634015, 4).otherwise(5)
-
-    sums = [F.struct(F.sum(weight(r) * F.col(value)).alias("s"), F.sum(weight(r)).alias("w")) for r in range(replicates)]
-    g = df.groupBy(*groups).agg(F.avg(value).alias("mean"), F.array(*sums).alias("__r"))
-    means = F.filter(F.transform("__r", lambda x: F.when(x["w"] > 0, x["s"] / x["w"])), lambda x: x.isNotNull())
-    flat = g.select(*groups, "mean", F.explode(means).alias("m"))
-    ends = F.percentile("m", F.array(F.lit(0.025), F.lit(0.975)))
-    return flat.groupBy(*groups).agg(F.first("mean").alias("mean"), ends.alias("e")).select(*groups, "mean", F.col("e")[0].alias("low"), F.col("e")[1].alias("high"))
+#: Constants of the hash that gives weights and signs (fixed values): a prime and factors.
+_PRIME, _A, _B, _C = 2_147_483_647, 48_271, 1_299_709, 69_621
+
+
+def hashed_unit(key: Column, replicate: Column, seed: int) -> Column:
+    """A number in [0, 1) from an integer key, a replicate and a seed, by arithmetic that any
+    engine repeats."""
+    x = F.pmod(key.cast("bigint") * _A + seed * 7_919, F.lit(_PRIME))
+    y = F.pmod(x + (replicate + 1) * _B, F.lit(_PRIME))
+    return F.pmod(F.pmod(y * y, F.lit(_PRIME)) * _C + x, F.lit(_PRIME)) / float(_PRIME)
+
+
+def _replicated(df: DataFrame, groups: list[str], key: str, value: Column, replicates: int, seed: int) -> DataFrame:
+    """Each row with every replicate (__r) and its number (__u). The copies live between the
+    scan and the partial aggregation; only a group's sums of a replicate are shuffled."""
+    rows = df.select(*groups, F.col(key).cast("bigint").alias("__key"), value.alias("__value")).dropna(subset=["__key", "__value"])
+    every = rows.withColumn("__r", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1)).cast("array<bigint>")))
+    return every.withColumn("__u", hashed_unit(F.col("__key"), F.col("__r"), seed))
+
+
+def bootstrap(df: DataFrame, groups: list[str], key: str, value: Column | str, replicates: int, seed: int = 1) -> DataFrame:
+    """Mean of value, its 95 % interval over Poisson(1) replicates, and the share of
+    replicates whose mean is above 0. Weights are a hash of the integer key and the
+    replicate, so reruns agree, and rows of one key are drawn together: a row id gives the
+    plain bootstrap, a group's number the grouped one, and a difference of two scores as
+    value the paired one. Rows without a value or key do not count."""
+    u = F.col("__u")
+    weight = F.when(u < 0.36787944, 0).when(u < 0.73575888, 1).when(u < 0.91969860, 2).when(u < 0.98101184, 3).when(u < 0.99634015, 4).otherwise(5)
+    every = _replicated(df, groups, key, F.col(value) if isinstance(value, str) else value, replicates, seed).withColumn("__w", weight)
+    per = every.groupBy(*groups, "__r").agg(F.count("*").alias("n"), F.avg("__value").alias("mean"), F.sum(F.col("__w") * F.col("__value")).alias("s"), F.sum("__w").alias("w"))
+    drawn = per.withColumn("m", F.when(F.col("w") > 0, F.col("s") / F.col("w")))
+    ends, above = F.percentile("m", F.array(F.lit(0.025), F.lit(0.975))), F.avg((F.col("m") > 0).cast("double"))
+    out = drawn.groupBy(*groups).agg(F.min("n").alias("n"), F.min("mean").alias("mean"), ends.alias("e"), above.alias("above_zero"))
+    return out.select(*groups, "n", "mean", F.col("e")[0].alias("low"), F.col("e")[1].alias("high"), "above_zero")
+
+
+def permutation_test(df: DataFrame, groups: list[str], key: str, difference: Column, replicates: int, seed: int = 1) -> DataFrame:
+    """Two-sided p-value of the mean of paired differences, by replicates in which the sign
+    of every key's rows is drawn anew: (1 + those at least as far from 0) / (1 + all)."""
+    every = _replicated(df, groups, key, difference, replicates, seed + 1)
+    signed = F.when(F.col("__u") < 0.5, F.col("__value")).otherwise(-F.col("__value"))
+    per = every.groupBy(*groups, "__r").agg(F.count("*").alias("n"), F.sum("__value").alias("d"), F.sum(signed).alias("t"))
+    far = F.count_if(F.abs("t") >= F.abs("d") - 1e-9)
+    return per.groupBy(*groups).agg(F.min("n").alias("n"), F.min(F.col("d") / F.col("n")).alias("mean_difference"), ((far + 1) / F.lit(replicates + 1)).alias("p_value"))
 
 
 def standardise(df: DataFrame, columns: list[str], clip: float) -> DataFrame:
@@ -91,7 +119,8 @@ def standardise(df: DataFrame, columns: list[str], clip: float) -> DataFrame:
 
 
 def fingerprint(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Order-insensitive fingerprint of distinct rows: count, exclusive or and sum of
-    hashes."""
-    h = df.select(F.xxhash64(*columns).alias("h")).distinct()
-    return h.agg(F.count("*").alias("n"), F.bit_xor("h").alias("x"), F.sum(F.shiftrightunsigned("h", 24)).alias("s"))
+    """Order-insensitive fingerprint of distinct rows: count, exclusive or and sum of the
+    first 60 bits of their MD5. Null is told from the empty text."""
+    text = F.concat_ws("|", *[F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-")) for c in columns])
+    h = df.select(text.alias("t")).distinct().select(F.conv(F.substring(F.md5("t"), 1, 15), 16, 10).cast("bigint").alias("h"))
+    return h.agg(F.count("*").alias("n"), F.coalesce(F.bit_xor("h"), F.lit(0)).alias("x"), F.coalesce(F.sum(F.pmod("h", F.lit(1 << 30))), F.lit(0)).alias("s"))

@@ -40,7 +40,8 @@ def hydropathy(rows: pd.DataFrame) -> pd.Series:
 
     if (rows["peptide"].str.len() == 0).any():
         raise ValueError("empty peptide")
-    return rows["peptide"].map(lambda p: float(np.mean([HYDROPATHY.get(c, 0.0) for c in p])))
+    total = sum((rows["peptide"].str.count(a) * v for a, v in HYDROPATHY.items()), pd.Series(0.0, index=rows.index))
+    return total / rows["peptide"].str.len()
 
 
 @register("length_logistic", family="linear")
@@ -48,17 +49,35 @@ def length_logistic(rows: pd.DataFrame) -> pd.Series:
     return 1 / (1 + np.exp(-(rows["peptide"].str.len().astype(float) - 9)))
 
 
-def score_tasks(tasks: DataFrame) -> DataFrame:
+#: Tasks of one run of a tool; more of one family, allele and length are dealt to several.
+CHUNK_TASKS = 50_000
+
+
+def job_chunks(tasks: DataFrame, size: int = CHUNK_TASKS) -> DataFrame:
+    """tasks with family, length and chunk: tasks of one family, allele and length share a
+    run, and where they are more than size they are dealt over chunks by a hash of the
+    peptide. Only counts are brought together. Tasks of an algorithm that is not registered
+    have the empty family."""
+    family = F.create_map(*[F.lit(x) for name, (fam, _) in REGISTRY.items() for x in (name, fam)])
+    kinds = ["family", "hla_allele", "length"]
+    placed = tasks.withColumns({"family": F.coalesce(F.try_element_at(family, F.col("algorithm")), F.lit("")), "length": F.coalesce(F.length("peptide"), F.lit(0))})
+    parts = placed.groupBy(*kinds).agg(F.ceil(F.count("*") / size).cast("int").alias("chunks"))
+    parts = parts.select(*[F.col(k).alias(f"__{k}") for k in kinds], "chunks")
+    same = (F.col("family") == F.col("__family")) & F.col("hla_allele").eqNullSafe(F.col("__hla_allele")) & (F.col("length") == F.col("__length"))
+    dealt = placed.join(parts, same, "left").withColumn("chunk", F.pmod(F.xxhash64("peptide", F.lit(31)), F.col("chunks")).cast("int"))
+    return dealt.select(*tasks.columns, *[k for k in kinds if k not in tasks.columns], "chunks", "chunk")
+
+
+def score_tasks(tasks: DataFrame, size: int = CHUNK_TASKS) -> DataFrame:
     """tasks (peptide, hla_allele, algorithm, mhc_class) with score, status and error. Tasks
     of an algorithm that is not registered are skipped, with that status."""
     known = dict(REGISTRY)
-    family = F.create_map(*[F.lit(x) for name, (fam, _) in known.items() for x in (name, fam)])
-    placed = tasks.withColumns({"__family": F.coalesce(F.try_element_at(family, F.col("algorithm")), F.lit("")), "__len": F.length("peptide")})
-    placed = placed.repartition("__family", "hla_allele", "__len").sortWithinPartitions("algorithm", "hla_allele", "__len")
+    dealt = job_chunks(tasks.select("peptide", "hla_allele", "algorithm", "mhc_class"), size)
+    placed = dealt.repartition("family", "hla_allele", "length", "chunk").sortWithinPartitions("algorithm", "hla_allele", "length", "chunk")
 
     def run(frames):
         for frame in frames:
-            for (name, _, _), part in frame.groupby(["algorithm", "hla_allele", "__len"], sort=False):
+            for (name, _, _), part in frame.groupby(["algorithm", "hla_allele", "length"], sort=False, dropna=False):
                 out = part[["peptide", "hla_allele", "algorithm", "mhc_class"]].copy()
                 out["score"], out["status"], out["error"] = np.nan, "ok", None
                 if name not in known:
@@ -93,6 +112,30 @@ def _composition(df: DataFrame, sequence: str) -> DataFrame:
     return df.withColumns({f"f_{a}": F.coalesce(fraction_of(F.col(sequence), a), F.lit(0.0)) for a in AMINO_ACIDS})
 
 
+def ngram_features(df: DataFrame, sequence: str, most: int, buckets: int = 1 << 14):
+    """A fitted pipeline from text to features: TF-IDF of the character n-grams of 1 to most
+    letters, hashed to buckets. df is what it is fitted on."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import IDF, HashingTF, NGram, SQLTransformer
+
+    chars = SQLTransformer(statement=f"SELECT *, filter(split(`{sequence}`, ''), c -> c <> '') AS __g1 FROM __THIS__")
+    grams = [NGram(n=n, inputCol="__g1", outputCol=f"__g{n}") for n in range(2, most + 1)]
+    joined = SQLTransformer(statement="SELECT *, concat(" + ", ".join(f"__g{n}" for n in range(1, most + 1)) + ") AS __grams FROM __THIS__")
+    tidy = SQLTransformer(statement="SELECT * EXCEPT (" + ", ".join(f"__g{n}" for n in range(1, most + 1)) + ", __grams, __tf) FROM __THIS__")
+    tf = HashingTF(numFeatures=buckets, inputCol="__grams", outputCol="__tf")
+    return Pipeline(stages=[chars, *grams, joined, tf, IDF(inputCol="__tf", outputCol="features"), tidy]).fit(df)
+
+
+def ngram_classifier(df: DataFrame, sequence: str, label: str, most: int, reg: float = 0.01):
+    """A logistic regression with balanced class weights on ngram_features; returns (fitted
+    model, rows with features)."""
+    from pyspark.ml.classification import LogisticRegression
+
+    rows = _balanced(df, label)
+    rows = ngram_features(rows, sequence, most).transform(rows)
+    return LogisticRegression(featuresCol="features", labelCol="label", weightCol="weight", maxIter=30, regParam=reg).fit(rows), rows
+
+
 def _balanced(rows: DataFrame, label: str) -> DataFrame:
     """rows with the label as a number, and weights that balance the classes of these rows."""
     counts = rows.groupBy(label).agg(F.count("*").alias("__n"))

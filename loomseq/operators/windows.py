@@ -5,37 +5,72 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomseq.storage import stored
+
+
+def in_ranges(df: DataFrame, group: list[str], order: list[Column | str]) -> DataFrame:
+    """df dealt into ranges of (group, order), written to the shared folder with the number
+    of the range (__part) and a row id (__row). A group of any size is spread over ranges,
+    so what runs over it need not meet in one task."""
+    dealt = df.repartitionByRange(*group, *order)
+    return stored(df.sparkSession, dealt.withColumns({"__part": F.spark_partition_id(), "__row": F.monotonically_increasing_id()}), "ranges")
+
+
+def running(ranges: DataFrame, group: list[str], order: list[Column | str], value: Column, out: str, how=F.sum, empty: Column | None = None) -> DataFrame:
+    """Adds out: how (sum or max) of value over the rows of the group before each row, in
+    the order (ties by row id); empty where there are none. Ranges run side by side; their
+    totals, one row for each range of a group, are then run over."""
+    empty = F.lit(0) if empty is None else empty
+    both = lambda a, b: F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0)) if how is F.sum else F.greatest(a, b)
+    keys = [*group, "__part"]
+    before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    rows = ranges.withColumn("__value", value)
+    totals = rows.groupBy(*keys).agg(how("__value").alias("__total"))
+    base = totals.withColumn("__base", how("__total").over(before(Window.partitionBy(*group).orderBy("__part")))).drop("__total")
+    base = base.select(F.col("__part").alias("__p"), *[F.col(g).alias(f"__g{i}") for i, g in enumerate(group)], "__base")
+    on = F.col("__part") == F.col("__p")
+    for i, g in enumerate(group):
+        on = on & F.col(g).eqNullSafe(F.col(f"__g{i}"))
+    local = how("__value").over(before(Window.partitionBy(*keys).orderBy(*order, "__row")))
+    found = rows.withColumn("__local", local).join(base, on, "left")
+    return found.withColumn(out, F.coalesce(both(F.col("__base"), F.col("__local")), empty)).select(*ranges.columns, out)
+
 
 def ranked_cap(df: DataFrame, group: list[str], order: list[Column | str], cap: int, eligible: Column | None = None, out: str = "selected") -> DataFrame:
     """Mark the first cap eligible rows of each group. Eligibility is decided before
     ranking, so the choice is complete and does not depend on batches; the rest stays, as
     deferred. Candidates are found with a limited rank (Spark prunes it before the
-    shuffle), so only they, not whole groups, meet in one task."""
+    shuffle), so only they, not whole groups, meet in one task. Rows get an id, by which
+    alone the chosen are joined back: of rows that are equal throughout, some may be
+    chosen and others not."""
     ok = F.lit(True) if eligible is None else F.coalesce(eligible, F.lit(False))
-    rows = df.withColumn("__ok", ok)
-    w = Window.partitionBy(*group).orderBy(*order)
+    rows = stored(df.sparkSession, df.withColumns({"__ok": ok, "__row": F.monotonically_increasing_id()}), "cap")
+    w = Window.partitionBy(*group).orderBy(*order, "__row")
     top = rows.where("__ok").withColumn("__rank", F.row_number().over(w)).where(F.col("__rank") <= cap)
-    chosen = top.select(*df.columns, F.lit(True).alias(out))
-    rest = rows.drop("__ok")
-    cond = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in df.columns]
-    on = cond[0]
-    for c in cond[1:]:
-        on = on & c
-    return rest.alias("a").join(chosen.dropDuplicates(df.columns).alias("b"), on, "left").select("a.*", F.coalesce(F.col(f"b.{out}"), F.lit(False)).alias(out))
+    chosen = top.select("__row", F.lit(True).alias(out))
+    return rows.join(chosen, "__row", "left").select(*df.columns, F.coalesce(out, F.lit(False)).alias(out))
+
+
+def source_rank(df: DataFrame, group: list[str], order: list[Column | str], out: str = "source_rank") -> DataFrame:
+    """Place of each row in its group, from 1; whole groups never meet in one task."""
+    ranked = running(in_ranges(df, group, order), group, order, F.lit(1), "__before")
+    return ranked.withColumn(out, (F.col("__before") + 1).cast("int")).select(*df.columns, out)
 
 
-def source_rank(df: DataFrame, group: list[str], order: list[Column], out: str = "source_rank") -> DataFrame:
-    return df.withColumn(out, F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
+def first_ranked(df: DataFrame, group: list[str], order: list[Column | str], most: int, out: str = "place") -> DataFrame:
+    """The first rows of each group with their place; others are pruned before the shuffle."""
+    place = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
+    return df.withColumn(out, place).where(F.col(out) <= most)
 
 
 def merge_intervals(df: DataFrame, group: list[str], start: str, end: str) -> DataFrame:
     """Union of the half-open intervals of each group; intervals that touch join. Islands
-    are numbered from 1 by position."""
-    w = Window.partitionBy(*group).orderBy(start, end)
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    new = F.coalesce(F.col(start) > F.max(end).over(before), F.lit(True))
-    marked = df.select(*group, start, end).withColumn("__new", new.cast("int"))
-    numbered = marked.withColumn("island", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    are numbered from 1 by position. Rows with a null end are left out."""
+    order = [start, end]
+    rows = in_ranges(df.select(*group, start, end).where(F.col(start).isNotNull() & F.col(end).isNotNull()), group, order)
+    reach = running(rows, group, order, F.col(end), "__reach", F.max, F.lit(None))
+    marked = reach.withColumn("__new", F.coalesce(F.col(start) > F.col("__reach"), F.lit(True)).cast("int"))
+    numbered = running(marked, group, order, F.col("__new"), "__islands").withColumn("island", F.col("__islands") + F.col("__new"))
     return numbered.groupBy(*group, "island").agg(F.min(start).alias(start), F.max(end).alias(end), F.count("*").alias("n_merged"))
 
 
@@ -61,17 +96,36 @@ def best_two(df: DataFrame, group: list[str], score: str, order: list[Column | s
     return best.withColumn("verdict", verdict)
 
 
+def with_group_size(ranked: DataFrame, group: list[str], out: str) -> DataFrame:
+    """ranked with the number of rows of each group; only the counts are brought together."""
+    sizes = ranked.groupBy(*group).agg(F.count("*").alias(out)).select(out, *[F.col(g).alias(f"__s{i}") for i, g in enumerate(group)])
+    on = F.lit(True)
+    for i, g in enumerate(group):
+        on = on & F.col(g).eqNullSafe(F.col(f"__s{i}"))
+    return ranked.join(sizes, on, "left").select(*ranked.columns, out)
+
+
 def nested_sample(df: DataFrame, strata: list[str], key: Column, fractions: list[float]) -> DataFrame:
     """For each fraction f the first ceil(n * f) rows (one at least) of every stratum in
     the order of key; smaller fractions are contained in larger ones by construction."""
-    w = Window.partitionBy(*strata)
-    ranked = df.withColumn("__rn", F.row_number().over(w.orderBy(key))).withColumn("__n", F.count("*").over(w))
-    swept = ranked.withColumn("fraction", F.explode(F.array(*[F.lit(f) for f in fractions])))
+    ranked = source_rank(df.withColumn("__key", key), strata, ["__key"], "__rn").drop("__key")
+    swept = with_group_size(ranked, strata, "__n").withColumn("fraction", F.explode(F.array(*[F.lit(f) for f in fractions])))
     return swept.where(F.col("__rn") <= F.greatest(F.ceil(F.col("__n") * F.col("fraction")), F.lit(1))).drop("__rn", "__n")
 
 
 def folds(df: DataFrame, classes: list[str], order: list[Column | str], k: int, out: str = "fold") -> DataFrame:
     """Contiguous folds 0..k-1 within each class; the last takes the remainder."""
-    w = Window.partitionBy(*classes)
-    n, rn = F.count("*").over(w), F.row_number().over(w.orderBy(*order))
-    return df.withColumn(out, F.least(F.floor((rn - 1) / F.greatest(F.floor(n / k), F.lit(1))), F.lit(k - 1)).cast("int"))
+    ranked = with_group_size(source_rank(df, classes, order, "__rn"), classes, "__n")
+    fold = F.least(F.floor((F.col("__rn") - 1) / F.greatest(F.floor(F.col("__n") / k), F.lit(1))), F.lit(k - 1)).cast("int")
+    return ranked.withColumn(out, fold).drop("__rn", "__n")
+
+
+def percentile_among(scores: DataFrame, score: str, reference: DataFrame, value: str, out: str = "pct") -> DataFrame:
+    """Percentage of reference values below each score, equal ones counted half. Both sides
+    run as one stream of distinct values over ranges; scores then look up their value."""
+    every = reference.select(F.col(value).alias("__v"), F.lit(1).alias("__ref")).unionAll(scores.select(F.col(score).alias("__v"), F.lit(0).alias("__ref")))
+    per = in_ranges(every.where("__v is not null").groupBy("__v").agg(F.sum("__ref").alias("__n")), [], ["__v"])
+    total = reference.agg(F.count(value).alias("__total"))
+    below = running(per, [], ["__v"], F.col("__n"), "__below").crossJoin(F.broadcast(total))
+    share = below.select("__v", (100.0 * (F.col("__below") + 0.5 * F.col("__n")) / F.col("__total")).alias(out))
+    return scores.join(share, scores[score] == share["__v"], "left").select(*scores.columns, out)

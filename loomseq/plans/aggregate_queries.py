@@ -14,13 +14,17 @@ from loomseq.operators import windows as W
 from loomseq.plans.join_queries import PREDICTIONS, SPANS, WIN, predictions, spans, win
 from loomseq.plans.qc_queries import _TIER_SQL, tiers
 from loomseq.plans.registry import query, table
+from loomseq.plans.sequence_queries import parents
 
 
-@query("a1_peptide_map", f"SELECT pep AS peptide, count(DISTINCT doc_id) AS n_parents, array_to_string(list_sort(list_distinct(list(source))), ';') AS sources, array_to_string(list_sort(list_distinct(list(lang))), ';') AS langs FROM {WIN} GROUP BY pep HAVING count(DISTINCT doc_id) >= 5")
+@query("a1_peptide_map", f"SELECT pep AS peptide, count(DISTINCT doc_id) AS n_parents, array_to_string(list_sort(list_distinct(list(source))), ';') AS sources, array_to_string(list_sort(list_distinct(list(lang))), ';') AS langs FROM {WIN} GROUP BY pep")
 def a1(spark, sf_dir):
+    # One exchange, by peptide, of each document's distinct windows; both aggregations then
+    # find their rows in place, and sets are collected last, from one row for each member.
+    w = S.distinct_windows(parents(spark, sf_dir), "seq", 9, "doc_id").repartition("peptide")
+    once = w.groupBy("peptide", "source", "lang").agg(F.count("*").alias("n"))
     sets = [T.list_text(F.collect_set(c)).alias(n) for c, n in (("source", "sources"), ("lang", "langs"))]
-    once = win(spark, sf_dir).groupBy("peptide", "doc_id").agg(F.first("source").alias("source"), F.first("lang").alias("lang"))
-    return once.groupBy("peptide").agg(F.count("*").alias("n_parents"), *sets).where("n_parents >= 5")
+    return once.groupBy("peptide").agg(F.sum("n").alias("n_parents"), *sets)
 
 
 @query("a2_position_lists", "SELECT item_id, pep AS peptide, array_to_string(list_sort(list_distinct(list(p))), ',') AS positions FROM (SELECT item_id, p, substr(seq, p, 9) AS pep FROM (SELECT item_id, seq, unnest(generate_series(1, length(seq) - 8)) AS p FROM (SELECT item_id, upper(regexp_replace(coalesce(text, ''), '[^A-Za-z]', '', 'g')) AS seq FROM benchmark))) GROUP BY ALL")
@@ -181,9 +185,52 @@ def a21(spark, sf_dir):
     return spark.sql("SELECT coalesce(lang, '*') AS lang, coalesce(source, '*') AS source, count(*) AS n, count_if(toxic = 1) AS n_pos, round(avg(score), 9) AS mean_score FROM loomseq_labelled GROUP BY GROUPING SETS ((lang), (source)) HAVING count(*) >= 2")
 
 
-@query("a22_bootstrap_interval")
+def _unit_sql(key, seed):
+    x = f"(({key} * {E._A} + {seed * 7_919}) % {E._PRIME})"
+    y = f"(({x} + (r + 1) * {E._B}) % {E._PRIME})"
+    return f"((({y} * {y} % {E._PRIME}) * {E._C} + {x}) % {E._PRIME}) / {E._PRIME}.0"
+
+
+_REPLICATES = "(SELECT unnest(generate_series(0, 99)) AS r)"
+
+
+def _bootstrap_sql(key, value):
+    w = "CASE WHEN u < 0.36787944 THEN 0 WHEN u < 0.73575888 THEN 1 WHEN u < 0.91969860 THEN 2 WHEN u < 0.98101184 THEN 3 WHEN u < 0.99634015 THEN 4 ELSE 5 END"
+    return f"""SELECT lang, any_value(n) AS n, round(any_value(mean), 9) AS mean, round(quantile_cont(m, 0.025), 9) AS low, round(quantile_cont(m, 0.975), 9) AS high, round(avg((m > 0)::INT), 9) AS above_zero FROM (
+SELECT lang, r, count(*) AS n, avg(v) AS mean, sum(w * v) / nullif(sum(w), 0) AS m FROM (SELECT lang, r, v, {w} AS w FROM (SELECT lang, r, {value} AS v, {_unit_sql(key, 1)} AS u FROM {LABELLED}, {_REPLICATES})) GROUP BY lang, r) GROUP BY lang"""
+
+
+_SOURCE_NUMBER = "regexp_extract(source, '[0-9]+$')::BIGINT"
+
+
+def _rounded(df):
+    return df.select("lang", "n", *[F.round(c, 9).alias(c) for c in ("mean", "low", "high", "above_zero")])
+
+
+@query("a22_bootstrap_interval", _bootstrap_sql("doc_id", "score"))
 def a22(spark, sf_dir):
-    return E.bootstrap(labelled(spark, sf_dir).where("score is not null"), ["lang"], "doc_id", "score", 100)
+    return _rounded(E.bootstrap(labelled(spark, sf_dir), ["lang"], "doc_id", "score", 100))
+
+
+@query("a22_paired_difference", _bootstrap_sql("doc_id", "(score - (toxic * 0.5 + 0.2))"))
+def a22_paired(spark, sf_dir):
+    return _rounded(E.bootstrap(labelled(spark, sf_dir), ["lang"], "doc_id", F.col("score") - (F.col("toxic") * 0.5 + 0.2), 100))
+
+
+@query("a22_grouped_interval", _bootstrap_sql(_SOURCE_NUMBER, "score"))
+def a22_grouped(spark, sf_dir):
+    x = labelled(spark, sf_dir).withColumn("source_number", F.regexp_extract("source", "([0-9]+)$", 1).cast("bigint"))
+    return _rounded(E.bootstrap(x, ["lang"], "source_number", "score", 100))
+
+
+@query(
+    "a22_permutation",
+    f"""SELECT lang, n, round(any_value(d / n), 9) AS mean_difference, round((1 + count(*) FILTER (abs(t) >= abs(d) - 1e-9)) / 101.0, 9) AS p_value FROM (
+SELECT lang, r, count(*) AS n, sum(v) AS d, sum(CASE WHEN u < 0.5 THEN v ELSE -v END) AS t FROM (SELECT lang, r, score - 0.45 AS v, {_unit_sql("doc_id", 2)} AS u FROM {LABELLED}, {_REPLICATES}) GROUP BY lang, r) GROUP BY lang, n""",
+)
+def a22_permutation(spark, sf_dir):
+    p = E.permutation_test(labelled(spark, sf_dir), ["lang"], "doc_id", F.col("score") - 0.45, 100)
+    return p.select("lang", "n", F.round("mean_difference", 9).alias("mean_difference"), F.round("p_value", 9).alias("p_value"))
 
 
 @query("a23_learning_curve", "SELECT c, round(sum((x - px) * (y + py) / 2) / nullif(max(x) - min(x), 0), 6) AS area FROM (SELECT *, lag(x) OVER w AS px, lag(y) OVER w AS py FROM (SELECT l_returnflag AS c, l_linenumber::DOUBLE AS x, avg(l_discount) AS y FROM lineitem GROUP BY 1, 2) WINDOW w AS (PARTITION BY c ORDER BY x)) GROUP BY c")
@@ -243,7 +290,7 @@ def a29(spark, sf_dir):
     return spark.sql("SELECT coalesce(cast(toxic AS string), '*') AS label, coalesce(source, '*') AS source, count(*) AS n_rows, count(DISTINCT score) AS n_scores FROM loomseq_split GROUP BY GROUPING SETS ((toxic), (source), ())")
 
 
-@query("a30_fingerprint")
+@query("a30_fingerprint", "SELECT count(*) AS n, bit_xor(h) AS x, sum(h % 1073741824)::BIGINT AS s FROM (SELECT ('0x' || substr(md5(t), 1, 15))::BIGINT AS h FROM (SELECT DISTINCT '=' || p_partkey || '|=' || p_name AS t FROM part))")
 def a30(spark, sf_dir):
     return E.fingerprint(table(spark, sf_dir, "part"), ["p_partkey", "p_name"])
 
@@ -286,7 +333,7 @@ def w6(spark, sf_dir):
 
 @query("w8_interval_merge", f"SELECT chrom, strand, isl::BIGINT AS island, min(a) AS a, max(b) AS b, count(*) AS n_merged FROM (SELECT *, sum(new) OVER (PARTITION BY chrom, strand ORDER BY a, b ROWS UNBOUNDED PRECEDING) AS isl FROM (SELECT *, CASE WHEN a <= max(b) OVER (PARTITION BY chrom, strand ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS new FROM {SPANS})) GROUP BY ALL")
 def w8(spark, sf_dir):
-    return W.merge_intervals(spans(spark, sf_dir), ["chrom", "strand"], "a", "b")
+    return W.merge_intervals(spans(spark, sf_dir), ["chrom", "strand"], "a", "b").withColumn("island", F.col("island").cast("bigint"))
 
 
 @query("w9_block_offsets", "SELECT l_orderkey, l_linenumber, l_partkey, (sum(l_quantity::BIGINT) OVER w - l_quantity::BIGINT)::BIGINT AS offset0, ((sum(l_quantity::BIGINT) OVER w - l_quantity::BIGINT) % 3)::BIGINT AS phase FROM lineitem WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice ROWS UNBOUNDED PRECEDING)")
@@ -318,8 +365,8 @@ def w12(spark, sf_dir):
 
 @query("w13_record_ids", "SELECT doc_id, 'prot_' || lpad((row_number() OVER (PARTITION BY source ORDER BY doc_id))::VARCHAR, 8, '0') AS record_id FROM documents")
 def w13(spark, sf_dir):
-    n = F.row_number().over(Window.partitionBy("source").orderBy("doc_id")).cast("string")
-    return table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("prot_"), F.lpad(n, 8, "0")).alias("record_id"))
+    d = W.source_rank(table(spark, sf_dir, "documents").select("doc_id", "source"), ["source"], ["doc_id"], "n")
+    return d.select("doc_id", F.concat(F.lit("prot_"), F.lpad(F.col("n").cast("string"), 8, "0")).alias("record_id"))
 
 
 @query("w14_nested_sample", "SELECT lang, fraction, count(*) AS n, min(doc_id) AS first_id, sum(doc_id)::BIGINT AS total FROM (SELECT *, unnest([0.1, 0.25, 0.5])::DOUBLE AS fraction FROM (SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY md5(doc_id::VARCHAR)) AS rn, count(*) OVER (PARTITION BY lang) AS n FROM documents)) WHERE rn <= greatest(ceil(n * fraction), 1) GROUP BY ALL")
@@ -333,8 +380,8 @@ def w14(spark, sf_dir):
 def w15(spark, sf_dir):
     o = table(spark, sf_dir, "orders").where("o_custkey % 3 <> 0")
     origin = F.when(F.col("o_orderstatus") == "F", 0).otherwise(1)
-    r = W.source_rank(o, ["o_orderpriority"], [origin, F.desc("o_totalprice"), F.asc("o_orderkey")], "place")
-    return r.where("place <= 30").select("o_orderkey", "place")
+    r = W.first_ranked(o, ["o_orderpriority"], [origin, F.desc("o_totalprice"), F.asc("o_orderkey")], 30)
+    return r.select("o_orderkey", "place")
 
 
 @query("w16_folds", "SELECT l_orderkey, l_linenumber, l_partkey, least(floor((rn - 1) / greatest(floor(n / 5), 1)), 4)::INTEGER AS fold FROM (SELECT *, row_number() OVER (PARTITION BY l_returnflag ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS rn, count(*) OVER (PARTITION BY l_returnflag) AS n FROM lineitem)")
@@ -345,16 +392,8 @@ def w16(spark, sf_dir):
 
 @query("w17_reference_percentile", "SELECT s.s_suppkey, round(100.0 * (count(*) FILTER (c_acctbal < s_acctbal) + 0.5 * count(*) FILTER (c_acctbal = s_acctbal)) / count(*), 6) AS pct FROM supplier s, customer GROUP BY s.s_suppkey")
 def w17(spark, sf_dir):
-    # Scores and reference in one stream: running counts instead of a range join. The
-    # buckets keep the window from meeting in one task; their totals are a few rows.
-    both = table(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_acctbal").alias("v")).unionByName(table(spark, sf_dir, "customer").select(F.col("c_acctbal").alias("v")), allowMissingColumns=True)
-    ref = F.col("s_suppkey").isNull().cast("int")
-    per = both.groupBy("v").agg(F.sum(ref).alias("n"), F.collect_list("s_suppkey").alias("ids")).withColumn("bucket", F.floor(F.col("v") / 100))
-    totals = per.groupBy("bucket").agg(F.sum("n").alias("t"))
-    before = totals.withColumns({"base": F.sum("t").over(Window.orderBy("bucket")) - F.col("t"), "total": F.sum("t").over(Window.partitionBy())}).drop("t")
-    run = F.sum("n").over(Window.partitionBy("bucket").orderBy("v")) - F.col("n")
-    x = per.withColumn("run", run).join(before, "bucket").select(F.explode("ids").alias("s_suppkey"), F.round(100.0 * (F.col("base") + F.col("run") + 0.5 * F.col("n")) / F.col("total"), 6).alias("pct"))
-    return x
+    x = W.percentile_among(table(spark, sf_dir, "supplier").select("s_suppkey", "s_acctbal"), "s_acctbal", table(spark, sf_dir, "customer"), "c_acctbal")
+    return x.select("s_suppkey", F.round("pct", 6).alias("pct"))
 
 
 @query("o1_top_sorted", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 25")

@@ -30,10 +30,13 @@ def reference(spark, sf_dir):
 
 @query("j4_reference_match", f"SELECT lang, count(*) AS n_windows, count(DISTINCT w.pep) AS n_distinct, count(r.pep) AS n_matched, count(*) - count(r.pep) AS n_kept FROM {WIN} w LEFT JOIN {REF} r ON r.pep = w.pep GROUP BY lang")
 def j4(spark, sf_dir):
-    # Repeated windows are counted before the join, so a frequent window is one row in it.
-    keys = win(spark, sf_dir).groupBy("lang", "peptide").agg(F.count("*").alias("n"))
-    known = J.reference_windows(reference(spark, sf_dir), "seq", [9])
-    m = J.subtract(keys, known, ["peptide"])
+    # Repeated windows are counted before the join, by their hash, so a frequent window is
+    # one small row in it.
+    w = S.window_chunks(parents(spark, sf_dir).select("lang", "seq"), "seq", [9])
+    hashed = w.select("lang", F.explode(F.transform("__windows", lambda x: F.xxhash64(x))).alias("key"))
+    keys = hashed.groupBy("lang", "key").agg(F.count("*").alias("n"))
+    known = J.reference_windows(reference(spark, sf_dir), "seq", [9]).select(F.xxhash64(F.col("peptide").cast("binary")).alias("key")).distinct()
+    m = J.subtract(keys, known, ["key"])
     hit = F.sum(F.when(F.col("excluded"), F.col("n")).otherwise(0))
     return m.groupBy("lang").agg(F.sum("n").alias("n_windows"), F.count("*").alias("n_distinct"), hit.alias("n_matched"), (F.sum("n") - hit).alias("n_kept"))
 
@@ -44,11 +47,12 @@ def j4(spark, sf_dir):
 FROM (SELECT DISTINCT lang, pep FROM {WIN} WHERE {TUMOR}) t LEFT JOIN (SELECT lang, pep, count(DISTINCT doc_id) AS parents FROM {WIN} WHERE NOT {TUMOR} GROUP BY ALL) n ON n.lang = t.lang AND n.pep = t.pep GROUP BY t.lang""",
 )
 def j3(spark, sf_dir):
-    w = win(spark, sf_dir)
-    tumor = w.where(is_tumor()).select("lang", "peptide").distinct()
-    normal = w.where(~is_tumor()).groupBy("lang", "peptide").agg(F.countDistinct("doc_id").alias("parents"))
-    m = J.subtract(tumor, normal, ["lang", "peptide"], ["parents"])
-    return m.groupBy("lang").agg(F.count("*").alias("n_keys"), F.count_if("excluded").alias("n_excluded"), F.coalesce(F.sum("parents"), F.lit(0)).cast("bigint").alias("normal_parents"), F.min(F.when(~F.col("excluded"), F.col("peptide"))).alias("first_kept"))
+    # One tiling and one exchange: a key's tumor and normal parents are counted together.
+    p = parents(spark, sf_dir).select("doc_id", "lang", is_tumor().alias("tumor"), "seq")
+    w = S.distinct_windows(p, "seq", 9, "doc_id")
+    keys = w.groupBy("lang", "peptide").agg(F.count_if("tumor").alias("here"), F.count_if(~F.col("tumor")).alias("parents")).where("here > 0")
+    out = F.col("parents") > 0
+    return keys.groupBy("lang").agg(F.count("*").alias("n_keys"), F.count_if(out).alias("n_excluded"), F.sum("parents").alias("normal_parents"), F.min(F.when(~out, F.col("peptide"))).alias("first_kept"))
 
 
 @query("j2_exact_parents", f"SELECT doc_id, sha256(seq) IN (SELECT sha256(seq) FROM {PARENTS} WHERE NOT {TUMOR}) AS excluded FROM {PARENTS} WHERE {TUMOR}")

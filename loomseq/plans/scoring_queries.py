@@ -33,6 +33,13 @@ def ud1(spark, sf_dir):
     return scoring.score_tasks(t).select("peptide", "hla_allele", "algorithm", "mhc_class", F.round("score", 9).alias("score"), "status")
 
 
+@query("ud2_job_groups", "SELECT 'linear' AS family, p_brand AS hla_allele, length(p_name) AS length, count(*) AS n_tasks, ceil(count(*) / 20)::INTEGER AS chunks, ceil(count(*) / 20) >= count(DISTINCT p_brand) AS in_chunks FROM (SELECT p_partkey, p_brand, p_name FROM part UNION ALL SELECT p_partkey, p_brand, p_name FROM part) GROUP BY p_brand, length(p_name)")
+def ud2(spark, sf_dir):
+    p = table(spark, sf_dir, "part").select(F.col("p_name").alias("peptide"), F.col("p_brand").alias("hla_allele"), F.explode(F.array(F.lit("hydropathy"), F.lit("length_logistic"))).alias("algorithm"))
+    g = scoring.job_chunks(p, 20).groupBy("family", "hla_allele", "length", "chunks")
+    return g.agg(F.count("*").alias("n_tasks"), (F.max("chunk") < F.col("chunks")).alias("in_chunks")).select("family", "hla_allele", "length", "n_tasks", "chunks", "in_chunks")
+
+
 @query("ud3_linear_model", "SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN t IS NOT NULL THEN round(1 / (1 + exp(-greatest(-30, least(30, -1 + 0.05 * l_quantity + 4 * t)))), 9) END AS score, CASE WHEN t IS NOT NULL THEN 'ok' ELSE 'missing' END AS status FROM (SELECT *, CASE WHEN l_returnflag <> 'N' THEN l_tax END AS t FROM lineitem)")
 def ud3(spark, sf_dir):
     l = table(spark, sf_dir, "lineitem").withColumn("t", F.when(F.col("l_returnflag") != "N", F.col("l_tax")))
@@ -51,6 +58,18 @@ def ud4(spark, sf_dir):
     return model.transform(rows).select("doc_id", "quality", F.col("prediction").cast("int").alias("predicted"))
 
 
+@query("ud4_ngram3_classifier")
+def ud4_ngram3(spark, sf_dir):
+    model, rows = scoring.ngram_classifier(_labelled(spark, sf_dir), "seq", "quality", 3)
+    return model.transform(rows).select("doc_id", "quality", F.col("prediction").cast("int").alias("predicted"))
+
+
+@query("ud4_ngram4_classifier")
+def ud4_ngram4(spark, sf_dir):
+    model, rows = scoring.ngram_classifier(_labelled(spark, sf_dir), "seq", "quality", 4)
+    return model.transform(rows).select("doc_id", "quality", F.col("prediction").cast("int").alias("predicted"))
+
+
 @query("ud5_cross_validation")
 def ud5(spark, sf_dir):
     scored = scoring.out_of_fold(spark, _labelled(spark, sf_dir), "seq", "quality", group="seq")

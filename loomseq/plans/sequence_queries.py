@@ -4,12 +4,13 @@ language the class; benchmark texts stand for the reference."""
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from loomseq.functions import sequences as S
 from loomseq.functions import text as T
+from loomseq.operators.windows import source_rank
 from loomseq.plans.registry import query, spread, table
+from loomseq.storage import stored
 
 PARENTS = "(SELECT doc_id, source, lang, upper(regexp_replace(coalesce(text, ''), '[^A-Za-z]', '', 'g')) AS seq FROM documents)"
 #: The 26 letters as bases, cyclically.
@@ -23,9 +24,14 @@ def parents(spark, sf_dir):
 
 
 def pairs(spark, sf_dir):
-    """Each document with the one before it in its source, as mutant and wild type."""
-    order = Window.partitionBy("source").orderBy("doc_id")
-    return parents(spark, sf_dir).withColumn("wt", F.lag("seq").over(order)).where("wt is not null")
+    """Each document with the one before it in its source, as mutant and wild type. Only ids
+    are ranked; texts are joined to the pairs by id."""
+    ids = table(spark, sf_dir, "documents").select("doc_id", "source")
+    ranked = stored(spark, source_rank(ids, ["source"], ["doc_id"], "n"), "ranked")
+    before = ranked.select("source", (F.col("n") + 1).alias("n"), F.col("doc_id").alias("wt_id"))
+    links = ranked.join(before, ["source", "n"]).select("doc_id", "wt_id")
+    p = parents(spark, sf_dir)
+    return p.join(links, "doc_id").join(p.select(F.col("doc_id").alias("wt_id"), F.col("seq").alias("wt")), "wt_id").drop("wt_id")
 
 
 PAIRS = f"(SELECT * FROM (SELECT *, lag(seq) OVER (PARTITION BY source ORDER BY doc_id) AS wt FROM {PARENTS}) WHERE wt IS NOT NULL)"
@@ -38,11 +44,7 @@ DNA = f"(SELECT doc_id, source, translate(seq, '{LETTERS}', '{BASES}') AS dna FR
 FROM (SELECT doc_id, k, unnest(list_transform(generate_series(1, length(seq) - k + 1), lambda p: substr(seq, p::BIGINT, k))) AS pep FROM {PARENTS}, (SELECT unnest([9, 15]) AS k)) GROUP BY ALL""",
 )
 def f1(spark, sf_dir):
-    # Texts are placed by document before they are tiled: the shuffle moves texts, not
-    # windows, and both aggregations find their rows in place.
-    placed = parents(spark, sf_dir).select("doc_id", "seq").repartition("doc_id")
-    once = S.windows(placed, "seq", [9, 15]).groupBy("doc_id", "pep_len", "peptide").agg(F.count("*").alias("n"))
-    return once.groupBy("doc_id", "pep_len").agg(F.sum("n").alias("n_windows"), F.count("*").alias("n_distinct"), F.min("peptide").alias("first_pep"), F.max("peptide").alias("last_pep"))
+    return S.window_summary(parents(spark, sf_dir), "seq", [9, 15], "doc_id")
 
 
 @query("p23_scale_gate", f"SELECT lang, sum(greatest(length(seq) - 7, 0) + greatest(length(seq) - 8, 0) + greatest(length(seq) - 14, 0))::BIGINT AS n_windows, sum(greatest(length(seq) - 7, 0) + greatest(length(seq) - 8, 0) + greatest(length(seq) - 14, 0)) > 200000 AS over_limit FROM {PARENTS} GROUP BY lang")
@@ -87,7 +89,7 @@ def f5(spark, sf_dir):
 
 @query(
     "f6_hla_names",
-    "SELECT p_partkey, 'A*' || lpad((p_size % 90)::VARCHAR, 2, '0') || ':01' AS two_field, 'HLADPA10103DPB1' || lpad((p_size % 90)::VARCHAR, 2, '0') || '01' AS support, 'B*' || lpad((p_size % 90)::VARCHAR, 2, '0') || ':07' AS compact FROM part",
+    "SELECT p_partkey, 'A*' || lpad((p_size % 90)::VARCHAR, 2, '0') || ':01' AS two_field, 'DPA10103DPB1' || lpad((p_size % 90)::VARCHAR, 2, '0') || '01' AS support, 'B*' || lpad((p_size % 90)::VARCHAR, 2, '0') || ':07' AS compact FROM part",
 )
 def f6(spark, sf_dir):
     n = F.lpad((F.col("p_size") % 90).cast("string"), 2, "0")
@@ -171,14 +173,30 @@ def _scale_sql(scale):
     return " + ".join(f"(length(seq) - length(replace(seq, '{a}', ''))) * ({v})" for a, v in scale.items())
 
 
+def _charge_sql(ph, constants):
+    n = lambda c: "1" if c in "nc" else f"(length(seq) - length(replace(seq, '{c}', '')))"
+    terms = [f"{sign} * {n(c)} / (1 + pow(10.0::DOUBLE, {sign} * ({ph} - {pk}::DOUBLE)))" for sign, group in zip((1, -1), constants, strict=True) for c, pk in group.items()]
+    return " + ".join(terms)
+
+
+# The small addend keeps values that lie between two roundings from going either way.
+_MEAN = "round(({})::DOUBLE / nullif(length(seq), 0) + 1e-9, 6)"
+
+
 @query(
     "f17_peptide_features",
-    f"""SELECT doc_id, round(({_scale_sql(S.HYDROPATHY)})::DOUBLE, 4) AS hydropathy, (length(seq) - length(replace(seq, 'K', '')) + length(seq) - length(replace(seq, 'R', '')) - (length(seq) - length(replace(seq, 'D', ''))) - (length(seq) - length(replace(seq, 'E', ''))))::DOUBLE AS charge FROM {PARENTS}""",
+    f"""WITH RECURSIVE p AS (SELECT doc_id, seq FROM {PARENTS}),
+b AS (SELECT doc_id, seq, 0.0::DOUBLE AS lo, 14.0::DOUBLE AS hi, 0 AS step FROM p
+  UNION ALL SELECT doc_id, seq, CASE WHEN {_charge_sql("((lo + hi) / 2)", S.EMBOSS)} > 0 THEN (lo + hi) / 2 ELSE lo END, CASE WHEN {_charge_sql("((lo + hi) / 2)", S.EMBOSS)} > 0 THEN hi ELSE (lo + hi) / 2 END, step + 1 FROM b WHERE step < 40)
+SELECT p.doc_id, round(({_scale_sql(S.POLARITY)})::DOUBLE, 4) AS polarity, round(({_scale_sql(S.VOLUME)})::DOUBLE, 4) AS volume, round({_charge_sql("7.0", S.LEHNINGER)} + 1e-9, 6) AS net_charge,
+  {_MEAN.format(_scale_sql(S.HYDROPATHY))} AS hydrophobicity, {_MEAN.format(_scale_sql(S.SOLUBILITY))} AS boman, {_MEAN.format("100 * (" + _scale_sql({"A": 1.0, "V": 2.9, "I": 3.9, "L": 3.9}) + ")")} AS aliphatic, round(i.pi + 1e-9, 6) AS isoelectric_point
+FROM p JOIN (SELECT doc_id, (lo + hi) / 2 AS pi FROM b WHERE step = 40) i USING (doc_id)""",
 )
 def f17(spark, sf_dir):
     seq = F.col("seq")
-    charge = S.scale_sum(seq, {"K": 1.0, "R": 1.0, "D": -1.0, "E": -1.0})
-    return parents(spark, sf_dir).select("doc_id", F.round(S.scale_sum(seq, S.HYDROPATHY), 4).alias("hydropathy"), charge.alias("charge"))
+    mean = {"hydrophobicity": S.per_letter(seq, S.HYDROPATHY), "boman": S.per_letter(seq, S.SOLUBILITY), "aliphatic": S.aliphatic_index(seq), "net_charge": S.net_charge(seq), "isoelectric_point": S.isoelectric_point(seq)}
+    sums = {"polarity": S.scale_sum(seq, S.POLARITY), "volume": S.scale_sum(seq, S.VOLUME)}
+    return parents(spark, sf_dir).select("doc_id", *[F.round(c, 4).alias(n) for n, c in sums.items()], *[F.round(c + 1e-9, 6).alias(n) for n, c in mean.items()])
 
 
 @query("f18_amino_fractions", f"SELECT doc_id, length(seq) AS n, " + ", ".join(f"round((length(seq) - length(replace(seq, '{a}', ''))) / nullif(length(seq), 0)::DOUBLE, 9) AS f_{a.lower()}" for a in S.AMINO_ACIDS) + f" FROM {PARENTS}")
@@ -222,9 +240,7 @@ def f20(spark, sf_dir):
 )
 def f22(spark, sf_dir):
     x = table(spark, sf_dir, "lineitem").selectExpr("l_orderkey", "l_linenumber", "l_suppkey % 20 + 1 as s", "cast(l_quantity as bigint) % 30 as a", "cast(l_quantity as bigint) % 30 + l_linenumber % 3 as b")
-    first, last = F.col("a") - F.col("s") + 1, F.col("b") - F.col("s") + 1
-    inside = (F.col("a") >= F.col("s")) & (F.col("b") <= F.col("s") + 8)
-    return x.select("l_orderkey", "l_linenumber", F.when(inside & (F.col("b") > F.col("a")), F.concat_ws("-", first, last)).when(inside, first.cast("string")).alias("place"))
+    return x.select("l_orderkey", "l_linenumber", S.place_in_window(F.col("a"), F.col("b"), F.col("s"), F.lit(9)).alias("place"))
 
 
 @query(
@@ -270,20 +286,26 @@ def f28(spark, sf_dir):
     return l.select("l_orderkey", "l_linenumber", F.greatest(F.lit(0), F.col("l_suppkey") - 5).alias("start0"), (F.col("l_suppkey") + F.col("l_quantity").cast("bigint") + 5).alias("end0"), F.split_part(depth, F.lit(","), F.lit(2)).cast("bigint").alias("alt_reads"))
 
 
+_IDS = f"list_transform(generate_series(1, length({{0}})), lambda i: instr('{S.AMINO_ACIDS}', substr({{0}}, i::BIGINT, 1))::DOUBLE)"
+
+
 @query(
     "f29_token_encoding",
-    f"""SELECT doc_id, array_to_string(list_transform(generate_series(1, 64), lambda i: CASE WHEN i <= length(seq) THEN instr('{S.AMINO_ACIDS}', substr(seq, i::BIGINT, 1)) ELSE 0 END), ' ') AS ids FROM {PARENTS}""",
+    f"""WITH t AS (SELECT p_partkey, list_concat([p_size::DOUBLE, p_retailprice], list_concat({_IDS.format('a')}, list_concat([0.0 FOR k IN range(12)], {_IDS.format('b')}))) AS ids FROM (SELECT *, upper(regexp_replace(p_name, '[^A-Za-z]', '', 'g')) AS a, upper(regexp_replace(p_type, '[^A-Za-z]', '', 'g')) AS b FROM part))
+SELECT p_partkey, len(ids) AS used, array_to_string(list_transform(list_resize(ids, (SELECT max(len(ids)) FROM t), 0.0), lambda x: round(x * 100)::BIGINT), ' ') AS ids FROM t""",
 )
 def f29(spark, sf_dir):
-    return parents(spark, sf_dir).select("doc_id", F.array_join(S.encode_tokens(F.col("seq"), S.AMINO_ACIDS, 64), " ").alias("ids"))
+    p = table(spark, sf_dir, "part")
+    ids = S.encode_tokens(F.array(F.col("p_size").cast("double"), "p_retailprice"), S.letters_only(F.col("p_name")), S.letters_only(F.col("p_type")), S.AMINO_ACIDS)
+    t = p.select("p_partkey", ids.alias("ids")).withColumn("used", F.size("ids").cast("bigint"))
+    return S.to_length(t, "ids").select("p_partkey", "used", F.array_join(F.transform("ids", lambda x: F.round(x * 100).cast("bigint").cast("string")), " ").alias("ids"))
 
 
-@query("f30_feature_ablation", "SELECT vec_id, list_sum(list_transform(generate_series(1, len(embedding)), lambda i: CASE WHEN i <= 25 THEN 0.0 ELSE 1.0 END))::BIGINT AS n_kept FROM embeddings")
+@query("f30_feature_ablation", "SELECT vec_id, round(list_sum(list_transform(generate_series(1, len(embedding)), lambda i: CASE WHEN i BETWEEN 5 AND 29 THEN 0.0 ELSE embedding[i]::DOUBLE * i END)), 5) AS weighted, len(embedding)::BIGINT AS n FROM embeddings")
 def f30(spark, sf_dir):
-    e = table(spark, sf_dir, "embeddings")
-    zeroed = F.transform("embedding", lambda x, i: F.when(i < 25, F.lit(None)).otherwise(x))
-    blank = F.transform(zeroed, lambda x: F.coalesce(x, F.lit(0.0)))
-    return e.select("vec_id", (F.size(blank) - F.size(F.filter(zeroed, lambda x: x.isNull()))).cast("bigint").alias("n_kept"))
+    e = table(spark, sf_dir, "embeddings").withColumn("x", S.ablated(F.col("embedding"), 4, 25))
+    weighted = F.aggregate(F.transform("x", lambda x, i: x.cast("double") * (i + 1)), F.lit(0.0), lambda a, x: a + x)
+    return e.select("vec_id", F.round(weighted, 5).alias("weighted"), F.size("x").cast("bigint").alias("n"))
 
 
 @query("p24_variant_kind", f"SELECT doc_id, CASE WHEN length(a) = 1 AND length(b) = 1 THEN 'SNV' WHEN length(a) = length(b) THEN 'MNV' ELSE 'INDEL_OR_COMPLEX' END AS kind FROM (SELECT doc_id, substr('ACGT', 1, (doc_id % 3 + 1)::BIGINT) AS a, substr('TGCA', 1, (n_chars % 3 + 1)::BIGINT) AS b FROM documents)")

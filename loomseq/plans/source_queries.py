@@ -225,3 +225,71 @@ def s21(spark, sf_dir):
     path = lines(spark, table(spark, sf_dir, "part"), "tasks", "p_name", "p_brand", F.lit("x"), F.lit("MHC-I"))
     t = sources.delimited(spark, path, ", ".join(f"{c} string" for c in sources.TASK_COLUMNS))
     return sources.require_columns(t, sources.TASK_COLUMNS).groupBy(*sources.TASK_COLUMNS).agg(F.count("*").alias("n"))
+
+
+@query("s14_overlap_table", "SELECT 'b' || l_orderkey AS name, 'g' || l_partkey AS gene_id, least(l_suppkey + 60, l_partkey + 50) - greatest(l_suppkey, l_partkey - 1) AS overlap, count(*) AS n FROM lineitem WHERE least(l_suppkey + 60, l_partkey + 50) > greatest(l_suppkey, l_partkey - 1) GROUP BY ALL")
+def s14(spark, sf_dir):
+    l = table(spark, sf_dir, "lineitem").withColumns({"e": F.col("l_suppkey") + 60, "ge": F.col("l_partkey") + 50, "nm": F.concat(F.lit("b"), "l_orderkey"), "a": F.concat(F.lit('gene_id "g'), "l_partkey", F.lit('"; transcript_id "t";'))})
+    z, c, dot = F.lit(0), F.lit("chr1"), F.lit(".")
+    path = lines(spark, l, "overlaps", c, "l_suppkey", "e", "nm", z, F.lit("+"), z, z, z, F.lit(1), F.lit("60,"), F.lit("0,"), c, dot, F.lit("exon"), "l_partkey", "ge", dot, F.lit("-"), dot, "a")
+    return sources.interval_overlaps(spark, path).groupBy("name", "gene_id", "overlap").agg(F.count("*").alias("n"))
+
+
+@query("s16_allele_sequences", "SELECT 'A*' || lpad((p_size % 90)::VARCHAR, 2, '0') || ':01' AS allele, arg_min('S' || replace(p_type, ' ', ''), p_partkey) AS sequence FROM part GROUP BY p_size % 90")
+def s16_fasta(spark, sf_dir):
+    path = shared_path(spark, "alleles")
+    p = table(spark, sf_dir, "part").coalesce(1).sortWithinPartitions("p_partkey")
+    name = F.concat(F.lit("A*"), F.lpad((F.col("p_size") % 90).cast("string"), 2, "0"), F.lit(":01:"), F.lpad((F.col("p_partkey") % 90).cast("string"), 2, "0"))
+    sinks.write_fasta(p, path, F.concat(F.lit("HLA:"), "p_partkey"), F.concat(name, F.lit(" 181 bp")), F.concat(F.lit("S"), F.replace("p_type", F.lit(" "), F.lit(""))))
+    return sources.allele_sequences(spark, path)
+
+
+@query("s16_pseudo_sequences", "SELECT k AS key, arg_max(v, o) AS seq FROM (SELECT unnest(['HLA-' || p_size, 'A' || p_size, p_brand]) AS k, p_name || p_partkey AS v, p_partkey AS o FROM part) GROUP BY k")
+def s16_pseudo(spark, sf_dir):
+    p = table(spark, sf_dir, "part").select("p_partkey", F.concat(F.lit("HLA-"), "p_size").alias("a"), F.concat(F.lit("A"), "p_size").alias("b"), F.col("p_brand").alias("c"), F.concat("p_name", F.col("p_partkey").cast("string")).alias("seq"))
+    return sources.pseudo_sequences(p, ["a", "b", "c"], "seq", F.col("p_partkey"))
+
+
+@query(
+    "s19_allele_support",
+    """SELECT l_partkey, l_linenumber, a AS algorithm, CASE WHEN a = 'N' THEN 'run' WHEN l_suppkey % 5 = 4 THEN 'skipped' WHEN l_suppkey % 5 = 3 AND l_linenumber + 7 NOT IN (8, 10) THEN 'skipped' ELSE 'run' END AS action, count(*) AS n
+FROM (SELECT *, l_returnflag AS a FROM lineitem) GROUP BY ALL""",
+)
+def s19(spark, sf_dir):
+    r = table(spark, sf_dir, "region").where("r_regionkey < 4").select("r_regionkey", F.explode(F.array(F.lit("A"), F.lit("R"))).alias("a"))
+    r = r.withColumn("len", F.explode(F.when(F.col("r_regionkey") == 3, F.array(F.lit("8"), F.lit("10"))).otherwise(F.array(F.lit("")))))
+    r = r.withColumn("x", F.concat(F.lit(" HLA-A*0"), "r_regionkey", F.lit(":01")))
+    odd = spark.range(1).select(F.explode(F.array(*[F.lit(v) for v in ("# N\tA*04:01", "A\t-----", "A\tA*04:01 old", "\tA*04:01", "R\t")])).alias("value"))
+    path = shared_path(spark, "support")
+    r.select(F.concat_ws("\t", "a", "x", "len").alias("value")).unionAll(odd).write.text(path)
+    l = table(spark, sf_dir, "lineitem")
+    tasks = l.select("l_partkey", "l_linenumber", F.repeat(F.lit("A"), F.col("l_linenumber") + 7).alias("peptide"), F.concat(F.lit("HLA-A*0"), F.col("l_suppkey") % 5, F.lit(":01")).alias("hla_allele"), F.col("l_returnflag").alias("algorithm"))
+    routed = sources.route_by_support(tasks, sources.allele_support(spark, path))
+    return routed.groupBy("l_partkey", "l_linenumber", "algorithm", "action").agg(F.count("*").alias("n"))
+
+
+@query("k4_shards", "SELECT n_nationkey::VARCHAR AS id, n_name AS name, true AS other_refused FROM nation")
+def k4(spark, sf_dir):
+    n = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"))
+    paths = [shared_path(spark, "shard") for _ in range(3)]
+    sinks.write_tsv(n.where("id % 2 = 0"), paths[0], ["id", "name"])
+    sinks.write_tsv(n.where("id % 2 = 1"), paths[1], ["id", "name"])
+    sinks.write_tsv(n, paths[2], ["name", "id"])
+    try:
+        sources.shards(spark, paths)
+        refused = False
+    except ValueError:
+        refused = True
+    return sources.shards(spark, paths[:2]).withColumn("other_refused", F.lit(refused))
+
+
+_SIX = ("sqrt(l_extendedprice) * 100000", "l_discount / 7", "-(l_tax + 0.0123) / 100003", "l_quantity")
+
+
+@query("f26_six_digits", "SELECT l_orderkey::VARCHAR AS l_orderkey, l_linenumber::VARCHAR AS l_linenumber, " + ", ".join(f"printf('%.6g', {x}) AS v{i}" for i, x in enumerate(_SIX)) + " FROM lineitem")
+def f26(spark, sf_dir):
+    l = table(spark, sf_dir, "lineitem").selectExpr("l_orderkey", "l_linenumber", *[f"{x} as v{i}" for i, x in enumerate(_SIX)])
+    path = shared_path(spark, "six")
+    names = ["l_orderkey", "l_linenumber", "v0", "v1", "v2", "v3"]
+    sinks.write_tsv(l, path, names)
+    return sources.delimited(spark, path, ", ".join(f"{c} string" for c in names), header=True)

@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loomseq.functions.text import six_digits
+
 
 def write_tsv(df: DataFrame, path: str, columns: list[str], compression: str = "none") -> None:
-    """Fixed columns in the given order, tab-separated with a header, null as empty."""
-    rows = df.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in columns])
+    """Fixed columns in the given order, tab-separated with a header, null as empty and
+    fractional numbers with six significant digits."""
+    fractional = {f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float")}
+    text = {c: six_digits(F.col(c)) if c in fractional else F.col(c).cast("string") for c in columns}
+    rows = df.select(*[F.coalesce(t, F.lit("")).alias(c) for c, t in text.items()])
     rows.write.option("sep", "\t").option("header", True).option("emptyValue", "").option("compression", compression).csv(path)
 
 

@@ -10,7 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomseq.functions.text import blank_to_null, gtf_attribute, hla_two_field, info_map, tolerant_double, tolerant_long
+from loomseq.functions.text import blank_to_null, gtf_attribute, hla_two_field, info_map, support_key, tolerant_double, tolerant_long
 
 HIT_COLUMNS = "qseqid string, qlen int, sseqid string, qseq string, sseq string, stitle string, pident double, length int, mismatch int, gapopen int, qstart int, qend int, sstart int, send int, evalue double, bitscore double, qcovhsp double, qcovs double"
 TASK_COLUMNS = ["peptide", "hla_allele", "algorithm", "mhc_class"]
@@ -136,7 +136,7 @@ def aliases_long(df: DataFrame, keys: list[str], value: str) -> DataFrame:
 
 
 def concatenated(parts: list[DataFrame]) -> DataFrame:
-    """Shards with the same header as one table."""
+    """Shards with the same header as one table; a shard with another one is an error."""
     first = parts[0].columns
     for p in parts[1:]:
         if p.columns != first:
@@ -144,6 +144,62 @@ def concatenated(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def shards(spark: SparkSession, paths: list[str], sep: str = "\t") -> DataFrame:
+    """Delimited shards that carry a header, all columns as text, as one table after a
+    check of their headers."""
+    return concatenated([spark.read.option("sep", sep).option("header", True).csv(p) for p in paths])
+
+
+OVERLAP_COLUMNS = "chrom string, start0 bigint, end0 bigint, name string, score string, strand string, thick0 bigint, thick1 bigint, rgb string, n int, sizes string, offsets string, g_chrom string, g_source string, g_feature string, g_start1 bigint, g_end1 bigint, g_score string, g_strand string, g_frame string, g_attributes string"
+
+
+def interval_overlaps(spark: SparkSession, path: str) -> DataFrame:
+    """Pairs of a BED12 record and a gene-model feature that it overlaps, with the length of
+    the overlap; pairs that do not touch are left out."""
+    t = delimited(spark, path, OVERLAP_COLUMNS)
+    length = F.least("end0", "g_end1") - F.greatest(F.col("start0"), F.col("g_start1") - 1)
+    ids = [gtf_attribute(F.col("g_attributes"), k).alias(k) for k in ("gene_id", "transcript_id")]
+    return t.select("name", "chrom", "start0", "end0", "strand", F.col("g_feature").alias("feature"), F.col("g_strand").alias("feature_strand"), *ids, length.alias("overlap")).where((F.col("chrom") == F.col("g_chrom")) & (F.col("overlap") > 0))
+
+
+def allele_sequences(spark: SparkSession, path: str) -> DataFrame:
+    """allele (two fields), sequence of an HLA FASTA whose descriptions name the allele; of
+    several records of an allele the first of the file is kept."""
+    order = F.struct(F.input_file_name(), F.monotonically_increasing_id())
+    f = fasta(spark, path).withColumn("__order", order).where("description <> ''")
+    name = hla_two_field(F.regexp_extract("description", r"^(\S+)", 1))
+    return f.withColumn("allele", name).groupBy("allele").agg(F.min_by("sequence", "__order").alias("sequence"))
+
+
+def pseudo_sequences(df: DataFrame, keys: list[str], value: str, order: Column) -> DataFrame:
+    """(key, value) of rows with several alias columns; of a key's rows the last in the order
+    wins."""
+    long = df.select(F.explode(F.array(*keys)).alias("key"), value, order.alias("__order")).where("key is not null")
+    return long.groupBy("key").agg(F.max_by(value, "__order").alias(value))
+
+
+def allele_support(spark: SparkSession, path: str) -> DataFrame:
+    """algorithm, allele_key and lengths (null: any) of a support catalog of lines algorithm,
+    allele, length. Blank and comment lines, rules of dashes and alleles with blanks are no
+    entries."""
+    t = delimited(spark, path, "algorithm string, allele string, length string")
+    allele = F.trim(F.coalesce("allele", F.lit("")))
+    ok = (allele != "") & ~allele.rlike(r"^[#-]|\s") & ~F.trim(F.coalesce("algorithm", F.lit(""))).rlike(r"^(#.*)?$")
+    rows = t.where(ok).select(F.trim("algorithm").alias("algorithm"), support_key(allele).alias("allele_key"), tolerant_long(F.col("length")).cast("int").alias("length"))
+    lengths = F.array_sort(F.collect_set("length"))
+    return rows.where("allele_key <> ''").groupBy("algorithm", "allele_key").agg(F.when(F.bool_and(F.col("length").isNotNull()), lengths).alias("lengths"))
+
+
+def route_by_support(tasks: DataFrame, catalog: DataFrame) -> DataFrame:
+    """tasks (peptide, hla_allele, algorithm, ...) with action: run, or skipped where the
+    catalog knows the algorithm but not the allele, or not for the peptide's length. An
+    algorithm without entries is unknown, and runs."""
+    known = catalog.select("algorithm").distinct().withColumn("__known", F.lit(True))
+    key = support_key(F.col("hla_allele")).alias("allele_key")
+    found = tasks.select("*", key).join(known, "algorithm", "left").join(catalog.withColumn("__listed", F.lit(True)), ["algorithm", "allele_key"], "left")
+    fits = F.col("__listed") & F.coalesce(F.array_contains("lengths", F.length("peptide")), F.lit(True))
+    run = F.col("__known").isNull() | F.coalesce(fits, F.lit(False))
+    return found.select(*tasks.columns, F.when(run, "run").otherwise("skipped").alias("action"))
 
 
 def annotated_gene(first: Column, second: Column) -> Column:

@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_path(spark: SparkSession, tag: str) -> str:
-    """A fresh path under spark.checkpoint.dir; where that is unset (one machine), under a
-    temporary folder."""
+    """A fresh path under spark.checkpoint.dir; where that is unset, one machine takes a
+    temporary folder, and a cluster has none."""
     top = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not top:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
         top = spark.sparkContext.getCheckpointDir()
     return f"{top.rstrip('/')}/loomseq-{tag}-{uuid.uuid4().hex}"

@@ -152,3 +152,173 @@ def test_empty_tables(spark):
     assert J.overlap(e, e.select(F.col("k"), F.col("a").alias("c"), F.col("b").alias("d")), ["k"], 10, ("a", "b"), ("c", "d")).count() == 0
     assert W.merge_intervals(e, ["k"], "a", "b").count() == 0
     assert S.windows(e.select(F.col("k").alias("seq"), "a"), "seq", [3]).count() == 0
+
+
+def test_cap_of_rows_that_repeat_throughout(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 1), ("a", 1), (None, 2), (None, 2)], "g string, v int")
+    got = [(r.g, r.selected) for r in W.ranked_cap(df, ["g"], ["v"], 1).collect()]
+    assert sorted(got, key=str) == sorted([("a", True), ("a", False), ("a", False), (None, True), (None, False)], key=str)
+
+
+def test_ranks_and_running_maximum_over_ranges(spark):
+    """One group holds nearly all rows, some keys are null or tie; against a plain loop."""
+    rows = [("hot" if i % 50 else None if i % 100 else "b", (i * 7919) % 1000, i, i % 13) for i in range(5000)]
+    df = spark.createDataFrame(rows, "g string, v int, id int, w int").repartition(7)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ranges = W.in_ranges(df, ["g"], ["v", "id"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert ranges.select("__part").distinct().count() > 1
+    ranked = {r.id: r.n for r in W.source_rank(df, ["g"], ["v", "id"], "n").collect()}
+    sums = {r.id: r.s for r in W.running(ranges, ["g"], ["v", "id"], F.col("w"), "s").collect()}
+    most = {r.id: r.m for r in W.running(ranges, ["g"], ["v", "id"], F.col("w"), "m", F.max, F.lit(None)).collect()}
+    for g in ("hot", "b", None):
+        total, top = 0, None
+        for n, (_, _, i, w) in enumerate(sorted((r for r in rows if r[0] == g), key=lambda r: (r[1], r[2])), 1):
+            assert ranked[i] == n and sums[i] == total and most[i] == top
+            total, top = total + w, w if top is None else max(top, w)
+
+
+def test_percentile_against_a_loop(spark):
+    scores, values = [(i, float(i % 17)) for i in range(60)] + [(99, None)], [float((i * i) % 23) for i in range(200)]
+    s = spark.createDataFrame(scores, "id int, s double")
+    got = {r.id: r.pct for r in W.percentile_among(s, "s", spark.createDataFrame([(v,) for v in values], "v double"), "v").collect()}
+    for i, x in scores:
+        want = None if x is None else 100 * (sum(v < x for v in values) + 0.5 * sum(v == x for v in values)) / len(values)
+        assert got[i] == (None if want is None else pytest.approx(want))
+
+
+def test_windows_of_long_sequences_are_distinct(spark, monkeypatch):
+    monkeypatch.setattr(S, "DISTINCT_CHUNK", 100)
+    long = "".join("ACDEF"[(i * i) % 5] for i in range(950))
+    df = spark.createDataFrame([(1, long), (2, "ACDACDACD"), (3, "AC"), (4, "")], "id int, seq string")
+    got = S.distinct_windows(df, "seq", 3, "id").collect()
+    want = {(i, s[k : k + 3]) for i, s in ((1, long), (2, "ACDACDACD")) for k in range(len(s) - 2)}
+    assert len(got) == len(want) and {(r.id, r.peptide) for r in got} == want
+    facts = {r.id: r for r in S.window_summary(df, "seq", [3], "id").collect()}
+    for i, s in ((1, long), (2, "ACDACDACD")):
+        w = [s[k : k + 3] for k in range(len(s) - 2)]
+        assert (facts[i].n_windows, facts[i].n_distinct, facts[i].first_pep, facts[i].last_pep) == (len(w), len(set(w)), min(w), max(w))
+    assert set(facts) == {1, 2}
+
+
+def test_support_catalog_rules(spark, tmp_path):
+    (tmp_path / "catalog.tsv").write_text("# tool\talleles\nnet\tHLA-A*02:01\t9\nnet\tHLA-A*02:01\t10\nnet\tB0702\n\n-----\nnet\tA*01:01 old\n\tA*03:01\n")
+    catalog = sources.allele_support(spark, str(tmp_path / "catalog.tsv"))
+    assert {(r.algorithm, tuple(r.lengths) if r.lengths else None) for r in catalog.collect()} == {("net", (9, 10)), ("net", None)}
+    rows = [("A" * 9, "A*02:01", "net", "run"), ("A" * 8, "A*02:01", "net", "skipped"), ("A" * 8, "HLA-B*07:02", "net", "run"), ("A" * 9, "A*01:01", "net", "skipped"), ("A" * 9, "A*01:01", "other", "run"), ("A" * 9, None, "net", "skipped")]
+    tasks = spark.createDataFrame(rows, "peptide string, hla_allele string, algorithm string, want string")
+    got = sources.route_by_support(tasks, catalog).collect()
+    assert len(got) == len(rows) and all(r.action == r.want for r in got)
+
+
+def test_shards_with_another_header_are_refused(spark, tmp_path):
+    for name, text in (("a", "x\ty\n1\t2\n"), ("b", "x\ty\n3\t4\n"), ("c", "y\tx\n5\t6\n")):
+        (tmp_path / name).write_text(text)
+    a, b, c = (str(tmp_path / n) for n in "abc")
+    assert sorted(tuple(r) for r in sources.shards(spark, [a, b]).collect()) == [("1", "2"), ("3", "4")]
+    with pytest.raises(ValueError, match="headers differ"):
+        sources.shards(spark, [a, c])
+
+
+def test_six_digits(spark):
+    values = [0.0, 1.0, 500.0, 123456.0, 1234567.0, 0.0001, 0.00001234567, -2.5, 1e-300, 1.5e300, 100000.4, 999999.6, float("inf"), None]
+    want = ["0", "1", "500", "123456", "1.23457e+06", "0.0001", "1.23457e-05", "-2.5", "1e-300", "1.5e+300", "100000", "1e+06", "inf", None]
+    assert [r[0] for r in spark.createDataFrame([(v,) for v in values], "x double").coalesce(1).select(T.six_digits(F.col("x"))).collect()] == want
+
+
+def test_features_of_a_known_peptide(spark):
+    """Published values of the indices for FLPVLAGLTPSIVPKLVCLLTKKC."""
+    s = F.col("s")
+    r = spark.createDataFrame([("FLPVLAGLTPSIVPKLVCLLTKKC",), ("",)], "s string").select(S.per_letter(s, S.SOLUBILITY).alias("boman"), S.aliphatic_index(s).alias("aliphatic"), S.isoelectric_point(s).alias("pi"), S.net_charge(s).alias("charge"), S.charge_at(S.letter_counts(s, "KRHDECY"), F.lit(9.0), S.EMBOSS).alias("at9")).collect()
+    assert r[0].boman == pytest.approx(-1.2358, abs=1e-4)
+    assert r[0].aliphatic == pytest.approx(100 * (1 + 3 * 2.9 + 7 * 3.9) / 24)
+    assert r[0].charge == pytest.approx(2.9, abs=0.15)
+    assert r[1].boman is None and r[1].aliphatic is None
+    back = spark.createDataFrame([("FLPVLAGLTPSIVPKLVCLLTKKC", r[0].pi)], "s string, pi double").select(S.charge_at(S.letter_counts(s, "KRHDECY"), F.col("pi"), S.EMBOSS)).first()[0]
+    assert abs(back) < 1e-6
+
+
+def test_place_in_window_and_ablation(spark):
+    cases = [((5, 5, 3, 9), "3"), ((5, 7, 3, 9), "3-5"), ((2, 3, 3, 9), None), ((11, 12, 3, 9), None), ((11, 11, 3, 9), "9")]
+    df = spark.createDataFrame([c[0] for c in cases], "a int, b int, s int, k int").coalesce(1)
+    assert [r[0] for r in df.select(S.place_in_window(F.col("a"), F.col("b"), F.col("s"), F.col("k"))).collect()] == [c[1] for c in cases]
+    assert spark.range(1).select(S.ablated(F.array(*[F.lit(float(i)) for i in range(1, 7)]), 2, 3)).first()[0] == [1, 2, 0, 0, 0, 6]
+
+
+def test_tokens_have_the_length_of_the_data(spark):
+    df = spark.createDataFrame([(1, "ACX", "D"), (2, "A", "")], "id int, p string, h string")
+    t = df.select("id", S.encode_tokens(F.array(F.lit(0.5)), F.col("p"), F.col("h"), S.AMINO_ACIDS, 2).alias("x"))
+    got = {r.id: r.x for r in S.to_length(t, "x").collect()}
+    assert got == {1: [0.5, 1, 2, 0, 0, 0, 3], 2: [0.5, 1, 0, 0, 0, 0, 0]}
+    assert all(len(r.x) == 3 for r in S.to_length(t, "x", 3).collect())
+
+
+def test_bootstrap_covers_and_groups_are_drawn_together(spark):
+    rows = [(i, i // 50, float((i * 37) % 11) - 4.5) for i in range(1000)]
+    df = spark.createDataFrame(rows, "id int, cluster int, d double")
+    one = E.bootstrap(df, [], "id", "d", 300).first()
+    mean = sum(r[2] for r in rows) / 1000
+    spread = (sum((r[2] - mean) ** 2 for r in rows) / 1000) ** 0.5 / 1000**0.5
+    assert one.n == 1000 and one.mean == pytest.approx(mean)
+    assert one.low == pytest.approx(mean - 1.96 * spread, abs=spread) and one.high == pytest.approx(mean + 1.96 * spread, abs=spread)
+    assert one.above_zero > 0.99
+    constant = df.withColumn("d", (F.col("cluster") % 2).cast("double"))
+    wide, narrow = (E.bootstrap(constant, [], k, "d", 300).first() for k in ("cluster", "id"))
+    assert wide.high - wide.low > 3 * (narrow.high - narrow.low)
+
+
+def test_permutation_p_values(spark):
+    df = spark.createDataFrame([(i, 1.0 + (i % 3), 0.001 * (-1) ** i) for i in range(200)], "id int, far double, near double")
+    assert E.permutation_test(df, [], "id", F.col("far"), 99).first().p_value == pytest.approx(0.01)
+    assert E.permutation_test(df, [], "id", F.col("near"), 99).first().p_value > 0.3
+
+
+def test_fingerprint_is_of_a_set(spark):
+    a = spark.createDataFrame([(1, "x"), (2, None), (2, None), (3, "")], "k int, v string")
+    b = spark.createDataFrame([(3, ""), (2, None), (1, "x"), (1, "x")], "k int, v string")
+    c = spark.createDataFrame([(3, None), (2, ""), (1, "x")], "k int, v string")
+    one, two, other = (tuple(E.fingerprint(d, ["k", "v"]).first()) for d in (a, b, c))
+    assert one == two and one[0] == other[0] == 3 and one != other
+    assert tuple(E.fingerprint(a.where("false"), ["k"]).first()) == (0, 0, 0)
+
+
+def test_jobs_are_homogeneous_and_hot_ones_are_dealt(spark):
+    rows = [(f"{'ACDEFGHIKL'[i % 10]}{i:07}", "A", "hydropathy") for i in range(1000)] + [("ACD", "B", "length_logistic"), ("ACD", None, "nobody"), (None, "B", "hydropathy")]
+    t = spark.createDataFrame(rows, "peptide string, hla_allele string, algorithm string")
+    got = scoring.job_chunks(t, 100).collect()
+    assert len(got) == len(rows)
+    hot = [r.chunk for r in got if r.hla_allele == "A"]
+    assert set(hot) == set(range(10)) and max(hot.count(c) for c in range(10)) < 160
+    assert {(r.family, r.length, r.chunk) for r in got if r.hla_allele != "A"} == {("linear", 3, 0), ("", 3, 0), ("linear", 0, 0)}
+
+
+def test_registered_scale_equals_a_loop(spark):
+    import pandas as pd
+
+    p = pd.DataFrame({"peptide": ["ACDX", "KKR", "W"]})
+    want = [sum(S.HYDROPATHY.get(c, 0.0) for c in x) / len(x) for x in p["peptide"]]
+    assert scoring.hydropathy(p).tolist() == pytest.approx(want)
+
+
+def test_ngram_features_equal_tf_idf(spark):
+    """With as many buckets as keep n-grams apart: sorted weights against a plain count."""
+    import math
+    from collections import Counter
+
+    texts = ["ACCA", "CAD", "A", "DDDD"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, seq string")
+    got = scoring.ngram_features(df, "seq", 3, 1 << 18).transform(df).collect()
+    grams = [Counter(t[k : k + n] for n in (1, 2, 3) for k in range(len(t) - n + 1)) for t in texts]
+    found = Counter(g for c in grams for g in c)
+    for r in got:
+        want = sorted(n * math.log((len(texts) + 1) / (found[g] + 1)) for g, n in grams[r.id].items())
+        assert sorted(r.features.values.tolist()) == pytest.approx(want)
+
+
+def test_ngram_classifier_learns(spark):
+    df = spark.createDataFrame([(i, "ACDACD" * 3 if i % 4 else "CADKKW" * 3, int(i % 4 == 0)) for i in range(60)], "id int, seq string, y int")
+    for most in (3, 4):
+        model, rows = scoring.ngram_classifier(df, "seq", "y", most)
+        assert model.transform(rows).where("prediction <> label").count() == 0
