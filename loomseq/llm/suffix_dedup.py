@@ -59,7 +59,7 @@ class Hasher:
 
     def __init__(self, units: np.ndarray):
         n = len(units)
-        self.up, self.down = _powers(1 << max(20, (n + 1).bit_length()))
+        self.up, self.down = _powers(1 << max(19, (n + 1).bit_length()))
         values = _letters()[units] if units.dtype == np.uint8 else units
         self.total = np.zeros(n + 1, dtype=np.uint64)
         np.cumsum(values * self.up[:n], out=self.total[1:])
@@ -150,9 +150,10 @@ def _segments(piece: pa.RecordBatch, window: int, words: bool):
 
 
 def _prefixes(units: np.ndarray, at: np.ndarray, gram: int) -> pa.Array:
-    """The gram units from each of at as they stand (words by their code), as binary."""
+    """The gram units from each of at as they stand (words by half their code, which is enough
+    for what is verified later), as binary."""
     rows = units[at[:, None] + np.arange(gram)]
-    rows = np.ascontiguousarray(rows if rows.dtype == np.uint8 else rows.astype(">u8").view(np.uint8))
+    rows = np.ascontiguousarray(rows if rows.dtype == np.uint8 else (rows >> np.uint64(32)).astype(">u4").view(np.uint8))
     width = rows.shape[1]
     offsets = np.arange(0, len(at) * width + 1, width, dtype=np.int32)
     return pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(rows)])
@@ -210,7 +211,7 @@ class RepeatIndex:
 
     def _save(self, frame: DataFrame, kind: str, key: str | None = None, sort: str | None = None, split: str | None = None) -> str:
         name = f"{self.name}_{kind}_{uuid.uuid4().hex}"
-        out = frame.write.format("parquet").option("path", f"{shared_dir(self.spark)}/{name}").option("compression", "zstd")
+        out = frame.write.format("parquet").option("path", f"{shared_dir(self.spark)}/{name}")
         out = out.partitionBy(split) if split else out
         out = out.bucketBy(self.buckets, key) if key else out
         out = out.sortBy(sort) if sort else out

@@ -85,7 +85,7 @@ class Scorer:
         """Terms that a word is or begins with; those of frequent words are remembered."""
         found = self.known.get(word)
         if found is None:
-            if len(self.known) > 100_000:
+            if len(self.known) > 20_000:
                 self.known.clear()
             keys = [word, *(word[:k] + "*" for k in self.lengths if len(word) > k)]
             found = self.known[word] = tuple(self.index[k] for k in keys if k in self.index)
