@@ -64,7 +64,7 @@ def stage_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     as they are; a text of any length is read whole. Rows of equal doc_id are documents of
     their own. Columns other than those of documents are ignored."""
     rows = suffix_dedup.with_row_ids(docs.select(*COLUMNS))
-    cut = suffix_dedup.remove_repeats(spark, rows.select("rid", "text"), PASSAGE, PASSAGE // 4, words=True, columns=["rid", "kept_text"])
+    cut = suffix_dedup.remove_repeats(spark, rows.select("rid", "text"), PASSAGE, PASSAGE // 6, words=True, columns=["rid", "kept_text"])
     likely, rest = sieve(spark, rows, cut.select("rid"), "rid")
     same = likely.join(cut.select("rid"), "rid", "left_anti")
     # A cut text replaces the old one, so the old one is not joined.
