@@ -1,8 +1,8 @@
 """SentencePiece encoding and decoding by suffix-array matching.
 
-The model's words (a run of blanks and what follows it, up to the next blank) that a
-batch has and the partition has not met yet are joined to one text. A suffix array of
-that text, sorted as deep as the longest piece, is searched for every piece of the model
+The model's words (a run of blanks and what follows it, up to the next blank) of a batch
+are joined to one text, each distinct word once: no piece crosses a word, so the edges in
+its other copies are the same. A suffix array of that text, sorted as deep as the longest piece, is searched for every piece of the model
 at once; the ranges of suffixes that start with a piece are its occurrences, and each is
 an edge of the words' lattices. The edges are sorted by position and relaxed from left to
 right, in all words in step.
@@ -32,7 +32,6 @@ from loomseq.llm.common import table, text_slices
 MODEL = "piece_bpe_32k.model"
 BLANK = "▁"
 CACHE_BITS = 21
-MEMORY_WORDS = 300_000
 NEVER = np.int64(1) << 40
 #: Stands between words; no text in UTF-8 can hold it.
 SEPARATOR = 0xD800
@@ -272,31 +271,21 @@ def load(folder: str | None, name: str = MODEL) -> Model:
 
 
 class Encoder:
-    """Encodes batches; remembers up to MEMORY_WORDS words."""
+    """Encodes batches of texts; nothing is kept from one batch to the next."""
 
     def __init__(self, model: Model):
         self.model = model
-        self.forget()
-
-    def forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.ids, self.start, self.count = np.zeros(0, dtype=np.uint32), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        if len(self.known) > MEMORY_WORDS:
-            self.forget()
         lists = [words_of(t or "") for t in texts]
         words = list(itertools.chain.from_iterable(lists))
-        fresh = list(set(words).difference(self.known))
-        if fresh:
-            ids, count = encode_words(self.model, fresh)
-            self.known.update(zip(fresh, range(len(self.known), len(self.known) + len(fresh)), strict=True))
-            self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(count) - count])
-            self.ids, self.count = np.concatenate([self.ids, ids]), np.concatenate([self.count, count])
-        at = np.fromiter(map(self.known.__getitem__, words), dtype=np.int64, count=len(words))
-        n = self.count[at]
+        number: dict[str, int] = {}
+        at = np.array([number.setdefault(w, len(number)) for w in words], dtype=np.int64)
+        ids, count = encode_words(self.model, list(number))
+        start = np.cumsum(count) - count
+        n = count[at]
         stop = np.cumsum(n)
-        flat = self.ids[np.arange(stop[-1] if len(stop) else 0) + np.repeat(self.start[at] - stop + n, n)]
+        flat = ids[np.arange(stop[-1] if len(stop) else 0) + np.repeat(start[at] - stop + n, n)]
         edge = np.concatenate([[0], stop])[np.cumsum([len(ws) for ws in lists])]
         return np.split(flat, edge[:-1])
 
