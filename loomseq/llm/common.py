@@ -82,7 +82,9 @@ def delete(spark: SparkSession, path: str) -> None:
 def discard(spark: SparkSession, *frames: DataFrame) -> None:
     """Delete the files of materialised tables that nothing reads any more."""
     for df in frames:
-        delete(spark, df.loomseq_home)
+        home = vars(df).get("loomseq_home")
+        if home:
+            delete(spark, home)
 
 
 FILTER_BITS = 23
@@ -243,4 +245,6 @@ def connected_components(spark: SparkSession, links: DataFrame) -> DataFrame:
         new = materialise(spark, out.join(up, "root", "left").select("node", F.coalesce("higher", "root").alias("root")), "roots")
         discard(spark, out, m)
         out = new
-    return out.select("node", F.col("root").alias("component_id"))
+    found = out.select("node", F.col("root").alias("component_id"))
+    found.loomseq_home = out.loomseq_home
+    return found

@@ -169,7 +169,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, width: int = 5, thresh
     heads = parts.select("leader", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("leader").alias("member"), F.lit(0).alias("role"))
     groups = salted.unionAll(heads).join(text, "member")
     star = materialise(spark, sorted_groups(groups, ["leader", "part"], _confirm(width, percent), "a long, b long", order=["role"], target_rows=512), "star")
-    comps = materialise(spark, connected_components(spark, star), "comps")
+    comps = connected_components(spark, star)
 
     # Buckets that still hold several components: pair by pair, in blocks.
     placed = met.where("n > 2").join(comps.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", "n", F.coalesce("component_id", "rep").alias("comp"))
@@ -193,12 +193,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, width: int = 5, thresh
 
     final = comps
     if not rest.isEmpty():
-        final = materialise(spark, connected_components(spark, star.unionAll(rest)), "comps")
-    discard(spark, met, text, placed)
+        final = connected_components(spark, star.unionAll(rest))
     out = sigs.select("doc_id", "n_shingles", "s1", "s2").join(classes.select("s1", "s2", "rep"), ["s1", "s2"], "left").join(final.select(F.col("node").alias("rep"), "component_id"), "rep", "left")
     component = F.when(F.col("n_shingles") > 0, F.coalesce("component_id", "rep")).otherwise(F.col("doc_id"))
     component = F.when(F.col("doc_id").isNotNull(), component)
-    return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    out = out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    out = materialise(spark, out, "near-duplicates")
+    discard(spark, sigs, classes, sizes, met, weight, leaders, pairs, parts, text, star, comps, final, placed, rest)
+    return out
 
 
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
