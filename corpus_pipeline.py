@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomseq.llm import minhash, packing, secrets, suffix_dedup, toxicity
-from loomseq.llm.common import materialise, sieve, table
+from loomseq.llm.common import discard, materialise, sieve, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: Words of the shortest passage that counts as a repeat: passages of over 50 words are
@@ -104,5 +104,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = materialise(spark, stage(spark, docs, sf_dir), f"stage-{name}")
+        done = materialise(spark, stage(spark, docs, sf_dir), f"stage-{name}")
+        discard(spark, docs)
+        docs = done
     return docs
