@@ -19,9 +19,10 @@ from loomseq.plans.sequence_queries import parents
 
 @query("a1_peptide_map", f"SELECT pep AS peptide, count(DISTINCT doc_id) AS n_parents, array_to_string(list_sort(list_distinct(list(source))), ';') AS sources, array_to_string(list_sort(list_distinct(list(lang))), ';') AS langs FROM {WIN} GROUP BY pep")
 def a1(spark, sf_dir):
-    # One exchange, by peptide, of each document's distinct windows; both aggregations then
-    # find their rows in place, and sets are collected last, from one row for each member.
-    w = S.distinct_windows(parents(spark, sf_dir), "seq", 9, "doc_id").repartition("peptide")
+    # Each document's distinct windows are counted by (peptide, source, lang) before they are
+    # shuffled, so a window that very many documents share is a few rows; sets come last, from
+    # one row for each member.
+    w = S.distinct_windows(parents(spark, sf_dir), "seq", 9, "doc_id")
     once = w.groupBy("peptide", "source", "lang").agg(F.count("*").alias("n"))
     sets = [T.list_text(F.collect_set(c)).alias(n) for c, n in (("source", "sources"), ("lang", "langs"))]
     return once.groupBy("peptide").agg(F.sum("n").alias("n_parents"), *sets)
