@@ -5,6 +5,7 @@ group processing inside a partition, and connected components.
 from __future__ import annotations
 
 import contextlib
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -115,8 +116,16 @@ def stable_bucket(column: Column, modulus: int) -> Column:
     return F.pmod(F.crc32(column.cast("string").cast("binary")), F.lit(modulus))
 
 
+def give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def text_slices(batches: Iterator[pa.RecordBatch], max_bytes: int, column: str = "text") -> Iterator[pa.RecordBatch]:
-    """Cut batches so that each slice holds about max_bytes of text, one row at least."""
+    """Cut batches so that each slice holds about max_bytes of text, one row at least. At the
+    end of a partition memory that is free goes back to the system, as a worker lives on."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -128,6 +137,7 @@ def text_slices(batches: Iterator[pa.RecordBatch], max_bytes: int, column: str =
             stop = max(start + 1, int(np.searchsorted(ends, base + max_bytes, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
+    give_back()
 
 
 def sorted_groups(

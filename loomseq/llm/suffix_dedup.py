@@ -8,8 +8,7 @@ Index. A batch of texts gets a suffix array: its suffixes, sampled at content-de
 places, in the order of their letters. The place of a window is where the least hash of
 its strings of gram units lies (the leftmost), so equal windows have their place at the
 same offset, and a window belongs to exactly one place. A suffix is stored by its first
-gram units as they stand; suffixes that agree so far are one entry, with their number and
-the smallest text that holds one. The array of a new batch is merge-scanned against the
+gram units; suffixes that agree so far are one entry, with their number. The array of a new batch is merge-scanned against the
 array of every level for common prefixes; then it becomes a level of its own, and as long
 as the two youngest levels stand for equally many batches they are merged into one.
 Arrays are tables in buckets, sorted by letters in each, so neither a scan nor a merge
@@ -37,7 +36,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomseq.llm.common import delete, materialise, shared_dir, sieve, small_batches, table, text_slices
@@ -150,10 +149,10 @@ def _segments(piece: pa.RecordBatch, window: int, words: bool):
 
 
 def _prefixes(units: np.ndarray, at: np.ndarray, gram: int) -> pa.Array:
-    """The gram units from each of at as they stand (words by half their code, which is enough
-    for what is verified later), as binary."""
+    """The gram units from each of at as they stand (words by a quarter of their code, which is
+    enough for what is verified later), as binary."""
     rows = units[at[:, None] + np.arange(gram)]
-    rows = np.ascontiguousarray(rows if rows.dtype == np.uint8 else (rows >> np.uint64(32)).astype(">u4").view(np.uint8))
+    rows = np.ascontiguousarray(rows if rows.dtype == np.uint8 else (rows >> np.uint64(48)).astype(">u2").view(np.uint8))
     width = rows.shape[1]
     offsets = np.arange(0, len(at) * width + 1, width, dtype=np.int32)
     return pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(rows)])
@@ -226,8 +225,7 @@ class RepeatIndex:
 
     def _sampled(self, docs: DataFrame) -> DataFrame:
         kind = "prefix binary, hull long, rid long, packed long"
-        found = docs.select("rid", "text").mapInArrow(_suffixes(self.window, self.gram, self.words), kind)
-        return found.withColumn("print", F.xxhash64("prefix"))
+        return docs.select("rid", "text").mapInArrow(_suffixes(self.window, self.gram, self.words), kind)
 
     def add(self, docs: DataFrame, batches: int = 1) -> None:
         """Index docs (rid, text), in so many batches one after the other."""
@@ -238,7 +236,7 @@ class RepeatIndex:
             self._admit(self.spark.table(name).where(F.col("batch") == b))
 
     def _admit(self, suffixes: DataFrame) -> None:
-        array = suffixes.groupBy("prefix").agg(F.count("*").alias("n"), F.min("rid").alias("rid"))
+        array = suffixes.groupBy("prefix").agg(F.count("*").alias("n"))
         name = self._save(array, "level_1", key="prefix", sort="prefix")
         new = self.spark.table(name)
         met = new.where("n > 1").select("prefix")
@@ -248,27 +246,30 @@ class RepeatIndex:
         self.levels.append((1, name))
         while len(self.levels) > 1 and self.levels[-1][0] == self.levels[-2][0]:
             (size, young), (_, old) = self.levels.pop(), self.levels.pop()
-            a, b = self.spark.table(old), self.spark.table(young).select("prefix", F.col("n").alias("m"), F.col("rid").alias("other"))
-            n = F.coalesce("n", F.lit(0)) + F.coalesce("m", F.lit(0))
-            both = a.join(b, "prefix", "full").select("prefix", n.alias("n"), F.least("rid", "other").alias("rid"))
+            a, b = self.spark.table(old), self.spark.table(young).select("prefix", F.col("n").alias("m"))
+            both = a.join(b, "prefix", "full").select("prefix", (F.coalesce("n", F.lit(0)) + F.coalesce("m", F.lit(0))).alias("n"))
             name = self._save(both, f"level_{2 * size}", key="prefix", sort="prefix")
             self._drop(young, old)
             self.levels.append((2 * size, name))
 
-    def _union(self, names: list[str], *columns: str) -> DataFrame:
+    def _union(self, names: list[str], *columns: Column | str) -> DataFrame:
         return functools.reduce(DataFrame.unionAll, [self.spark.table(n).select(*columns) for n in names])
 
-    def spans(self, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    def spans(self, docs: DataFrame, last: bool = False) -> tuple[DataFrame, DataFrame]:
         """docs (rid, text), all that were added -> (rid, text) of those that share sampled
         suffixes with others, and spans (rid, lo, stop) of repeated units, which may
-        overlap. Both hold until close()."""
+        overlap. Both hold until close(). If nothing follows (last), the index itself is
+        dropped as soon as its shared suffixes are known."""
         spark, window = self.spark, self.window
         keys = spark.table(self._save(self._union(self.found, "print").distinct(), "keys"))
         lo = F.shiftright("packed", 20)
         hi, at = lo + F.shiftright("packed", 10).bitwiseAND(F.lit(1023)), lo + F.col("packed").bitwiseAND(F.lit(1023))
-        shared = self._union(self.entries, "print", "hull", "rid", "packed").join(keys, "print")
+        shared = self._union(self.entries, F.xxhash64("prefix").alias("print"), "hull", "rid", "packed").join(keys, "print")
         shared = shared.select(F.col("print").alias("core"), "hull", "rid", lo.alias("lo"), hi.alias("hi"), at.alias("at"))
         shared = spark.table(self._save(shared, "shared"))
+        if last:
+            self._drop(*self.entries, *self.found, *(name for _, name in self.levels))
+            self.entries, self.found, self.levels = [], [], []
 
         whole, left = self._judge(shared)
         left = spark.table(self._save(left, "left"))
@@ -399,10 +400,10 @@ def _cut(words: bool):
 CUT = ["rid", "n_removed", "n_spans", "kept_sha256", "kept_text"]
 
 
-def cut_texts(index: RepeatIndex, docs: DataFrame, columns: list[str] = CUT) -> DataFrame:
+def cut_texts(index: RepeatIndex, docs: DataFrame, columns: list[str] = CUT, last: bool = False) -> DataFrame:
     """For each rid of docs (rid, text) that loses bytes, the columns of CUT, written to the
     shared folder. kept_text drops the rest of a character that was cut."""
-    texts, spans = index.spans(docs)
+    texts, spans = index.spans(docs, last)
     kind = "rid long, n_removed long, n_spans long, kept_sha256 string, kept_text string"
     cut = _with_text(texts, spans, ["lo", "stop"]).mapInArrow(_cut(index.words), kind)
     return materialise(index.spark, cut.select(*columns), "cut")
@@ -413,7 +414,7 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, window: int = WINDOW, g
     index = RepeatIndex(spark, window, gram, words)
     try:
         index.add(docs, batches)
-        return cut_texts(index, docs, columns)
+        return cut_texts(index, docs, columns, last=True)
     finally:
         index.close()
 

@@ -37,11 +37,12 @@ LIMIT = 0.3
 LEAST = 2.0
 BEGINNINGS = (3, 4, 5, 6, 7, 8)
 FIXED_WORDS = ("idiot", "idiots", "moron", "morons", "stupid", "scum", "trash", "loser", "losers", "worthless", "pathetic", "disgusting", "clown", "dumb", "filthy", "vermin", "hate")
+PHRASES = ("shut up", "go away", "get lost", "nobody likes", "kill yourself")
 WORD = re.compile(r"[^\W\d_]+")
 PATTERNS = (
     re.compile(r"\byou(?:'re| are) (?:an? |such |so |all )*(?:" + "|".join(FIXED_WORDS) + r")\b"),
     re.compile(r"\b(?:" + "|".join(FIXED_WORDS) + r")\b[^.!?]{0,80}\b(?:" + "|".join(FIXED_WORDS) + r")\b"),
-    re.compile(r"\b(?:shut up|go away|get lost|nobody likes|kill yourself)\b"),
+    re.compile(r"\b(?:" + "|".join(PHRASES) + r")\b"),
     re.compile(r"!{3,}"),
 )
 
@@ -74,40 +75,38 @@ class Scorer:
         self.terms, self.voters, self.n_lexicon = terms, voters, n_voters
         self.index = {t: i for i, t in enumerate(terms)}
         self.lengths = sorted({len(t) - 1 for t in terms if t.endswith("*")})
-        self.known: dict[str, tuple[int, ...]] = {}
         self.weights, self.bias = np.zeros(len(terms) + self.n_voters), -np.inf
 
     @property
     def n_voters(self) -> int:
         return self.n_lexicon + 2 + len(PATTERNS)
 
-    def terms_in(self, word: str) -> tuple[int, ...]:
-        """Terms that a word is or begins with; those of frequent words are remembered."""
-        found = self.known.get(word)
-        if found is None:
-            if len(self.known) > 20_000:
-                self.known.clear()
-            keys = [word, *(word[:k] + "*" for k in self.lengths if len(word) > k)]
-            found = self.known[word] = tuple(self.index[k] for k in keys if k in self.index)
-        return found
-
     def features(self, text: str | None) -> tuple[list[int], list[float], np.ndarray]:
         """Indices and values of term features, and the votes (1 toxic, -1 clean, 0)."""
         low = (text or "").lower()
         votes = np.zeros(self.n_voters)
         counts: dict[int, int] = {}
         words = Counter(WORD.findall(low))
+        get = self.index.get
         for w, n in words.items():
-            for i in self.terms_in(w):
+            i = get(w)
+            if i is not None:
                 counts[i] = counts.get(i, 0) + n
+            for k in self.lengths:
+                if len(w) <= k:
+                    break
+                i = get(w[:k] + "*")
+                if i is not None:
+                    counts[i] = counts.get(i, 0) + n
         at = sorted(counts)
         value = np.log1p([counts[i] for i in at]).tolist()
         votes[self.voters[at]] = 1
         fixed = sum(words[w] for w in FIXED_WORDS if w in words)
         votes[self.n_lexicon] = 1 if fixed > 1 else 0
-        # The first two patterns need a fixed word, so they are not looked for without one.
+        # A pattern is looked for where the text holds what it cannot match without.
+        needed = (fixed, fixed, any(p in low for p in PHRASES), "!!!" in low)
         for k, p in enumerate(PATTERNS):
-            votes[self.n_lexicon + 2 + k] = 1 if (fixed or k > 1) and p.search(low) else 0
+            votes[self.n_lexicon + 2 + k] = 1 if needed[k] and p.search(low) else 0
         votes[self.n_lexicon + 1] = -1 if not counts and not fixed and not votes[self.n_lexicon + 2 :].any() else 0
         return at, value, votes
 
