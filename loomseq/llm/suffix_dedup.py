@@ -227,15 +227,16 @@ class RepeatIndex:
         kind = "prefix binary, hull long, rid long, packed long"
         return docs.select("rid", "text").mapInArrow(_suffixes(self.window, self.gram, self.words), kind)
 
-    def add(self, docs: DataFrame, batches: int = 1) -> None:
-        """Index docs (rid, text), in so many batches one after the other."""
+    def add(self, docs: DataFrame, batches: int = 1, last: bool = False) -> None:
+        """Index docs (rid, text), in so many batches one after the other. The array of the
+        very last batch is merge-scanned, but merged with no level."""
         batch = F.pmod("rid", F.lit(batches)).cast("int")
         name = self._save(self._sampled(docs).withColumn("batch", batch), "suffixes", split="batch")
         self.entries.append(name)
         for b in range(batches):
-            self._admit(self.spark.table(name).where(F.col("batch") == b))
+            self._admit(self.spark.table(name).where(F.col("batch") == b), last and b == batches - 1)
 
-    def _admit(self, suffixes: DataFrame) -> None:
+    def _admit(self, suffixes: DataFrame, last: bool = False) -> None:
         array = suffixes.groupBy("prefix").agg(F.count("*").alias("n"))
         name = self._save(array, "level_1", key="prefix", sort="prefix")
         new = self.spark.table(name)
@@ -244,7 +245,7 @@ class RepeatIndex:
             met = met.unionAll(new.join(self.spark.table(level), "prefix").select("prefix"))
         self.found.append(self._save(met.select(F.xxhash64("prefix").alias("print")), "found"))
         self.levels.append((1, name))
-        while len(self.levels) > 1 and self.levels[-1][0] == self.levels[-2][0]:
+        while not last and len(self.levels) > 1 and self.levels[-1][0] == self.levels[-2][0]:
             (size, young), (_, old) = self.levels.pop(), self.levels.pop()
             a, b = self.spark.table(old), self.spark.table(young).select("prefix", F.col("n").alias("m"))
             both = a.join(b, "prefix", "full").select("prefix", (F.coalesce("n", F.lit(0)) + F.coalesce("m", F.lit(0))).alias("n"))
@@ -266,13 +267,12 @@ class RepeatIndex:
         hi, at = lo + F.shiftright("packed", 10).bitwiseAND(F.lit(1023)), lo + F.col("packed").bitwiseAND(F.lit(1023))
         shared = self._union(self.entries, F.xxhash64("prefix").alias("print"), "hull", "rid", "packed").join(keys, "print")
         shared = shared.select(F.col("print").alias("core"), "hull", "rid", lo.alias("lo"), hi.alias("hi"), at.alias("at"))
-        shared = spark.table(self._save(shared, "shared"))
+        shared = self._save(shared, "shared")
         if last:
             self._drop(*self.entries, *self.found, *(name for _, name in self.levels))
             self.entries, self.found, self.levels = [], [], []
 
         whole, left = self._judge(shared)
-        left = spark.table(self._save(left, "left"))
         rids = spark.table(self._save(whole.select("rid").unionAll(left.select("rid")).distinct(), "rids"))
         likely, _ = sieve(spark, docs, rids, "rid")
         hit = likely.join(rids, "rid", "left_semi").dropDuplicates(["rid"])
@@ -280,8 +280,7 @@ class RepeatIndex:
 
         kind = "core long, hull long, rid long, lo long, hi long, at long"
         pieces = _with_text(texts, left, ["core", "lo", "hi", "at"]).mapInArrow(_pieces(window, self.piece, self.words), kind)
-        partly, rest = self._judge(spark.table(self._save(pieces, "pieces")))
-        rest = spark.table(self._save(rest, "rest"))
+        partly, rest = self._judge(self._save(pieces, "pieces"))
         single = _with_text(texts, rest, ["core", "lo", "hi", "at", "open"]).mapInArrow(_windows(window, self.words), "w long, rid long, lo long, open boolean")
         single = spark.table(self._save(single, "windows"))
         again = spark.table(self._save(single.groupBy("w").count().where("count > 1").select("w"), "again"))
@@ -289,17 +288,20 @@ class RepeatIndex:
         spans = whole.unionAll(partly).unionAll(last).select("rid", "lo", (F.col("hi") + window).alias("stop"))
         return texts, spans
 
-    def _judge(self, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """rows (core, hull, rid, lo, hi, at): those whose hull occurs more than once; and one
-        row of each hull of a core with several hulls, open where that hull occurs once."""
+    def _judge(self, name: str) -> tuple[DataFrame, DataFrame]:
+        """Of the table's rows (core, hull, rid, lo, hi, at) those whose hull occurs more than
+        once; and one row of each hull of a core with several hulls, open where that hull
+        occurs once. Both are written; the table and what was needed between are dropped."""
+        rows = self.spark.table(name)
         first = F.min(F.struct("rid", "lo", "hi", "at")).alias("one")
-        hulls = self.spark.table(self._save(rows.groupBy("core", "hull").agg(F.count("*").alias("n"), first), "hulls"))
-        twice = self.spark.table(self._save(hulls.where("n > 1").select("core", "hull"), "twice"))
-        whole = rows.join(twice, ["core", "hull"]).select("rid", "lo", "hi")
-        many = hulls.groupBy("core").agg(F.min("hull").alias("a"), F.max("hull").alias("b"), F.min("n").alias("least")).where("a <> b and least = 1")
-        many = self.spark.table(self._save(many.select("core"), "many"))
-        left = hulls.join(many, "core").select("core", "one.*", (F.col("n") == 1).alias("open"))
-        return whole, left
+        hulls = self._save(rows.groupBy("core", "hull").agg(F.count("*").alias("n"), first), "hulls")
+        counts = self.spark.table(hulls)
+        whole = self._save(rows.join(counts.where("n > 1").select("core", "hull"), ["core", "hull"]).select("rid", "lo", "hi"), "whole")
+        self._drop(name)
+        many = counts.groupBy("core").agg(F.min("hull").alias("a"), F.max("hull").alias("b"), F.min("n").alias("least")).where("a <> b and least = 1")
+        left = self._save(counts.join(many.select("core"), "core").select("core", "one.*", (F.col("n") == 1).alias("open")), "left")
+        self._drop(hulls)
+        return self.spark.table(whole), self.spark.table(left)
 
     def tidy(self) -> None:
         """Drop what spans() made; the index itself stays."""
@@ -413,7 +415,7 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, window: int = WINDOW, g
     """cut_texts of docs (rid, text) by an index of their own, dropped at the end."""
     index = RepeatIndex(spark, window, gram, words)
     try:
-        index.add(docs, batches)
+        index.add(docs, batches, last=True)
         return cut_texts(index, docs, columns, last=True)
     finally:
         index.close()
