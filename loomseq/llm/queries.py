@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from loomseq.llm import ann, langid, lattice, minhash, packing, pieces, secrets, suffix_dedup, toxicity, warc
+from loomseq.llm import ann, langid, lattice, minhash, packing, pieces, runs, secrets, suffix_dedup, token_counts, toxicity, warc, whitening
 
 QUERIES = {
     "op1_lattice": lattice.op1_lattice,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_packing": packing.op8_packing,
     "op9_suffix_dedup": suffix_dedup.op9_suffix_dedup,
     "op10_secrets": secrets.op10_secrets,
+    "op11_runs": runs.op11_runs,
+    "op12_token_counts": token_counts.op12_token_counts,
+    "op13_whitening": whitening.op13_whitening,
 }
 
 ORACLE_SQL = {
