@@ -89,8 +89,9 @@ def distinct_windows(df: DataFrame, sequence: str, k: int, key: str, out: str =
 
     def found(rows: DataFrame) -> DataFrame:
         parts = window_chunks(rows, sequence, [k], "__len", DISTINCT_CHUNK)
-        each = parts.select(*others, F.explode(F.array_distinct("__windows")).alias("__raw"))
-        return each.select(*others, F.col("__raw").cast("string").alias(out))
+        # As texts: array_distinct hashes them, while it compares binary values pair by pair.
+        text = F.transform("__windows", lambda w: w.cast("string"))
+        return parts.select(*others, F.explode(F.array_distinct(text)).alias(out))
 
     return found(df.where(one)).unionAll(found(df.where(~one).repartition(key)).dropDuplicates([key, out]))
 

@@ -36,19 +36,52 @@ def running(ranges: DataFrame, group: list[str], order: list[Column | str], valu
     return found.withColumn(out, F.coalesce(both(F.col("__base"), F.col("__local")), empty)).select(*ranges.columns, out)
 
 
+def _beside(rows: DataFrame, facts: DataFrame, keys: list[str]) -> DataFrame:
+    """rows with the further columns of facts, one row for each value of keys (nulls too)."""
+    other = [c for c in facts.columns if c not in keys]
+    named = facts.select(*other, *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)])
+    on = F.lit(True)
+    for i, k in enumerate(keys):
+        on = on & F.col(k).eqNullSafe(F.col(f"__k{i}"))
+    return rows.join(named, on, "left").select(*rows.columns, *other)
+
+
+def _selection_ranges(df: DataFrame, group: list[str], order: list[Column | str], masks: dict[str, Column]) -> DataFrame:
+    """df over ranges of (group, order), ties by place in df, so that equal keys are split as
+    well; with a flag __m_<name> for each mask and __before_<name>, __in_<name>: the flagged
+    rows of the group in earlier ranges, and in the row's own range. Only the counts, a row
+    for each range of a group, are run over."""
+    flagged = df.withColumns({f"__m_{n}": F.coalesce(m, F.lit(False)) for n, m in masks.items()} | {"__tie": F.monotonically_increasing_id()})
+    ranges = in_ranges(flagged, group, [*order, "__tie"])
+    keys = [*group, "__part"]
+    counts = ranges.groupBy(*keys).agg(*[F.count_if(F.col(f"__m_{n}")).alias(f"__in_{n}") for n in masks])
+    earlier = Window.partitionBy(*group).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    totals = counts.withColumns({f"__before_{n}": F.coalesce(F.sum(f"__in_{n}").over(earlier), F.lit(0)) for n in masks})
+    return _beside(ranges, totals, keys)
+
+
+def _place_in_range(rows: DataFrame, group: list[str], order: list[Column | str], mask: str) -> Column:
+    """Place of each flagged row among those of its group; sorts single ranges."""
+    own = Window.partitionBy(*group, "__part").orderBy(*order, "__tie").rowsBetween(Window.unboundedPreceding, 0)
+    return F.col(f"__before_{mask}") + F.sum(F.col(f"__m_{mask}").cast("long")).over(own)
+
+
 def ranked_cap(df: DataFrame, group: list[str], order: list[Column | str], cap: int, eligible: Column | None = None, out: str = "selected") -> DataFrame:
-    """Mark the first cap eligible rows of each group. Eligibility is decided before
-    ranking, so the choice is complete and does not depend on batches; the rest stays, as
-    deferred. Candidates are found with a limited rank (Spark prunes it before the
-    shuffle), so only they, not whole groups, meet in one task. Rows get an id, by which
-    alone the chosen are joined back: of rows that are equal throughout, some may be
-    chosen and others not."""
-    ok = F.lit(True) if eligible is None else F.coalesce(eligible, F.lit(False))
-    rows = stored(df.sparkSession, df.withColumns({"__ok": ok, "__row": F.monotonically_increasing_id()}), "cap")
-    w = Window.partitionBy(*group).orderBy(*order, "__row")
-    top = rows.where("__ok").withColumn("__rank", F.row_number().over(w)).where(F.col("__rank") <= cap)
-    chosen = top.select("__row", F.lit(True).alias(out))
-    return rows.join(chosen, "__row", "left").select(*df.columns, F.coalesce(out, F.lit(False)).alias(out))
+    """Mark the first cap eligible rows of each group; the rest stays, as deferred.
+    Eligibility is decided before ranking, so the choice is complete and does not depend on
+    batches. The rows are dealt into ranges of (group, order); by the ranges' counts every
+    range lies before, behind or across the cap. Those before it are taken whole and those
+    behind it left, without a sort; only the one range across the cap of each group is ranked,
+    so neither a group's size nor the cap decides how much meets in one task. Of rows that are
+    equal in order, those that come first in df are taken."""
+    rows = _selection_ranges(df, group, order, {"e": F.lit(True) if eligible is None else eligible})
+    before, here = F.col("__before_e"), F.col("__in_e")
+    across = (before < cap) & (before + here > cap)
+    easy = rows.where(~across).withColumn(out, F.col("__m_e") & (before < cap))
+    edge = rows.where(across).withColumn("__place", _place_in_range(rows, group, order, "e"))
+    edge = edge.withColumn(out, F.col("__m_e") & (F.col("__place") <= cap))
+    columns = [c for c in df.columns if c != out]
+    return easy.select(*columns, out).unionAll(edge.select(*columns, out))
 
 
 def source_rank(df: DataFrame, group: list[str], order: list[Column | str], out: str = "source_rank") -> DataFrame:
@@ -57,10 +90,29 @@ def source_rank(df: DataFrame, group: list[str], order: list[Column | str], out:
     return ranked.withColumn(out, (F.col("__before") + 1).cast("int")).select(*df.columns, out)
 
 
-def first_ranked(df: DataFrame, group: list[str], order: list[Column | str], most: int, out: str = "place") -> DataFrame:
-    """The first rows of each group with their place; others are pruned before the shuffle."""
-    place = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
-    return df.withColumn(out, place).where(F.col(out) <= most)
+def first_ranked(df: DataFrame, group: list[str], order: list[Column | str], most: int, out: str = "place", eligible: Column | None = None) -> DataFrame:
+    """The first most (eligible) rows of each group with their place. Ranges behind the last
+    place are left out by their counts; each of the others is ranked on its own."""
+    rows = _selection_ranges(df, group, order, {"e": F.lit(True) if eligible is None else eligible}).where(F.col("__before_e") < most)
+    placed = rows.withColumn(out, _place_in_range(rows, group, order, "e").cast("int"))
+    return placed.where(F.col("__m_e") & (F.col(out) <= most)).select(*[c for c in df.columns if c != out], out)
+
+
+def refill(df: DataFrame, group: list[str], order: list[Column | str], cap: int, excluded: Column, out: str = "routing") -> DataFrame:
+    """A ranked cap that later exclusions make room in. Of the first cap rows of a group those
+    not excluded are retained; the ranked stream goes on until cap rows are chosen again, and
+    the rows chosen by that are refilled; others are deferred, or excluded. Both ranks, among
+    all rows and among those that are left, come from one pass over ranges; only ranges that
+    the first or the second cap may lie in are sorted."""
+    gone = F.coalesce(excluded, F.lit(False))
+    rows = _selection_ranges(df, group, order, {"all": F.lit(True), "left": ~gone})
+    # Ranks among the rows left are never larger, so a range behind the second cap is behind both.
+    reached = F.col("__before_left") < cap
+    near = rows.where(reached).withColumns({f"__p_{m}": _place_in_range(rows, group, order, m) for m in ("all", "left")})
+    chosen = F.when(~F.col("__m_left"), "excluded").when(F.col("__p_all") <= cap, "retained").when(F.col("__p_left") <= cap, "refilled").otherwise("deferred")
+    far = F.when(~F.col("__m_left"), "excluded").otherwise("deferred")
+    columns = [c for c in df.columns if c != out]
+    return near.withColumn(out, chosen).select(*columns, out).unionAll(rows.where(~reached).withColumn(out, far).select(*columns, out))
 
 
 def merge_intervals(df: DataFrame, group: list[str], start: str, end: str) -> DataFrame:
@@ -81,9 +133,17 @@ def running_offset(df: DataFrame, group: list[str], order: list[Column | str], l
 
 
 def suffixed_ids(df: DataFrame, base: str, order: list[Column | str], out: str = "event_id") -> DataFrame:
-    """base, with |dupN on its second and later occurrences (N from 2)."""
-    n = F.row_number().over(Window.partitionBy(base).orderBy(*order))
-    return df.withColumn(out, F.when(n == 1, F.col(base)).otherwise(F.concat(base, F.lit("|dup"), n)))
+    """base, with |dupN on its second and later occurrences (N from 2); a base of any number
+    of rows is spread over ranges."""
+    n = F.col("__nth")
+    ranked = source_rank(df, [base], order, "__nth")
+    return ranked.withColumn(out, F.when(n == 1, F.col(base)).otherwise(F.concat(base, F.lit("|dup"), n))).drop("__nth")
+
+
+def beside_first(df: DataFrame, group: list[str], start: str, out: str) -> DataFrame:
+    """start relative to the smallest start of the row's group; only the minima meet."""
+    first = df.groupBy(*group).agg(F.min(start).alias("__first"))
+    return _beside(df, first, group).withColumn(out, F.col(start) - F.col("__first")).drop("__first")
 
 
 def best_two(df: DataFrame, group: list[str], score: str, order: list[Column | str], gap: float, least: float) -> DataFrame:
@@ -98,11 +158,7 @@ def best_two(df: DataFrame, group: list[str], score: str, order: list[Column | s
 
 def with_group_size(ranked: DataFrame, group: list[str], out: str) -> DataFrame:
     """ranked with the number of rows of each group; only the counts are brought together."""
-    sizes = ranked.groupBy(*group).agg(F.count("*").alias(out)).select(out, *[F.col(g).alias(f"__s{i}") for i, g in enumerate(group)])
-    on = F.lit(True)
-    for i, g in enumerate(group):
-        on = on & F.col(g).eqNullSafe(F.col(f"__s{i}"))
-    return ranked.join(sizes, on, "left").select(*ranked.columns, out)
+    return _beside(ranked, ranked.groupBy(*group).agg(F.count("*").alias(out)), group)
 
 
 def nested_sample(df: DataFrame, strata: list[str], key: Column, fractions: list[float]) -> DataFrame:

@@ -112,8 +112,8 @@ def a13(spark, sf_dir):
 
 @query("w7_relative_position", "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey - min(l_suppkey) OVER (PARTITION BY l_partkey, l_returnflag) AS relative FROM lineitem")
 def w7(spark, sf_dir):
-    first = F.min("l_suppkey").over(Window.partitionBy("l_partkey", "l_returnflag"))
-    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", (F.col("l_suppkey") - first).alias("relative"))
+    l = table(spark, sf_dir, "lineitem")
+    return W.beside_first(l, ["l_partkey", "l_returnflag"], "l_suppkey", "relative").select("l_orderkey", "l_linenumber", "l_partkey", "relative")
 
 
 @query("a14_peptide_table", "SELECT l_partkey, array_to_string(list_sort(list_distinct(list(l_returnflag))), ';') AS kinds, array_to_string(list_sort(list_distinct(list(l_orderkey))), ';') AS events FROM lineitem GROUP BY l_partkey")
