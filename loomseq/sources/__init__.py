@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomseq.functions.text import blank_to_null, gtf_attribute, hla_two_field, info_map, support_key, tolerant_double, tolerant_long
+from loomseq.operators.evidence import repeated
 
 HIT_COLUMNS = "qseqid string, qlen int, sseqid string, qseq string, sseq string, stitle string, pident double, length int, mismatch int, gapopen int, qstart int, qend int, sstart int, send int, evalue double, bitscore double, qcovhsp double, qcovs double"
 TASK_COLUMNS = ["peptide", "hla_allele", "algorithm", "mhc_class"]
@@ -99,7 +100,21 @@ def junctions(spark: SparkSession, path: str, contigs: str = r"^(chr)?([0-9]+|[X
     main contigs."""
     j = delimited(spark, path, "chrom string, start1 bigint, end0 bigint, strand_code int, motif int, annotated int, unique_reads bigint, multi_reads bigint, max_overhang int")
     strand = F.when(F.col("strand_code") == 1, "+").when(F.col("strand_code") == 2, "-").otherwise(".")
-    return j.where(F.col("chrom").rlike(contigs)).select("chrom", (F.col("start1") - 1).alias("start0"), "end0", strand.alias("strand"), "unique_reads", "multi_reads")
+    return j.where(F.col("chrom").rlike(contigs)).select("chrom", (F.col("start1") - 1).alias("start0"), "end0", strand.alias("strand"), "unique_reads", "multi_reads", "max_overhang", "annotated", "motif")
+
+
+def checked_junctions(spark: SparkSession, path: str) -> DataFrame:
+    """junctions of a file that holds each (chrom, start0, end0, strand) once and names its
+    chromosomes in one way, with or without chr; else an error that names the first keys."""
+    found = junctions(spark, path)
+    key = ["chrom", "start0", "end0", "strand"]
+    twice = repeated(found, key)
+    if twice:
+        raise ValueError(f"junctions occur more than once: {twice}")
+    styles = found.agg(F.count_if(F.lower("chrom").startswith("chr")).alias("chr"), F.count("*").alias("n")).first()
+    if 0 < styles.chr < styles.n:
+        raise ValueError(f"chromosomes are named in two ways: {styles.chr} of {styles.n} rows with chr")
+    return found
 
 
 def bed12(spark: SparkSession, path: str) -> DataFrame:
@@ -117,6 +132,22 @@ def block_chains(rows: DataFrame, key: str, order: str, start: str, end: str) ->
     return rows.groupBy(key).agg(blocks.alias("blocks"))
 
 
+def checked_chains(rows: DataFrame, key: str, order: str, build: str) -> DataFrame:
+    """Chains (key, blocks of chrom, strand, start0, end0) from ordered block rows with columns
+    status, build and n_blocks. Only rows whose status is pass count. An error names the first
+    keys with rows of another build, with another number of blocks than n_blocks says, with a
+    place in the order taken twice, or on more than one chromosome or strand."""
+    good = rows.where("status = 'pass'")
+    blocks = F.array_sort(F.collect_list(F.struct(F.col(order).alias("ord"), "chrom", "strand", "start0", "end0")))
+    facts = good.groupBy(key).agg(blocks.alias("b"), F.min("n_blocks").alias("least"), F.max("n_blocks").alias("most"), F.count_if(~F.col("build").eqNullSafe(F.lit(build))).alias("other"), F.countDistinct(order).alias("places"), F.countDistinct("chrom", "strand").alias("sides"))
+    n = F.size("b")
+    rules = {"build": F.col("other") > 0, "number of blocks": ~F.coalesce((F.col("least") == n) & (F.col("most") == n), F.lit(False)), "order": F.col("places") != n, "chromosome or strand": F.col("sides") != 1}
+    broken = {name: [r[0] for r in facts.where(rule).select(F.col(key).cast("string")).orderBy(key).limit(5).collect()] for name, rule in rules.items()}
+    if any(broken.values()):
+        raise ValueError(f"block rows break their contract: { {k: v for k, v in broken.items() if v} }")
+    return facts.select(key, F.transform("b", lambda x: F.struct(x["chrom"].alias("chrom"), x["strand"].alias("strand"), x["start0"].alias("start0"), x["end0"].alias("end0"))).alias("blocks"))
+
+
 def quantification(spark: SparkSession, path: str) -> DataFrame:
     q = delimited(spark, path, "Name string, TPM string", header=True)
     return q.select("Name", tolerant_double(F.col("TPM")).alias("TPM"))
