@@ -174,6 +174,96 @@ def changed_region(wild: Column, mutant: Column, frameshift: Column) -> Column:
     return F.struct(prefix.alias("prefix"), suffix.alias("suffix"), (F.length(wild) - suffix).alias("wt_end"), (F.length(mutant) - suffix).alias("mt_end"))
 
 
+def count_below(values: Column, x: Column, equal: bool = False) -> Column:
+    """Number of elements of an ascending array below x (or equal to it), by binary search."""
+
+    def step(acc: Column, _: Column) -> Column:
+        mid = F.floor((acc["lo"] + acc["hi"]) / 2).cast("int")
+        v = F.get(values, mid)
+        more = (acc["lo"] < acc["hi"]) & ((v <= x) if equal else (v < x))
+        return F.struct(F.when(more, mid + 1).otherwise(acc["lo"]).alias("lo"), F.when(~more & (acc["lo"] < acc["hi"]), mid).otherwise(acc["hi"]).alias("hi"))
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(32)), F.struct(F.lit(0).alias("lo"), F.size(values).alias("hi")), step)["lo"]
+
+
+#: Letters that no epitope may hold (fixed values).
+INVALID = "*X?U"
+
+
+def invalid_places(sequence: Column) -> Column:
+    """0-based places of INVALID letters of an ASCII sequence, ascending: lengths of the
+    stretches between them, summed up."""
+    stretches = F.split(sequence, "[*X?U]")
+    lengths = F.transform(stretches, F.length)
+    ends = F.aggregate(lengths, F.array().cast("array<int>"), lambda a, n: F.concat(a, F.array(F.coalesce(F.element_at(a, F.when(F.size(a) > 0, -1)), F.lit(-1)) + 1 + n)))
+    # The last stretch ends with the sequence.
+    return let(ends, lambda e: F.slice(e, F.lit(1), F.size(e) - 1))
+
+
+def anchor_of(first: Column, last: Column, start: Column, end: Column, frameshift: Column, whole_event: bool = False) -> Column:
+    """0-based place that a context is centred on: the middle of the changed residues
+    first..last (half-open), their junction where there are none; for a frameshift the middle
+    of the window start..end, or the breakpoint for a context of the whole event."""
+    middle = lambda a, b: F.floor((a + b - 1) / 2).cast("int")
+    shifted = first if whole_event else middle(start, end)
+    return F.when(frameshift, shifted).when(last > first, middle(first, last)).otherwise(first)
+
+
+def event_context(sequence: Column, first: Column, last: Column, frameshift: Column, width: int) -> Column:
+    """struct<start, end> (0-based, half-open) of a stretch of width residues centred on the
+    change, or on a frameshift's breakpoint, moved inwards at the edges; all of a shorter
+    sequence, or where width is 0."""
+    n = F.length(sequence)
+    centre = anchor_of(first, last, first, last, frameshift, whole_event=True)
+    begin = F.greatest(F.lit(0), F.least(centre - width // 2, n - width))
+    whole = (n <= width) if width > 0 else F.lit(True)
+    return F.struct(F.when(whole, 0).otherwise(begin).alias("start"), F.when(whole, n).otherwise(begin + width).alias("end"))
+
+
+def bounded_extension(invalid: Column, n: Column, start: Column, end: Column, anchor: Column, width: int) -> Column:
+    """struct<start, end> of a window start..end (0-based, half-open) extended to width
+    residues around anchor: it holds the whole window and stays between the nearest invalid
+    residues to its left and right, which are found by binary search in their sorted places;
+    all there is where that is too little."""
+    k = count_below(invalid, start)
+    low = F.coalesce(F.get(invalid, k - 1) + 1, F.lit(0))
+    high = F.coalesce(F.get(invalid, count_below(invalid, end)), n)
+
+    def place(b: Column) -> Column:
+        target = F.least(F.greatest(F.lit(width), end - start), b["high"] - b["low"])
+        begin = F.least(F.greatest(anchor - F.floor(target / 2).cast("int"), b["low"], end - target), start, b["high"] - target)
+        return F.struct(begin.alias("start"), (begin + target).alias("end"))
+
+    return let(F.struct(low.alias("low"), high.alias("high")), place)
+
+
+def mutation_windows(df: DataFrame, lengths: list[int], width: int, chunk: int = 2048) -> DataFrame:
+    """Windows of a mutant sequence that cover its change: event_id, pep_len, start (0-based),
+    peptide, wt_peptide, ext_start, ext_end. df: event_id, wt (may be null), mt, frameshift
+    boolean; sequences are ASCII. Only starts that cover the change are made, in chunks, so a
+    long sequence costs no more than its change. Windows with INVALID letters go; wt_peptide is
+    the wild type at the same place, null for frameshifts, without wild type, or where it ends
+    before; windows whose wild type has INVALID letters or equals them go too."""
+    n = F.length("mt")
+    region = F.when(F.col("wt").isNull(), F.struct(F.lit(0).alias("prefix"), n.alias("mt_end"))).otherwise(let(changed_region(F.col("wt"), F.col("mt"), F.col("frameshift")), lambda r: F.struct(r["prefix"].cast("int").alias("prefix"), r["mt_end"].cast("int").alias("mt_end"))))
+    base = df.where("mt is not null").select("event_id", F.col("mt").cast("binary").alias("m"), F.col("wt").cast("binary").alias("w"), F.coalesce("frameshift", F.lit(False)).alias("fs"), region.alias("r"), n.alias("n"), invalid_places(F.col("mt")).alias("bad"))
+    sized = base.withColumn("k", F.explode(F.array(*[F.lit(k) for k in lengths])))
+    first, last, k = F.col("r.prefix"), F.col("r.mt_end"), F.col("k")
+    low = F.greatest(F.lit(0), first - k + 1)
+    high = F.least(F.when(last > first, last - 1).otherwise(first - 1), F.col("n") - k)
+    spans = sized.withColumns({"low": low, "high": high}).where("high >= low").withColumn("at", F.explode(F.expr(f"sequence(low, high, {chunk})")))
+    cut = spans.select("event_id", "fs", "n", "bad", "k", "at", "r", F.least(F.col("high"), F.col("at") + chunk - 1).alias("to"), F.substring("m", F.col("at") + 1, k + chunk).alias("m"), F.substring("w", F.col("at") + 1, k + chunk).alias("w"))
+    places = F.transform(F.sequence(F.lit(0), F.col("to") - F.col("at")), lambda i: F.struct(i.alias("i"), F.substring("m", i + 1, k).cast("string").alias("mt"), F.substring("w", i + 1, k).cast("string").alias("wt")))
+    each = cut.select("event_id", "fs", "n", "bad", "k", "at", "r", F.explode(places).alias("x"))
+    wild = F.when(~F.col("fs") & (F.length("x.wt") == k), F.col("x.wt"))
+    kept = each.withColumn("wild", wild).where(~F.col("x.mt").rlike("[*X?U]") & ~F.coalesce(F.col("wild").rlike("[*X?U]"), F.lit(False)) & ~F.coalesce(F.col("wild") == F.col("x.mt"), F.lit(False)))
+    start = F.col("at") + F.col("x.i")
+    placed = kept.select("event_id", k.alias("pep_len"), start.alias("start"), F.col("x.mt").alias("peptide"), F.col("wild").alias("wt_peptide"), "bad", "n", "r", "fs")
+    end = F.col("start") + F.col("pep_len")
+    e = bounded_extension(F.col("bad"), F.col("n"), F.col("start"), end, anchor_of(F.col("r.prefix"), F.col("r.mt_end"), F.col("start"), end, F.col("fs")), width)
+    return placed.withColumn("e", e).select("event_id", "pep_len", "start", "peptide", "wt_peptide", F.col("e.start").alias("ext_start"), F.col("e.end").alias("ext_end"))
+
+
 def covers_change(start: Column, length: Column, prefix: Column, mt_end: Column) -> Column:
     """Whether a window (1-based start) covers changed residues; for an empty change, the
     junction between the residues beside it."""

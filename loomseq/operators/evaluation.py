@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loomseq.operators.windows import beside, in_ranges, running_sums
+
 
 def binary_metrics(df: DataFrame, groups: list[str], label: str, score: str, threshold: float = 0.5) -> DataFrame:
     """Confusion counts and the usual ratios, one conditional aggregate."""
@@ -29,11 +31,28 @@ def calibration_error(df: DataFrame, label: str, score: str, bins: int) -> DataF
 
 
 def score_table(df: DataFrame, groups: list[str], label: str, score: str) -> DataFrame:
-    """Per distinct score: positives and negatives, and running sums from the highest score
-    down. Ties are collapsed before any window, so the window is over distinct scores."""
+    """Per distinct score: positives and negatives, and running sums (tp, fp) from the highest
+    score down. Ties are collapsed first; the sums run over ranges of (group, score), both in
+    one pass, so no group's scores meet in one task."""
     t = df.groupBy(*groups, score).agg(F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg"))
-    w = Window.partitionBy(*groups).orderBy(F.desc(score)).rowsBetween(Window.unboundedPreceding, 0)
-    return t.withColumns({"tp": F.sum("pos").over(w), "fp": F.sum("neg").over(w)})
+    order = [F.desc(score)]
+    return running_sums(in_ranges(t, groups, order), groups, order, {"tp": F.col("pos"), "fp": F.col("neg")})
+
+
+def precision_recall(df: DataFrame, groups: list[str], label: str, score: str) -> DataFrame:
+    """The precision-recall curve: one row for each distinct score of each group, with tp, fp,
+    precision and recall of the rows at or above it, and step_area, its trapezoid below the
+    curve from the next higher score (from recall 0 and precision 1 at the first). recall and
+    step_area are null in groups without positives."""
+    t = score_table(df, groups, label, score)
+    n = beside(t, t.groupBy(*groups).agg(F.sum("pos").alias("__np")), groups) if groups else t.crossJoin(F.broadcast(t.agg(F.sum("pos").alias("__np"))))
+    tp, fp = F.col("tp"), F.col("fp")
+    before, seen = tp - F.col("pos"), tp + fp - F.col("pos") - F.col("neg")
+    precision = tp / (tp + fp)
+    earlier = F.when(seen > 0, before / seen).otherwise(1.0)
+    some = F.col("__np") > 0
+    area = F.when(some, F.col("pos") / F.col("__np") * (precision + earlier) / 2)
+    return n.select(*groups, score, "tp", "fp", precision.alias("precision"), F.when(some, tp / F.col("__np")).alias("recall"), area.alias("step_area"))
 
 
 def ranking_metrics(df: DataFrame, groups: list[str], label: str, score: str) -> DataFrame:
@@ -47,14 +66,56 @@ def ranking_metrics(df: DataFrame, groups: list[str], label: str, score: str) ->
 
 
 def top_precision(df: DataFrame, groups: list[str], label: str, score: str, order: list[str]) -> DataFrame:
-    """Precision among the n_pos best rows, and the mean of the precisions at 1..n_pos."""
-    w = Window.partitionBy(*groups)
-    o = w.orderBy(F.desc(score), *order)
-    r = df.withColumns({"__rn": F.row_number().over(o), "__tp": F.sum(F.col(label)).over(o.rowsBetween(Window.unboundedPreceding, 0)), "__np": F.sum(F.col(label)).over(w)})
+    """Precision among the n_pos best rows, and the mean of the precisions at 1..n_pos. Places
+    and true positives run over ranges in one pass."""
+    by = [F.desc(score), *order]
+    rows = in_ranges(df.select(*groups, label, score, *order), groups, by)
+    sums = running_sums(rows, groups, by, {"__rn": F.lit(1).cast("bigint"), "__tp": F.col(label).cast("bigint")})
+    r = beside(sums, df.groupBy(*groups).agg(F.sum(label).alias("__np")), groups)
     g = r.where("__rn <= __np").groupBy(*groups)
     return g.agg(F.max("__np").alias("n_pos"), F.max(F.when(F.col("__rn") == F.col("__np"), F.col("__tp") / F.col("__rn"))).alias("ppv_at_n_pos"), F.avg(F.col("__tp") / F.col("__rn")).alias("mean_ppv"))
 
 
+def in_sets(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Each row once for every column of columns (grouped_by: its name, value: its value as text, which
+    may be null) and once for all rows (grouped_by = "all"): groups of several columns in one plan, in
+    which a null value stays apart from all. The copies are aggregated where they are made."""
+    sets = [F.struct(F.lit(c).alias("grouped_by"), F.col(c).cast("string").alias("value")) for c in columns]
+    sets.append(F.struct(F.lit("all").alias("grouped_by"), F.lit(None).cast("string").alias("value")))
+    return df.withColumn("__set", F.explode(F.array(*sets))).select("*", "__set.grouped_by", "__set.value").drop("__set")
+
+
+def grouped_metrics(df: DataFrame, columns: list[str], label: str, score: str, threshold: float = 0.5, least: int = 2) -> DataFrame:
+    """binary_metrics, ranking_metrics and the trapezoid area below the precision-recall curve
+    (pr_area) of each value of each column and of all rows; sets of fewer than least rows are
+    left out."""
+    every = in_sets(df.select(*columns, label, score), columns)
+    sets = ["grouped_by", "value"]
+    plain = binary_metrics(every, sets, label, score, threshold).where(F.col("n") >= least)
+    ranked = ranking_metrics(every, sets, label, score)
+    areas = precision_recall(every, sets, label, score).groupBy(*sets).agg(F.sum("step_area").alias("pr_area"))
+    return beside(beside(plain, ranked, sets), areas, sets)
+
+
+def attribution(df: DataFrame, features: str, coefficients: list[float], label: str) -> DataFrame:
+    """What each feature (from 1) of a linear score adds: mean_contribution, mean_abs, the means
+    by label (mean_positive, mean_negative), and drop, by how much the area under the ROC curve
+    falls when the feature is left out of the score (the total minus the feature's share, so
+    one pass gives all reduced scores). features is an array column; the coefficients are a
+    parameter. Scores are rounded to 9 digits, so that sums in another order tie alike."""
+    weights = F.array(*[F.lit(float(c)) for c in coefficients])
+    parts = F.zip_with(features, weights, lambda x, w: x.cast("double") * w)
+    rows = df.select(F.col(label).alias("label"), parts.alias("parts")).withColumn("total", F.aggregate("parts", F.lit(0.0), lambda a, x: a + F.coalesce(x, F.lit(0.0))))
+    each = rows.select("label", "total", F.posexplode("parts").alias("at", "part"))
+    each = each.select((F.col("at") + 1).alias("feature"), "label", "part", F.round(F.col("total") - F.coalesce("part", F.lit(0.0)), 9).alias("score"))
+    y = F.col("label") == 1
+    means = each.groupBy("feature").agg(F.avg("part").alias("mean_contribution"), F.avg(F.abs("part")).alias("mean_abs"), F.avg(F.when(y, F.col("part"))).alias("mean_positive"), F.avg(F.when(~y, F.col("part"))).alias("mean_negative"))
+    whole = rows.select(F.lit(0).alias("feature"), "label", F.round("total", 9).alias("score"))
+    areas = ranking_metrics(whole.unionByName(each.select("feature", "label", "score")), ["feature"], "label", "score").select("feature", "auroc")
+    full = areas.where("feature = 0").select(F.col("auroc").alias("full_auroc"))
+    return means.join(areas, "feature", "left").crossJoin(F.broadcast(full)).withColumn("drop", F.col("full_auroc") - F.col("auroc")).drop("auroc")
+
+
 def best_and_median(df: DataFrame, keys: list[str], value: str, algorithm: str, preferred: list[str], only: list[str] | None = None) -> DataFrame:
     """Smallest value with its algorithm (ties in preferred order), exact median, count."""
     use = F.col(algorithm).isin(only) if only else F.lit(True)

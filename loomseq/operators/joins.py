@@ -106,3 +106,48 @@ def scored_once(df: DataFrame, keys: list[str], scorer) -> DataFrame:
     """Score each distinct key once and join the scores back. scorer: DataFrame of keys ->
     DataFrame of keys and score columns."""
     return df.join(scorer(df.select(*keys).distinct()), keys, "left")
+
+
+def wild_tasks(mutant_tasks: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Tasks of wild-type peptides: each pair (mhc_class, wt, mt) of one length takes the alleles
+    and algorithms of its mutant's tasks (mhc_class, peptide, hla_allele, algorithm). A pair
+    whose mutant has no task stays, with null allele and algorithm, so that templates_missing
+    can count it."""
+    known = pairs.where("length(wt) = length(mt)").select("mhc_class", "wt", "mt").distinct()
+    tasks = mutant_tasks.select("mhc_class", F.col("peptide").alias("mt"), "hla_allele", "algorithm").distinct()
+    return known.join(tasks, ["mhc_class", "mt"], "left").select("mhc_class", F.col("wt").alias("peptide"), F.col("mt").alias("template"), "hla_allele", "algorithm")
+
+
+def templates_missing(tasks: DataFrame) -> DataFrame:
+    """For each class: the distinct tasks of wild_tasks, and the pairs without a template."""
+    found = F.col("hla_allele").isNotNull()
+    task = F.when(found, F.struct("peptide", "hla_allele", "algorithm"))
+    return tasks.groupBy("mhc_class").agg(F.countDistinct(task).alias("n_tasks"), F.count_if(~found).alias("n_missing"))
+
+
+#: Texts that mean no entry (fixed values).
+NO_ENTRY = ("", "na", "nan", "none")
+
+
+def lookup_list(df: DataFrame, key: str, text: str, names: DataFrame, out: str, keep_unknown: bool = False) -> DataFrame:
+    """df with out: text in which every entry between | and , is replaced by its value in names
+    (name, value; a name once, of any number). The separators, single or in a row, stay byte for
+    byte where they are. Entries are looked up trimmed and without a version (.N); unknown ones
+    become empty, or stay as they are; blank ones and NO_ENTRY become empty. A text that is null
+    or NO_ENTRY gives an empty one. key must be unique in df; only it and the entries are
+    shuffled."""
+    whole = F.lower(F.trim(F.coalesce(text, F.lit(""))))
+    tokens = df.where(~whole.isin(*NO_ENTRY)).select(key, F.posexplode(F.regexp_extract_all(text, F.lit("[|,]+|[^|,]+"), F.lit(0))).alias("__at", "__token"))
+    mark = F.col("__token").rlike("^[|,]+$")
+    # Separators need no partner: they would all meet in one task of the join.
+    kept = tokens.where(mark).select(key, "__at", F.col("__token").alias("__value"))
+    entry = F.trim("__token")
+    asked = tokens.where(~mark).withColumn("__name", F.when(~F.lower(entry).isin(*NO_ENTRY), F.regexp_replace(entry, r"[.][0-9]+$", "")))
+    known = names.select(F.col("name").alias("__name"), F.col("value").alias("__found"))
+    unknown = F.when(F.col("__name").isNotNull(), F.col("__token")).otherwise("") if keep_unknown else F.lit("")
+    found = asked.where("__name is not null").join(known, "__name", "left").select(key, "__at", F.coalesce("__found", unknown).alias("__value"))
+    blank = asked.where("__name is null").select(key, "__at", F.lit("").alias("__value"))
+    parts = F.array_sort(F.collect_list(F.struct("__at", "__value")))
+    joined = kept.unionAll(found).unionAll(blank).groupBy(key).agg(F.array_join(F.transform(parts, lambda p: p["__value"]), "").alias("__out"))
+    columns = [c for c in df.columns if c != out]
+    return df.join(joined, key, "left").select(*columns, F.coalesce("__out", F.lit("")).alias(out))

@@ -107,3 +107,58 @@ def require(df: DataFrame, **rules: Column) -> None:
     broken = {r["rule"]: r["n"] for r in violations(df, **rules).collect() if r["n"]}
     if broken:
         raise ValueError(f"contract broken: {broken}")
+
+
+def final_rules(peptide: Column, digest: Column, mhc_class: Column, lengths: dict[str, list[int]], state: Column, states: list[str], extension: Column, parent_known: Column) -> dict[str, Column]:
+    """What no row of a final table may show, as rules that are true where broken: a digest that
+    is not that of the peptide, a length outside its class's set (or another class), an unknown
+    status, an extension that does not hold its window, a parent that does not exist."""
+    fits = F.lit(False)
+    for name, allowed in lengths.items():
+        fits = fits | ((mhc_class == name) & F.length(peptide).isin(*allowed))
+    return {
+        "digest": ~digest.eqNullSafe(F.sha2(F.upper(peptide), 256)),
+        "length": ~F.coalesce(fits, F.lit(False)),
+        "status": ~F.coalesce(state.isin(*states), F.lit(False)),
+        "extension": ~F.coalesce(F.contains(extension, peptide), F.lit(False)),
+        "orphan": ~F.coalesce(parent_known, F.lit(False)),
+    }
+
+
+def event_ladder(events: DataFrame, contexts: DataFrame, windows: DataFrame, kinds: list[str], least: int) -> DataFrame:
+    """One row for each event (event_id, kind): status, n_windows and n_peptides. The first step
+    that fails decides: unsupported (kind), missing_context (no row, or no sequence, in
+    contexts: event_id, wt, mt, rebuilt), region_error (the two sequences do not differ),
+    window_error (a sequence shorter than least), no_window; then rebuilt, where the context was
+    made anew, or ok. Counts of windows (event_id, peptide) come from one aggregation."""
+    counts = windows.groupBy("event_id").agg(F.count("*").alias("n_windows"), F.countDistinct("peptide").alias("n_peptides"))
+    both = events.join(contexts.select("event_id", "wt", "mt", "rebuilt"), "event_id", "left").join(counts, "event_id", "left")
+    n = F.coalesce("n_windows", F.lit(0))
+    status_ = ladder(
+        (~F.coalesce(F.col("kind").isin(*kinds), F.lit(False)), "unsupported"),
+        (F.col("mt").isNull(), "missing_context"),
+        (F.coalesce(F.col("wt") == F.col("mt"), F.lit(False)), "region_error"),
+        (F.length("mt") < least, "window_error"),
+        (n == 0, "no_window"),
+        (F.coalesce("rebuilt", F.lit(False)), "rebuilt"),
+        otherwise="ok",
+    )
+    return both.select("event_id", status_.alias("status"), n.alias("n_windows"), F.coalesce("n_peptides", F.lit(0)).alias("n_peptides"))
+
+
+def labelled_once(df: DataFrame, key: str, label: str, order: list[Column | str]) -> DataFrame:
+    """df's keys once each: key, label, n_rows, conflict (labels 0 and 1 both occur) and the row
+    that comes first in order as the struct first. One aggregation, partial on the map side, so
+    a key of any number of rows is a few of them in the shuffle."""
+    rest = F.struct(*[c for c in df.columns if c != key])
+    mask = F.bit_or(F.expr(f"shiftleft(1, cast(`{label}` as int))"))
+    g = df.groupBy(key).agg(F.count("*").alias("n_rows"), mask.alias("mask"), F.min_by(rest, F.struct(*order)).alias("first"))
+    return g.select(key, F.col(f"first.{label}").alias(label), "n_rows", (F.col("mask") == 3).alias("conflict"), "first")
+
+
+def removal_counts(once: DataFrame) -> DataFrame:
+    """stage and n of labelled_once: rows, keys, conflicting keys and rows, duplicates, kept."""
+    c = F.col("conflict")
+    facts = {"rows": F.sum("n_rows"), "keys": F.count("*"), "conflict_keys": F.count_if(c), "conflict_rows": F.sum(F.when(c, F.col("n_rows")).otherwise(0)), "duplicate_rows": F.sum(F.when(~c, F.col("n_rows") - 1).otherwise(0)), "kept": F.count_if(~c)}
+    one = once.agg(*[F.coalesce(v, F.lit(0)).cast("bigint").alias(k) for k, v in facts.items()])
+    return one.select(F.explode(F.array(*[F.struct(F.lit(k).alias("stage"), F.col(k).alias("n")) for k in facts])).alias("x")).select("x.*")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomseq.functions.sequences import count_below
 from loomseq.storage import stored
 
 
@@ -36,7 +37,20 @@ def running(ranges: DataFrame, group: list[str], order: list[Column | str], valu
     return found.withColumn(out, F.coalesce(both(F.col("__base"), F.col("__local")), empty)).select(*ranges.columns, out)
 
 
-def _beside(rows: DataFrame, facts: DataFrame, keys: list[str]) -> DataFrame:
+def running_sums(ranges: DataFrame, group: list[str], order: list[Column | str], values: dict[str, Column]) -> DataFrame:
+    """Adds, for each name of values, its sum over the group's rows up to and with each row, in
+    the order (ties by row id); all of them in one pass over the ranges."""
+    keys = [*group, "__part"]
+    rows = ranges.withColumns({f"__v_{n}": v for n, v in values.items()})
+    totals = rows.groupBy(*keys).agg(*[F.sum(f"__v_{n}").alias(f"__t_{n}") for n in values])
+    earlier = Window.partitionBy(*group).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    base = totals.select(*keys, *[F.coalesce(F.sum(f"__t_{n}").over(earlier), F.lit(0)).alias(f"__b_{n}") for n in values])
+    own = Window.partitionBy(*keys).orderBy(*order, "__row").rowsBetween(Window.unboundedPreceding, 0)
+    found = beside(rows, base, keys)
+    return found.select(*ranges.columns, *[(F.col(f"__b_{n}") + F.sum(f"__v_{n}").over(own)).alias(n) for n in values])
+
+
+def beside(rows: DataFrame, facts: DataFrame, keys: list[str]) -> DataFrame:
     """rows with the further columns of facts, one row for each value of keys (nulls too)."""
     other = [c for c in facts.columns if c not in keys]
     named = facts.select(*other, *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)])
@@ -57,7 +71,7 @@ def _selection_ranges(df: DataFrame, group: list[str], order: list[Column | str]
     counts = ranges.groupBy(*keys).agg(*[F.count_if(F.col(f"__m_{n}")).alias(f"__in_{n}") for n in masks])
     earlier = Window.partitionBy(*group).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     totals = counts.withColumns({f"__before_{n}": F.coalesce(F.sum(f"__in_{n}").over(earlier), F.lit(0)) for n in masks})
-    return _beside(ranges, totals, keys)
+    return beside(ranges, totals, keys)
 
 
 def _place_in_range(rows: DataFrame, group: list[str], order: list[Column | str], mask: str) -> Column:
@@ -143,7 +157,7 @@ def suffixed_ids(df: DataFrame, base: str, order: list[Column | str], out: str =
 def beside_first(df: DataFrame, group: list[str], start: str, out: str) -> DataFrame:
     """start relative to the smallest start of the row's group; only the minima meet."""
     first = df.groupBy(*group).agg(F.min(start).alias("__first"))
-    return _beside(df, first, group).withColumn(out, F.col(start) - F.col("__first")).drop("__first")
+    return beside(df, first, group).withColumn(out, F.col(start) - F.col("__first")).drop("__first")
 
 
 def best_two(df: DataFrame, group: list[str], score: str, order: list[Column | str], gap: float, least: float) -> DataFrame:
@@ -158,7 +172,7 @@ def best_two(df: DataFrame, group: list[str], score: str, order: list[Column | s
 
 def with_group_size(ranked: DataFrame, group: list[str], out: str) -> DataFrame:
     """ranked with the number of rows of each group; only the counts are brought together."""
-    return _beside(ranked, ranked.groupBy(*group).agg(F.count("*").alias(out)), group)
+    return beside(ranked, ranked.groupBy(*group).agg(F.count("*").alias(out)), group)
 
 
 def nested_sample(df: DataFrame, strata: list[str], key: Column, fractions: list[float]) -> DataFrame:
@@ -185,3 +199,45 @@ def percentile_among(scores: DataFrame, score: str, reference: DataFrame, value:
     below = running(per, [], ["__v"], F.col("__n"), "__below").crossJoin(F.broadcast(total))
     share = below.select("__v", (100.0 * (F.col("__below") + 0.5 * F.col("__n")) / F.col("__total")).alias(out))
     return scores.join(share, scores[score] == share["__v"], "left").select(*scores.columns, out)
+
+
+def quantile_table(reference: DataFrame, value: str, tail: float, coarse: int, fine: int) -> DataFrame:
+    """A distribution at two resolutions, in one row: every value at about coarse even ranks
+    over the whole range (coarse), and at about fine even ranks among the smallest tail share
+    (fine, up to the value edge), as sorted arrays, with n_coarse, n_fine, n (values) and n_tail
+    (values up to the edge). Ranks run over ranges, so the reference may be of any size; the row
+    holds at most 2 * coarse + 2 * fine numbers. Null values and NaN do not count."""
+    per = reference.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))).groupBy(F.col(value).cast("double").alias("v")).agg(F.count("*").alias("k"))
+    ranks = running_sums(in_ranges(per, [], ["v"]), [], ["v"], {"upto": F.col("k")})
+    n = per.agg(F.coalesce(F.sum("k"), F.lit(0)).alias("n"))
+    ranked = ranks.crossJoin(F.broadcast(n)).withColumn("below", F.col("upto") - F.col("k"))
+    edge = ranked.where(F.col("upto") >= F.ceil(F.col("n") * tail)).agg(F.min("v").alias("edge"), F.min("upto").alias("n_tail"))
+    both = ranked.crossJoin(F.broadcast(edge))
+
+    def picked(total: Column, size: int) -> Column:
+        """How many of size even ranks of total values fall on this value."""
+        step = F.greatest(total / size, F.lit(1.0))
+        return (F.floor(F.col("upto") / step) - F.floor(F.col("below") / step)).cast("int")
+
+    times = both.select("v", "edge", "n", "n_tail", picked(F.col("n"), coarse).alias("c"), F.when(F.col("v") <= F.col("edge"), picked(F.col("n_tail"), fine)).otherwise(0).alias("f"))
+    listed = lambda c: F.flatten(F.transform(F.array_sort(F.collect_list(F.when(F.col(c) > 0, F.struct("v", F.col(c).alias("k"))))), lambda r: F.array_repeat(r["v"], r["k"])))
+    return times.where("c > 0 or f > 0").agg(listed("c").alias("coarse"), listed("f").alias("fine"), F.max("edge").alias("edge"), F.max("n").alias("n"), F.max("n_tail").alias("n_tail"))
+
+
+def two_resolution_share(scores: DataFrame, score: str, quantiles: DataFrame, out: str = "share") -> DataFrame:
+    """Share of a reference at or below each score, by binary search in its quantile_table;
+    scores that occur several times there take the middle of their ranks. Scores up to the
+    edge are looked up among the fine values, others among the coarse ones: the error is at
+    most 1 / coarse, and n_tail / n / fine in the tail, and none where a table holds all of its
+    values. Null scores and an empty reference give null."""
+    row = quantiles.select(F.struct("coarse", "fine", "edge", "n", "n_tail").alias("__q"))
+    q, x = F.col("__q"), F.col(score).cast("double")
+
+    def rank(values: Column) -> Column:
+        left, right = count_below(values, x), count_below(values, x, equal=True)
+        return F.when(right > left, (left + right + 1) / 2).otherwise(left.cast("double"))
+
+    coarse = rank(q["coarse"]) / F.size(q["coarse"])
+    fine = rank(q["fine"]) / F.size(q["fine"]) * q["n_tail"] / q["n"]
+    share = F.when(q["n"] > 0, F.when(x > q["edge"], coarse).otherwise(fine))
+    return scores.crossJoin(F.broadcast(row)).withColumn(out, F.when(x.isNotNull(), share)).select(*[c for c in scores.columns if c != out], out)
