@@ -16,8 +16,10 @@ without a colon are passed over, a missing length counts as 0. Of an archive tha
 inside a record the rest comes out as a chunk that is not the last.
 
 Null html counts as empty. Rows with a null page_id or a null url are written like
-others. Several rows with the group's largest page_id are all responses. Empty tables
-give empty archives; further columns are ignored.
+others. Several rows with the group's largest page_id are all responses. Rows of one page_id
+with different payloads are records of their own: such a record's id also holds the digest, so
+a revisit refers to the record that stores its very payload. Empty tables give empty archives;
+further columns are ignored.
 """
 
 from __future__ import annotations
@@ -45,15 +47,19 @@ def base32_sha1(payload: Column) -> Column:
     return F.translate(F.concat(*groups), "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
 
 
-def plan_records(spark: SparkSession, pages: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """page_id, payload_bytes, payload_digest and response_id (the page that stores the
-    payload) for each page. Only these small columns are shuffled by digest."""
+def plan_records(spark: SparkSession, pages: DataFrame, min_bytes: int = 0) -> tuple[DataFrame, DataFrame]:
+    """page_id, payload_digest, response_id (the page that stores the payload) and
+    response_mark of each revisit; and the page_ids that occur with several payloads. Only small
+    columns are shuffled, by digest and page."""
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     small = pages.select("page_id", F.octet_length(payload).cast("long").alias("payload_bytes"), base32_sha1(payload).alias("payload_digest"))
     small = materialise(spark, small, "digests")
     groups = small.where(F.col("payload_bytes") >= min_bytes).groupBy("payload_digest").agg(F.max("page_id").alias("response_id"), F.count("*").alias("n"))
     shared = materialise(spark, groups.where("n > 1 and response_id is not null").select("payload_digest", "response_id"), "shared")
-    return small.join(shared, "payload_digest").where("page_id < response_id").select("page_id", "response_id").distinct()
+    several = small.groupBy("page_id").agg(F.min("payload_digest").alias("lo"), F.max("payload_digest").alias("hi")).where("page_id is not null and lo <> hi")
+    several = materialise(spark, several.select("page_id", F.lit(True).alias("mark")), "several")
+    revisits = small.join(shared, "payload_digest").where("page_id < response_id").select("page_id", "payload_digest", "response_id").distinct()
+    return revisits.join(several.toDF("response_id", "response_mark"), "response_id", "left"), several
 
 
 def _clean(value: Column) -> Column:
@@ -62,21 +68,24 @@ def _clean(value: Column) -> Column:
 
 def write_warc(spark: SparkSession, pages: DataFrame, path: str, min_bytes: int = 0, records_per_file: int = 50_000) -> None:
     """Write pages (page_id, url, html) to gzip-compressed WARC files under path."""
-    revisits = materialise(spark, plan_records(spark, pages, min_bytes), "revisits")
-    rows = pages.select("page_id", "url", "html").join(revisits, "page_id", "left")
+    planned, several = plan_records(spark, pages, min_bytes)
+    revisits = materialise(spark, planned, "revisits")
     html = F.coalesce(F.col("html"), F.lit(""))
     payload = html.cast("binary")
+    # A page may occur several times with different payloads: each is judged by itself.
+    rows = pages.select("page_id", "url", "html", base32_sha1(payload).alias("payload_digest")).join(revisits, ["page_id", "payload_digest"], "left").join(several, "page_id", "left")
+    digest = F.col("payload_digest")
     line = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit("\r\n"))
-    urn = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(c.cast("string"), F.lit("null")), F.lit(">"))
+    urn = lambda c, mark: F.concat(F.lit("<urn:page:"), F.coalesce(c.cast("string"), F.lit("null")), F.when(F.col(mark), F.concat(F.lit(":"), digest)).otherwise(""), F.lit(">"))
     again = F.col("response_id").isNotNull()
     record = F.concat(
         F.lit("WARC/1.1\r\n"),
         line("WARC-Type", F.when(again, "revisit").otherwise("response")),
-        line("WARC-Record-ID", urn(F.col("page_id"))),
+        line("WARC-Record-ID", urn(F.col("page_id"), "mark")),
         line("WARC-Target-URI", _clean(F.col("url"))),
         line("WARC-Date", F.lit("2024-01-01T00:00:00Z")),
-        F.when(again, F.concat(line("WARC-Profile", F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")), line("WARC-Refers-To", urn(F.col("response_id"))))).otherwise(""),
-        line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), base32_sha1(payload))),
+        F.when(again, F.concat(line("WARC-Profile", F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")), line("WARC-Refers-To", urn(F.col("response_id"), "response_mark")))).otherwise(""),
+        line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), digest)),
         line("WARC-Payload-Length", F.octet_length(payload).cast("string")),
         line("Content-Type", F.lit("text/html; charset=utf-8")),
         line("Content-Length", F.when(again, "0").otherwise(F.octet_length(payload).cast("string"))),
@@ -200,7 +209,7 @@ def read_warc(spark: SparkSession, path: str, chunk_bytes: int = CHUNK_BYTES) ->
 
 
 def page_of(urn: Column) -> Column:
-    return F.regexp_extract(urn, r"^<urn:page:(-?\d+)>$", 1).try_cast("long") if hasattr(Column, "try_cast") else F.regexp_extract(urn, r"^<urn:page:(-?\d+)>$", 1).cast("long")
+    return F.regexp_extract(urn, r"^<urn:page:(-?\d+)(?::[A-Z2-7]*)?>$", 1).try_cast("long") if hasattr(Column, "try_cast") else F.regexp_extract(urn, r"^<urn:page:(-?\d+)(?::[A-Z2-7]*)?>$", 1).cast("long")
 
 
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
