@@ -14,13 +14,14 @@ into bounded parts, and each pair of parts yields only its best candidates, scor
 double precision on the original vectors.
 
 Rows with a null id, and vectors that are null, empty, zero, or hold null or non-finite
-components take no part; so do vectors whose length is not that of most of the sample.
-Rows with the query's vec_id count as the query itself. Ties go to the smaller vec_id.
+components take no part. Vectors of one length are neighbours of each other only: each length
+that occurs has a tree and a search of its own. Rows with the query's vec_id count as the query itself. Ties go to the smaller vec_id.
 Empty tables give empty results; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import functools
 import heapq
 
 import numpy as np
@@ -34,7 +35,9 @@ from loomseq.llm.lattice import matrix, plain, unit, usable
 SAMPLE_ROWS, SAMPLE_VALUES = 5_000, 4_000_000
 BRANCHES, LEAF_ROWS = 8, 40
 CALIBRATION, RECALL = 96, 0.95
-PART_ROWS, PART_QUERIES = 4096, 1024
+#: Numbers that a part of a leaf's rows, or of its queries, holds at most; queries are
+#: compared with a part TILE at a time.
+PART_VALUES, TILE = 1 << 19, 512
 #: Pairs of a query and a row whose vectors a task holds at a time.
 SLICE_PAIRS = 1 << 14
 
@@ -136,18 +139,21 @@ def _take_part(vectors: DataFrame, dim: int) -> DataFrame:
     return vectors.select(F.col("vec_id").cast("long"), plain(vectors).alias("embedding")).where(F.col("vec_id").isNotNull() & usable(F.col("embedding")) & (F.size("embedding") == dim))
 
 
-def fit(spark: SparkSession, vectors: DataFrame, rows: int = SAMPLE_ROWS, values: int = SAMPLE_VALUES) -> tuple[Tree | None, int]:
-    """The tree and the length of vectors, from a bounded sample of rows."""
+def lengths(vectors: DataFrame) -> list[int]:
+    """The lengths of vectors that take part, ascending."""
+    ok = vectors.where(F.col("vec_id").isNotNull() & usable(F.col("embedding")))
+    return sorted(r.d for r in ok.select(F.size("embedding").alias("d")).distinct().collect())
+
+
+def fit(spark: SparkSession, vectors: DataFrame, d: int, rows: int = SAMPLE_ROWS, values: int = SAMPLE_VALUES) -> Tree:
+    """The tree of the vectors of length d, from a bounded sample of rows."""
     ok = vectors.where(F.col("vec_id").isNotNull() & usable(F.col("embedding"))).select("vec_id", "embedding")
-    lengths = ok.groupBy(F.size("embedding").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
-    if not lengths:
-        return None, 0
-    d = lengths[0].d
     order = F.xxhash64("vec_id", F.lit(17))
     ids = ok.where(F.size("embedding") == d).select("vec_id", order.alias("h")).orderBy("h", "vec_id").limit(min(rows, max(1, values // d)))
     ids = materialise(spark, ids.select("vec_id").distinct(), "sample")
     x = matrix(_take_part(vectors, d).join(F.broadcast(ids), "vec_id").select("embedding").toArrow().column(0))
-    return Tree(unit(x)), d
+    discard(spark, ids)
+    return Tree(unit(x))
 
 
 def _index(tree: Tree):
@@ -208,9 +214,10 @@ def _search(k: int):
         units = unit(raw)
         for lo, hi in zip(starts.tolist(), ends.tolist(), strict=True):
             mid = lo + int((role[lo:hi] == 0).sum())
-            if lo < mid < hi:
-                q, r, s = _best(ids[lo:mid], units[lo:mid], raw[lo:mid], ids[mid:hi], units[mid:hi], raw[mid:hi], k)
-                out.append((ids[mid:hi][q], ids[lo:mid][r], s))
+            for at in range(mid, hi, TILE) if lo < mid else ():
+                to = min(hi, at + TILE)
+                q, r, s = _best(ids[lo:mid], units[lo:mid], raw[lo:mid], ids[at:to], units[at:to], raw[at:to], k)
+                out.append((ids[at:to][q], ids[lo:mid][r], s))
         if not out:
             return None
         return pa.table({n: pa.array(np.concatenate(c)) for n, c in zip(("query_id", "vec_id", "score"), zip(*out, strict=True), strict=True)})
@@ -221,10 +228,14 @@ def _search(k: int):
 def nearest(spark: SparkSession, vectors: DataFrame, queries: DataFrame, k: int = 5, recall: float = RECALL) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found of each of queries (vec_id,
     embedding) among vectors."""
-    kind = "query_id long, rank int, vec_id long, score double"
-    tree, d = fit(spark, vectors)
-    if tree is None:
-        return spark.createDataFrame([], kind)
+    found = [_nearest(spark, vectors, queries, d, k, recall) for d in lengths(vectors)]
+    if not found:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    return functools.reduce(DataFrame.unionAll, found)
+
+
+def _nearest(spark: SparkSession, vectors: DataFrame, queries: DataFrame, d: int, k: int, recall: float) -> DataFrame:
+    tree = fit(spark, vectors, d)
     kept = _take_part(vectors, d)
     numbers = kept.schema["embedding"].dataType.simpleString()
     index = materialise(spark, kept.mapInArrow(_index(tree), f"vec_id long, embedding {numbers}, leaf long"), "index")
@@ -232,8 +243,9 @@ def nearest(spark: SparkSession, vectors: DataFrame, queries: DataFrame, k: int
     limit = calibrate(spark, index, queries, tree, k, recall)
     walks = queries.mapInArrow(_visits(tree, limit), "vec_id long, leaves array<long>")
     visits = materialise(spark, walks.select("vec_id", F.explode("leaves").alias("leaf")), "visits")
-    sizes = index.groupBy("leaf").agg(F.ceil(F.count("*") / PART_ROWS).cast("int").alias("parts"))
-    asked = visits.groupBy("leaf").agg(F.ceil(F.count("*") / PART_QUERIES).cast("int").alias("q_parts"))
+    part = max(TILE, PART_VALUES // d)
+    sizes = index.groupBy("leaf").agg(F.ceil(F.count("*") / part).cast("int").alias("parts"))
+    asked = visits.groupBy("leaf").agg(F.ceil(F.count("*") / part).cast("int").alias("q_parts"))
     plan = materialise(spark, sizes.join(asked, "leaf"), "plan")
     deal = lambda n, salt: F.pmod(F.xxhash64("vec_id", F.lit(salt)), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
