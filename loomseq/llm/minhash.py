@@ -9,13 +9,15 @@ chosen so that a pair at the threshold is missed with probability 2e-4 at most.
 Candidates are confirmed on the full shingle sets. Documents with equal sets form a
 class, of which one member goes on. Within a bucket every member is first compared with
 one leader, the member that shares most buckets with others; only buckets whose members
-are then still in different components are compared pair by pair, in blocks (overlapping
-buckets together). No bucket,
-partner or candidate is capped, and no bucket is held in one task.
+are then still in different components are compared pair by pair, bucket by bucket, in
+blocks. Of buckets with the same members (the same number, sum and exclusive or of 64-bit
+hashes of them) one is compared. No bucket, partner or candidate is capped, and no bucket is
+held in one task.
 
 Documents without words (null, empty or blank text) are linked with nothing. Rows with
-equal doc_id count as one document; a null doc_id is linked with nothing. Ties go to the
-smaller doc_id. Empty tables give empty results; other columns are ignored.
+equal doc_id count as one document, which is linked with whatever the text of any of its rows
+is a near copy of; each row keeps its own n_shingles. A null doc_id is linked with nothing.
+Ties go to the smaller doc_id. Empty tables give empty results; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ from loomseq.llm.shingles import mix, set_list, shingle_sets
 
 ROWS = 3
 MISS = 1e-4
-GROUP, BLOCK, CHAIN = 128, 512, 20_000
+GROUP, BLOCK = 128, 512
 
 
 def collections(threshold: float, rows: int = ROWS, miss: float = MISS) -> int:
@@ -143,6 +145,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, width: int = 5, thresh
     m = collections(threshold, rows)
     sigs = materialise(spark, signatures(docs, width, m, rows), "sigs")
     some = sigs.where("n_shingles > 0 and doc_id is not null")
+    several = some.groupBy("doc_id").agg(F.min(F.struct("s1", "s2")).alias("lo"), F.max(F.struct("s1", "s2")).alias("hi"))
+    if not several.where("lo <> hi").isEmpty():
+        discard(spark, sigs)
+        return _by_rows(spark, docs, width, threshold, rows)
     classes = materialise(spark, some.groupBy("s1", "s2").agg(F.min("doc_id").alias("rep"), F.min_by("keys", "doc_id").alias("keys")), "classes")
 
     # Small hashes that two classes share, and from them the keys of the tables.
@@ -175,21 +181,16 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, width: int = 5, thresh
     placed = met.where("n > 2").join(comps.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", "n", F.coalesce("component_id", "rep").alias("comp"))
     placed = materialise(spark, placed, "placed")
     mixed = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
-    placed = materialise(spark, placed.join(materialise(spark, mixed.select("key"), "mixed"), "key").join(leaders, "key"), "open")
-    # Buckets that share members are compared as one group, so that no pair is compared
-    # in many tables; where such a group is very large, bucket by bucket.
-    chains = connected_components(spark, placed.select(F.col("rep").alias("a"), F.col("leader").alias("b")).distinct())
-    wide = materialise(spark, chains.groupBy("component_id").agg(F.count("*").alias("size")).where(F.col("size") <= CHAIN), "chains")
-    chains = materialise(spark, chains.join(wide, "component_id").select(F.col("node").alias("rep"), F.col("component_id").alias("chain"), "size"), "chained")
-    open_ = placed.join(chains, "rep", "left")
-    narrow = open_.where("chain is null").select("key", "rep", "comp", "n", F.lit(1).alias("kind"))
-    together = open_.where("chain is not null").select(F.col("chain").alias("key"), "rep", "comp", F.col("size").alias("n"), F.lit(0).alias("kind")).distinct()
-    rows_ = narrow.unionAll(together)
+    placed = materialise(spark, placed.join(materialise(spark, mixed.select("key"), "mixed"), "key"), "open")
+    # Copies of one family share many buckets: of buckets of equal members one is compared.
+    same = placed.groupBy("key").agg(F.count("*").alias("c"), F.sum(F.xxhash64("rep", F.lit(3)).cast("decimal(20,0)")).alias("s"), F.bit_xor(F.xxhash64("rep", F.lit(4))).alias("x"))
+    once = materialise(spark, same.groupBy("c", "s", "x").agg(F.min("key").alias("key")).select("key"), "once")
+    rows_ = placed.join(once, "key", "left_semi").select("key", "rep", "comp", "n")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("rep", F.lit(7)), blocks).cast("int")
-    rows_ = rows_.select("kind", "key", F.col("rep").alias("member"), "comp", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
-    cells = rows_.select("kind", "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "member", "comp")
-    rest = materialise(spark, sorted_groups(cells.join(text, "member"), ["kind", "key", "i", "j"], _compare(width, percent), "a long, b long", target_rows=512), "rest")
+    rows_ = rows_.select("key", F.col("rep").alias("member"), "comp", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+    cells = rows_.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "member", "comp")
+    rest = materialise(spark, sorted_groups(cells.join(text, "member"), ["key", "i", "j"], _compare(width, percent), "a long, b long", target_rows=512), "rest")
 
     final = comps
     if not rest.isEmpty():
@@ -199,7 +200,28 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, width: int = 5, thresh
     component = F.when(F.col("doc_id").isNotNull(), component)
     out = out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
     out = materialise(spark, out, "near-duplicates")
-    discard(spark, sigs, classes, sizes, met, weight, leaders, pairs, parts, text, star, comps, final, placed, rest)
+    discard(spark, sigs, classes, sizes, met, weight, leaders, pairs, parts, text, star, comps, final, placed, once, rest)
+    return out
+
+
+def _by_rows(spark: SparkSession, docs: DataFrame, width: int, threshold: float, rows: int) -> DataFrame:
+    """near_duplicates where some doc_id has rows of different texts: rows are compared under
+    ids of their own, and documents are joined by the components that their rows are in."""
+    placed = docs.select(F.col("doc_id").cast("long"), "text").withColumn("row", F.monotonically_increasing_id())
+    placed = materialise(spark, placed, "rows")
+    known = placed.where("doc_id is not null").select(F.col("row").alias("doc_id"), "text")
+    found = near_duplicates(spark, known, width, threshold, rows)
+    of_rows = found.select(F.col("doc_id").alias("row"), "n_shingles", F.col("component_id").alias("together"))
+    members = materialise(spark, placed.select("doc_id", "row").join(of_rows, "row"), "members")
+    first = members.groupBy("together").agg(F.min("doc_id").alias("first"))
+    joined = connected_components(spark, members.join(first, "together").select(F.col("doc_id").alias("a"), F.col("first").alias("b")).distinct())
+    out = members.select("doc_id", "n_shingles").join(joined.select(F.col("node").alias("doc_id"), "component_id"), "doc_id", "left")
+    out = out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    lone = signatures(placed.where("doc_id is null").select("doc_id", "text"), width, 2, rows)
+    out = out.unionAll(lone.select("doc_id", "n_shingles", F.lit(None).cast("long")))
+    out = out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    out = materialise(spark, out, "near-duplicates")
+    discard(spark, placed, found, members, joined)
     return out
 
 

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from loomseq.llm import runs, token_counts, whitening
+from loomseq.llm import ann, minhash, runs, token_counts, warc, whitening
 
 SF = "/root/testdata/sf0.001"
 DOC = "doc_id long, text string"
@@ -222,3 +222,97 @@ def test_blocks_and_splits_do_not_change_the_result(spark, monkeypatch):
     _, _, white, _ = plain_whitening(None, data.tolist(), 3)
     wide = np.array([got[i] for i in range(900)])
     assert np.abs(wide * np.sign((wide * white).sum(0)) - white).max() < 1e-9
+
+
+# Repeated ids and lengths in earlier operators
+
+
+def test_pages_fetched_twice_keep_every_payload(spark):
+    pages = [(5, "A" * 10), (5, "B" * 10), (9, "A" * 10), (5, "C"), (8, "C"), (9, "D"), (9, "D"), (None, "A" * 10), (3, "D")]
+    df = spark.createDataFrame([(i, "u", h, 1, "x") for i, h in pages], "page_id long, url string, html string, payload_digest int, mark string")
+    path = f"{spark.conf.get('spark.checkpoint.dir')}/warc-twice"
+    warc.write_warc(spark, df, path)
+    rows = warc.read_warc(spark, path).where("is_last").collect()
+    assert len(rows) == len(pages)
+    stored = {r.record_id: bytes(r.chunk).decode() for r in rows if r.record_type == "response"}
+    sha = lambda t: warc.base32(hashlib.sha1(t.encode()).digest())
+    got = sorted((r.record_id, r.record_type, r.declared_digest) for r in rows)
+    want = []
+    for i, html in pages:
+        top = max(j for j, h in pages if h == html and j is not None)
+        several = i is not None and len({h for j, h in pages if j == i}) > 1
+        kind = "revisit" if i is not None and i < top else "response"
+        want.append((f"<urn:page:{'null' if i is None else i}{':' + sha(html) if several else ''}>", kind, sha(html)))
+    assert got == sorted(want)
+    for r in rows:
+        text = stored[r.refers_to if r.record_type == "revisit" else r.record_id]
+        assert sha(text) == r.declared_digest
+    ids = spark.createDataFrame([(r.record_id,) for r in rows], "u string").select(warc.page_of(F.col("u")).alias("p")).collect()
+    assert sorted((x.p or 0) for x in ids) == sorted((i or 0) for i, _ in pages)
+
+
+def test_each_length_of_vectors_has_its_own_neighbours(spark, monkeypatch):
+    rng = np.random.default_rng(1)
+    rows = [(i, rng.normal(size=2 if i % 3 == 0 else 5).tolist()) for i in range(0, 400, 10)] + [(1000, [1.0, 2.0, 3.0])]
+    v = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumns({"leaf": F.lit(1), "role": F.lit("r"), "part": F.lit(None)})
+    monkeypatch.setattr(ann, "PART_VALUES", 8)
+    monkeypatch.setattr(ann, "TILE", 3)
+    got = {}
+    for r in ann.nearest(spark, v, v.where("vec_id % 50 = 0"), recall=1.0).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    want = {}
+    for q, x in rows:
+        if q % 50 == 0:
+            near = [(-np.dot(x, y) / np.linalg.norm(x) / np.linalg.norm(y), j) for j, y in rows if len(y) == len(x) and j != q]
+            if near:
+                want[q] = [j for _, j in sorted(near)[:5]]
+    assert got == want and 1000 not in got
+
+
+def plain_components(rows, width, percent):
+    """doc_id -> smallest doc_id reachable, by comparing all rows."""
+    sets = []
+    for _, text in rows:
+        w = (text or "").lower().split()
+        sets.append({" ".join(w[i : i + width]) for i in range(len(w) - width + 1)} if len(w) >= width else ({" ".join(w)} if w else set()))
+    root = {d: d for d, _ in rows if d is not None}
+
+    def find(d):
+        while root[d] != d:
+            d = root[d]
+        return d
+
+    for i, (a, _) in enumerate(rows):
+        for j, (b, _) in enumerate(rows[:i]):
+            if a is not None and b is not None and sets[i] and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j]):
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    return {d: find(d) for d in root}
+
+
+def test_repeated_ids_lose_no_link(spark):
+    rng = random.Random(11)
+    a, b, c = (" ".join(f"w{rng.randrange(500)}" for _ in range(40)) for _ in range(3))
+    rows = [(1, a), (1, b), (2, a + " z"), (3, b + " z"), (4, c), (4, c), (5, c + " y"), (6, "x"), (6, None), (7, "x"), (8, ""), (None, a), (9, "q r s t"), (9, "unlike all others here")]
+    df = spark.createDataFrame(rows, DOC).withColumns({"row": F.lit(1), "n_shingles": F.lit("z")})
+    for _ in range(2):
+        got = minhash.near_duplicates(spark, df.repartition(5), width=3, threshold=0.85).collect()
+        assert {r.doc_id: r.component_id for r in got if r.doc_id is not None} == plain_components(rows, 3, 85)
+        assert len(got) == len(rows) and all(r.kept == (r.doc_id == r.component_id) for r in got if r.doc_id is not None)
+        assert sorted(r.n_shingles for r in got if r.doc_id == 6) == [0, 1]
+        assert [(r.component_id, r.kept, r.n_shingles) for r in got if r.doc_id is None] == [(None, True, 38)]
+
+
+def test_buckets_of_several_families_lose_no_link(spark):
+    """Families of near copies that overlap in buckets, some of them below the threshold."""
+    rng = random.Random(13)
+    rows = []
+    for family in range(4):
+        base = [f"f{family}w{rng.randrange(300)}" for _ in range(80)]
+        for i in range(18):
+            w = list(base)
+            for k in rng.sample(range(80), rng.choice([1, 2, 3, 5])):
+                w[k] = f"y{family}_{i}_{k}"
+            rows.append((family * 100 + i, " ".join(w)))
+    got = minhash.near_duplicates(spark, spark.createDataFrame(rows, DOC), width=3, threshold=0.85).collect()
+    assert {r.doc_id: r.component_id for r in got} == plain_components(rows, 3, 85)
