@@ -16,8 +16,9 @@ so phrases cross runs, and their number is that of one walk over the whole text.
 
 Training rows are bounded: up to TRAIN_DOCS rows a language, in the order of a hash, those
 of over TRAIN_LENGTH characters last and the shortest of them first, until they hold
-TRAIN_LETTERS characters; a row is taken whole. Every language is learnt; beyond
-BLOCK_LANGUAGES they are parsed in blocks, one pass each, so a table's size is bounded.
+TRAIN_LETTERS characters; of a longer row that many. Every language is learnt. Tables are
+bounded: languages are parsed in blocks of BLOCK_BYTES bytes of tables, one pass each, and only
+the most frequent letters of a large alphabet have columns.
 Every whole text is predicted. Null text and text without letters is und, with score 0.
 Repeated rows are predicted alike; training on equal ids and texts is the same in any
 order. Empty tables give empty results; other columns are ignored.
@@ -34,7 +35,10 @@ from loomseq.llm.common import discard, materialise, stable_bucket, table, text_
 
 TRAIN_LETTERS = 30_000
 TRAIN_DOCS, TRAIN_LENGTH = 200, 10_000
-BLOCK_LANGUAGES = 64
+#: Languages that are fetched together, and bytes of the tables of a block of them.
+BLOCK_LANGUAGES, BLOCK_BYTES = 64, 160 << 20
+#: Letters with a column of their own: at most DENSE, of larger alphabets the FEW most frequent.
+DENSE, FEW = 64, 8
 STEP = 512
 SLICE = 2 << 20
 
@@ -111,34 +115,94 @@ def automaton(symbols: list[int]) -> list[dict[int, int]]:
     return move
 
 
+def table_bytes(stream: np.ndarray) -> int:
+    """Upper bound of the bytes of a language's tables."""
+    return (2 * len(stream) + 2) * (dense_letters(len(np.unique(stream))) + 1) * 4 + 3 * len(stream) * 12
+
+
+def dense_letters(alphabet: int) -> int:
+    """Letters of a language that have a column of their own: all of a small alphabet, the most
+    frequent ones of a large one."""
+    return alphabet if alphabet <= DENSE else FEW
+
+
 class Parser:
-    """Transition tables of all languages in one array."""
+    """Transitions of all languages. A language's most frequent letters have columns in a table
+    of its states, a further column stands for letters that it does not have; transitions by
+    its other letters are sorted pairs of state and letter, found by binary search."""
 
     def __init__(self, samples: dict[str, list[str]]):
         self.languages = sorted(samples)
         streams = [letters([" ".join([*samples[lang], ""])])[0] for lang in self.languages]
         self.alphabet = np.unique(np.concatenate([[0], *streams]))
-        width = len(self.alphabet) + 1  # the last column: letters that no language has
-        parts, self.between, base = [], [], 0
-        for s in streams:
-            move = automaton(np.searchsorted(self.alphabet, s).tolist())
-            t = np.full((len(move) + 1, width), -1, dtype=np.int64)
-            for state, row in enumerate(move):
-                for c, to in row.items():
-                    t[state, c] = to
+        strange = len(self.alphabet)  # the place of letters that no language has
+        parts, keys, values, restart = [], [], [], []
+        self.between, self.row, self.width = [], [], []
+        self.code = np.zeros((len(streams), strange + 1), dtype=np.int32)
+        base = size = 0
+        for k, s in enumerate(streams):
+            found, count = np.unique(s, return_counts=True)
+            found = found[np.argsort(-count, kind="stable")]
+            rank = {c: i for i, c in enumerate(found.tolist())}
+            move = automaton([rank[c] for c in s.tolist()])
+            dense = dense_letters(len(found))
             # Between phrases, and where a phrase cannot go on, a letter begins the next one;
             # after a letter that does not occur at all the place is between phrases again.
-            begin = np.where(t[0] >= 0, t[0], len(move))
-            full = np.where(t >= 0, 2 * (t + base), 2 * (begin[None, :] + base) + 1)
-            parts.append(full.astype(np.int32))
-            self.between.append(base + len(move))
-            base += len(move) + 1
-        self.table = np.concatenate(parts).ravel() if parts else np.zeros(0, np.int32)
-        self.width = width
+            between = base + len(move)
+            begin = np.array([2 * (base + move[0][i]) + 1 for i in range(len(found))] or [0], dtype=np.int32)
+            t = np.empty((len(move) + 1, dense + 1), dtype=np.int32)
+            t[:, :dense], t[:, dense] = begin[:dense], 2 * between + 1
+            far = []
+            for state, row in enumerate(move):
+                for c, to in row.items():
+                    if c < dense:
+                        t[state, c] = 2 * (to + base)
+                    else:
+                        far.append((state + base, c, 2 * (to + base)))
+            parts.append(t.ravel())
+            if far:
+                x = np.array(far, dtype=np.int64)
+                keys.append(x[:, 0] << 20 | x[:, 1])
+                values.append(x[:, 2].astype(np.int32))
+            self.row.append(size - base * (dense + 1))
+            self.width.append(dense + 1)
+            size += t.size
+            self.between.append(between)
+            restart.append(begin)
+            base = between + 1
+            # Letters with a column have its number, those without theirs plus one.
+            code = np.full(strange + 1, dense, dtype=np.int32)
+            order = np.arange(len(found), dtype=np.int32)
+            code[np.searchsorted(self.alphabet, found)] = order + (order >= dense)
+            self.code[k] = code
+        join = lambda x, kind: np.concatenate(x) if x else np.zeros(0, kind)
+        self.table = join(parts, np.int32)
+        self.keys, self.values = join(keys, np.int64), join(values, np.int32)
+        order = np.argsort(self.keys, kind="stable")
+        self.keys, self.values = self.keys[order], self.values[order]
+        self.restart = join(restart, np.int32)
+        self.restart_row = np.cumsum([0, *[len(x) for x in restart]])[:-1]
+        self.row, self.width = np.array(self.row, dtype=np.int64), np.array(self.width, dtype=np.int64)
         self.scale = np.log2(np.array([max(2, len(s)) for s in streams])) if streams else np.zeros(0)
 
+    def step(self, lang: np.ndarray, state: np.ndarray, code: np.ndarray) -> np.ndarray:
+        """2 * next state, + 1 where the letter begins a phrase; lang broadcasts over state
+        (2 * state + flag) and code."""
+        width = self.width[lang]
+        if not len(self.keys):
+            return self.table[self.row[lang] + (state >> 1) * width + code]
+        out = self.table[self.row[lang] + (state >> 1) * width + np.minimum(code, width - 1)]
+        far = code >= width
+        if far.any():
+            lang = np.broadcast_to(lang, code.shape)[far]
+            letter = code[far].astype(np.int64) - 1
+            key = (state[far].astype(np.int64) >> 1) << 20 | letter
+            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            out[far] = np.where(self.keys[at] == key, self.values[at], self.restart[self.restart_row[lang] + letter])
+        return out
+
     def phrases(self, c: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """[text, language] numbers of phrases; c are columns of the table, text i those
+        """[text, language] numbers of phrases; c[language] are codes of letters, text i those
         from starts[i] to starts[i + 1]."""
         size = np.diff(starts)
         runs = -(-size // STEP)
@@ -155,10 +219,11 @@ class Parser:
         n, m = len(begin), len(self.languages)
         state = np.tile(2 * np.array(self.between, dtype=np.int32)[:, None], (1, n))
         flags = np.zeros((int(length[0]) if n else 0, m, n), dtype=bool)
+        every = np.arange(m)[:, None]
         alive = np.searchsorted(-length, -np.arange(1, STEP + 1), side="right")
         for step in range(len(flags)):
             live = alive[step]
-            s = self.table[(state[:, :live] >> 1) * self.width + c[begin[:live] + step]]
+            s = self.step(every, state[:, :live], c[:, begin[:live] + step])
             state[:, :live] = s
             flags[step, :, :live] = s & 1
         lang, run = np.nonzero(np.broadcast_to(after >= 0, (m, n)))
@@ -171,7 +236,7 @@ class Parser:
                 if not len(todo):
                     break
                 i, r = into[todo], lang[todo]
-                s[todo] = self.table[(s[todo] >> 1) * self.width + c[begin[i] + step]]
+                s[todo] = self.step(r, s[todo], c[r, begin[i] + step])
                 new, old = (s[todo] & 1).astype(bool), flags[step, r, i]
                 flags[step, r, i] = new
                 agreed[todo[new & old]] = True
@@ -192,7 +257,7 @@ class Parser:
         symbols, starts = letters(texts)
         c = np.searchsorted(self.alphabet, symbols)
         c[c == len(self.alphabet)] = 0
-        c = np.where(self.alphabet[c] == symbols, c, self.width - 1).astype(np.int32)
+        c = self.code[:, np.where(self.alphabet[c] == symbols, c, len(self.alphabet))]
         size = np.diff(starts)
         return self.phrases(c, starts) * self.scale / np.maximum(size, 1)[:, None], size
 
@@ -229,11 +294,18 @@ def fit(spark: SparkSession, docs: DataFrame, train_docs: int = TRAIN_DOCS, trai
     blocks: list[dict[str, list[str]]] = []
     for lo in range(0, len(langs), BLOCK_LANGUAGES):
         part = ids.where(F.col("lang").isin(langs[lo : lo + BLOCK_LANGUAGES])).dropDuplicates(["lang", "h"])
-        rows = keyed.join(F.broadcast(part.select("lang", "h", "k")), ["lang", "h"]).dropDuplicates(["lang", "h"]).select("lang", "k", "text").collect()
+        rows = keyed.join(F.broadcast(part.select("lang", "h", "k")), ["lang", "h"]).dropDuplicates(["lang", "h"]).select("lang", "k", F.substring("text", 1, train_letters).alias("text")).collect()
         samples: dict[str, list[str]] = {}
         for r in sorted(rows, key=lambda r: (r.lang, r.k)):
             samples.setdefault(r.lang, []).append(r.text)
-        blocks.append(samples)
+        room = 0
+        for lang in sorted(samples):
+            need = table_bytes(letters([" ".join([*samples[lang], ""])])[0])
+            if need > room:
+                blocks.append({})
+                room = BLOCK_BYTES
+            blocks[-1][lang] = samples[lang]
+            room -= need
     return Blocks(blocks) if len(blocks) > 1 else Parser(blocks[0] if blocks else {})
 
 

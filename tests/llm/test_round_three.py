@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from loomseq.llm import ann, minhash, runs, token_counts, warc, whitening
+from loomseq.llm import ann, langid, minhash, runs, token_counts, warc, whitening
 
 SF = "/root/testdata/sf0.001"
 DOC = "doc_id long, text string"
@@ -316,3 +316,44 @@ def test_buckets_of_several_families_lose_no_link(spark):
             rows.append((family * 100 + i, " ".join(w)))
     got = minhash.near_duplicates(spark, spark.createDataFrame(rows, DOC), width=3, threshold=0.85).collect()
     assert {r.doc_id: r.component_id for r in got} == plain_components(rows, 3, 85)
+
+
+# Languages of large alphabets
+
+
+def plain_phrases(sample, text):
+    """Numbers of longest matches of text in sample, one after the other; a letter that does not
+    occur is a phrase of its own."""
+    n = at = 0
+    while at < len(text):
+        size = 0
+        while at + size < len(text) and text[at : at + size + 1] in sample:
+            size += 1
+        at += max(size, 1)
+        n += 1
+    return n
+
+
+def test_large_alphabets_are_parsed_as_plainly(monkeypatch):
+    rng = random.Random(17)
+    samples = {f"l{k:02d}": ["".join(chr(0x4E00 + k * 40 + int(rng.random() ** 2 * 900)) for _ in range(700))] for k in range(5)} | {"small": ["abc abd bca " * 20]}
+    parser = langid.Parser(samples)
+    assert len(parser.keys) > 1000
+    texts = ["".join(rng.choice(samples[f"l{k % 5:02d}"][0]) for _ in range(rng.choice([1, 30, 1500]))) + "abc" * (k % 2) for k in range(30)] + ["", "...", "zzz\U00020000"]
+    h, size = parser.entropies(texts)
+    for i, text in enumerate(texts):
+        symbols = langid.letters([text])[0].tolist()
+        assert size[i] == len(symbols)
+        for j, lang in enumerate(parser.languages):
+            sample = "".join(map(chr, langid.letters([samples[lang][0] + " "])[0].tolist()))
+            want = plain_phrases(sample, "".join(map(chr, symbols))) * parser.scale[j] / max(1, len(symbols))
+            assert h[i, j] == pytest.approx(want)
+
+
+def test_sixty_four_large_alphabets_stay_small():
+    rng = random.Random(19)
+    streams = {f"l{k:02d}": ["".join(chr(0x4E00 + rng.randrange(3000) + k * 100) for _ in range(6000))] for k in range(64)}
+    parser = langid.Parser(streams)
+    used = sum(x.nbytes for x in (parser.table, parser.keys, parser.values, parser.restart, parser.code))
+    dense = sum(2 * 6000 * len(set(t[0])) * 4 for t in streams.values())
+    assert used < 200 << 20 and used < dense / 20
