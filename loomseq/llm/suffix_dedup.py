@@ -11,11 +11,13 @@ same offset, and a window belongs to exactly one place. A suffix is stored by it
 gram units; suffixes that agree so far are one entry, with their number. The array of a new batch is merge-scanned against the
 array of every level for common prefixes; then it becomes a level of its own, and as long
 as the two youngest levels stand for equally many batches they are merged into one.
-Arrays are tables in buckets, sorted by letters in each, so neither a scan nor a merge
-shuffles anything, and a prefix occurs once in an array, so none is hot. The tables carry
-the index's name: an index of the same name goes on where another left off.
+Arrays are tables in buckets, sorted by letters in each (words by 16 bits of each code), so
+neither a scan nor a merge shuffles anything, and a prefix occurs once in an array, so none is
+hot. Beyond its prefix a suffix has no order in a level; matches of whole windows are found by
+the verification. The tables carry the index's name: an index of the same name goes on where
+another left off, as long as the session's catalog knows the tables.
 
-Verification is exact for every unit, and pairs are never listed. The windows of one
+Verification covers every unit by 64-bit hashes of strings, and pairs are never listed. The windows of one
 place form an interval; two hashes describe each interval, that of the units which all
 its windows share (core) and that of the units which any of them covers (hull). An
 interval whose hull occurs twice is repeated throughout; one whose core occurs once
@@ -196,6 +198,8 @@ class RepeatIndex:
     merge. add() takes a batch, spans() tells what repeats among all texts so far."""
 
     def __init__(self, spark: SparkSession, window: int = WINDOW, gram: int = GRAM, words: bool = False, name: str | None = None):
+        if not 0 < gram <= window or window - gram >= 1 << 10:
+            raise ValueError(f"a window must be 0 to {(1 << 10) - 1} units longer than its gram: {window}, {gram}")
         self.spark, self.window, self.gram, self.words = spark, window, gram, words
         self.name = name or f"loomseq_index_{uuid.uuid4().hex}"
         self.piece = max(2, (window - gram) // 9)
