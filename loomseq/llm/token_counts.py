@@ -8,8 +8,8 @@ of the shorter prefix: so
 
 for the one token t that ends at i and that BPE leaves apart from last[i - len(t)]. Whether
 BPE leaves two tokens apart depends on these two alone, is found by merging their bytes, and
-is remembered. Candidates for t are found by walking back from i through the set of all
-suffixes of tokens. One pass over a word gives the counts of all its prefixes.
+is remembered. The tokens that end at each i are found by one automaton of all tokens. One pass
+over a word gives the counts of all its prefixes.
 
 counts[p], for p from 0 to the text's length in code points, is the number of tokens of the
 text cut after p code points, exactly as if that prefix were encoded on its own. Where a cut
@@ -42,7 +42,7 @@ TOKENIZER = "byte_bpe_50k"
 LIMIT = 512
 SLICE_BYTES = 1 << 20
 #: Entries that a worker remembers at most; a full memory is emptied.
-MOST_WORDS, MOST_PAIRS, LONG_WORD = 250_000, 400_000, 48
+MOST_WORDS, MOST_PAIRS, LONG_WORD = 300_000, 600_000, 48
 
 #: Outside these characters versions of Unicode may differ, so the library splits the text.
 _UNUSUAL = re.compile("[^\x00-\x7f¡-ɏ‐-‧€]|[\x0b\x0c\x1c-\x1f]")
@@ -62,6 +62,7 @@ class PrefixCounter:
     """counts(text) for one vocabulary file of tokenizers (byte-level BPE)."""
 
     def __init__(self, path: str, pattern: str):
+        import ahocorasick
         import regex
         from tokenizers import Tokenizer
 
@@ -70,9 +71,11 @@ class PrefixCounter:
         letters = byte_letters()
         raw = lambda s: bytes(letters[c] for c in s)
         self.tokens = [raw(t) for t in spec["model"]["vocab"]]
-        #: Every suffix of a token, with the token's number or -1 where it is none.
-        self.node = {t[i:]: -1 for t in self.tokens for i in range(1, len(t))}
-        self.node.update((t, i) for i, t in enumerate(self.tokens))
+        find = ahocorasick.Automaton()
+        for i, t in enumerate(self.tokens):
+            find.add_word(t.decode("latin-1"), (len(t), i))
+        find.make_automaton()
+        self.find = find.iter
         pairs = (m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"])
         self.ranks = {(raw(a), raw(b)): i for i, (a, b) in enumerate(pairs)}
         special = [t["content"] for t in spec["added_tokens"]]
@@ -82,49 +85,49 @@ class PrefixCounter:
         self.known: dict[str, bytes] = {}
         self.apart: dict[int, bool] = {}
 
-    def merged(self, data: bytes) -> list[bytes]:
-        """BPE by its definition: the pair of lowest rank merges first, the leftmost of equals."""
-        parts = [data[i : i + 1] for i in range(len(data))]
-        ranks, never = self.ranks, len(self.ranks)
-        while len(parts) > 1:
-            rank, i = min((ranks.get(p, never), i) for i, p in enumerate(zip(parts, parts[1:], strict=False)))
-            if rank == never:
-                break
-            parts[i : i + 2] = [parts[i] + parts[i + 1]]
-        return parts
-
     def stay_apart(self, a: int, b: int) -> bool:
-        """Whether BPE leaves token b apart after token a (after nothing: a is the number of
-        tokens)."""
+        """Whether BPE leaves token b whole and apart after token a (after nothing: a is the
+        number of tokens). By its definition: the pair of lowest rank merges first, the
+        leftmost of equals; no merge may cross the border of the two."""
         if len(self.apart) >= MOST_PAIRS:
             self.apart.clear()
-        before, t = self.tokens[a : a + 1], self.tokens[b]
-        found = self.apart[a << 20 | b] = self.merged(b"".join(before) + t) == [*before, t]
+        before, data = b"".join(self.tokens[a : a + 1]), self.tokens[b]
+        border, data = len(before), before + data
+        parts = [data[i : i + 1] for i in range(len(data))]
+        rank, never = self.ranks.get, len(self.ranks)
+        ranks = [rank(p, never) for p in zip(parts, parts[1:], strict=False)]
+        crossed = False
+        while ranks and not crossed:
+            lowest = min(ranks)
+            if lowest == never:
+                break
+            i = ranks.index(lowest)
+            crossed = i + 1 == border
+            border -= i + 1 < border
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            del ranks[i]
+            if i:
+                ranks[i - 1] = rank((parts[i - 1], parts[i]), never)
+            if i < len(ranks):
+                ranks[i] = rank((parts[i], parts[i + 1]), never)
+        found = self.apart[a << 20 | b] = not crossed and len(parts) == (2 if before else 1)
         return found
 
     def chain(self, data: bytes) -> list[int]:
         """Token counts of the prefixes of one word, by number of bytes."""
-        node, apart = self.node.get, self.apart
+        apart = self.apart.get
         count, last = [0] * (len(data) + 1), [len(self.tokens)] * (len(data) + 1)
-        for i in range(1, len(data) + 1):
-            ending = []
-            j = i - 1
-            while j >= 0:
-                t = node(data[j:i])
-                if t is None:
-                    break
-                if t >= 0:
-                    ending.append((j, t))
-                j -= 1
-            for j, t in reversed(ending):
-                ok = apart.get(last[j] << 20 | t)
-                if ok is None:
-                    ok = self.stay_apart(last[j], t)
-                if ok:
+        # The tokens that end at each byte, the longest of a byte first.
+        for end, (size, t) in self.find(data.decode("latin-1")):
+            i = end + 1
+            if not count[i]:
+                j = i - size
+                pair = last[j] << 20 | t
+                ok = apart(pair)
+                if ok or ok is None and self.stay_apart(last[j], t):
                     count[i], last[i] = count[j] + 1, t
-                    break
-            else:
-                raise ValueError(f"no token ends byte {i} of {data!r}")
+        if 0 in count[1:]:
+            raise ValueError(f"no token ends byte {count.index(0, 1)} of {data!r}")
         return count
 
     def word(self, w: str) -> bytes:
