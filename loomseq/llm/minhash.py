@@ -9,9 +9,8 @@ chosen so that a pair at the threshold is missed with probability 2e-4 at most.
 Candidates are confirmed on the full shingle sets. Documents with equal sets form a
 class, of which one member goes on. Within a bucket every member is first compared with
 one leader, the member that shares most buckets with others; only buckets whose members
-are then still in different components are compared pair by pair, bucket by bucket, in
-blocks. Of buckets with the same members (the same number, sum and exclusive or of 64-bit
-hashes of them) one is compared. No bucket, partner or candidate is capped, and no bucket is
+are then still in different components are compared pair by pair, in blocks: two blocks once,
+if any bucket has members in both. No bucket, partner or candidate is capped, and no bucket is
 held in one task.
 
 Documents without words (null, empty or blank text) are linked with nothing. Rows with
@@ -182,15 +181,22 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, width: int = 5, thresh
     placed = materialise(spark, placed, "placed")
     mixed = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
     placed = materialise(spark, placed.join(materialise(spark, mixed.select("key"), "mixed"), "key"), "open")
-    # Copies of one family share many buckets: of buckets of equal members one is compared.
-    same = placed.groupBy("key").agg(F.count("*").alias("c"), F.sum(F.xxhash64("rep", F.lit(3)).cast("decimal(20,0)")).alias("s"), F.bit_xor(F.xxhash64("rep", F.lit(4))).alias("x"))
-    once = materialise(spark, same.groupBy("c", "s", "x").agg(F.min("key").alias("key")).select("key"), "once")
-    rows_ = placed.join(once, "key", "left_semi").select("key", "rep", "comp", "n")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("rep", F.lit(7)), blocks).cast("int")
-    rows_ = rows_.select("key", F.col("rep").alias("member"), "comp", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
-    cells = rows_.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "member", "comp")
-    rest = materialise(spark, sorted_groups(cells.join(text, "member"), ["key", "i", "j"], _compare(width, percent), "a long, b long", target_rows=512), "rest")
+    # Buckets that share members form a chain, whose members are dealt into blocks. Two blocks
+    # are compared, once, if some bucket has members in both; so no pair of blocks is compared
+    # in several buckets, at any size of a chain.
+    links = placed.groupBy("key").agg(F.min("rep").alias("b")).join(placed.select("key", F.col("rep").alias("a")), "key").select("a", "b").distinct()
+    chains = connected_components(spark, links)
+    counted = materialise(spark, chains.groupBy("component_id").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "chains")
+    own = F.pmod(F.xxhash64("node", F.lit(7)), F.col("blocks")).cast("int")
+    dealt = materialise(spark, chains.join(counted, "component_id").select(F.col("node").alias("rep"), F.col("component_id").alias("chain"), own.alias("own")), "dealt")
+    members = materialise(spark, placed.select("key", "rep", "comp").join(dealt, "rep"), "members")
+    sets = members.groupBy("key", "chain").agg(F.array_sort(F.collect_set("own")).alias("blocks")).select("chain", "blocks").distinct()
+    pair = F.transform(F.col("blocks"), lambda x: F.transform(F.filter("blocks", lambda y: y >= x), lambda y: F.struct(x.alias("i"), y.alias("j"))))
+    pairs_ = materialise(spark, sets.select("chain", F.explode(F.flatten(pair)).alias("p")).select("chain", "p.*").distinct(), "block-pairs")
+    rows_ = members.select("chain", "own", F.col("rep").alias("member"), "comp").distinct()
+    sides = pairs_.select("chain", "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("own"))
+    cells = rows_.join(sides, ["chain", "own"]).select("chain", "i", "j", "member", "comp")
+    rest = materialise(spark, sorted_groups(cells.join(text, "member"), ["chain", "i", "j"], _compare(width, percent), "a long, b long", target_rows=512), "rest")
 
     final = comps
     if not rest.isEmpty():
@@ -200,7 +206,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, width: int = 5, thresh
     component = F.when(F.col("doc_id").isNotNull(), component)
     out = out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
     out = materialise(spark, out, "near-duplicates")
-    discard(spark, sigs, classes, sizes, met, weight, leaders, pairs, parts, text, star, comps, final, placed, once, rest)
+    discard(spark, sigs, classes, sizes, met, weight, leaders, pairs, parts, text, star, comps, final, placed, chains, counted, dealt, members, pairs_, rest)
     return out
 
 
