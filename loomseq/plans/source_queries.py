@@ -238,7 +238,7 @@ def s14(spark, sf_dir):
 @query("s16_allele_sequences", "SELECT 'A*' || lpad((p_size % 90)::VARCHAR, 2, '0') || ':01' AS allele, arg_min('S' || replace(p_type, ' ', ''), p_partkey) AS sequence FROM part GROUP BY p_size % 90")
 def s16_fasta(spark, sf_dir):
     path = shared_path(spark, "alleles")
-    p = table(spark, sf_dir, "part").coalesce(1).sortWithinPartitions("p_partkey")
+    p = table(spark, sf_dir, "part").repartitionByRange(8, "p_partkey").sortWithinPartitions("p_partkey")
     name = F.concat(F.lit("A*"), F.lpad((F.col("p_size") % 90).cast("string"), 2, "0"), F.lit(":01:"), F.lpad((F.col("p_partkey") % 90).cast("string"), 2, "0"))
     sinks.write_fasta(p, path, F.concat(F.lit("HLA:"), "p_partkey"), F.concat(name, F.lit(" 181 bp")), F.concat(F.lit("S"), F.replace("p_type", F.lit(" "), F.lit(""))))
     return sources.allele_sequences(spark, path)

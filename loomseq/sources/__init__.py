@@ -196,7 +196,7 @@ def interval_overlaps(spark: SparkSession, path: str) -> DataFrame:
 def allele_sequences(spark: SparkSession, path: str) -> DataFrame:
     """allele (two fields), sequence of an HLA FASTA whose descriptions name the allele; of
     several records of an allele the first of the file is kept."""
-    order = F.struct(F.input_file_name(), F.monotonically_increasing_id())
+    order = F.struct(F.input_file_name(), F.expr("input_file_block_start()"), F.monotonically_increasing_id())
     f = fasta(spark, path).withColumn("__order", order).where("description <> ''")
     name = hla_two_field(F.regexp_extract("description", r"^(\S+)", 1))
     return f.withColumn("allele", name).groupBy("allele").agg(F.min_by("sequence", "__order").alias("sequence"))
