@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomseq.functions.text import six_digits
@@ -35,29 +35,33 @@ def kept_records(records: DataFrame, kept: DataFrame, key: str) -> DataFrame:
 
 
 def publish(df: DataFrame, path: str, key: list[str], **rules: Column) -> DataFrame:
-    """Write df as Parquet to path only if no row breaks a rule, and read it back. Violations
-    are counted by the pass that writes, to a folder beside path, so there is no second scan;
-    where there are none the folder gets its name, else it is deleted and an error names the
-    rules, how many rows break each and the first keys. A rule that is null for a row counts as
-    broken. path must not exist yet."""
+    """Write df as Parquet to path only if no row breaks a rule, and read it back. The pass that
+    writes, to a folder beside path, puts rows that break a rule apart, so there is no second
+    scan; where there are none the folder of the others gets its name, else all is deleted and
+    an error names the rules, how many rows break each and the first keys, read from the broken
+    rows alone. A rule that is null for a row counts as broken. path must not exist yet."""
     spark = df.sparkSession
     staging = f"{path}.staging-{uuid.uuid4().hex}"
     broken = {name: F.coalesce(rule, F.lit(True)) for name, rule in rules.items()}
-    watch = Observation()
-    watched = df.observe(watch, *[F.count_if(rule).alias(name) for name, rule in broken.items()]) if broken else df
     place = lambda p: spark._jvm.org.apache.hadoop.fs.Path(p)
     files = place(path).getFileSystem(spark._jsc.hadoopConfiguration())
     if files.exists(place(path)):
         raise ValueError(f"{path} exists")
+    some = F.lit(False)
+    for rule in broken.values():
+        some = some | rule
+    bad, good = (f"{staging}/__broken={side}" for side in ("true", "false"))
     try:
-        watched.write.parquet(staging)
-        counts = {k: v for k, v in (watch.get if broken else {}).items() if v}
-        if counts:
-            rows = spark.read.schema(df.schema).parquet(staging)
-            first = {k: [r[0] for r in rows.where(broken[k]).select(F.concat_ws(":", *key).alias("k")).orderBy("k").limit(5).collect()] for k in counts}
-            raise ValueError(f"not published, rules broken by rows: {counts}; first keys: {first}")
-        if not files.rename(place(staging), place(path)):
-            raise OSError(f"cannot move {staging} to {path}")
+        df.withColumn("__broken", some).write.partitionBy("__broken").parquet(staging)
+        if files.exists(place(bad)):
+            rows = spark.read.schema(df.schema).parquet(bad)
+            counts = rows.agg(*[F.count_if(rule).alias(name) for name, rule in broken.items()]).first().asDict()
+            first = {k: [r[0] for r in rows.where(broken[k]).select(F.concat_ws(":", *key).alias("k")).orderBy("k").limit(5).collect()] for k, n in counts.items() if n}
+            raise ValueError(f"not published, rules broken by rows: { {k: n for k, n in counts.items() if n} }; first keys: {first}")
+        if not files.exists(place(good)):
+            spark.createDataFrame([], df.schema).write.parquet(path)
+        elif not files.rename(place(good), place(path)):
+            raise OSError(f"cannot move {good} to {path}")
     finally:
         files.delete(place(staging), True)
     return spark.read.schema(df.schema).parquet(path)
