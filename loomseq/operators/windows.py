@@ -131,13 +131,23 @@ def refill(df: DataFrame, group: list[str], order: list[Column | str], cap: int,
 
 def merge_intervals(df: DataFrame, group: list[str], start: str, end: str) -> DataFrame:
     """Union of the half-open intervals of each group; intervals that touch join. Islands
-    are numbered from 1 by position. Rows with a null end are left out."""
-    order = [start, end]
-    rows = in_ranges(df.select(*group, start, end).where(F.col(start).isNotNull() & F.col(end).isNotNull()), group, order)
-    reach = running(rows, group, order, F.col(end), "__reach", F.max, F.lit(None))
-    marked = reach.withColumn("__new", F.coalesce(F.col(start) > F.col("__reach"), F.lit(True)).cast("int"))
-    numbered = running(marked, group, order, F.col("__new"), "__islands").withColumn("island", F.col("__islands") + F.col("__new"))
-    return numbered.groupBy(*group, "island").agg(F.min(start).alias(start), F.max(end).alias(end), F.count("*").alias("n_merged"))
+    are numbered from 1 by position. Rows with a null end are left out. Rows are sorted once, in
+    ranges: each range merges its own intervals, and of the islands left those that start behind
+    the reach of all earlier ranges are new, the others go on with the last of them."""
+    known = F.col(start).isNotNull() & F.col(end).isNotNull()
+    rows = in_ranges(df.select(*group, start, end).where(known), group, [start, end])
+    keys = [*group, "__part"]
+    own = Window.partitionBy(*keys).orderBy(start, end, "__row")
+    reach = F.max(end).over(own.rowsBetween(Window.unboundedPreceding, -1))
+    marked = rows.withColumn("__new", F.coalesce(F.col(start) > reach, F.lit(True)).cast("bigint"))
+    numbered = marked.withColumn("__nth", F.sum("__new").over(own.rowsBetween(Window.unboundedPreceding, 0)))
+    local = numbered.groupBy(*keys, F.col("__nth").alias("__row")).agg(F.min(start).alias(start), F.max(end).alias(end), F.count("*").alias("n_merged"))
+    local = stored(df.sparkSession, local, "islands")
+    earlier = Window.partitionBy(*group).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = local.groupBy(*keys).agg(F.max(end).alias("__end")).select(*keys, F.max("__end").over(earlier).alias("__reach"))
+    opened = F.coalesce(F.col(start) > F.col("__reach"), F.lit(True)).cast("bigint")
+    islands = running_sums(beside(local, carried, keys), group, [start], {"island": opened})
+    return islands.groupBy(*group, "island").agg(F.min(start).alias(start), F.max(end).alias(end), F.sum("n_merged").alias("n_merged"))
 
 
 def running_offset(df: DataFrame, group: list[str], order: list[Column | str], length: str, out: str = "offset") -> DataFrame:

@@ -180,9 +180,9 @@ def a20(spark, sf_dir):
     return m.select("lang", "n_pos", "n_neg", F.round("auroc", 9).alias("auroc"), F.round("average_precision", 9).alias("average_precision"))
 
 
-@query("a21_grouped_metrics", f"SELECT coalesce(lang, '*') AS lang, coalesce(source, '*') AS source, count(*) AS n, count(*) FILTER (toxic = 1) AS n_pos, round(avg(score), 9) AS mean_score FROM {LABELLED} GROUP BY GROUPING SETS ((lang), (source)) HAVING count(*) >= 2")
+@query("a21_grouped_metrics", f"SELECT CASE WHEN grouping(lang) = 0 THEN lang ELSE '*' END AS lang, CASE WHEN grouping(source) = 0 THEN source ELSE '*' END AS source, count(*) AS n, count(*) FILTER (toxic = 1) AS n_pos, round(avg(score), 9) AS mean_score FROM {LABELLED} GROUP BY GROUPING SETS ((lang), (source)) HAVING count(*) >= 2")
 def a21(spark, sf_dir):
-    return spark.sql("SELECT coalesce(lang, '*') AS lang, coalesce(source, '*') AS source, count(*) AS n, count_if(toxic = 1) AS n_pos, round(avg(score), 9) AS mean_score FROM {rows} GROUP BY GROUPING SETS ((lang), (source)) HAVING count(*) >= 2", rows=labelled(spark, sf_dir))
+    return spark.sql("SELECT CASE WHEN grouping(lang) = 0 THEN lang ELSE '*' END AS lang, CASE WHEN grouping(source) = 0 THEN source ELSE '*' END AS source, count(*) AS n, count_if(toxic = 1) AS n_pos, round(avg(score), 9) AS mean_score FROM {rows} GROUP BY GROUPING SETS ((lang), (source)) HAVING count(*) >= 2", rows=labelled(spark, sf_dir))
 
 
 def _unit_sql(key, seed):
@@ -284,9 +284,9 @@ def a28(spark, sf_dir):
     return l.join(n, "l_partkey").select("l_orderkey", "l_linenumber", "l_suppkey", "n_support")
 
 
-@query("a29_split_summary", f"SELECT coalesce(toxic::VARCHAR, '*') AS label, coalesce(source, '*') AS source, count(*) AS n_rows, count(DISTINCT score) AS n_scores FROM {LABELLED} GROUP BY GROUPING SETS ((toxic), (source), ())")
+@query("a29_split_summary", f"SELECT CASE WHEN grouping(toxic) = 0 THEN toxic::VARCHAR ELSE '*' END AS label, CASE WHEN grouping(source) = 0 THEN source ELSE '*' END AS source, count(*) AS n_rows, count(DISTINCT score) AS n_scores FROM {LABELLED} GROUP BY GROUPING SETS ((toxic), (source), ())")
 def a29(spark, sf_dir):
-    return spark.sql("SELECT coalesce(cast(toxic AS string), '*') AS label, coalesce(source, '*') AS source, count(*) AS n_rows, count(DISTINCT score) AS n_scores FROM {rows} GROUP BY GROUPING SETS ((toxic), (source), ())", rows=labelled(spark, sf_dir))
+    return spark.sql("SELECT CASE WHEN grouping(toxic) = 0 THEN cast(toxic AS string) ELSE '*' END AS label, CASE WHEN grouping(source) = 0 THEN source ELSE '*' END AS source, count(*) AS n_rows, count(DISTINCT score) AS n_scores FROM {rows} GROUP BY GROUPING SETS ((toxic), (source), ())", rows=labelled(spark, sf_dir))
 
 
 @query("a30_fingerprint", "SELECT count(*) AS n, bit_xor(h) AS x, sum(h % 1073741824)::BIGINT AS s FROM (SELECT ('0x' || substr(md5(t), 1, 15))::BIGINT AS h FROM (SELECT DISTINCT '=' || p_partkey || '|=' || p_name AS t FROM part))")

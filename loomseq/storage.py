@@ -20,7 +20,32 @@ def shared_path(spark: SparkSession, tag: str) -> str:
     return f"{top.rstrip('/')}/loomseq-{tag}-{uuid.uuid4().hex}"
 
 
+#: Tables written by stored(), by application.
+_WRITTEN: dict[str, list[str]] = {}
+
+
+def _place(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
 def stored(spark: SparkSession, df: DataFrame, tag: str) -> DataFrame:
+    """df, written to the shared folder and read back. The table stays as long as frames may
+    read it: until release(), or the end of the application, which deletes it."""
     path = shared_path(spark, tag)
     df.write.parquet(path)
+    files, at = _place(spark, path)
+    files.deleteOnExit(at)
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> int:
+    """Delete the tables that stored() wrote in this application so far, for sessions that live
+    long; frames that read them must be used up. Returns their number."""
+    paths = _WRITTEN.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        files, at = _place(spark, path)
+        files.delete(at, True)
+        files.cancelDeleteOnExit(at)
+    return len(paths)

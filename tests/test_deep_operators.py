@@ -13,6 +13,7 @@ from loomseq.operators import evaluation as E
 from loomseq.operators import joins as J
 from loomseq.operators import qc
 from loomseq.operators import windows as W
+from loomseq.storage import release, stored
 
 BAD = set("*X?U")
 
@@ -225,3 +226,45 @@ def test_percentiles_at_two_resolutions(spark):
             assert abs(got[x] - rank(x)) <= (1e-12 if coarse >= 4000 else error + 1e-12), x
     empty = W.quantile_table(reference.where("false"), "v", 0.05, 10, 10)
     assert {r.share for r in W.two_resolution_share(scores, "x", empty).collect()} == {None}
+
+
+def test_islands_over_many_ranges_equal_a_plain_merge(spark):
+    rng = random.Random(5)
+    rows = []
+    for g in ("a", "a", "a", "b", None):
+        at = 0
+        for _ in range(150):
+            at += rng.randrange(12)
+            rows.append((g, at, at + rng.randrange(9)))
+    rows += [("a", 300, 900), ("a", 300, 900), ("c", 5, None), ("c", None, 5), ("d", 7, 7)]
+    df = spark.createDataFrame(rows, "g string, s long, e long").withColumn("n_merged", F.lit("x"))
+    want = []
+    for g in {r[0] for r in rows}:
+        islands = []
+        for s, e in sorted((s, e) for k, s, e in rows if k == g and s is not None and e is not None):
+            if islands and s <= islands[-1][1]:
+                islands[-1][1] = max(islands[-1][1], e)
+                islands[-1][2] += 1
+            else:
+                islands.append([s, e, 1])
+        want += [(g, i + 1, *x) for i, x in enumerate(islands)]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.shuffle.partitions", 23)
+    spark.conf.set("spark.sql.adaptive.enabled", False)
+    try:
+        got = W.merge_intervals(df, ["g"], "s", "e").select("g", "island", "s", "e", "n_merged").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+
+
+def test_stored_tables_go_when_they_are_released(spark):
+    release(spark)
+    df = stored(spark, spark.range(10), "kept")
+    place = spark._jvm.org.apache.hadoop.fs.Path(df.inputFiles()[0]).getParent()
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    assert df.count() == 10 and files.exists(place)
+    assert release(spark) == 1 and not files.exists(place)
+    assert release(spark) == 0
