@@ -14,7 +14,8 @@ one link to the smallest vector it is joined to there, never the pairs.
 
 Vectors that are null, empty, zero or hold null or non-finite components, and rows with
 a null label or id, are linked with nothing: n_links is 0 and the component the vector
-itself. Vectors of different lengths are not compared. Empty tables give empty results;
+itself. Rows of one vec_id with different vectors have links of their own, and one component.
+Vectors of different lengths are not compared. Empty tables give empty results;
 other columns are ignored.
 """
 
@@ -131,14 +132,14 @@ def _by_length(batch) -> list[tuple[np.ndarray, np.ndarray]]:
 def _file(threshold: float):
     def run(batches):
         for batch in batches:
-            rep, label = (batch.column(c).to_numpy() for c in ("rep", "class"))
+            node, label = (batch.column(c).to_numpy() for c in ("node", "class"))
             for at, x in _by_length(batch):
                 c = cells(unit(x), threshold=threshold)
                 c = np.sort(mix(c + label[at].view(np.uint64)[:, None]), axis=1)
                 keep = np.ones(c.shape, dtype=bool)
                 keep[:, 1:] = c[:, 1:] != c[:, :-1]
-                ids = np.repeat(rep[at], c.shape[1]).reshape(c.shape)
-                yield pa.RecordBatch.from_arrays([pa.array(c[keep].view(np.int64)), pa.array(ids[keep])], names=["cell", "rep"])
+                ids = np.repeat(node[at], c.shape[1]).reshape(c.shape)
+                yield pa.RecordBatch.from_arrays([pa.array(c[keep].view(np.int64)), pa.array(ids[keep])], names=["cell", "node"])
 
     return run
 
@@ -150,7 +151,7 @@ def _links(threshold: float):
         group = np.zeros(t.num_rows, dtype=np.int64)
         group[starts] = 1
         group = np.cumsum(group)
-        rep, count, own, cell, label = (t.column(c).to_numpy() for c in ("rep", "n", "own", "cell", "class"))
+        node, rep, count, own, cell, label = (t.column(c).to_numpy() for c in ("node", "rep", "n", "own", "cell", "class"))
         cross = t.column("i").to_numpy() != t.column("j").to_numpy()
         found_a, found_b = [], []
         for at, x in _by_length(t):
@@ -176,11 +177,13 @@ def _links(threshold: float):
         if not found_a or not sum(map(len, found_a)):
             return None
         a, b = np.concatenate(found_a), np.concatenate(found_b)
-        ids, flat = np.unique(np.concatenate([rep[a], rep[b]]), return_inverse=True)
+        ends = np.concatenate([a, b])
+        ids, one, flat = np.unique(node[ends], return_index=True, return_inverse=True)
         links = np.zeros(len(ids), dtype=np.int64)
         np.add.at(links, flat, np.concatenate([count[b], count[a]]))
-        nodes, roots = forest(rep[a], rep[b])
-        return pa.table({"rep": pa.array(ids), "links": pa.array(links), "root": pa.array(roots[np.searchsorted(nodes, ids)])})
+        reps, roots = forest(rep[a], rep[b])
+        own_rep = rep[ends[one]]
+        return pa.table({"node": pa.array(ids), "rep": pa.array(own_rep), "links": pa.array(links), "root": pa.array(roots[np.searchsorted(reps, own_rep)])})
 
     return run
 
@@ -193,19 +196,25 @@ def near_vectors(spark: SparkSession, vectors: DataFrame, threshold: float = THR
     rows = vectors.select(F.col("vec_id").cast("long"), F.when(ok, F.xxhash64("label")).alias("class"), F.when(ok, F.xxhash64(e)).alias("h1"), F.when(ok, F.hash(e, F.lit(1)).cast("long")).alias("h2"), plain(vectors).alias("embedding"))
     good = rows.where("class is not null")
     classes = good.groupBy("class", "h1", "h2").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n"), F.min_by("embedding", "vec_id").alias("embedding"))
-    classes = materialise(spark, classes, "classes")
-    filed = materialise(spark, classes.select("rep", "class", "embedding").mapInArrow(_file(threshold), "cell long, rep long"), "cells")
+    # A vec_id may have several vectors, so a class has a number of its own.
+    classes = materialise(spark, classes.withColumn("node", F.monotonically_increasing_id()), "classes")
+    filed = materialise(spark, classes.select("node", "class", "embedding").mapInArrow(_file(threshold), "cell long, node long"), "cells")
     shared = materialise(spark, filed.groupBy("cell").agg(F.count("*").alias("size")).where("size > 1"), "shared")
-    met = filed.join(shared, "cell").join(classes.select("rep", "class", "n", "embedding"), "rep")
+    met = filed.join(shared, "cell").join(classes.select("node", "rep", "class", "n", "embedding"), "node")
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("rep", F.lit(3)), blocks).cast("int")
-    rows_ = met.select("cell", "rep", "class", "n", "embedding", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
-    rows_ = rows_.select("cell", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "rep", "class", "n", "embedding")
-    found = materialise(spark, sorted_groups(rows_, ["cell", "i", "j"], _links(threshold), "rep long, links long, root long"), "found")
+    own = F.pmod(F.xxhash64("node", F.lit(3)), blocks).cast("int")
+    facts = ["node", "rep", "class", "n", "embedding"]
+    rows_ = met.select("cell", *facts, own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+    rows_ = rows_.select("cell", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", *facts)
+    found = sorted_groups(rows_, ["cell", "i", "j"], _links(threshold), "node long, rep long, links long, root long")
+    found = materialise(spark, found, "found")
     discard(spark, filed, shared)
-    links = materialise(spark, found.groupBy("rep").agg(F.sum("links").alias("links")), "links")
-    comps = connected_components(spark, found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
-    facts = classes.select("class", "h1", "h2", "rep", "n").join(links, "rep", "left").join(comps.withColumnRenamed("node", "rep"), "rep", "left")
+    links = materialise(spark, found.groupBy("node").agg(F.sum("links").alias("links")), "links")
+    key = ["class", "h1", "h2"]
+    several = good.groupBy("vec_id").agg(F.min(F.struct(*key)).alias("lo"), F.max(F.struct(*key)).alias("hi")).where("lo <> hi").select("vec_id")
+    same = good.select("vec_id", *key).join(several, "vec_id", "left_semi").join(classes.select(*key, "rep"), key).select("vec_id", "rep")
+    comps = connected_components(spark, found.select(F.col("rep").alias("a"), F.col("root").alias("b")).unionAll(same))
+    facts = classes.select("class", "h1", "h2", "node", "rep", "n").join(links, "node", "left").join(comps.withColumnRenamed("node", "rep"), "rep", "left")
     facts = materialise(spark, facts.select("class", "h1", "h2", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component_id", "rep").alias("component_id")), "facts")
     discard(spark, classes, found, links)
     out = rows.select("vec_id", "class", "h1", "h2").join(facts, ["class", "h1", "h2"], "left")

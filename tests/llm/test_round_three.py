@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from loomseq.llm import ann, langid, minhash, runs, token_counts, warc, whitening
+from loomseq.llm import ann, langid, lattice, minhash, runs, token_counts, warc, whitening
 
 SF = "/root/testdata/sf0.001"
 DOC = "doc_id long, text string"
@@ -357,3 +357,23 @@ def test_sixty_four_large_alphabets_stay_small():
     used = sum(x.nbytes for x in (parser.table, parser.keys, parser.values, parser.restart, parser.code))
     dense = sum(2 * 6000 * len(set(t[0])) * 4 for t in streams.values())
     assert used < 200 << 20 and used < dense / 20
+
+
+def test_vectors_of_one_id_have_links_of_their_own(spark):
+    a, b, c = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0], [0.0, 0.0, 1.0]
+    near = lambda v: [x + 0.01 * (i + 1) for i, x in enumerate(v)]
+    rows = [(5, a), (5, b), (3, a), (8, near(b)), (9, c), (9, near(c)), (2, near(c)), (4, [1.0, 1.0, 1.0]), (4, [1.0, 1.0, 1.0])]
+    df = spark.createDataFrame([(*r, 1, "x", 2) for r in rows], "vec_id long, embedding array<double>, label int, node string, rep int").repartition(4)
+    unit = [np.array(x) / np.linalg.norm(x) for _, x in rows]
+    links = [sum(j != i and float(unit[i] @ unit[j]) >= 0.98 for j in range(len(rows))) for i in range(len(rows))]
+    component = {5: 3, 3: 3, 8: 3, 9: 2, 2: 2, 4: 4}
+    got = sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in lattice.near_vectors(spark, df).collect())
+    assert got == sorted((i, n, component[i], i == component[i]) for (i, _), n in zip(rows, links, strict=True))
+
+
+def test_no_vectors_have_no_neighbours(spark):
+    v = spark.createDataFrame([(1, None), (2, [0.0, 0.0]), (3, [float("nan"), 1.0]), (None, [1.0, 2.0])], "vec_id long, embedding array<double>")
+    assert ann.nearest(spark, v, v).count() == 0 and ann.nearest(spark, v.limit(0), v).count() == 0
+    one = spark.createDataFrame([(50, [1.0, 2.0])], "vec_id long, embedding array<double>")
+    assert ann.nearest(spark, one, one).count() == 0
+    assert [(r.query_id, r.vec_id) for r in ann.nearest(spark, one, spark.createDataFrame([(7, [1.0, 0.0])], one.schema)).collect()] == [(7, 50)]
