@@ -73,7 +73,8 @@ def strict_align(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFram
 def overlap(left: DataFrame, right: DataFrame, on: list[str], bin_width: int, left_span: tuple[str, str], right_span: tuple[str, str], how: str = "inner") -> DataFrame:
     """Pairs of half-open intervals that overlap and agree in `on`. Both sides are filed
     under the bins that they touch; a pair is taken in the first bin that the two share,
-    so it comes once without a later distinct. how: inner or left_semi."""
+    so it comes once without a later distinct. how: inner or left_semi, which keeps each row of
+    left that meets anything as often as left holds it."""
     (a, b), (c, d) = left_span, right_span
     bins = lambda s, e: F.explode(F.sequence(F.floor(F.col(s) / bin_width), F.floor((F.greatest(F.col(e), F.col(s) + 1) - 1) / bin_width)))
     x = left.withColumn("__bin", bins(a, b))
@@ -86,7 +87,10 @@ def overlap(left: DataFrame, right: DataFrame, on: list[str], bin_width: int, le
         cond = cond & k
     out = x.alias("l").join(y.alias("r"), cond, how)
     if how == "left_semi":
-        return out.drop("__bin").distinct()
+        # A row comes once for each bin that it meets something in, and so do all of its copies.
+        copies = (F.count("*") / F.size(F.collect_set("__bin"))).cast("int")
+        met = out.groupBy(*left.columns).agg(copies.alias("__copies"))
+        return met.withColumn("__copy", F.explode(F.sequence(F.lit(1), "__copies"))).select(*left.columns)
     return out.select("l.*", *[f"r.{k}" for k in right.columns if k not in on]).drop("__bin")
 
 

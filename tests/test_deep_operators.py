@@ -268,3 +268,18 @@ def test_stored_tables_go_when_they_are_released(spark):
     assert df.count() == 10 and files.exists(place)
     assert release(spark) == 1 and not files.exists(place)
     assert release(spark) == 0
+
+
+def test_rows_that_touch_regions_stay_as_often_as_they_are_given(spark):
+    rng = random.Random(8)
+    left = [("c1", s, s + rng.randrange(1, 60), k) for k in range(60) for s in [rng.randrange(900)]]
+    left += [left[0]] * 3 + [("c1", 0, 1000, None)] * 2 + [("c2", 5, 9, 1), (None, 5, 9, 1), ("c1", None, 9, 1)]
+    right = [("c1", s, s + 15) for s in range(0, 900, 70)] + [("c1", 0, 15), ("c3", 5, 9), (None, 5, 9)]
+    a = spark.createDataFrame(left, "chrom string, a long, b long, tag int")
+    b = spark.createDataFrame(right, "chrom string, c long, d long")
+    got = J.overlap(a, b, ["chrom"], 40, ("a", "b"), ("c", "d"), "left_semi")
+    assert got.columns == a.columns
+    want = [r for r in left if any(None not in (r[0], r[1]) and r[0] == x and r[1] < d and c < r[2] for x, c, d in right)]
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+    pairs = J.overlap(a, b, ["chrom"], 40, ("a", "b"), ("c", "d"))
+    assert pairs.count() == sum(r[0] == x and None not in (r[0], r[1]) and r[1] < d and c < r[2] for r in left for x, c, d in right)
