@@ -221,14 +221,29 @@ def allele_support(spark: SparkSession, path: str) -> DataFrame:
     return rows.where("allele_key <> ''").groupBy("algorithm", "allele_key").agg(F.when(F.bool_and(F.col("length").isNotNull()), lengths).alias("lengths"))
 
 
-def route_by_support(tasks: DataFrame, catalog: DataFrame) -> DataFrame:
+def route_by_support(tasks: DataFrame, catalog: DataFrame, classical: dict[str, tuple[str, int | None, int | None]] | None = None) -> DataFrame:
     """tasks (peptide, hla_allele, algorithm, ...) with action: run, or skipped where the
     catalog knows the algorithm but not the allele, or not for the peptide's length. An
-    algorithm without entries is unknown, and runs."""
+    algorithm without entries is unknown, and runs.
+
+    classical names algorithms that find the closest model of an unlisted allele themselves:
+    (pattern of the allele's support_key, shortest and longest peptide or None). Of these a
+    peptide outside the lengths is skipped, a listed allele runs at any length inside them, and
+    an unlisted one runs if its key matches the pattern."""
     known = catalog.select("algorithm").distinct().withColumn("__known", F.lit(True))
     key = support_key(F.col("hla_allele")).alias("allele_key")
     found = tasks.select("*", key).join(known, "algorithm", "left").join(catalog.withColumn("__listed", F.lit(True)), ["algorithm", "allele_key"], "left")
-    fits = F.col("__listed") & F.coalesce(F.array_contains("lengths", F.length("peptide")), F.lit(True))
+    size = F.length("peptide")
+    listed = F.coalesce(F.col("__listed"), F.lit(False))
+    fits = listed & F.coalesce(F.array_contains("lengths", size), F.lit(True))
+    for name, (pattern, shortest, longest) in (classical or {}).items():
+        inside = F.lit(True)
+        if shortest is not None:
+            inside = inside & (size >= shortest)
+        if longest is not None:
+            inside = inside & (size <= longest)
+        nearest = F.coalesce(F.col("allele_key").rlike(pattern), F.lit(False))
+        fits = F.when(F.col("algorithm") == name, inside & (listed | nearest)).otherwise(fits)
     run = F.col("__known").isNull() | F.coalesce(fits, F.lit(False))
     return found.select(*tasks.columns, F.when(run, "run").otherwise("skipped").alias("action"))
 
