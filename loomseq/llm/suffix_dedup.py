@@ -13,16 +13,24 @@ array of every level for common prefixes; then it becomes a level of its own, an
 as the two youngest levels stand for equally many batches they are merged into one.
 Arrays are tables in buckets, sorted by letters in each (words by 16 bits of each code), so
 neither a scan nor a merge shuffles anything, and a prefix occurs once in an array, so none is
-hot. Beyond its prefix a suffix has no order in a level; matches of whole windows are found by
-the verification. The tables carry the index's name: an index of the same name goes on where
+hot. The suffixes that a scan finds tied are ordered further, see below. The tables carry the index's name: an index of the same name goes on where
 another left off, as long as the session's catalog knows the tables.
 
-Verification covers every unit by 64-bit hashes of strings, and pairs are never listed. The windows of one
-place form an interval; two hashes describe each interval, that of the units which all
-its windows share (core) and that of the units which any of them covers (hull). An
-interval whose hull occurs twice is repeated throughout; one whose core occurs once
-cannot match; others are cut into pieces of some windows and judged again, and what is
-then left is judged window by window. All of this is counting by hash.
+Tied suffixes. The windows of one place form an interval; an interval whose whole text (hull)
+occurs twice is repeated throughout, and one suffix stands for all of that hull. The suffixes
+left in a tie are put in the order of the letters that follow their prefix, and a scan takes
+the length of every suffix's match with its neighbours, the longest that it has with any; a
+second scan does the same with the letters before it, read backwards. A window that reaches
+beyond either match occurs once, so each interval shrinks to the windows within both, most of
+them to none. The order runs over ranges of (prefix, letters, row), so a tie of any size is
+spread over tasks; the first and last suffix of a range, whose neighbours lie in other ranges,
+keep their intervals.
+
+Verification covers every unit by 64-bit hashes of strings, and pairs are never listed. The two
+matches of a suffix may be with different others, so intervals are cut into pieces of some
+windows and the texts of pieces are counted: a piece whose hull occurs twice is repeated
+throughout, one of which the units that all its windows share (core) occur once cannot match,
+and what is then left is judged window by window. All of this is counting by hash.
 
 Null or short texts (below the window) lose nothing. Texts of any length are worked on in
 segments. Repeated rows are occurrences of their own and so repeat each other. Rows with
@@ -282,6 +290,7 @@ class RepeatIndex:
         hit = likely.join(rids, "rid", "left_semi").dropDuplicates(["rid"])
         texts = spark.table(self._save(hit.select("rid", "text"), "texts", key="rid"))
 
+        left = self._order(_with_text(texts, left, ["core", "lo", "hi", "at"]))
         kind = "core long, hull long, rid long, lo long, hi long, at long"
         pieces = _with_text(texts, left, ["core", "lo", "hi", "at"]).mapInArrow(_pieces(window, self.piece, self.words), kind)
         partly, rest = self._judge(self._save(pieces, "pieces"))
@@ -292,6 +301,19 @@ class RepeatIndex:
         spans = whole.unionAll(partly).unionAll(last).select("rid", "lo", (F.col("hi") + window).alias("stop"))
         return texts, spans
 
+    def _order(self, tied: DataFrame) -> DataFrame:
+        """Tied suffixes (text, and places: core, lo, hi, at) in order, by the letters after and
+        then by those before them: (core, rid, lo, hi, at) of intervals within both matches."""
+        kind = "core long, rid long, lo long, hi long, at long"
+        name = self._save(tied.mapInArrow(_contexts(self.window, self.gram, self.words), f"{kind}, after binary, before binary"), "tied")
+        for letters, rest in (("after", ", before binary"), ("before", "")):
+            order = self.spark.table(name).repartitionByRange("core", letters, "rid", "lo").sortWithinPartitions("core", letters, "rid", "lo")
+            scanned = order.mapInArrow(_match_lengths(letters, self.window, self.gram, 2 if self.words else 1), kind + rest)
+            found = self._save(scanned.where("lo <= hi"), "matched")
+            self._drop(name)
+            name = found
+        return self.spark.table(name)
+
     def _judge(self, name: str) -> tuple[DataFrame, DataFrame]:
         """Of the table's rows (core, hull, rid, lo, hi, at) those whose hull occurs more than
         once; and one row of each hull of a core with several hulls, open where that hull
@@ -332,6 +354,84 @@ def _each_list(batches, words: bool):
             yield rid, units, lists[i].values
 
 
+def _strings(units: np.ndarray, first: np.ndarray, count: np.ndarray, step: int) -> pa.Array:
+    """count units from each of first, onwards or (step -1) backwards, as binary; words as in
+    _prefixes."""
+    edge = np.concatenate([[0], np.cumsum(count)])
+    along = np.arange(edge[-1]) - np.repeat(edge[:-1], count)
+    data = units[np.repeat(first, count) + step * along]
+    size = 1
+    if units.dtype != np.uint8:
+        data, size = (data >> np.uint64(48)).astype(">u2"), 2
+    offsets = (edge * size).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))])
+
+
+def _contexts(window: int, gram: int, words: bool, most: int = 1 << 14):
+    """The units that the windows of each place cover after its prefix, and before the place,
+    nearest first; at most so many places in a batch."""
+    names = ["core", "rid", "lo", "hi", "at", "after", "before"]
+
+    def run(batches):
+        for rid, units, s in _each_list(batches, words):
+            fields = [s.field(c).to_numpy() for c in ("core", "lo", "hi", "at")]
+            for k in range(0, len(s), most):
+                core, lo, hi, at = (c[k : k + most] for c in fields)
+                after = _strings(units, at + gram, hi + window - at - gram, 1)
+                before = _strings(units, at - 1, at - lo, -1)
+                columns = [pa.array(c, pa.int64()) for c in (core, np.full(len(lo), rid), lo, hi, at)]
+                yield pa.RecordBatch.from_arrays([*columns, after, before], names=names)
+
+    return run
+
+
+def common_lengths(strings: pa.Array) -> np.ndarray:
+    """Bytes that each binary string and the next have in common at their beginning."""
+    edge = np.frombuffer(strings.buffers()[1], dtype=np.int32)[strings.offset : strings.offset + len(strings) + 1].astype(np.int64)
+    data = np.frombuffer(strings.buffers()[2] or b"", dtype=np.uint8)
+    size = np.diff(edge)
+    width = int(size.max(initial=0))
+    column = np.arange(edge[-1] - edge[0]) - np.repeat(edge[:-1] - edge[0], size)
+    table_ = np.zeros((len(size), width + 1), dtype=np.uint8)
+    table_[np.repeat(np.arange(len(size)), size), column] = data[edge[0] : edge[-1]]
+    other = table_[1:] != table_[:-1]
+    other[:, width] = True
+    return np.minimum(other.argmax(axis=1), np.minimum(size[1:], size[:-1]))
+
+
+def _match_lengths(letters: str, window: int, gram: int, size: int):
+    """The scan over one range of suffixes in order: intervals shrunk to the windows within the
+    longer of a suffix's matches with its two neighbours. The range's first and last rows are
+    left as they are. One row is held between batches."""
+
+    def shrunk(rows: pa.RecordBatch, match: np.ndarray) -> pa.RecordBatch:
+        lo, hi, at = (rows.column(c).to_numpy() for c in ("lo", "hi", "at"))
+        if letters == "after":
+            hi = np.minimum(hi, at + gram + match - window)
+        else:
+            lo = np.maximum(lo, at - match)
+        new = {"lo": pa.array(lo), "hi": pa.array(hi)}
+        names = [n for n in rows.schema.names if n != letters]
+        return pa.RecordBatch.from_arrays([new.get(n, rows.column(n)) for n in names], names=names)
+
+    def run(batches):
+        held, match = None, window
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = batch if held is None else pa.concat_batches([held, batch])
+            core = rows.column("core").to_numpy()
+            # Suffixes of different prefixes have no match at all.
+            following = np.where(core[1:] == core[:-1], common_lengths(rows.column(letters)) // size, -2 * window)
+            before = np.concatenate([[match], following])
+            yield shrunk(rows.slice(0, len(core) - 1), np.maximum(before[:-1], following))
+            held, match = rows.slice(len(core) - 1), int(before[-1])
+        if held is not None:
+            yield shrunk(held, np.array([window]))
+
+    return run
+
+
 def _pieces(window: int, width: int, words: bool):
     """Cut intervals of window starts into pieces at multiples of width of the offset of
     the place; pieces of one place and offset are comparable."""

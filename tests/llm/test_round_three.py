@@ -6,10 +6,11 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from loomseq.llm import ann, langid, lattice, minhash, runs, token_counts, warc, whitening
+from loomseq.llm import ann, langid, lattice, minhash, runs, suffix_dedup, token_counts, warc, whitening
 
 SF = "/root/testdata/sf0.001"
 DOC = "doc_id long, text string"
@@ -377,3 +378,83 @@ def test_no_vectors_have_no_neighbours(spark):
     one = spark.createDataFrame([(50, [1.0, 2.0])], "vec_id long, embedding array<double>")
     assert ann.nearest(spark, one, one).count() == 0
     assert [(r.query_id, r.vec_id) for r in ann.nearest(spark, one, spark.createDataFrame([(7, [1.0, 0.0])], one.schema)).collect()] == [(7, 50)]
+
+
+# Match lengths of tied suffixes
+
+
+def common(a, b):
+    n = 0
+    while n < min(len(a), len(b)) and a[n] == b[n]:
+        n += 1
+    return n
+
+
+def test_common_lengths_of_neighbours():
+    draw = random.Random(11)
+    rows = sorted(bytes(draw.choice(b"\x00ab\xff") for _ in range(draw.randrange(0, 9))) for _ in range(200)) + [b"", b"", b"a\x00", b"a"]
+    got = suffix_dedup.common_lengths(pa.array(rows, pa.binary()))
+    assert got.tolist() == [common(a, b) for a, b in zip(rows, rows[1:], strict=False)]
+    part = pa.array([b"zz", *rows], pa.binary()).slice(1, 50)
+    assert suffix_dedup.common_lengths(part).tolist() == got.tolist()[:49]
+    assert suffix_dedup.common_lengths(pa.array([b"one"], pa.binary())).tolist() == []
+
+
+@pytest.mark.parametrize("letters", ["after", "before"])
+def test_scan_keeps_windows_within_the_longest_match(letters):
+    draw, window, gram = random.Random(5), 12, 4
+    rows = []
+    for i in range(120):
+        after, before = draw.randrange(0, 9), draw.randrange(0, 9)
+        at = 100 * i + 50
+        # An interval lies within window - gram of its place.
+        lo, hi = at - before, min(at, at + after + gram - window) if after + gram >= window - before else at - before
+        text = bytes(draw.choice(b"ab") for _ in range(8))
+        rows.append((draw.randrange(3), i, lo, max(lo, hi), at, text[:after], text[:before]))
+    place = 5 if letters == "after" else 6
+    rows.sort(key=lambda r: (r[0], r[place]))
+    names = ["core", "rid", "lo", "hi", "at", "after", "before"]
+    kinds = [pa.int64()] * 5 + [pa.binary()] * 2
+    whole = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
+    batches = [whole.slice(0, 1), whole.slice(1, 0), whole.slice(1, 50), whole.slice(51, 1), whole.slice(52)]
+    got = [r for b in suffix_dedup._match_lengths(letters, window, gram, 1)(batches) for r in b.to_pylist()]
+    assert [r["rid"] for r in got] == [r[1] for r in rows]
+    assert letters not in got[0]
+    for k, (core, _, lo, hi, at, *_) in enumerate(rows):
+        best = max((common(rows[k][place], o[place]) for i, o in enumerate(rows) if i != k and o[0] == core), default=-2 * window)
+        if k in (0, len(rows) - 1):
+            best = window
+        want = (lo, min(hi, at + gram + best - window)) if letters == "after" else (max(lo, at - best), hi)
+        assert (got[k]["lo"], got[k]["hi"]) == want
+
+
+@pytest.mark.parametrize("words", [False, True])
+def test_matches_shorter_than_a_window_are_dropped_by_the_scan(spark, words):
+    """A passage of all texts inside letters of their own: of its tied suffixes only windows that
+    lie in the passage are left, whatever the range that a suffix falls into."""
+    draw, window, gram = random.Random(8), 24, 6
+    word = lambda: "".join(draw.choice("abcdefgh") for _ in range(6))
+    passage = " ".join(word() for _ in range(40))
+    rows = [(i, " ".join([*[word() for _ in range(30)], passage, *[word() for _ in range(30)]])) for i in range(60)]
+    index = suffix_dedup.RepeatIndex(spark, window, gram, words=words)
+    sizes = {}
+    plain = index._order
+
+    def order(tied):
+        sizes["before"] = tied.selectExpr("sum(aggregate(places, 0L, (s, p) -> s + p.hi - p.lo + 1))").first()[0]
+        out = plain(tied)
+        sizes["after"] = out.selectExpr("sum(hi - lo + 1)").first()[0]
+        return out
+
+    index._order = order
+    try:
+        docs = spark.createDataFrame(rows, "rid long, text string")
+        index.add(docs, 2)
+        cut = {r.rid: r.kept_text for r in suffix_dedup.cut_texts(index, docs).collect()}
+    finally:
+        index.close()
+    assert sizes["after"] < sizes["before"]
+    assert set(cut) == set(range(60))
+    for i, text in rows:
+        assert passage not in cut[i]
+        assert len(cut[i].split()) >= 58 if words else len(cut[i]) <= len(text) - len(passage)
