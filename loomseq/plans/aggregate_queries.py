@@ -330,7 +330,7 @@ def w6(spark, sf_dir):
     return W.suffixed_ids(e, "base", ["src"]).select("src", "event_id")
 
 
-@query("w8_interval_merge", f"SELECT chrom, strand, isl::BIGINT AS island, min(a) AS a, max(b) AS b, count(*) AS n_merged FROM (SELECT *, sum(new) OVER (PARTITION BY chrom, strand ORDER BY a, b ROWS UNBOUNDED PRECEDING) AS isl FROM (SELECT *, CASE WHEN a <= max(b) OVER (PARTITION BY chrom, strand ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS new FROM {SPANS})) GROUP BY ALL")
+@query("w8_interval_merge", f"SELECT chrom, strand, isl::BIGINT AS island, min(a) AS a, max(b) AS b, count(*) AS n_merged FROM (SELECT *, sum(new) OVER (PARTITION BY chrom, strand ORDER BY a, b, new DESC ROWS UNBOUNDED PRECEDING) AS isl FROM (SELECT *, CASE WHEN a <= max(b) OVER (PARTITION BY chrom, strand ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS new FROM {SPANS})) GROUP BY ALL")
 def w8(spark, sf_dir):
     return W.merge_intervals(spans(spark, sf_dir), ["chrom", "strand"], "a", "b").withColumn("island", F.col("island").cast("bigint"))
 
