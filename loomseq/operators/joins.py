@@ -42,8 +42,12 @@ def consistent_hits(hits: DataFrame, catalog: DataFrame, accession: str, taxa: s
 def task_product(peptides: DataFrame, alleles: DataFrame, algorithms: DataFrame, on: list[str]) -> DataFrame:
     """Distinct scoring tasks: each peptide with each allele of its own sample or class and
     each algorithm of that class. alleles and algorithms are equi-joined on `on`, so this
-    is no product of unrelated rows."""
-    return peptides.join(alleles, on).join(algorithms, [c for c in on if c in algorithms.columns]).distinct()
+    is no product of unrelated rows. Classes are few and hold most peptides each, so a shuffle
+    by class would put them into as many tasks: the algorithms, a short list, are broadcast, and
+    so are the alleles where they are joined by class alone. Each side is made distinct before
+    the join, so its product is, and no task holds its share of the product at once."""
+    few = alleles.join(F.broadcast(algorithms.distinct()), [c for c in on if c in algorithms.columns]).distinct()
+    return peptides.distinct().join(F.broadcast(few) if set(on) <= set(algorithms.columns) else few, on)
 
 
 def chain_pairs(alleles: DataFrame, alpha: list[str], beta: list[str], sample: str = "sample") -> DataFrame:
