@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from loomseq.functions import packed as P
 from loomseq.functions import sequences as S
 from loomseq.operators import joins as J
 from loomseq.plans.qc_queries import EXPRESSION, expression
@@ -30,12 +31,10 @@ def reference(spark, sf_dir):
 
 @query("j4_reference_match", f"SELECT lang, count(*) AS n_windows, count(DISTINCT w.pep) AS n_distinct, count(r.pep) AS n_matched, count(*) - count(r.pep) AS n_kept FROM {WIN} w LEFT JOIN {REF} r ON r.pep = w.pep GROUP BY lang")
 def j4(spark, sf_dir):
-    # Repeated windows are counted before the join, by their hash, so a frequent window is
-    # one small row in it.
-    w = S.window_chunks(parents(spark, sf_dir).select("lang", "seq"), "seq", [9])
-    hashed = w.select("lang", F.explode(F.transform("__windows", lambda x: F.xxhash64(x))).alias("key"))
-    keys = hashed.groupBy("lang", "key").agg(F.count("*").alias("n"))
-    known = J.reference_windows(reference(spark, sf_dir), "seq", [9]).select(F.xxhash64(F.col("peptide").cast("binary")).alias("key")).distinct()
+    # Windows are counted as numbers before they are shuffled, so a frequent one is a small row.
+    w = P.counted_windows(parents(spark, sf_dir), "seq", 9, ["lang"], "key").repartition("key")
+    keys = w.groupBy("lang", "key").agg(F.sum("n_windows").alias("n"))
+    known = J.reference_windows(reference(spark, sf_dir), "seq", [9]).select(P.window_code(F.col("peptide"), 9).alias("key"))
     m = J.subtract(keys, known, ["key"])
     hit = F.sum(F.when(F.col("excluded"), F.col("n")).otherwise(0))
     return m.groupBy("lang").agg(F.sum("n").alias("n_windows"), F.count("*").alias("n_distinct"), hit.alias("n_matched"), (F.sum("n") - hit).alias("n_kept"))
@@ -48,11 +47,13 @@ FROM (SELECT DISTINCT lang, pep FROM {WIN} WHERE {TUMOR}) t LEFT JOIN (SELECT la
 )
 def j3(spark, sf_dir):
     # One tiling and one exchange: a key's tumor and normal parents are counted together.
-    p = parents(spark, sf_dir).select("doc_id", "lang", is_tumor().alias("tumor"), "seq")
-    w = S.distinct_windows(p, "seq", 9, "doc_id")
-    keys = w.groupBy("lang", "peptide").agg(F.count_if("tumor").alias("here"), F.count_if(~F.col("tumor")).alias("parents")).where("here > 0")
+    p = parents(spark, sf_dir).select("lang", is_tumor().alias("tumor"), "seq")
+    w = P.counted_windows(p, "seq", 9, ["lang", "tumor"]).repartition("code")
+    n = lambda c: F.sum(F.when(c, F.col("n_rows")).otherwise(0))
+    keys = w.groupBy("lang", "code").agg(n(F.col("tumor")).alias("here"), n(~F.col("tumor")).alias("parents")).where("here > 0")
     out = F.col("parents") > 0
-    return keys.groupBy("lang").agg(F.count("*").alias("n_keys"), F.count_if(out).alias("n_excluded"), F.sum("parents").alias("normal_parents"), F.min(F.when(~out, F.col("peptide"))).alias("first_kept"))
+    g = keys.groupBy("lang").agg(F.count("*").alias("n_keys"), F.count_if(out).alias("n_excluded"), F.sum("parents").alias("normal_parents"), F.min(F.when(~out, F.col("code"))).alias("first"))
+    return g.select("lang", "n_keys", "n_excluded", "normal_parents", P.window_text(F.col("first"), 9).alias("first_kept"))
 
 
 @query("j2_exact_parents", f"SELECT doc_id, sha256(seq) IN (SELECT sha256(seq) FROM {PARENTS} WHERE NOT {TUMOR}) AS excluded FROM {PARENTS} WHERE {TUMOR}")
