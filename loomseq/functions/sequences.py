@@ -30,6 +30,13 @@ def let(value: Column, use) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
+def each_of(df: DataFrame, array: Column, out: str) -> DataFrame:
+    """df with a row for each element of an array without nulls, as explode. From a plain
+    explode Spark infers a filter on the array's size and moves it down, so the array and
+    what it is made from would be computed several times."""
+    return df.withColumn(out, F.explode_outer(array)).where(F.col(out).isNotNull())
+
+
 def letters_only(text: Column) -> Column:
     """ASCII letters of a text in upper case; other characters go first, so that upper
     case never changes the length."""
@@ -247,14 +254,15 @@ def mutation_windows(df: DataFrame, lengths: list[int], width: int, chunk: int =
     n = F.length("mt")
     region = F.when(F.col("wt").isNull(), F.struct(F.lit(0).alias("prefix"), n.alias("mt_end"))).otherwise(let(changed_region(F.col("wt"), F.col("mt"), F.col("frameshift")), lambda r: F.struct(r["prefix"].cast("int").alias("prefix"), r["mt_end"].cast("int").alias("mt_end"))))
     base = df.where("mt is not null").select("event_id", F.col("mt").cast("binary").alias("m"), F.col("wt").cast("binary").alias("w"), F.coalesce("frameshift", F.lit(False)).alias("fs"), region.alias("r"), n.alias("n"), invalid_places(F.col("mt")).alias("bad"))
-    sized = base.withColumn("k", F.explode(F.array(*[F.lit(k) for k in lengths])))
+    sized = each_of(base, F.array(*[F.lit(k) for k in lengths]), "k")
     first, last, k = F.col("r.prefix"), F.col("r.mt_end"), F.col("k")
     low = F.greatest(F.lit(0), first - k + 1)
     high = F.least(F.when(last > first, last - 1).otherwise(first - 1), F.col("n") - k)
-    spans = sized.withColumns({"low": low, "high": high}).where("high >= low").withColumn("at", F.explode(F.expr(f"sequence(low, high, {chunk})")))
+    placed_ = sized.withColumns({"low": low, "high": high})
+    spans = each_of(placed_, F.when(F.col("high") >= F.col("low"), F.expr(f"sequence(low, high, {chunk})")), "at")
     cut = spans.select("event_id", "fs", "n", "bad", "k", "at", "r", F.least(F.col("high"), F.col("at") + chunk - 1).alias("to"), F.substring("m", F.col("at") + 1, k + chunk).alias("m"), F.substring("w", F.col("at") + 1, k + chunk).alias("w"))
     places = F.transform(F.sequence(F.lit(0), F.col("to") - F.col("at")), lambda i: F.struct(i.alias("i"), F.substring("m", i + 1, k).cast("string").alias("mt"), F.substring("w", i + 1, k).cast("string").alias("wt")))
-    each = cut.select("event_id", "fs", "n", "bad", "k", "at", "r", F.explode(places).alias("x"))
+    each = each_of(cut, places, "x").select("event_id", "fs", "n", "bad", "k", "at", "r", "x")
     wild = F.when(~F.col("fs") & (F.length("x.wt") == k), F.col("x.wt"))
     kept = each.withColumn("wild", wild).where(~F.col("x.mt").rlike("[*X?U]") & ~F.coalesce(F.col("wild").rlike("[*X?U]"), F.lit(False)) & ~F.coalesce(F.col("wild") == F.col("x.mt"), F.lit(False)))
     start = F.col("at") + F.col("x.i")
@@ -264,6 +272,22 @@ def mutation_windows(df: DataFrame, lengths: list[int], width: int, chunk: int =
     return placed.withColumn("e", e).select("event_id", "pep_len", "start", "peptide", "wt_peptide", F.col("e.start").alias("ext_start"), F.col("e.end").alias("ext_end"))
 
 
+def covered_counts(df: DataFrame, key: str, mutant: str, wild: str, k: int, chunk: int = 2048) -> DataFrame:
+    """key, n_windows (windows of k letters of the mutant sequence that cover its change, see
+    covers_change) and n_same (those that equal the wild type's at the same place) of each row
+    that has such windows. df also holds prefix and mt_end. Both sequences' windows are compared
+    where the row is, in chunks; only counts are shuffled."""
+    m, w = F.col(mutant).cast("binary"), F.col(wild).cast("binary")
+    first, last = F.col("prefix"), F.col("mt_end")
+    low = F.greatest(F.lit(0), first - k + 1).cast("int")
+    high = F.least(F.when(last > first, last - 1).otherwise(first - 1), F.octet_length(m) - k).cast("int")
+    spans = each_of(df.select(key, m.alias("m"), w.alias("w"), low.alias("low"), high.alias("high")), F.when(F.col("high") >= F.col("low"), F.expr(f"sequence(low, high, {chunk})")), "at")
+    part = lambda c: F.substring(c, F.col("at") + 1, F.lit(chunk + k - 1)).alias(c)
+    cut = spans.select(key, (F.least(F.col("high"), F.col("at") + chunk - 1) - F.col("at") + 1).alias("n"), part("m"), part("w"))
+    same = F.size(F.filter(F.sequence(F.lit(1), F.col("n")), lambda i: F.substring("m", i, F.lit(k)) == F.substring("w", i, F.lit(k))))
+    return cut.select(key, "n", same.alias("same")).groupBy(key).agg(F.sum("n").alias("n_windows"), F.sum("same").alias("n_same"))
+
+
 def covers_change(start: Column, length: Column, prefix: Column, mt_end: Column) -> Column:
     """Whether a window (1-based start) covers changed residues; for an empty change, the
     junction between the residues beside it."""

@@ -6,6 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from loomseq.functions import packed as P
 from loomseq.functions import sequences as S
 from loomseq.functions import text as T
 from loomseq.operators.windows import source_rank
@@ -44,7 +45,7 @@ DNA = f"(SELECT doc_id, source, translate(seq, '{LETTERS}', '{BASES}') AS dna FR
 FROM (SELECT doc_id, k, unnest(list_transform(generate_series(1, length(seq) - k + 1), lambda p: substr(seq, p::BIGINT, k))) AS pep FROM {PARENTS}, (SELECT unnest([9, 15]) AS k)) GROUP BY ALL""",
 )
 def f1(spark, sf_dir):
-    return S.window_summary(parents(spark, sf_dir), "seq", [9, 15], "doc_id")
+    return P.window_facts(parents(spark, sf_dir), "seq", [9, 15], "doc_id")
 
 
 @query("p23_scale_gate", f"SELECT lang, sum(greatest(length(seq) - 7, 0) + greatest(length(seq) - 8, 0) + greatest(length(seq) - 14, 0))::BIGINT AS n_windows, sum(greatest(length(seq) - 7, 0) + greatest(length(seq) - 8, 0) + greatest(length(seq) - 14, 0)) > 200000 AS over_limit FROM {PARENTS} GROUP BY lang")
@@ -150,11 +151,7 @@ WHERE CASE WHEN mt_end > prefix THEN s <= mt_end AND s + 8 > prefix ELSE s <= pr
 )
 def f13(spark, sf_dir):
     p = pairs(spark, sf_dir).withColumn("r", S.changed_region(F.col("wt"), F.col("seq"), F.lit(False)))
-    p = p.select("doc_id", "seq", "wt", "r.prefix", "r.mt_end")
-    mt = S.windows(p.drop("wt"), "seq", [9]).where(S.covers_change(F.col("pep_start"), F.col("pep_len"), F.col("prefix"), F.col("mt_end")))
-    wt = S.windows(p.select("doc_id", "wt"), "wt", [9], out="wt_peptide").select("doc_id", "pep_start", "wt_peptide")
-    both = mt.join(wt, ["doc_id", "pep_start"], "left")
-    return both.groupBy("doc_id").agg(F.count("*").alias("n_windows"), F.count_if(F.col("wt_peptide") == F.col("peptide")).alias("n_same"))
+    return S.covered_counts(p.select("doc_id", "seq", "wt", "r.prefix", "r.mt_end"), "doc_id", "seq", "wt", 9)
 
 
 @query(

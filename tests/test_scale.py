@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import random
+
 import duckdb
+from pyspark.sql import functions as F
 
+from loomseq.functions import packed as P
+from loomseq.functions import sequences as S
 from loomseq.operators import joins as J
 from loomseq.plans import ORACLE_SQL
 
@@ -38,3 +43,60 @@ def test_tasks_are_not_dealt_by_class_alone(spark):
     assert t.count() == t.distinct().count() == 20 * 2 * 2 + 20
     plan = plan_of(t)
     assert "SortMergeJoin" not in plan_of(t) and "hashpartitioning(mhc#" not in plan_of(t).partition("BroadcastExchange")[0]
+
+
+def _texts(spark):
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("AB") for _ in range(rng.choice([0, 3, 9, 14, 40, 300]))) for _ in range(60)] + ["Z" * 30, "A" * 9, None]
+    rows = [(i, rng.choice(["x", "y", None]), t) for i, t in enumerate(texts)]
+    return rows, spark.createDataFrame(rows, "id long, g string, seq string").repartition(2)
+
+
+def test_windows_are_counted_before_they_are_shuffled(spark):
+    rows, df = _texts(spark)
+    n = {}
+    for _, g, t in rows:
+        for w in [(t or "")[i : i + 9] for i in range(len(t or "") - 8)]:
+            n.setdefault((g, w), [0, 0])[1] += 1
+        for w in {(t or "")[i : i + 9] for i in range(len(t or "") - 8)}:
+            n[g, w][0] += 1
+    counted = P.counted_windows(df, "seq", 9, ["g"])
+    # No more rows than windows of the batches: repeats are gone before any shuffle.
+    assert counted.count() <= 2 * len(n) < sum(v[1] for v in n.values())
+    got = counted.groupBy("g", P.window_text(F.col("code"), 9).alias("w")).agg(F.sum("n_rows"), F.sum("n_windows")).collect()
+    assert {(r[0], r[1]): [r[2], r[3]] for r in got} == n
+    back = counted.where(P.window_code(P.window_text(F.col("code"), 9), 9) != F.col("code"))
+    assert back.count() == 0
+
+
+def test_window_facts_shuffle_no_window(spark):
+    rows, df = _texts(spark)
+    f = P.window_facts(df, "seq", [3, 9, 15, 17], "id")
+    want = {}
+    for i, _, t in rows:
+        for k in (3, 9, 15, 17):
+            w = [(t or "")[a : a + k] for a in range(len(t or "") - k + 1)]
+            if w:
+                want[i, k] = (len(w), len(set(w)), min(w), max(w))
+    assert {(r.id, r.pep_len): tuple(r)[2:] for r in f.collect()} == want
+    assert "Exchange hashpartitioning" not in plan_of(f)
+
+
+def test_windows_of_mutants_are_not_shuffled(spark):
+    rows = [(1, "AAAACDEFGH", "AAAACDKFGH", 6, 7), (2, "ABABABABABAB", "ABABABABAB", 10, 10), (3, "ABC", "ABD", 2, 3)]
+    df = spark.createDataFrame(rows, "id long, wt string, mt string, prefix int, mt_end int")
+    want = {}
+    for i, w, m, p, e in rows:
+        s = [a for a in range(len(m) - 3) if (a < e and a + 4 > p if e > p else a < p < a + 4)]
+        if s:
+            want[i] = (len(s), sum(m[a : a + 4] == w[a : a + 4] for a in s))
+    c = S.covered_counts(df, "id", "mt", "wt", 4, chunk=2)
+    assert {r.id: (r.n_windows, r.n_same) for r in c.collect()} == want
+    assert "Join" not in plan_of(c)
+
+
+def test_arrays_are_computed_once(spark):
+    # From a plain explode Spark infers a filter that holds the array's expression again.
+    df = spark.range(4).select(F.sequence(F.lit(1), "id").alias("a"))
+    plan = S.each_of(df, F.transform("a", lambda x: x * 7919), "x")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("7919") == 1
