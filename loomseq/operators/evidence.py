@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomseq.functions.coordinates import CHAIN_STATUS, chain_bins, chain_status, coding_changes, genomic_change
-from loomseq.functions.sequences import translate_codons
+from loomseq.functions.sequences import each_of, translate_codons
 from loomseq.operators.qc import ladder, variant_reasons
 
 READS = ("unique_reads", "multi_reads", "max_overhang", "annotated")
@@ -54,7 +54,7 @@ def chain_matches(candidates: DataFrame, references: DataFrame, width: int = 100
     def filed(df: DataFrame, name: str) -> DataFrame:
         one = F.get("blocks", F.lit(0))
         rows = df.select(*df.columns, one["chrom"].alias("chrom"), one["strand"].alias("strand"), chain_bins(F.col("blocks"), width).alias("bins")).withColumnRenamed("blocks", f"{name}_blocks")
-        return rows.withColumn("bin", F.explode("bins")).withColumnRenamed("bins", f"{name}_bins")
+        return each_of(rows, F.col("bins"), "bin").withColumnRenamed("bins", f"{name}_bins")
 
     met = filed(candidates, "c").join(filed(references, "r"), ["chrom", "strand", "bin"])
     met = met.where(F.col("bin") == F.array_min(F.array_intersect("c_bins", "r_bins")))
@@ -77,7 +77,7 @@ def required_changes(parents: DataFrame) -> DataFrame:
     candidate_cds) needs: parent_id, offset0, aa_position, ref_aa, alt_aa, chrom, pos1, ref,
     alt; the last four null where the base cannot be projected. Changes inside synonymous
     codons are not needed."""
-    each = parents.withColumn("c", F.explode(coding_changes(F.col("reference_cds"), F.col("candidate_cds"))["changes"]))
+    each = each_of(parents, coding_changes(F.col("reference_cds"), F.col("candidate_cds"))["changes"], "c")
     each = each.withColumn("g", genomic_change(F.col("blocks"), F.col("c")))
     return each.select("parent_id", "c.offset0", "c.aa_position", "c.ref_aa", "c.alt_aa", "g.chrom", "g.pos1", "g.ref", "g.alt")
 

@@ -12,6 +12,7 @@ from loomseq.operators import evidence as V
 from loomseq.plans.registry import query, table
 from loomseq.plans.sequence_queries import _AMINO
 from loomseq.plans.source_queries import lines
+from loomseq.storage import stored
 
 _ORDER = "PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice"
 _ROWS = f"(SELECT l_orderkey AS o, l_quantity::BIGINT AS len, (l_suppkey % 3) * 7 AS gap, l_returnflag AS flag, l_linenumber AS line, 'chr' || (l_orderkey % 5 + 1) AS chrom, CASE WHEN l_orderkey % 2 = 0 THEN '+' ELSE '-' END AS strand, l_orderkey * 20 AS base, row_number() OVER ({_ORDER}) AS ord FROM lineitem)"
@@ -77,7 +78,7 @@ def required_junctions(spark, sf_dir):
     text = F.concat("chrom", F.lit(":"), "base", F.lit("-"), F.col("base") + 1, F.lit(":"), "strand", F.lit(":MAPQ60:"), "operations")
     at = r.select("o", C.alignment_locus(text).alias("a"))
     j = C.alignment_junctions(F.col("a.chrom"), F.col("a.strand"), F.col("a.start0"), F.col("a.operations"))
-    return at.select("o", F.explode(j).alias("j")).select("o", "j.*")
+    return S.each_of(at, j, "j").select("o", "j.*")
 
 
 @query("w10_operation_junctions", f"SELECT o, ord::INTEGER AS ord, start0, end0, id FROM {JUNCTIONS}")
@@ -96,7 +97,7 @@ SUPPORTED = f"(SELECT j.*, coalesce(a.u, 0) AS tu, coalesce(b.u, 0) AS tx, coale
 
 def supported_junctions(spark, sf_dir):
     """Required junctions with their reads; the reads' tables go through junction files."""
-    need = required_junctions(spark, sf_dir)
+    need = stored(spark, required_junctions(spark, sf_dir), "junctions")
 
     def reads(name):
         strand = F.when(F.col("start0") % 4 == 1, ".").otherwise(F.col("strand"))
@@ -176,19 +177,21 @@ FROM {_NEED} n LEFT JOIN {_CALLS} v USING (chrom, pos1, ref, alt) LEFT JOIN (SEL
 def coding_parents(spark, sf_dir):
     """parent_id, blocks, reference_cds, candidate_cds, protein."""
     n = F.floor(F.least(F.aggregate("blocks", F.lit(0).cast("bigint"), lambda a, b: a + b["end0"] - b["start0"]), F.lit(60)) / 3) * 3
-    i0 = F.when(F.col("n") > 0, F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1)).otherwise(F.array().cast("array<bigint>"))
-    base = lambda i, k: F.substring(F.lit("ACGT"), ((F.col("o") * 7 + i * i * 3 + i) % 4 + k) % 4 + 1, F.lit(1))
-    cds = lambda k: F.array_join(F.transform(i0, lambda i: base(i, k(i))), "")
-    changed = lambda i: F.when((i * 5 + F.col("o")) % 17 == 0, 1).otherwise(0)
+    # The bases of an order depend on o % 4, its changes on o % 17 too: 4 and 68 sequences of 60
+    # bases, of which the first n are taken.
+    base = lambda o, i, k: "ACGT"[((o * 7 + i * i * 3 + i) % 4 + k) % 4]
+    whole = lambda o, every: "".join(base(o, i, int(every and (i * 5 + o) % 17 == 0)) for i in range(60))
+    cds = lambda m, every: F.substring(F.get(F.array(*[F.lit(whole(o, every)) for o in range(m)]), (F.col("o") % m).cast("int")), F.lit(1), F.col("n").cast("int"))
     c = chains(spark, sf_dir).withColumn("n", n)
-    c = c.select("o", "blocks", cds(lambda i: F.lit(0)).alias("reference_cds"), cds(changed).alias("candidate_cds"))
+    c = c.select("o", "blocks", cds(4, False).alias("reference_cds"), cds(68, True).alias("candidate_cds"))
     protein = S.translate_codons(F.when(F.col("o") % 6 == 0, F.col("reference_cds")).otherwise(F.col("candidate_cds")))
     return c.select(F.col("o").alias("parent_id"), "blocks", "reference_cds", "candidate_cds", protein.alias("protein"))
 
 
 def coding_events(spark, sf_dir):
     parents = coding_parents(spark, sf_dir)
-    need = V.required_changes(parents)
+    # Changes are matched with calls and sites that are made from them: made once for the three.
+    need = stored(spark, V.required_changes(parents), "changes")
     key = ["chrom", "pos1", "ref", "alt"]
     p = F.col("pos1")
     calls = need.where(p % 3 != 0).groupBy(*key).agg(F.max(p % 50).alias("qual"), F.max(p % 13).alias("ref_reads"), F.max(p % 11).alias("alt_reads")).withColumn("filters", F.lit("PASS"))

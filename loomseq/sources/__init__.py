@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from loomseq.functions.text import blank_to_null, gtf_attribute, hla_two_field, info_map, support_key, tolerant_double, tolerant_long
 from loomseq.operators.evidence import repeated
+from loomseq.storage import stored
 
 HIT_COLUMNS = "qseqid string, qlen int, sseqid string, qseq string, sseq string, stitle string, pident double, length int, mismatch int, gapopen int, qstart int, qend int, sstart int, send int, evalue double, bitscore double, qcovhsp double, qcovs double"
 TASK_COLUMNS = ["peptide", "hla_allele", "algorithm", "mhc_class"]
@@ -140,8 +141,12 @@ def checked_chains(rows: DataFrame, key: str, order: str, build: str) -> DataFra
     good = rows.where("status = 'pass'")
     blocks = F.array_sort(F.collect_list(F.struct(F.col(order).alias("ord"), "chrom", "strand", "start0", "end0")))
     facts = good.groupBy(key).agg(blocks.alias("b"), F.min("n_blocks").alias("least"), F.max("n_blocks").alias("most"), F.count_if(~F.col("build").eqNullSafe(F.lit(build))).alias("other"), F.countDistinct(order).alias("places"), F.countDistinct("chrom", "strand").alias("sides"))
+    # Every rule and the chains themselves read the facts: brought together once.
+    facts = stored(rows.sparkSession, facts, "chains")
     n = F.size("b")
     rules = {"build": F.col("other") > 0, "number of blocks": ~F.coalesce((F.col("least") == n) & (F.col("most") == n), F.lit(False)), "order": F.col("places") != n, "chromosome or strand": F.col("sides") != 1}
+    counts = facts.agg(*[F.count_if(rule).alias(name) for name, rule in rules.items()]).first()
+    rules = {name: rule for name, rule in rules.items() if counts[name]}
     broken = {name: [r[0] for r in facts.where(rule).select(F.col(key).cast("string")).orderBy(key).limit(5).collect()] for name, rule in rules.items()}
     if any(broken.values()):
         raise ValueError(f"block rows break their contract: { {k: v for k, v in broken.items() if v} }")
