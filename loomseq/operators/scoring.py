@@ -116,23 +116,26 @@ def ngram_features(df: DataFrame, sequence: str, most: int, buckets: int = 1 <<
     """A fitted pipeline from text to features: TF-IDF of the character n-grams of 1 to most
     letters, hashed to buckets. df is what it is fitted on."""
     from pyspark.ml import Pipeline
-    from pyspark.ml.feature import IDF, HashingTF, NGram, SQLTransformer
+    from pyspark.ml.feature import IDF, SQLTransformer
 
-    chars = SQLTransformer(statement=f"SELECT *, filter(split(`{sequence}`, ''), c -> c <> '') AS __g1 FROM __THIS__")
-    grams = [NGram(n=n, inputCol="__g1", outputCol=f"__g{n}") for n in range(2, most + 1)]
-    joined = SQLTransformer(statement="SELECT *, concat(" + ", ".join(f"__g{n}" for n in range(1, most + 1)) + ") AS __grams FROM __THIS__")
-    tidy = SQLTransformer(statement="SELECT * EXCEPT (" + ", ".join(f"__g{n}" for n in range(1, most + 1)) + ", __grams, __tf) FROM __THIS__")
-    tf = HashingTF(numFeatures=buckets, inputCol="__grams", outputCol="__tf")
-    return Pipeline(stages=[chars, *grams, joined, tf, IDF(inputCol="__tf", outputCol="features"), tidy]).fit(df)
+    from loomseq.functions.grams import GramCounts
 
+    tidy = SQLTransformer(statement="SELECT * EXCEPT (__tf) FROM __THIS__")
+    return Pipeline(stages=[GramCounts(sequence, most, buckets, "__tf"), IDF(inputCol="__tf", outputCol="features"), tidy]).fit(df)
 
-def ngram_classifier(df: DataFrame, sequence: str, label: str, most: int, reg: float = 0.01):
-    """A logistic regression with balanced class weights on ngram_features; returns (fitted
-    model, rows with features)."""
+
+def ngram_classifier(df: DataFrame, sequence: str, label: str, most: int, reg: float = 0.01, buckets: int = 1 << 14):
+    """A logistic regression with balanced class weights on the features of ngram_features;
+    returns (fitted model, rows with features in place of the sequence). The counts are made
+    once and stored, for the weights of the n-grams, the fit and the rows read them in turn."""
     from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import IDF
+
+    from loomseq.functions.grams import GramCounts
 
-    rows = _balanced(df, label)
-    rows = ngram_features(rows, sequence, most).transform(rows)
+    counted = GramCounts(sequence, most, buckets, "__tf").transform(_balanced(df, label)).drop(sequence)
+    counted = stored(df.sparkSession, counted, "grams")
+    rows = IDF(inputCol="__tf", outputCol="features").fit(counted).transform(counted).drop("__tf")
     return LogisticRegression(featuresCol="features", labelCol="label", weightCol="weight", maxIter=30, regParam=reg).fit(rows), rows
 
 

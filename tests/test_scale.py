@@ -8,8 +8,10 @@ import duckdb
 from pyspark.sql import functions as F
 
 from loomseq.functions import packed as P
+from loomseq.functions.grams import GramCounts
 from loomseq.functions import sequences as S
 from loomseq.operators import joins as J
+from loomseq.operators import scoring
 from loomseq.plans import ORACLE_SQL
 
 SF = "/root/testdata/sf0.1"
@@ -100,3 +102,27 @@ def test_arrays_are_computed_once(spark):
     df = spark.range(4).select(F.sequence(F.lit(1), "id").alias("a"))
     plan = S.each_of(df, F.transform("a", lambda x: x * 7919), "x")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("7919") == 1
+
+
+def test_gram_counts_equal_hashed_terms(spark):
+    # The same vectors as from a text of each n-gram, without making these texts.
+    from pyspark.ml.feature import HashingTF, NGram
+
+    rng = random.Random(7)
+    texts = ["".join(rng.choice("ACDEFGHIKLMNPQRSTVWYZ") for _ in range(n)) for n in (0, 1, 2, 3, 4, 5, 50, 3000)]
+    texts += ["acd", "AC DE", "\u00c4\u20acA\U0001f600BC\u00e4", "[@Z`{", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, seq string").repartition(3)
+    got = {r.id: r.tf for r in GramCounts("seq", 5, 1 << 10, "tf").transform(df).collect()}
+    terms = df.select("id", F.filter(F.split(F.coalesce("seq", F.lit("")), ""), lambda c: c != "").alias("g1"))
+    for n in range(2, 6):
+        terms = NGram(n=n, inputCol="g1", outputCol=f"g{n}").transform(terms)
+    terms = terms.withColumn("grams", F.concat(*[f"g{n}" for n in range(1, 6)]))
+    assert got == {r.id: r.tf for r in HashingTF(numFeatures=1 << 10, inputCol="grams", outputCol="tf").transform(terms).collect()}
+
+
+def test_gram_counts_are_made_once(spark):
+    df = spark.createDataFrame([(i, "ACDACD" * 3 if i % 4 else "CADKKW" * 3, int(i % 4 == 0)) for i in range(40)], "id int, seq string, y int")
+    _, rows = scoring.ngram_classifier(df, "seq", "y", 3)
+    # The fit's passes and the predictions read stored counts, and no text.
+    plan = plan_of(rows)
+    assert "Scan parquet" in plan and "MapInArrow" not in plan and "Join" not in plan and "seq" not in rows.columns
