@@ -126,12 +126,14 @@ def six_digits(value: Column) -> Column:
     """A number with six significant digits and no trailing zeros, ties away from 0; an
     exponent below 1e-4 and from 1e6 on; null stays null."""
     x = value.cast("double")
-    written = F.format_string("%.5e", x)
-    exponent = F.regexp_extract(written, r"e([+-][0-9]+)$", 1).cast("int")
-    mantissa = F.regexp_replace(F.regexp_extract(written, r"^(-?[0-9.]+)e", 1), r"\.?0+$", "")
-    digits = F.abs(exponent).cast("string")
-    power = F.concat(F.when(exponent < 0, "-").otherwise("+"), F.when(F.length(digits) < 2, "0").otherwise(""), digits)
-    plain = F.regexp_replace(written.cast("decimal(38,16)").cast("string"), r"\.?0+$", "")
-    plain = F.when((exponent >= -4) & (exponent < 6), plain).otherwise(F.concat(mantissa, F.lit("e"), power))
-    odd = F.when(F.isnan(x), "nan").when(x == float("inf"), "inf").when(x == float("-inf"), "-inf").when(x == 0, "0")
-    return F.when(x.isNotNull(), F.coalesce(odd, plain))
+    # d.ddddde+dd, written once: Spark shares an expression that occurs outside of branches, so
+    # what follows has none. Null, nan and infinities have no exponent, so they give null.
+    written = F.format_string("%.5e", F.abs(x))
+    exponent = written.substr(F.lit(9), F.lit(4)).try_cast("int")
+    plain = (F.abs(2 * exponent - 1) <= 9).cast("int")
+    shift = exponent * plain
+    digits = F.concat(F.repeat(F.lit("0"), -shift), written.substr(F.lit(1), F.lit(1)), written.substr(F.lit(3), F.lit(5)))
+    point = F.greatest(shift, F.lit(0)) + 1
+    fixed = F.concat(digits.substr(F.lit(1), point), F.lit("."), digits.substr(point + 1, F.lit(12)))
+    number = F.concat(F.repeat(F.lit("-"), (x < 0).cast("int")), F.rtrim(F.rtrim(fixed, F.lit("0")), F.lit(".")), written.substr(F.lit(8), 5 * (1 - plain)))
+    return F.coalesce(number, F.when(F.isnan(x), "nan").when(x > 0, "inf").when(x < 0, "-inf"))

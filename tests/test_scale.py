@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from loomseq.functions import packed as P
 from loomseq.functions.grams import GramCounts
 from loomseq.functions import sequences as S
+from loomseq.functions import text as T
 from loomseq.operators import joins as J
 from loomseq.operators import scoring
 from loomseq.plans import ORACLE_SQL
@@ -126,3 +127,19 @@ def test_gram_counts_are_made_once(spark):
     # The fit's passes and the predictions read stored counts, and no text.
     plan = plan_of(rows)
     assert "Scan parquet" in plan and "MapInArrow" not in plan and "Join" not in plan and "seq" not in rows.columns
+
+
+def test_six_digits_are_written_once(spark):
+    # In branches the formatting was run anew for each use of its parts.
+    df = spark.range(8).select(F.coalesce(T.six_digits(F.sqrt("id")), F.lit("")).alias("x"))
+    code = spark._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(df._jdf.queryExecution(), "codegen")
+    assert code.count("new java.util.Formatter(") == 1
+
+
+def test_six_digits_of_all_sizes(spark):
+    rng = random.Random(11)
+    values = [rng.choice([-1, 1]) * rng.randint(100000, 999999) * 10.0 ** rng.randint(-300, 300) for _ in range(300)]
+    values += [rng.choice([-1, 1]) * rng.uniform(0.1, 1) * 10.0 ** k for k in range(-8, 9) for _ in range(20)] + [-0.0, float("nan"), float("-inf"), None, 5e-324]
+    got = [r[0] for r in spark.createDataFrame([(v,) for v in values], "x double").coalesce(1).select(T.six_digits(F.col("x"))).collect()]
+    # Python writes as C does; these values are no ties.
+    assert got == [None if v is None else "0" if v == 0 else "4.9e-324" if v == 5e-324 else f"{v:.6g}" for v in values]
