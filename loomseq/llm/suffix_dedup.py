@@ -53,6 +53,8 @@ from loomseq.llm.common import delete, materialise, shared_dir, sieve, small_bat
 from loomseq.llm.shingles import _powers, mix
 
 WINDOW, GRAM = 400, 64
+#: Words of the shortest passage that op9's further columns are about.
+PASSAGE = 48
 BATCHES = 4
 #: Bytes of text that a task works on at a time; a longer text is cut into segments.
 SLICE, SEGMENT = 1 << 18, 1 << 20
@@ -530,9 +532,26 @@ def with_row_ids(docs: DataFrame) -> DataFrame:
 
 
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contract's columns, by strings of WINDOW bytes; then, by an index of words, the number
+    of runs (n_passages) and bytes (passage_bytes) of passages of PASSAGE words or more that
+    occur again, and the text without them. kept_sha256 is of the former, not of this text."""
     docs = with_row_ids(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    cut = remove_repeats(spark, docs.select("rid", "text"), columns=CUT[:-1])
+    rows = docs.select("rid", "text")
+    cut = remove_repeats(spark, rows, columns=CUT[:-1])
+    passages = remove_repeats(spark, rows, PASSAGE, PASSAGE // 6, words=True, batches=1, columns=["rid", "n_spans", "n_removed", "kept_text"])
+    passages = passages.withColumnsRenamed({"n_spans": "n_passages", "n_removed": "passage_bytes"})
+    cuts = materialise(spark, cut.join(passages, "rid", "full"), "cuts")
+    likely, rest = sieve(spark, docs, cuts.select("rid"), "rid")
+    same = rest.select("*", *(F.lit(None).cast(t).alias(c) for c, t in cuts.dtypes if c != "rid"))
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    base = docs.select("rid", "doc_id", F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text, 256).alias("sha"))
-    zero = F.lit(0).cast("long")
-    return base.join(cut, "rid", "left").select("doc_id", "n_bytes", F.coalesce("n_removed", zero).alias("n_removed"), F.coalesce("n_spans", zero).alias("n_spans"), F.coalesce("kept_sha256", "sha").alias("kept_sha256"))
+    counts = {c: F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("n_removed", "n_spans", "n_passages", "passage_bytes")}
+    return likely.join(cuts, "rid", "left").unionByName(same).select(
+        "doc_id",
+        F.octet_length(text).cast("long").alias("n_bytes"),
+        counts["n_removed"],
+        counts["n_spans"],
+        F.coalesce("kept_sha256", F.sha2(text, 256)).alias("kept_sha256"),
+        counts["n_passages"],
+        counts["passage_bytes"],
+        F.coalesce("kept_text", "text").alias("text"),
+    )

@@ -458,3 +458,35 @@ def test_matches_shorter_than_a_window_are_dropped_by_the_scan(spark, words):
     for i, text in rows:
         assert passage not in cut[i]
         assert len(cut[i].split()) >= 58 if words else len(cut[i]) <= len(text) - len(passage)
+
+
+def test_op9_tells_passages_shorter_than_its_bytes(spark, tmp_path):
+    """Passages of 48 to 60 short words repeat in 400 bytes nowhere, a string of 400 letters is no
+    passage: the contract's columns and the further ones each follow their own rule."""
+    draw = random.Random(8)
+
+    def words(n):
+        return [f"{draw.getrandbits(20):05x}" for _ in range(n)]
+
+    short = {n: words(n) for n in (47, 48, 55, 60)}
+    texts = [words(30) + p + words(20) for p in short.values() for _ in range(2)] + [words(300), ["q" * 450], words(5) + ["q" * 450]]
+    lists = [*texts, [], []]
+    rows = [(i, None if i == len(texts) else " ".join(w)) for i, w in enumerate(lists)]
+    spark.createDataFrame(rows, DOC).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in suffix_dedup.op9_suffix_dedup(spark, str(tmp_path)).collect()}
+    assert len(got) == len(rows)
+    count = {}
+    for w in lists:
+        for k in range(len(w) - 47):
+            count[tuple(w[k : k + 48])] = count.get(tuple(w[k : k + 48]), 0) + 1
+    for (i, text), w in zip(rows, lists, strict=True):
+        hit = [k for k in range(len(w) - 47) if count[tuple(w[k : k + 48])] > 1]
+        gone = {j for k in hit for j in range(k, k + 48)}
+        r = got[i]
+        assert (r.n_passages, r.passage_bytes) == (bool(hit), len(" ".join(w[j] for j in sorted(gone))))
+        assert (None if text is None else [x for j, x in enumerate(w) if j not in gone]) == (None if r.text is None else r.text.split())
+        long = "q" in (text or "")
+        assert (r.n_removed > 0, r.n_spans) == (long, int(long))
+        assert r.n_bytes == len(text or "")
+        assert long or r.kept_sha256 == hashlib.sha256((text or "").encode()).hexdigest()
+    assert {i for i, r in got.items() if r.n_passages} == {2, 3, 4, 5, 6, 7}
