@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loomseq.functions.mutants import INVALID, mutation_facts, mutation_windows  # noqa: F401
+
 #: The twenty amino acids (fixed values).
 AMINO_ACIDS = "ACDEFGHIKLMNPQRSTVWY"
 #: The standard genetic code in TCAG order (fixed values).
@@ -193,10 +195,6 @@ def count_below(values: Column, x: Column, equal: bool = False) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(32)), F.struct(F.lit(0).alias("lo"), F.size(values).alias("hi")), step)["lo"]
 
 
-#: Letters that no epitope may hold (fixed values).
-INVALID = "*X?U"
-
-
 def invalid_places(sequence: Column) -> Column:
     """0-based places of INVALID letters of an ASCII sequence, ascending: lengths of the
     stretches between them, summed up."""
@@ -244,34 +242,6 @@ def bounded_extension(invalid: Column, n: Column, start: Column, end: Column, an
     return let(F.struct(low.alias("low"), high.alias("high")), place)
 
 
-def mutation_windows(df: DataFrame, lengths: list[int], width: int, chunk: int = 2048) -> DataFrame:
-    """Windows of a mutant sequence that cover its change: event_id, pep_len, start (0-based),
-    peptide, wt_peptide, ext_start, ext_end. df: event_id, wt (may be null), mt, frameshift
-    boolean; sequences are ASCII. Only starts that cover the change are made, in chunks, so a
-    long sequence costs no more than its change. Windows with INVALID letters go; wt_peptide is
-    the wild type at the same place, null for frameshifts, without wild type, or where it ends
-    before; windows whose wild type has INVALID letters or equals them go too."""
-    n = F.length("mt")
-    region = F.when(F.col("wt").isNull(), F.struct(F.lit(0).alias("prefix"), n.alias("mt_end"))).otherwise(let(changed_region(F.col("wt"), F.col("mt"), F.col("frameshift")), lambda r: F.struct(r["prefix"].cast("int").alias("prefix"), r["mt_end"].cast("int").alias("mt_end"))))
-    base = df.where("mt is not null").select("event_id", F.col("mt").cast("binary").alias("m"), F.col("wt").cast("binary").alias("w"), F.coalesce("frameshift", F.lit(False)).alias("fs"), region.alias("r"), n.alias("n"), invalid_places(F.col("mt")).alias("bad"))
-    sized = each_of(base, F.array(*[F.lit(k) for k in lengths]), "k")
-    first, last, k = F.col("r.prefix"), F.col("r.mt_end"), F.col("k")
-    low = F.greatest(F.lit(0), first - k + 1)
-    high = F.least(F.when(last > first, last - 1).otherwise(first - 1), F.col("n") - k)
-    placed_ = sized.withColumns({"low": low, "high": high})
-    spans = each_of(placed_, F.when(F.col("high") >= F.col("low"), F.expr(f"sequence(low, high, {chunk})")), "at")
-    cut = spans.select("event_id", "fs", "n", "bad", "k", "at", "r", F.least(F.col("high"), F.col("at") + chunk - 1).alias("to"), F.substring("m", F.col("at") + 1, k + chunk).alias("m"), F.substring("w", F.col("at") + 1, k + chunk).alias("w"))
-    places = F.transform(F.sequence(F.lit(0), F.col("to") - F.col("at")), lambda i: F.struct(i.alias("i"), F.substring("m", i + 1, k).cast("string").alias("mt"), F.substring("w", i + 1, k).cast("string").alias("wt")))
-    each = each_of(cut, places, "x").select("event_id", "fs", "n", "bad", "k", "at", "r", "x")
-    wild = F.when(~F.col("fs") & (F.length("x.wt") == k), F.col("x.wt"))
-    kept = each.withColumn("wild", wild).where(~F.col("x.mt").rlike("[*X?U]") & ~F.coalesce(F.col("wild").rlike("[*X?U]"), F.lit(False)) & ~F.coalesce(F.col("wild") == F.col("x.mt"), F.lit(False)))
-    start = F.col("at") + F.col("x.i")
-    placed = kept.select("event_id", k.alias("pep_len"), start.alias("start"), F.col("x.mt").alias("peptide"), F.col("wild").alias("wt_peptide"), "bad", "n", "r", "fs")
-    end = F.col("start") + F.col("pep_len")
-    e = bounded_extension(F.col("bad"), F.col("n"), F.col("start"), end, anchor_of(F.col("r.prefix"), F.col("r.mt_end"), F.col("start"), end, F.col("fs")), width)
-    return placed.withColumn("e", e).select("event_id", "pep_len", "start", "peptide", "wt_peptide", F.col("e.start").alias("ext_start"), F.col("e.end").alias("ext_end"))
-
-
 def covered_counts(df: DataFrame, key: str, mutant: str, wild: str, k: int, chunk: int = 2048) -> DataFrame:
     """key, n_windows (windows of k letters of the mutant sequence that cover its change, see
     covers_change) and n_same (those that equal the wild type's at the same place) of each row

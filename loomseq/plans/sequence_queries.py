@@ -24,15 +24,19 @@ def parents(spark, sf_dir):
     return docs.select("doc_id", "source", "lang", S.letters_only(F.col("text")).alias("seq"))
 
 
-def pairs(spark, sf_dir):
-    """Each document with the one before it in its source, as mutant and wild type. Only ids
-    are ranked; texts are joined to the pairs by id."""
+def links(spark, sf_dir):
+    """doc_id, wt_id: each document and the one before it in its source. Only ids are ranked."""
     ids = table(spark, sf_dir, "documents").select("doc_id", "source")
     ranked = stored(spark, source_rank(ids, ["source"], ["doc_id"], "n"), "ranked")
     before = ranked.select("source", (F.col("n") + 1).alias("n"), F.col("doc_id").alias("wt_id"))
-    links = ranked.join(before, ["source", "n"]).select("doc_id", "wt_id")
+    return ranked.join(before, ["source", "n"]).select("doc_id", "wt_id")
+
+
+def pairs(spark, sf_dir):
+    """Each document with the one before it in its source, as mutant and wild type. Texts are
+    joined to the pairs by id."""
     p = parents(spark, sf_dir)
-    return p.join(links, "doc_id").join(p.select(F.col("doc_id").alias("wt_id"), F.col("seq").alias("wt")), "wt_id").drop("wt_id")
+    return p.join(links(spark, sf_dir), "doc_id").join(p.select(F.col("doc_id").alias("wt_id"), F.col("seq").alias("wt")), "wt_id").drop("wt_id")
 
 
 PAIRS = f"(SELECT * FROM (SELECT *, lag(seq) OVER (PARTITION BY source ORDER BY doc_id) AS wt FROM {PARENTS}) WHERE wt IS NOT NULL)"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
 
 import duckdb
@@ -13,7 +14,10 @@ from loomseq.functions import sequences as S
 from loomseq.functions import text as T
 from loomseq.operators import joins as J
 from loomseq.operators import scoring
-from loomseq.plans import ORACLE_SQL
+from loomseq.plans import ORACLE_SQL, QUERIES
+from loomseq.plans.deep_queries import mutation_events
+from loomseq.plans.sequence_queries import pairs
+from tests.test_deep_operators import events, plain_windows
 
 SF = "/root/testdata/sf0.1"
 
@@ -98,6 +102,29 @@ def test_windows_of_mutants_are_not_shuffled(spark):
     assert "Join" not in plan_of(c)
 
 
+def test_windows_of_mutants_are_summed_up_where_they_are(spark):
+    rows = events()
+    df = spark.createDataFrame(rows, "event_id long, wt string, mt string, frameshift boolean")
+    f = S.mutation_facts(df, [9, 4], 13, chunk=7)
+    want = {}
+    for e, wt, mt, fs in rows:
+        for k in (9, 4) if mt is not None else ():
+            if w := plain_windows(e, wt, mt, bool(fs), k, 13):
+                _, _, starts, peptides, wild, low, high = zip(*w)
+                want[e, k] = (len(w), starts[0], starts[-1], sum(x is not None for x in wild), sum(low), sum(high) - sum(low), hashlib.md5(",".join(peptides).encode()).hexdigest())
+    assert {tuple(r)[:2]: tuple(r)[2:] for r in f.collect()} == want and len(want) > 100
+    # Windows are no rows, which would have to be collected and sorted again by event.
+    for plan in (plan_of(f), plan_of(QUERIES["f13_covering_windows"](spark, "/root/testdata/sf0.001"))):
+        assert "Generate" not in plan and "collect_list" not in plan
+
+
+def test_only_first_letters_of_the_mutant_are_moved(spark):
+    # A text whose first 400 characters hold fewer than 40 letters gives its later ones.
+    e = mutation_events(spark, "/root/testdata/sf0.001").collect()
+    want = {r.doc_id: (r.wt, r.seq[:40]) for r in pairs(spark, "/root/testdata/sf0.001").collect() if len(r.wt) > 60}
+    assert {r.event_id: (r.wt, r.mt) for r in e} == {i: (w, w[: len(w) // 3] + s + w[len(w) // 3 + 20 :]) for i, (w, s) in want.items()}
+
+
 def test_arrays_are_computed_once(spark):
     # From a plain explode Spark infers a filter that holds the array's expression again.
     df = spark.range(4).select(F.sequence(F.lit(1), "id").alias("a"))
