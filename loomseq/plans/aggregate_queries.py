@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from loomseq.functions import packed as P
+from loomseq.functions import maps as M
 from loomseq.functions import sequences as S
 from loomseq.functions import text as T
 from loomseq.operators import evaluation as E
@@ -20,12 +20,11 @@ from loomseq.plans.sequence_queries import parents
 
 @query("a1_peptide_map", f"SELECT pep AS peptide, count(DISTINCT doc_id) AS n_parents, array_to_string(list_sort(list_distinct(list(source))), ';') AS sources, array_to_string(list_sort(list_distinct(list(lang))), ';') AS langs FROM {WIN} GROUP BY pep")
 def a1(spark, sf_dir):
-    # A batch's windows are counted by (window, source, lang) before they are shuffled, so one that
-    # very many documents share is a few rows; dealt by window, they are shuffled once.
-    w = P.counted_windows(parents(spark, sf_dir), "seq", 9, ["source", "lang"]).repartition("code")
-    once = w.groupBy("code", "source", "lang").agg(F.sum("n_rows").alias("n"))
-    sets = [T.list_text(F.collect_set(c)).alias(n) for c, n in (("source", "sources"), ("lang", "langs"))]
-    return once.groupBy("code").agg(F.sum("n").alias("n_parents"), *sets).select(P.window_text(F.col("code"), 9).alias("peptide"), "n_parents", "sources", "langs")
+    # Windows are counted by source and lang where they are and moved as compressed numbers; the
+    # size of the text only decides into how many buckets.
+    size = table(spark, sf_dir, "documents").agg(F.sum(F.octet_length("text"))).first()[0]
+    w = M.window_map(parents(spark, sf_dir), "seq", 9, ["source", "lang"], M.buckets_for(size))
+    return w.select("peptide", F.col("n_rows").alias("n_parents"), F.col("source").alias("sources"), F.col("lang").alias("langs"))
 
 
 @query("a2_position_lists", "SELECT item_id, pep AS peptide, array_to_string(list_sort(list_distinct(list(p))), ',') AS positions FROM (SELECT item_id, p, substr(seq, p, 9) AS pep FROM (SELECT item_id, seq, unnest(generate_series(1, length(seq) - 8)) AS p FROM (SELECT item_id, upper(regexp_replace(coalesce(text, ''), '[^A-Za-z]', '', 'g')) AS seq FROM benchmark))) GROUP BY ALL")

@@ -6,8 +6,11 @@ import hashlib
 import random
 
 import duckdb
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
+from loomseq.functions import maps as M
 from loomseq.functions import packed as P
 from loomseq.functions.grams import GramCounts
 from loomseq.functions import sequences as S
@@ -76,6 +79,46 @@ def test_windows_are_counted_before_they_are_shuffled(spark):
     assert back.count() == 0
 
 
+@pytest.mark.parametrize(("k", "buckets", "held"), [(9, 1, 1 << 24), (9, 50, 700), (4, 7, 90), (9, 3, 40)])
+def test_window_maps_equal_plain_loops(spark, monkeypatch, k, buckets, held):
+    # Several parts, shares and buckets; rows longer than a share; groups without a name.
+    monkeypatch.setattr(M, "HELD", held)
+    monkeypatch.setattr(M, "LETTERS", min(held, 200))
+    rows = [(g, None if i % 9 == 0 else f"s{i % 90}", t) for i, g, t in _texts(spark)[0]]
+    want = {}
+    for g, h, t in rows:
+        for w in {(t or "")[a : a + k] for a in range(len(t or "") - k + 1)}:
+            x = want.setdefault(w, [0, set(), set()])
+            x[0] += 1
+            x[1].add(g)
+            x[2].add(h)
+    df = spark.createDataFrame(rows, "g string, h string, seq string").repartition(3)
+    got = M.window_map(df, "seq", k, ["g", "h"], buckets).collect()
+    text = lambda s: ";".join(sorted(s - {None}))
+    assert len(got) == len(want)
+    assert {r.peptide: (r.n_rows, r.g, r.h) for r in got} == {w: (n, text(g), text(h)) for w, (n, g, h) in want.items()}
+
+
+def test_window_maps_move_few_bytes(spark):
+    # Rows of a number, a count and two names take some 60 bytes a window before compression.
+    rng = random.Random(6)
+    words = ["".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ") for _ in range(rng.randrange(2, 11))) for _ in range(2000)]
+    rows = [(f"src{i % 20}", "en", "".join(rng.choice(words) for _ in range(300))) for i in range(400)]
+    df = spark.createDataFrame(rows, "source string, lang string, seq string").coalesce(1)
+    shares = M.window_shares(df, "seq", 9, ["source", "lang"], 4)
+    assert shares.agg(F.sum(F.length("share"))).first()[0] < 4 * sum(len(t) - 8 for *_, t in rows)
+    plan = plan_of(QUERIES["a1_peptide_map"](spark, "/root/testdata/sf0.001"))
+    assert plan.count("Exchange hashpartitioning") == plan.count("Exchange hashpartitioning(bucket") == 1
+
+
+def test_numbers_of_dealt_windows_are_found_again():
+    rng = random.Random(7)
+    for k in range(1, 10):
+        codes = np.array([0, 26**k - 1, *[rng.randrange(26**k) for _ in range(1000)]])
+        dealt = M._dealt(codes, k)
+        assert 0 <= dealt.min() and dealt.max() < 26**k and (M._dealt(dealt, k, back=True) == codes).all()
+
+
 def test_window_facts_shuffle_no_window(spark):
     rows, df = _texts(spark)
     f = P.window_facts(df, "seq", [3, 9, 15, 17], "id")
