@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomseq.functions.mutants import INVALID, mutation_facts, mutation_windows  # noqa: F401
+from loomseq.functions.mutants import INVALID, mutation_counts, mutation_facts, mutation_windows  # noqa: F401
 
 #: The twenty amino acids (fixed values).
 AMINO_ACIDS = "ACDEFGHIKLMNPQRSTVWY"

@@ -130,15 +130,18 @@ def event_ladder(events: DataFrame, contexts: DataFrame, windows: DataFrame, kin
     that fails decides: unsupported (kind), missing_context (no row, or no sequence, in
     contexts: event_id, wt, mt, rebuilt), region_error (the two sequences do not differ),
     window_error (a sequence shorter than least), no_window; then rebuilt, where the context was
-    made anew, or ok. Counts of windows (event_id, peptide) come from one aggregation."""
-    counts = windows.groupBy("event_id").agg(F.count("*").alias("n_windows"), F.countDistinct("peptide").alias("n_peptides"))
-    both = events.join(contexts.select("event_id", "wt", "mt", "rebuilt"), "event_id", "left").join(counts, "event_id", "left")
+    made anew, or ok. Counts of windows (event_id, peptide) come from one aggregation, unless
+    they are given (event_id, n_windows, n_peptides). Sequences are not moved, only what the
+    steps ask of them."""
+    counts = windows if "n_windows" in windows.columns else windows.groupBy("event_id").agg(F.count("*").alias("n_windows"), F.countDistinct("peptide").alias("n_peptides"))
+    asked = contexts.select("event_id", F.col("mt").isNull().alias("missing"), F.coalesce(F.col("wt") == F.col("mt"), F.lit(False)).alias("same"), (F.length("mt") < least).alias("short"), "rebuilt")
+    both = events.join(asked, "event_id", "left").join(counts, "event_id", "left")
     n = F.coalesce("n_windows", F.lit(0))
     status_ = ladder(
         (~F.coalesce(F.col("kind").isin(*kinds), F.lit(False)), "unsupported"),
-        (F.col("mt").isNull(), "missing_context"),
-        (F.coalesce(F.col("wt") == F.col("mt"), F.lit(False)), "region_error"),
-        (F.length("mt") < least, "window_error"),
+        (F.coalesce("missing", F.lit(True)), "missing_context"),
+        (F.col("same"), "region_error"),
+        (F.col("short"), "window_error"),
         (n == 0, "no_window"),
         (F.coalesce("rebuilt", F.lit(False)), "rebuilt"),
         otherwise="ok",

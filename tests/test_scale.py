@@ -161,6 +161,22 @@ def test_windows_of_mutants_are_summed_up_where_they_are(spark):
         assert "Generate" not in plan and "collect_list" not in plan
 
 
+@pytest.mark.parametrize("k", [4, 9, 12])
+def test_windows_of_mutants_are_counted_where_they_are(spark, k):
+    rows = events()
+    df = spark.createDataFrame(rows, "event_id long, wt string, mt string, frameshift boolean")
+    want = {}
+    for e, wt, mt, fs in rows:
+        if mt is not None and (w := plain_windows(e, wt, mt, bool(fs), k, 13)):
+            want[e] = (len(w), len({x[3] for x in w}))
+    for chunk in (7, 1 << 16):
+        assert {r.event_id: tuple(r)[1:] for r in S.mutation_counts(df, k, 13, chunk).collect()} == want
+    # Neither windows nor sequences are moved to the events.
+    plan = plan_of(QUERIES["p27_event_steps"](spark, "/root/testdata/sf0.001"))
+    assert "count(distinct" not in plan and "event_id#" in plan and "REPARTITION" not in plan
+    assert not [line for line in plan.splitlines() if "SortMergeJoin" in line and "mt#" in line]
+
+
 def test_only_first_letters_of_the_mutant_are_moved(spark):
     # A text whose first 400 characters hold fewer than 40 letters gives its later ones.
     e = mutation_events(spark, "/root/testdata/sf0.001").collect()
